@@ -11,7 +11,7 @@ from ..functions.text import parse_date, word_count
 
 
 def clean_names(df: DataFrame, renames: dict[int, str] | None = None,
-                date_col: str | None = "date") -> DataFrame:
+                date_col: str | None = "date", date_fmt: str = "yyyy-MM-dd") -> DataFrame:
     """Rename columns by position, spaces -> '_', strip a literal '_(FSIII)' suffix,
     parse the date column (invalid -> null)."""
     names = list(df.columns)
@@ -20,7 +20,7 @@ def clean_names(df: DataFrame, renames: dict[int, str] | None = None,
     names = [n.replace(" ", "_").replace("_(FSIII)", "") for n in names]
     out = df.toDF(*names)
     if date_col and date_col in out.columns:
-        out = out.withColumn(date_col, F.to_date(F.try_to_timestamp(F.col(date_col).cast("string"))))
+        out = out.withColumn(date_col, parse_date(F.col(date_col).cast("string"), date_fmt))
     return out
 
 

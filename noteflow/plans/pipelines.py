@@ -24,3 +24,37 @@ def preprocess_pipeline(obs: DataFrame, goals: DataFrame, converter: DataFrame,
     if min_tokens is not None:
         df = clean.min_len(df, f"{text_col}_len", min_tokens)
     return df
+
+
+def combined_text_pipeline(answers: DataFrame, comments: DataFrame,
+                           keys=("myUnqualifiedId", "unqualifiedversionid__"), order_by=("turn",),
+                           text_col: str = "ObservationAnswer", comment_col: str = "comments_",
+                           shuffle_seed: int | None = 0) -> DataFrame:
+    """PL2: one text per form = its answers joined with '.', then '.', then its comments.
+
+    Comments: null -> '' then ordered concat per form.  Answers: one aggregate
+    per form gives both the ordered concat and the first non-null value of
+    every other column.  Inner join on the form key, ``all_text``, dedup on
+    (component, scheme, all_text) keeping the last form in key order, optional
+    seeded sentence shuffle, dedup on (all_text, scheme) keeping the first.
+    """
+    from ..functions import text as T
+    from ..operators import agg
+    keys, order_by = list(keys), list(order_by)
+    c = agg.concat_groups(clean.fill_empty(comments, [comment_col]), keys, comment_col, order_by)
+    others = [x for x in answers.columns if x not in keys + [text_col]]
+    order = F.struct(*[F.col(o) for o in order_by])
+    items = F.collect_list(F.struct(*[F.col(o) for o in order_by], F.col(text_col).alias("_nf_t")))
+    a = (answers.filter(F.col(keys[0]).isNotNull() & F.col(keys[1]).isNotNull()).groupBy(*keys)
+         .agg(F.array_join(F.transform(F.array_sort(items), lambda s: s["_nf_t"]), ".").alias(text_col),
+              *[F.min_by(F.col(x), F.when(F.col(x).isNotNull(), order)).alias(x) for x in others]))
+    j = joins.join_comments(a, c, keys)
+    j = j.withColumn("all_text", T.combine_answer_comment(text_col, comment_col))
+    j = clean.dedup_last(j, ["ObservationComponentID", "ObservationScheme", "all_text"], keys)
+    j = clean.drop_null(j.drop("ObservationQuestion"), ["all_text"])
+    if shuffle_seed is not None:
+        form_key = F.concat_ws(":", *[F.col(k).cast("string") for k in keys])
+        j = j.withColumn("all_text", T.shuffle_sentences("all_text", form_key, shuffle_seed))
+        j = clean.dedup_first(j, ["all_text", "ObservationScheme"], keys)
+        j = clean.drop_null(j, ["all_text"])
+    return j

@@ -78,3 +78,238 @@ WHERE PractionerName IN (SELECT PractionerName FROM superusers) AND ObservationA
                   "ON rel.type = v.clean_scheme")])
 
 register("preprocess_pipeline", _PL1_SQL)(_pl1)
+
+# ---------------------------------------------------------------- P1-P11
+
+
+def _named_cols(spark, d):
+    o = fx.observations(spark, d)
+    return o.select("obs_id", F.col("ObservationQuestion").alias("Observation Question_(FSIII)"),
+                    F.col("LastUpdateDate").alias("last update"))
+
+
+register("clean_names", with_views("""
+SELECT obs_id AS Obs_Id, ObservationQuestion AS Observation_Question,
+       strftime(CAST(try_strptime(LastUpdateDate, '%Y/%m/%d') AS DATE), '%Y-%m-%d') AS date
+FROM observations""", "observations"))(
+    lambda spark, d: clean.clean_names(_named_cols(spark, d), {0: "Obs Id", 2: "date"}, "date", "yyyy/MM/dd")
+    .withColumn("date", F.date_format("date", "yyyy-MM-dd")))
+
+register("select_as", with_views("SELECT ObservationAnswer AS text, ObservationScheme AS labels FROM observations",
+                                 "observations"))(
+    lambda spark, d: clean.select_as(fx.observations(spark, d), ["ObservationAnswer", "ObservationScheme"],
+                                     ["text", "labels"]))
+
+register("drop_null", with_views("SELECT obs_id FROM observations_null WHERE ObservationAnswer IS NOT NULL",
+                                 "observations_null"))(
+    lambda spark, d: clean.drop_null(fx.observations_null(spark, d), ["ObservationAnswer"]).select("obs_id"))
+
+register("drop_date_numeric", with_views(f"""
+SELECT obs_id, ObservationAnswer FROM observations_null WHERE {S.keep_not_date_numeric('ObservationAnswer')}""",
+    "observations_null"))(
+    lambda spark, d: clean.drop_date_numeric(fx.observations_null(spark, d), ["ObservationAnswer"])
+    .select("obs_id", "ObservationAnswer"))
+
+register("min_len", with_views(f"""
+SELECT obs_id, ObservationAnswer_len FROM (
+  SELECT obs_id, {S.word_count('ObservationAnswer')} AS ObservationAnswer_len FROM observations) t
+WHERE ObservationAnswer_len >= 5""", "observations"))(
+    lambda spark, d: clean.min_len(clean.len_words(fx.observations(spark, d), "ObservationAnswer"),
+                                   "ObservationAnswer_len", 5).select("obs_id", "ObservationAnswer_len"))
+
+
+def _nullable_class(spark, d):
+    o = fx.observations(spark, d)
+    return o.withColumn("ObservationScheme", F.when(F.col("obs_id") % 11 == 0, F.lit(None))
+                        .otherwise(F.col("ObservationScheme")))
+
+
+_NULLABLE_CLASS = ("nc", "SELECT obs_id, CASE WHEN obs_id % 11 = 0 THEN NULL ELSE ObservationScheme END "
+                         "AS ObservationScheme FROM observations")
+
+register("keep_classes", with_views("SELECT obs_id, ObservationScheme FROM nc WHERE ObservationScheme IN ('view', 'click')",
+                                    "observations", extra=[_NULLABLE_CLASS]))(
+    lambda spark, d: clean.keep_classes(_nullable_class(spark, d), "ObservationScheme", ["view", "click"])
+    .select("obs_id", "ObservationScheme"))
+
+register("exclude_classes", with_views("""
+SELECT obs_id, ObservationScheme FROM nc WHERE NOT coalesce(ObservationScheme IN ('view', 'click'), false)""",
+    "observations", extra=[_NULLABLE_CLASS]))(
+    lambda spark, d: clean.exclude_classes(_nullable_class(spark, d), "ObservationScheme", ["view", "click"])
+    .select("obs_id", "ObservationScheme"))
+
+register("with_constants", with_views("SELECT obs_id, 1 AS labels, 'Bemærkning' AS ObservationQuestion FROM observations",
+                                      "observations"))(
+    lambda spark, d: clean.with_constants(fx.observations(spark, d).select("obs_id"),
+                                          {"labels": 1, "ObservationQuestion": "Bemærkning"}))
+
+register("fill_empty", with_views("SELECT obs_id, coalesce(ObservationAnswer, '') AS ObservationAnswer FROM observations_null",
+                                  "observations_null"))(
+    lambda spark, d: clean.fill_empty(fx.observations_null(spark, d).select("obs_id", "ObservationAnswer"),
+                                      ["ObservationAnswer"]))
+
+register("drop_cols", with_views("SELECT myUnqualifiedId, turn FROM form_answers", "form_answers"))(
+    lambda spark, d: clean.drop_cols(
+        fx.form_answers(spark, d).select("myUnqualifiedId", "turn", F.col("ObservationAnswer").alias("text_drop"),
+                                         F.col("ObservationScheme").alias("scheme_drop"), "ObservationQuestion"),
+        ["ObservationQuestion"], suffix="_drop"))
+
+register("positives", "SELECT doc_id FROM labels WHERE quality = 1")(
+    lambda spark, d: clean.positives(fx.table(spark, d, "labels").withColumnRenamed("quality", "labels"))
+    .select("doc_id"))
+
+_KEYS = ["myUnqualifiedId", "unqualifiedversionid__"]
+_JOIN_ON = ("a.myUnqualifiedId IS NOT DISTINCT FROM c.myUnqualifiedId AND "
+            "a.unqualifiedversionid__ IS NOT DISTINCT FROM c.unqualifiedversionid__")
+
+
+def _answers_with_len(spark, d):
+    a = fx.form_answers(spark, d)
+    return clean.len_words(a, "ObservationAnswer")
+
+
+register("comments_as_answers", with_views(f"""
+SELECT a.myUnqualifiedId, a.unqualifiedversionid__, a.turn AS a_turn, c.turn AS c_turn,
+       coalesce(c.comments_, '') AS ObservationAnswer, 'Bemærkning' AS ObservationQuestion
+FROM form_answers a JOIN form_comments c ON {_JOIN_ON}""", "form_answers", "form_comments"))(
+    lambda spark, d: clean.comments_as_answers(joins.join_comments(
+        _answers_with_len(spark, d).withColumnRenamed("turn", "a_turn"),
+        fx.form_comments(spark, d).withColumnRenamed("turn", "c_turn"), _KEYS))
+    .select(*_KEYS, "a_turn", "c_turn", "ObservationAnswer", "ObservationQuestion"))
+
+# ---------------------------------------------------------------- D1 / D2
+
+_DEDUP_KEYS = ["ObservationQuestion", "ObservationAnswer", "ObservationScheme"]
+register("dedup_last", with_views("""
+SELECT obs_id, ObservationScheme FROM observations
+QUALIFY row_number() OVER (PARTITION BY ObservationQuestion, ObservationAnswer, ObservationScheme ORDER BY obs_id DESC) = 1""",
+    "observations"))(
+    lambda spark, d: clean.dedup_last(fx.observations(spark, d), _DEDUP_KEYS, ["obs_id"])
+    .select("obs_id", "ObservationScheme"))
+
+register("dedup_first", with_views("""
+SELECT obs_id, ObservationScheme FROM observations_null
+QUALIFY row_number() OVER (PARTITION BY ObservationAnswer ORDER BY obs_id) = 1""", "observations_null"))(
+    lambda spark, d: clean.dedup_first(fx.observations_null(spark, d), ["ObservationAnswer"], ["obs_id"])
+    .select("obs_id", "ObservationScheme"))
+
+# ---------------------------------------------------------------- A1-A7
+
+register("concat_groups", with_views("""
+SELECT myUnqualifiedId, unqualifiedversionid__, string_agg(ObservationAnswer, '.' ORDER BY turn) AS ObservationAnswer
+FROM form_answers GROUP BY myUnqualifiedId, unqualifiedversionid__""", "form_answers"))(
+    lambda spark, d: agg.concat_groups(fx.form_answers(spark, d), _KEYS, "ObservationAnswer", ["turn"]))
+
+register("concat_comments", with_views("""
+SELECT myUnqualifiedId, unqualifiedversionid__, string_agg(coalesce(comments_, ''), '.' ORDER BY turn) AS comments_
+FROM form_comments GROUP BY myUnqualifiedId, unqualifiedversionid__""", "form_comments"))(
+    lambda spark, d: agg.concat_groups(clean.fill_empty(fx.form_comments(spark, d), ["comments_"]), _KEYS,
+                                       "comments_", ["turn"]))
+
+
+def _answers_with_gaps(spark, d):
+    a = fx.form_answers(spark, d)
+    return a.withColumn("ObservationComponentID", F.when(F.col("turn") < 3, F.lit(None))
+                        .otherwise(F.col("ObservationComponentID")))
+
+
+register("first_per_group", with_views("""
+SELECT myUnqualifiedId, unqualifiedversionid__,
+       arg_min(ObservationComponentID, turn) FILTER (WHERE ObservationComponentID IS NOT NULL) AS ObservationComponentID,
+       arg_min(ObservationQuestion, turn) AS ObservationQuestion
+FROM (SELECT * REPLACE (CASE WHEN turn < 3 THEN NULL ELSE ObservationComponentID END AS ObservationComponentID)
+      FROM form_answers) t
+GROUP BY myUnqualifiedId, unqualifiedversionid__""", "form_answers"))(
+    lambda spark, d: agg.first_per_group(_answers_with_gaps(spark, d), _KEYS, ["turn"],
+                                         ["ObservationComponentID", "ObservationQuestion"]))
+
+register("distinct_classes", with_views("SELECT DISTINCT ObservationScheme FROM observations_raw",
+                                        "observations_raw"))(
+    lambda spark, d: agg.distinct_classes(fx.observations_raw(spark, d), "ObservationScheme"))
+
+register("class_histogram", with_views(
+    "SELECT ObservationScheme, count(*) AS n FROM observations GROUP BY ObservationScheme", "observations"))(
+    lambda spark, d: agg.class_histogram(fx.observations(spark, d), "ObservationScheme"))
+
+_ARGMAX_SQL = "list_position(logits, list_max(logits)) - 1"
+register("confusion_matrix", with_views(f"""
+SELECT y_true, CAST({_ARGMAX_SQL} AS INTEGER) AS y_pred, count(*) AS n FROM logits10 GROUP BY 1, 2""", "logits10"))(
+    lambda spark, d: agg.confusion_matrix(
+        fx.logits10(spark, d).withColumn("y_pred", (F.array_position("logits", F.array_max("logits")) - 1).cast("int"))))
+
+
+def _wide_cm(spark, d):
+    df = fx.logits2(spark, d).withColumn(
+        "y_pred", (F.array_position("logits", F.array_max("logits")) - 1).cast("int"))
+    return agg.confusion_matrix(df, wide=True, labels=[0, 1]).select(
+        "y_true", F.col("0").alias("pred_0"), F.col("1").alias("pred_1"))
+
+
+register("confusion_matrix_wide", with_views(f"""
+SELECT y_true, count(*) FILTER (WHERE {_ARGMAX_SQL} = 1) AS pred_0, count(*) FILTER (WHERE {_ARGMAX_SQL} = 2) AS pred_1
+FROM logits2 GROUP BY y_true""".replace(f"{_ARGMAX_SQL} = 1", "list_position(logits, list_max(logits)) = 1")
+    .replace(f"{_ARGMAX_SQL} = 2", "list_position(logits, list_max(logits)) = 2"), "logits2"))(_wide_cm)
+
+# ---------------------------------------------------------------- J1, J3, J6-J8
+
+register("join_comments", with_views(f"""
+SELECT a.myUnqualifiedId, a.unqualifiedversionid__, a.turn AS a_turn, c.turn AS c_turn
+FROM form_answers a JOIN form_comments c ON {_JOIN_ON}""", "form_answers", "form_comments"))(
+    lambda spark, d: joins.join_comments(
+        fx.form_answers(spark, d).select(*_KEYS, F.col("turn").alias("a_turn")),
+        fx.form_comments(spark, d).select(*_KEYS, F.col("turn").alias("c_turn")), _KEYS))
+
+register("semi_filter", with_views("""
+SELECT obs_id, PractionerName FROM observations WHERE PractionerName IN (SELECT PractionerName FROM superusers)""",
+    "observations", "superusers"))(
+    lambda spark, d: joins.semi_filter(fx.observations(spark, d).select("obs_id", "PractionerName"),
+                                       fx.superusers(spark, d), "PractionerName"))
+
+register("anti_keys", with_views(f"""
+SELECT c.myUnqualifiedId, c.unqualifiedversionid__, c.turn FROM form_comments c
+WHERE NOT EXISTS (SELECT 1 FROM form_answers a WHERE {_JOIN_ON})""", "form_answers", "form_comments"))(
+    lambda spark, d: joins.anti_keys(fx.form_comments(spark, d).select(*_KEYS, "turn"),
+                                     fx.form_answers(spark, d), _KEYS))
+
+register("cross_with_classes", with_views("""
+SELECT o.obs_id, c.class FROM observations o, (SELECT DISTINCT ObservationScheme AS class FROM observations) c""",
+    "observations"))(
+    lambda spark, d: joins.cross_with_classes(
+        fx.observations(spark, d).select("obs_id"),
+        fx.observations(spark, d).select(F.col("ObservationScheme").alias("class")), "class"))
+
+register("attach_by_row_id", """
+SELECT f.vec_id AS row_id, len(f.embedding) AS dim, l.label FROM embeddings f JOIN embeddings l ON f.vec_id = l.vec_id""")(
+    lambda spark, d: joins.attach_by_row_id(
+        fx.table(spark, d, "embeddings").select(F.col("vec_id").alias("row_id"), F.size("embedding").alias("dim")),
+        fx.table(spark, d, "embeddings").select(F.col("vec_id").alias("row_id"), "label"), "row_id"))
+
+# ---------------------------------------------------------------- PL2
+
+_PL2_SQL = with_views(f"""
+SELECT myUnqualifiedId, unqualifiedversionid__, turn, ObservationComponentID, ObservationScheme,
+       LastUpdateDate, ObservationAnswer, comments_, all_text FROM (
+  SELECT * REPLACE ({S.shuffle_sentences('all_text', "CAST(myUnqualifiedId AS VARCHAR) || ':' || CAST(unqualifiedversionid__ AS VARCHAR)", 0)} AS all_text)
+  FROM d1) s
+QUALIFY row_number() OVER (PARTITION BY all_text, ObservationScheme ORDER BY myUnqualifiedId, unqualifiedversionid__) = 1""",
+    "form_answers", "form_comments", extra=[
+        ("c", """SELECT myUnqualifiedId, unqualifiedversionid__, string_agg(coalesce(comments_, ''), '.' ORDER BY turn) AS comments_
+                 FROM form_comments WHERE myUnqualifiedId IS NOT NULL AND unqualifiedversionid__ IS NOT NULL
+                 GROUP BY 1, 2"""),
+        ("a", """SELECT myUnqualifiedId, unqualifiedversionid__,
+                        string_agg(ObservationAnswer, '.' ORDER BY turn) AS ObservationAnswer,
+                        min(turn) AS turn,
+                        arg_min(ObservationComponentID, turn) FILTER (WHERE ObservationComponentID IS NOT NULL) AS ObservationComponentID,
+                        arg_min(ObservationScheme, turn) FILTER (WHERE ObservationScheme IS NOT NULL) AS ObservationScheme,
+                        arg_min(LastUpdateDate, turn) FILTER (WHERE LastUpdateDate IS NOT NULL) AS LastUpdateDate
+                 FROM form_answers WHERE myUnqualifiedId IS NOT NULL AND unqualifiedversionid__ IS NOT NULL
+                 GROUP BY 1, 2"""),
+        ("j", f"""SELECT a.*, c.comments_, {S.combine_answer_comment('a.ObservationAnswer', 'c.comments_')} AS all_text
+                 FROM a JOIN c ON {_JOIN_ON}"""),
+        ("d1", """SELECT * FROM j QUALIFY row_number() OVER (PARTITION BY ObservationComponentID, ObservationScheme, all_text
+                                                           ORDER BY myUnqualifiedId DESC, unqualifiedversionid__ DESC) = 1"""),
+    ])
+
+register("combined_text_pipeline", _PL2_SQL)(
+    lambda spark, d: pipelines.combined_text_pipeline(
+        fx.form_answers(spark, d).drop(), fx.form_comments(spark, d)))

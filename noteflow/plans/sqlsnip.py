@@ -72,3 +72,14 @@ def draw(seed, *keys: str) -> str:
 
 def r6(x: str) -> str:
     return f"round(CAST({x} AS DOUBLE), 6)"
+
+
+def shuffle_sentences(x: str, key: str, seed=0) -> str:
+    p = f"string_split(coalesce(CAST({x} AS VARCHAR), ''), '.')"
+    h = f"md5({lit(str(seed))} || ':' || {key} || ':' || CAST(i - 1 AS VARCHAR))"
+    tagged = f"list_transform(list_slice({p}, 1, len({p}) - 1), lambda x, i: {{'h': {h}, 'p': x}})"
+    return f"array_to_string(list_transform(list_sort({tagged}), lambda s: s.p), '.')"
+
+
+def combine_answer_comment(a: str, c: str) -> str:
+    return f"coalesce({a}, '') || '.' || coalesce({c}, '')"
