@@ -72,7 +72,7 @@ def global_rank(df: DataFrame, order_by, rank_col: str = "rank",
     off = spark.createDataFrame(offsets or [(0, 0)], "_nf_pid long, _nf_off long")
     mask = (1 << _LOCAL_BITS) - 1
     return (staged.join(F.broadcast(off), "_nf_pid")
-                  .withColumn(rank_col, F.col("_nf_off") + F.bitwise_and(F.col("_nf_mid"), F.lit(mask)) + 1)
+                  .withColumn(rank_col, F.col("_nf_off") + F.col("_nf_mid").bitwiseAND(F.lit(mask)) + 1)
                   .drop("_nf_pid", "_nf_off", "_nf_mid"))
 
 

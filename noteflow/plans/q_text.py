@@ -1 +1,145 @@
-"""Registered queries (see registry)."""
+"""Registered queries: text functions (T2-T13) and ordering."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..functions import text as T
+from ..functions.constants import TOKEN_PATTERN
+from ..operators import clean, sorting
+from . import fixtures as fx
+from . import sqlsnip as S
+from .fixtures import with_views
+from .registry import register
+
+
+def _sentinel_answers(spark, d):
+    o = fx.observations_null(spark, d)
+    return o.withColumn("ObservationAnswer", F.when(F.col("obs_id") % 17 == 0, F.lit("\\N"))
+                        .otherwise(F.col("ObservationAnswer")))
+
+
+_SENTINEL = ("sa", "SELECT obs_id, CASE WHEN obs_id % 17 = 0 THEN '\\N' ELSE ObservationAnswer END AS ObservationAnswer "
+                   "FROM observations_null")
+
+register("basic_clean", with_views(f"SELECT obs_id, {S.basic_clean('ObservationAnswer')} AS cleaned FROM sa",
+                                   "observations_null", extra=[_SENTINEL]))(
+    lambda spark, d: _sentinel_answers(spark, d).select("obs_id", T.basic_clean("ObservationAnswer").alias("cleaned")))
+
+register("len_words", f"SELECT doc_id, {S.word_count('text')} AS text_len FROM documents")(
+    lambda spark, d: clean.len_words(fx.table(spark, d, "documents"), "text").select("doc_id", "text_len"))
+
+register("len_items", f"""
+SELECT doc_id, {S.token_count('text')} AS n_tokens, length(text) AS n_chars FROM documents""")(
+    lambda spark, d: fx.table(spark, d, "documents").select(
+        "doc_id", T.token_count("text").alias("n_tokens"), F.char_length("text").alias("n_chars")))
+
+register("tokens_to_string", f"""
+SELECT doc_id, array_to_string(regexp_extract_all(text, {S.lit(TOKEN_PATTERN)}), ' ') AS tokens FROM documents""")(
+    lambda spark, d: fx.table(spark, d, "documents").select(
+        "doc_id", T.tokens_to_string(F.regexp_extract_all("text", F.lit(TOKEN_PATTERN), 0)).alias("tokens")))
+
+register("split_sentences", f"""
+SELECT doc_id, len(s) AS n_sentences, array_to_string(s, ' || ') AS sentences
+FROM (SELECT doc_id, {S.split_sentences('text')} AS s FROM documents) t""")(
+    lambda spark, d: fx.table(spark, d, "documents").withColumn("s", T.split_sentences("text")).select(
+        "doc_id", F.size("s").alias("n_sentences"), F.array_join("s", " || ").alias("sentences")))
+
+
+def _explode(spark, d):
+    o = fx.observations_null(spark, d).select("obs_id", T.split_sentences("ObservationAnswer").alias("s"))
+    return o.select("obs_id", F.posexplode_outer("s").alias("pos", "sentence")).withColumn(
+        "sentence", F.coalesce("sentence", F.lit("")))
+
+
+register("explode_sentences", with_views("""
+SELECT obs_id, CAST(unnest(range(len(s))) AS INTEGER) AS pos, unnest(s) AS sentence FROM s WHERE len(s) > 0
+UNION ALL
+SELECT obs_id, NULL AS pos, '' AS sentence FROM s WHERE s IS NULL OR len(s) = 0""", "observations_null",
+    extra=[("s", f"SELECT obs_id, {S.split_sentences('ObservationAnswer')} AS s FROM observations_null")]))(_explode)
+
+register("shuffle_sentences", with_views(f"""
+SELECT obs_id, {S.shuffle_sentences('ObservationAnswer', 'CAST(obs_id AS VARCHAR)', 7)} AS shuffled
+FROM observations_null""", "observations_null"))(
+    lambda spark, d: fx.observations_null(spark, d).select(
+        "obs_id", T.shuffle_sentences("ObservationAnswer", "obs_id", 7).alias("shuffled")))
+
+register("tokenize", f"SELECT doc_id, array_to_string({S.tokenize('text')}, ' ') AS tokens FROM documents")(
+    lambda spark, d: fx.table(spark, d, "documents").select(
+        "doc_id", F.array_join(T.tokenize("text"), " ").alias("tokens")))
+
+register("combine_fields", with_views("""
+SELECT obs_id,
+       '' || ObservationScheme || '  ,' || ObservationAnswer AS sa_v0,
+       '' || ObservationScheme || ' [SEP] ' || ObservationAnswer AS sa_v1,
+       '[CLS] ' || ObservationScheme || ' [SEP] ' || ObservationAnswer AS sa_v2,
+       '[CLS] ' || ObservationScheme || ' [SEP] ' || ObservationQuestion || ' [SEP] ' || ObservationAnswer AS sqa_v2
+FROM observations_null""", "observations_null"))(
+    lambda spark, d: fx.observations_null(spark, d).select(
+        "obs_id",
+        T.combine_fields("ObservationScheme", "ObservationAnswer", version=0).alias("sa_v0"),
+        T.combine_fields("ObservationScheme", "ObservationAnswer", version=1).alias("sa_v1"),
+        T.combine_fields("ObservationScheme", "ObservationAnswer", version=2).alias("sa_v2"),
+        T.combine_fields("ObservationScheme", "ObservationAnswer", "ObservationQuestion", 2).alias("sqa_v2")))
+
+register("scheme_of_text", with_views("""
+SELECT obs_id, trim(split_part('[CLS] ' || ObservationScheme || ' [SEP] ' || ObservationAnswer, '[SEP]', 1)) AS scheme
+FROM observations""", "observations"))(
+    lambda spark, d: fx.observations(spark, d).select(
+        "obs_id", T.scheme_of_text(T.combine_fields("ObservationScheme", "ObservationAnswer", version=2)).alias("scheme")))
+
+register("combine_answer_comment", with_views(f"""
+SELECT a.myUnqualifiedId, a.turn AS a_turn, c.turn AS c_turn,
+       {S.combine_answer_comment('a.ObservationAnswer', 'c.comments_')} AS all_text
+FROM form_answers a JOIN form_comments c
+  ON a.myUnqualifiedId = c.myUnqualifiedId AND a.unqualifiedversionid__ = c.unqualifiedversionid__""",
+    "form_answers", "form_comments"))(
+    lambda spark, d: fx.form_answers(spark, d).alias("a").join(
+        fx.form_comments(spark, d).alias("c"), ["myUnqualifiedId", "unqualifiedversionid__"]).select(
+        "myUnqualifiedId", F.col("a.turn").alias("a_turn"), F.col("c.turn").alias("c_turn"),
+        T.combine_answer_comment("ObservationAnswer", "comments_").alias("all_text")))
+
+register("date_parts", with_views("""
+SELECT obs_id, year(d) AS year, month(d) AS month, day(d) AS day
+FROM (SELECT obs_id, CAST(strptime(LastUpdateDate, '%Y/%m/%d') AS DATE) AS d FROM observations) t""",
+    "observations"))(
+    lambda spark, d: clean.date_parts(fx.observations(spark, d), "LastUpdateDate").select(
+        "obs_id", "year", "month", "day"))
+
+# ---------------------------------------------------------------- O1-O4
+
+register("sort_by_date", with_views("""
+SELECT obs_id, year(d) AS year, month(d) AS month, day(d) AS day,
+       row_number() OVER (ORDER BY d NULLS FIRST, obs_id) AS pos
+FROM (SELECT obs_id, CAST(try_strptime(LastUpdateDate, '%Y/%m/%d') AS DATE) AS d FROM observations) t""",
+    "observations"))(
+    lambda spark, d: sorting.sort_by_date(fx.observations(spark, d).select("obs_id", "LastUpdateDate"),
+                                          "LastUpdateDate", ["obs_id"]).drop("LastUpdateDate"))
+
+
+def _scored(spark, d):
+    lg = fx.logits10(spark, d)
+    return lg.select("row_id", F.posexplode("logits").alias("class", "score"))
+
+
+register("topk_classes", with_views("""
+SELECT row_id, class, rank FROM (
+  SELECT row_id, CAST(i - 1 AS INTEGER) AS class,
+         row_number() OVER (PARTITION BY row_id ORDER BY s DESC, i) AS rank
+  FROM (SELECT row_id, unnest(logits) AS s, unnest(range(1, len(logits) + 1)) AS i FROM logits10) t) u
+WHERE rank <= 3""", "logits10"))(
+    lambda spark, d: sorting.topk_classes(_scored(spark, d), "row_id", "score", "class", 3).select(
+        "row_id", "class", "rank"))
+
+register("head_rows", with_views("SELECT obs_id FROM observations ORDER BY LastUpdateDate, obs_id LIMIT 50",
+                                 "observations"))(
+    lambda spark, d: sorting.head_rows(fx.observations(spark, d), 50, ["LastUpdateDate", "obs_id"]).select("obs_id"))
+
+register("tail_rows", with_views("SELECT obs_id FROM observations ORDER BY LastUpdateDate DESC, obs_id DESC LIMIT 50",
+                                 "observations"))(
+    lambda spark, d: sorting.tail_rows(fx.observations(spark, d), 50, ["LastUpdateDate", "obs_id"]).select("obs_id"))
+
+register("row_range", with_views("""
+SELECT obs_id, pos FROM (SELECT obs_id, row_number() OVER (ORDER BY obs_id) AS pos FROM observations) t
+WHERE pos > 100 AND pos <= 300""", "observations"))(
+    lambda spark, d: sorting.row_range(fx.observations(spark, d).select("obs_id"), 100, 300, ["obs_id"]))
