@@ -24,8 +24,9 @@ def negative_samples(df: DataFrame, change_cols, scheme_col: str = "ObservationS
     and targets are uniform, so it is not skewed.  A hot scheme is spread over
     many range partitions by the global rank.
     """
+    keys = [key] if isinstance(key, str) else list(key)
     change = list(change_cols) + ([len_col] if len_col and len_col in df.columns else [])
-    ranked = global_rank(df, [scheme_col, key], "_nf_idx").withColumn("_nf_idx", F.col("_nf_idx") - 1)
+    ranked = global_rank(df, [scheme_col, *keys], "_nf_idx").withColumn("_nf_idx", F.col("_nf_idx") - 1)
     blocks = ranked.groupBy(scheme_col).agg(F.min("_nf_idx").alias("_nf_lo"),
                                             F.count(F.lit(1)).alias("_nf_m"))
     stats = blocks.agg(F.sum("_nf_m").alias("n"), F.max("_nf_m").alias("mx")).first()
@@ -34,7 +35,7 @@ def negative_samples(df: DataFrame, change_cols, scheme_col: str = "ObservationS
         raise ValueError("negative sampling needs at least two schemes")
     r = F.col("_nf_draw") % (F.lit(n) - F.col("_nf_m"))
     rows = (ranked.join(bounded_broadcast(blocks, BROADCAST_MAX_ROWS), scheme_col)
-                  .withColumn("_nf_draw", draw(seed, key))
+                  .withColumn("_nf_draw", draw(seed, *keys))
                   .withColumn("_nf_t", F.when(r < F.col("_nf_lo"), r).otherwise(r + F.col("_nf_m"))))
     donors = ranked.select(F.col("_nf_idx").alias("_nf_t"), *[F.col(c).alias("_nf_d_" + c) for c in change])
     out = rows.join(donors, "_nf_t")

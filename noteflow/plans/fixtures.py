@@ -93,6 +93,7 @@ def form_answers(spark, sf_dir) -> DataFrame:
                     _conv_scheme().alias("ObservationScheme"),
                     F.concat(F.lit("q"), F.col("turn").cast("string")).alias("ObservationQuestion"),
                     F.col("text").alias("ObservationAnswer"),
+                    (F.col("conv_id") % 150).cast("string").alias("PractionerName"),
                     _date_of("conv_id").alias("LastUpdateDate"))
 
 
@@ -180,7 +181,8 @@ FIXTURE_SQL: dict[str, tuple[str, tuple[str, ...]]] = {
                'c' || CAST(conv_id % 7 AS VARCHAR) AS ObservationComponentID,
                {_SCHEME_LIST_SQL}[CAST(conv_id % 5 + 1 AS INTEGER)] AS ObservationScheme,
                'q' || CAST(turn AS VARCHAR) AS ObservationQuestion,
-               text AS ObservationAnswer, {_date_sql('conv_id')} AS LastUpdateDate
+               text AS ObservationAnswer, CAST(conv_id % 150 AS VARCHAR) AS PractionerName,
+               {_date_sql('conv_id')} AS LastUpdateDate
         FROM conversations WHERE role = 'assistant'""", ()),
     "form_comments": ("""
         SELECT conv_id AS myUnqualifiedId, conv_id % 3 AS unqualifiedversionid__, turn,

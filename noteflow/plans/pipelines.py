@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.constants import TOKEN_PATTERN
 from ..operators import clean, joins
 
 
@@ -26,17 +27,15 @@ def preprocess_pipeline(obs: DataFrame, goals: DataFrame, converter: DataFrame,
     return df
 
 
-def combined_text_pipeline(answers: DataFrame, comments: DataFrame,
-                           keys=("myUnqualifiedId", "unqualifiedversionid__"), order_by=("turn",),
-                           text_col: str = "ObservationAnswer", comment_col: str = "comments_",
-                           shuffle_seed: int | None = 0) -> DataFrame:
-    """PL2: one text per form = its answers joined with '.', then '.', then its comments.
+def combine_answers_comments(answers: DataFrame, comments: DataFrame,
+                             keys=("myUnqualifiedId", "unqualifiedversionid__"), order_by=("turn",),
+                             text_col: str = "ObservationAnswer", comment_col: str = "comments_") -> DataFrame:
+    """One text per form = its answers joined with '.', then '.', then its comments.
 
     Comments: null -> '' then ordered concat per form.  Answers: one aggregate
     per form gives both the ordered concat and the first non-null value of
     every other column.  Inner join on the form key, ``all_text``, dedup on
-    (component, scheme, all_text) keeping the last form in key order, optional
-    seeded sentence shuffle, dedup on (all_text, scheme) keeping the first.
+    (component, scheme, all_text) keeping the last form in key order.
     """
     from ..functions import text as T
     from ..operators import agg
@@ -51,10 +50,110 @@ def combined_text_pipeline(answers: DataFrame, comments: DataFrame,
     j = joins.join_comments(a, c, keys)
     j = j.withColumn("all_text", T.combine_answer_comment(text_col, comment_col))
     j = clean.dedup_last(j, ["ObservationComponentID", "ObservationScheme", "all_text"], keys)
-    j = clean.drop_null(j.drop("ObservationQuestion"), ["all_text"])
-    if shuffle_seed is not None:
-        form_key = F.concat_ws(":", *[F.col(k).cast("string") for k in keys])
-        j = j.withColumn("all_text", T.shuffle_sentences("all_text", form_key, shuffle_seed))
-        j = clean.dedup_first(j, ["all_text", "ObservationScheme"], keys)
-        j = clean.drop_null(j, ["all_text"])
-    return j
+    return clean.drop_null(j.drop("ObservationQuestion"), ["all_text"])
+
+
+def shuffle_texts(df: DataFrame, keys=("myUnqualifiedId", "unqualifiedversionid__"), seed: int = 0,
+                  text_col: str = "all_text", scheme_col: str = "ObservationScheme") -> DataFrame:
+    """Seeded sentence shuffle of each form's text, then dedup (text, scheme) keeping the first form."""
+    from ..functions import text as T
+    keys = list(keys)
+    form_key = F.concat_ws(":", *[F.col(k).cast("string") for k in keys])
+    j = df.withColumn(text_col, T.shuffle_sentences(text_col, form_key, seed))
+    j = clean.dedup_first(j, [text_col, scheme_col], keys)
+    return clean.drop_null(j, [text_col])
+
+
+def combined_text_pipeline(answers: DataFrame, comments: DataFrame,
+                           keys=("myUnqualifiedId", "unqualifiedversionid__"), order_by=("turn",),
+                           text_col: str = "ObservationAnswer", comment_col: str = "comments_",
+                           shuffle_seed: int | None = 0) -> DataFrame:
+    """PL2: combined answers + comments per form, optionally sentence-shuffled."""
+    j = combine_answers_comments(answers, comments, keys, order_by, text_col, comment_col)
+    return j if shuffle_seed is None else shuffle_texts(j, keys, shuffle_seed)
+
+
+def new_class_dataset_pipeline(answers: DataFrame, comments: DataFrame, goals: DataFrame,
+                               converter: DataFrame, superusers: DataFrame, exclude,
+                               keys=("myUnqualifiedId", "unqualifiedversionid__"), order_by=("turn",),
+                               test_frac: float = 0.2, val_frac: float = 0.2, seed: int = 42,
+                               shuffle_seed: int = 0, min_tokens: int = 5) -> DataFrame:
+    """PL3: data set for the new-class task, one frame with ``split`` in
+    {train, val, test, excluded}.
+
+    drop number/date answers -> relevant schemes -> display names -> combine
+    answers and comments -> superusers -> sentence shuffle + dedup -> all_text
+    word count >= min_tokens -> date sort -> last round(n*test_frac) = fixed test
+    -> the rest minus the test keys -> excluded classes apart -> seeded
+    train/val split of the remainder.
+    """
+    from ..operators import sorting, split as SP
+    keys, order_by = list(keys), list(order_by)
+    a = clean.drop_date_numeric(answers, ["ObservationAnswer"])
+    a = joins.keep_relevant(a, goals, "ObservationScheme", keys + order_by)
+    a = joins.decode_names(a, converter, "type", "ObservationScheme")
+    c = combine_answers_comments(a, comments, keys, order_by)
+    c = joins.semi_filter(c, superusers, "PractionerName")
+    c = shuffle_texts(c, keys, shuffle_seed)
+    c = clean.min_len(clean.len_words(c, "all_text"), "all_text_len", min_tokens)
+    c = sorting.sort_by_date(c, "LastUpdateDate", keys)
+    c = SP.tail_split_frac(c, test_frac, ["pos"], "split", ("trainval", "test"))
+    test = c.filter(F.col("split") == "test")
+    trainval = joins.anti_keys(c, test, keys)
+    excluded = clean.keep_classes(trainval, "type", exclude).withColumn("split", F.lit("excluded"))
+    kept = clean.exclude_classes(trainval, "type", exclude).withColumn(
+        "form_key", F.concat_ws(":", *[F.col(k).cast("string") for k in keys]))
+    tv = SP.random_split(kept, "form_key", val_frac, seed, "split", ("train", "val")).drop("form_key")
+    return test.unionByName(excluded).unionByName(tv)
+
+
+def sentence_rows(df: DataFrame, order_by, src: str, min_tokens: int = 5,
+                  text_col: str = "ObservationAnswer") -> DataFrame:
+    """Positive sentence samples of PL4: one row per sentence (empty text -> one '' row),
+    dedup (question, sentence, scheme) keeping the last, token count >= min_tokens,
+    tokens joined by one space, label 1."""
+    from ..functions import text as T
+    s = (df.withColumn("_nf_s", T.split_sentences(text_col))
+           .select("*", F.posexplode_outer("_nf_s").alias("spos", "_nf_sent"))
+           .withColumn("spos", F.coalesce(F.col("spos"), F.lit(0)))
+           .withColumn(text_col, F.coalesce(F.col("_nf_sent"), F.lit("")))
+           .drop("_nf_s", "_nf_sent"))
+    order = list(order_by) + ["spos"]
+    s = clean.dedup_last(s, ["ObservationQuestion", text_col, "ObservationScheme"], order)
+    toks = F.regexp_extract_all(F.col(text_col), F.lit(TOKEN_PATTERN), 0)
+    s = s.withColumn(f"{text_col}_len", F.size(toks)).withColumn(text_col, F.array_join(toks, " "))
+    s = clean.min_len(s, f"{text_col}_len", min_tokens)
+    return s.withColumn("labels", F.lit(1)).withColumn("src", F.lit(src))
+
+
+def sentence_scoring_pipeline(answers: DataFrame, comments: DataFrame, superusers: DataFrame | None = None,
+                              keys=("myUnqualifiedId", "unqualifiedversionid__"), order_by=("turn",),
+                              min_tokens: int = 5, seed: int = 100, n_test: int = 16000,
+                              combine_version: int = 1) -> DataFrame:
+    """PL4: sentence-scoring data: positives from answers and from comments, one
+    negative per positive (answer of another scheme), all sorted by date,
+    ``SchemeAnswer`` text, last ``n_test`` rows = test."""
+    from ..functions import text as T
+    from ..operators import sampling, split as SP
+    keys, order_by = list(keys), list(order_by)
+    if superusers is not None:
+        answers = joins.semi_filter(answers, superusers, "PractionerName")
+    base = answers.withColumn("c_turn", F.lit(-1).cast("long"))
+    key_cols = keys + order_by + ["c_turn", "spos"]
+    pos_a = sentence_rows(base, keys + order_by + ["c_turn"], "answer", min_tokens)
+    com = joins.join_comments(clean.len_words(answers, "ObservationAnswer"),
+                              comments.withColumnRenamed(order_by[0], "c_turn"), keys)
+    com = clean.comments_as_answers(com)
+    pos_c = sentence_rows(com, keys + order_by + ["c_turn"], "comment", min_tokens)
+    parts = []
+    for p in (pos_a, pos_c):
+        neg = sampling.negative_samples(p, ["ObservationAnswer"], "ObservationScheme", key_cols, seed)
+        parts += [p, neg]
+    u = parts[0]
+    for p in parts[1:]:
+        u = u.unionByName(p)
+    u = u.withColumn("SchemeAnswer", T.combine_fields("ObservationScheme", "ObservationAnswer",
+                                                      version=combine_version))
+    from ..operators import sorting
+    u = sorting.sort_by_date(u, "LastUpdateDate", ["src"] + key_cols + ["labels"])
+    return SP.tail_split_n(u, n_test, ["pos"], "split", ("train_val", "test"))

@@ -288,7 +288,7 @@ SELECT f.vec_id AS row_id, len(f.embedding) AS dim, l.label FROM embeddings f JO
 
 _PL2_SQL = with_views(f"""
 SELECT myUnqualifiedId, unqualifiedversionid__, turn, ObservationComponentID, ObservationScheme,
-       LastUpdateDate, ObservationAnswer, comments_, all_text FROM (
+       LastUpdateDate, PractionerName, ObservationAnswer, comments_, all_text FROM (
   SELECT * REPLACE ({S.shuffle_sentences('all_text', "CAST(myUnqualifiedId AS VARCHAR) || ':' || CAST(unqualifiedversionid__ AS VARCHAR)", 0)} AS all_text)
   FROM d1) s
 QUALIFY row_number() OVER (PARTITION BY all_text, ObservationScheme ORDER BY myUnqualifiedId, unqualifiedversionid__) = 1""",
@@ -301,7 +301,8 @@ QUALIFY row_number() OVER (PARTITION BY all_text, ObservationScheme ORDER BY myU
                         min(turn) AS turn,
                         arg_min(ObservationComponentID, turn) FILTER (WHERE ObservationComponentID IS NOT NULL) AS ObservationComponentID,
                         arg_min(ObservationScheme, turn) FILTER (WHERE ObservationScheme IS NOT NULL) AS ObservationScheme,
-                        arg_min(LastUpdateDate, turn) FILTER (WHERE LastUpdateDate IS NOT NULL) AS LastUpdateDate
+                        arg_min(LastUpdateDate, turn) FILTER (WHERE LastUpdateDate IS NOT NULL) AS LastUpdateDate,
+                        arg_min(PractionerName, turn) FILTER (WHERE PractionerName IS NOT NULL) AS PractionerName
                  FROM form_answers WHERE myUnqualifiedId IS NOT NULL AND unqualifiedversionid__ IS NOT NULL
                  GROUP BY 1, 2"""),
         ("j", f"""SELECT a.*, c.comments_, {S.combine_answer_comment('a.ObservationAnswer', 'c.comments_')} AS all_text
