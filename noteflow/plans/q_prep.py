@@ -314,3 +314,114 @@ QUALIFY row_number() OVER (PARTITION BY all_text, ObservationScheme ORDER BY myU
 register("combined_text_pipeline", _PL2_SQL)(
     lambda spark, d: pipelines.combined_text_pipeline(
         fx.form_answers(spark, d).drop(), fx.form_comments(spark, d)))
+
+# ---------------------------------------------------------------- PL3
+
+_K = "myUnqualifiedId, unqualifiedversionid__"
+_KD = "myUnqualifiedId DESC, unqualifiedversionid__ DESC"
+_FORM_KEY = "CAST(myUnqualifiedId AS VARCHAR) || ':' || CAST(unqualifiedversionid__ AS VARCHAR)"
+_DATE = "CAST(try_strptime(LastUpdateDate, '%Y/%m/%d') AS DATE)"
+
+
+def _pl3(spark, d):
+    df = pipelines.new_class_dataset_pipeline(
+        fx.form_answers(spark, d), fx.form_comments(spark, d), fx.goals(spark), fx.converter(spark),
+        fx.superusers(spark, d), ["click"])
+    return df.select(*_KEYS, "type", "ObservationScheme", "all_text", "all_text_len", "pos", "split")
+
+
+_PL3_SQL = with_views(f"""
+SELECT {_K}, type, ObservationScheme, all_text, all_text_len, pos, split FROM tst
+UNION ALL SELECT {_K}, type, ObservationScheme, all_text, all_text_len, pos, 'excluded' FROM tv WHERE type IN ('click')
+UNION ALL
+SELECT {_K}, type, ObservationScheme, all_text, all_text_len, pos,
+       CASE WHEN row_number() OVER (ORDER BY {S.draw(42, 'form_key')}, form_key)
+                 <= ceil((SELECT count(*) FROM kept) * CAST(0.2 AS DOUBLE)) THEN 'val' ELSE 'train' END
+FROM kept""", "form_answers", "form_comments", "goals", "converter", "superusers", extra=[
+    ("a0", f"SELECT * FROM form_answers WHERE {S.keep_not_date_numeric('ObservationAnswer')}"),
+    ("g", f"SELECT DISTINCT {S.clean_text('type')} AS type FROM goals"),
+    ("c0", f"SELECT *, {S.clean_text('ObservationScheme')} AS _clean FROM a0"),
+    ("firsts", f"SELECT _clean, arg_min(ObservationScheme, ({_K}, turn)) AS raw FROM c0 GROUP BY _clean"),
+    ("rel", """SELECT c0.* EXCLUDE (ObservationScheme, _clean), _clean AS type FROM c0
+               WHERE ObservationScheme IN (SELECT raw FROM firsts WHERE _clean IN (SELECT type FROM g))"""),
+    ("named", f"SELECT rel.*, v.original_scheme AS ObservationScheme FROM rel LEFT JOIN {_CONV} v ON rel.type = v.clean_scheme"),
+    ("cm", f"""SELECT {_K}, string_agg(coalesce(comments_, ''), '.' ORDER BY turn) AS comments_ FROM form_comments
+              WHERE myUnqualifiedId IS NOT NULL AND unqualifiedversionid__ IS NOT NULL GROUP BY {_K}"""),
+    ("an", f"""SELECT {_K}, string_agg(ObservationAnswer, '.' ORDER BY turn) AS ObservationAnswer, min(turn) AS turn,
+                     {', '.join(f"arg_min({c}, turn) FILTER (WHERE {c} IS NOT NULL) AS {c}" for c in
+                                ['ObservationComponentID', 'type', 'PractionerName', 'LastUpdateDate', 'ObservationScheme'])}
+              FROM named GROUP BY {_K}"""),
+    ("j", f"""SELECT a.*, c.comments_, {S.combine_answer_comment('a.ObservationAnswer', 'c.comments_')} AS all_text
+             FROM an a JOIN cm c ON {_JOIN_ON}"""),
+    ("d1", f"""SELECT * FROM j QUALIFY row_number() OVER (PARTITION BY ObservationComponentID, ObservationScheme, all_text
+                                                        ORDER BY {_KD}) = 1"""),
+    ("su", "SELECT * FROM d1 WHERE PractionerName IN (SELECT PractionerName FROM superusers)"),
+    ("sh", f"SELECT * REPLACE ({S.shuffle_sentences('all_text', _FORM_KEY, 0)} AS all_text) FROM su"),
+    ("d2", f"SELECT * FROM sh QUALIFY row_number() OVER (PARTITION BY all_text, ObservationScheme ORDER BY {_K}) = 1"),
+    ("ln", f"SELECT * FROM (SELECT *, {S.word_count('all_text')} AS all_text_len FROM d2 WHERE all_text IS NOT NULL) t "
+           "WHERE all_text_len >= 5"),
+    ("srt", f"SELECT *, row_number() OVER (ORDER BY {_DATE} NULLS FIRST, {_K}) AS pos FROM ln"),
+    ("sp", """SELECT *, CASE WHEN row_number() OVER (ORDER BY pos DESC)
+                                <= round_even((SELECT count(*) FROM srt) * CAST(0.2 AS DOUBLE), 0)
+                           THEN 'test' ELSE 'trainval' END AS split FROM srt"""),
+    ("tst", "SELECT * FROM sp WHERE split = 'test'"),
+    ("tv", f"""SELECT * FROM sp a WHERE NOT EXISTS (SELECT 1 FROM tst c WHERE {_JOIN_ON})"""),
+    ("kept", f"SELECT *, {_FORM_KEY} AS form_key FROM tv WHERE NOT coalesce(type IN ('click'), false)"),
+])
+
+register("new_class_dataset_pipeline", _PL3_SQL)(_pl3)
+
+# ---------------------------------------------------------------- PL4
+
+_SK = ["myUnqualifiedId", "unqualifiedversionid__", "turn", "c_turn", "spos"]
+
+
+def _pl4(spark, d):
+    df = pipelines.sentence_scoring_pipeline(fx.form_answers(spark, d), fx.form_comments(spark, d),
+                                             fx.superusers(spark, d), min_tokens=5, seed=100, n_test=500)
+    return df.select("src", *_SK, "labels", "ObservationScheme", "ObservationAnswer", "ObservationAnswer_len",
+                     "SchemeAnswer", "pos", "split")
+
+
+def _sentence_ctes(prefix: str, src: str, tag: str) -> list[tuple[str, str]]:
+    from ..functions.constants import TOKEN_PATTERN
+    from .q_split import _neg_sql
+    keys = ", ".join(_SK[:-1])
+    return [
+        (prefix + "e", f"""SELECT * EXCLUDE (s), CAST(unnest(range(len(s))) AS INTEGER) AS spos, unnest(s) AS sentence
+                          FROM (SELECT *, {S.split_sentences('ObservationAnswer')} AS s FROM {src}) t WHERE len(s) > 0"""),
+        (prefix + "d", f"""SELECT * FROM {prefix}e QUALIFY row_number() OVER (
+                             PARTITION BY ObservationQuestion, sentence, ObservationScheme
+                             ORDER BY {', '.join(k + ' DESC' for k in _SK)}) = 1"""),
+        (prefix + "p", f"""SELECT * EXCLUDE (toks, sentence, ObservationAnswer), array_to_string(toks, ' ') AS ObservationAnswer,
+                                 len(toks) AS ObservationAnswer_len, 1 AS labels, '{tag}' AS src
+                          FROM (SELECT *, regexp_extract_all(sentence, {S.lit(TOKEN_PATTERN)}) AS toks FROM {prefix}d) t
+                          WHERE len(toks) >= 5"""),
+    ] + _neg_sql(prefix + "p", _SK, "ObservationScheme", 100, ["ObservationAnswer", "ObservationAnswer_len"],
+                 prefix=prefix, src_has_labels=True) + [
+        (prefix + "all", f"""SELECT {keys}, spos, labels, src, ObservationScheme, ObservationAnswer, ObservationAnswer_len,
+                                    LastUpdateDate FROM {prefix}p
+                             UNION ALL
+                             SELECT {keys}, spos, labels, src, ObservationScheme, ObservationAnswer, ObservationAnswer_len,
+                                    LastUpdateDate FROM {prefix}neg"""),
+    ]
+
+
+_PL4_SQL = with_views("""
+SELECT src, myUnqualifiedId, unqualifiedversionid__, turn, c_turn, spos, labels, ObservationScheme, ObservationAnswer,
+       ObservationAnswer_len, SchemeAnswer, pos,
+       CASE WHEN row_number() OVER (ORDER BY pos DESC) <= 500 THEN 'test' ELSE 'train_val' END AS split
+FROM (SELECT *, ObservationScheme || ' [SEP] ' || ObservationAnswer AS SchemeAnswer,
+             row_number() OVER (ORDER BY CAST(try_strptime(LastUpdateDate, '%Y/%m/%d') AS DATE) NULLS FIRST, src,
+                                myUnqualifiedId, unqualifiedversionid__, turn, c_turn, spos, labels) AS pos
+      FROM (SELECT * FROM a_all UNION ALL SELECT * FROM c_all) u) v""",
+    "form_answers", "form_comments", "superusers", extra=[
+        ("su", "SELECT * FROM form_answers WHERE PractionerName IN (SELECT PractionerName FROM superusers)"),
+        ("base", "SELECT *, CAST(-1 AS BIGINT) AS c_turn FROM su"),
+        ("com0", f"""SELECT a.myUnqualifiedId, a.unqualifiedversionid__, a.turn, a.ObservationComponentID, a.ObservationScheme,
+                            a.PractionerName, a.LastUpdateDate, c.turn AS c_turn,
+                            coalesce(c.comments_, '') AS ObservationAnswer, 'Bemærkning' AS ObservationQuestion
+                     FROM su a JOIN form_comments c ON {_JOIN_ON}"""),
+    ] + _sentence_ctes("a_", "base", "answer") + _sentence_ctes("c_", "com0", "comment"))
+
+register("sentence_scoring_pipeline", _PL4_SQL)(_pl4)

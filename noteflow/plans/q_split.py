@@ -93,16 +93,22 @@ _POS = ("p", f"""SELECT obs_id, ObservationScheme, ObservationAnswer, LastUpdate
                         {S.word_count('ObservationAnswer')} AS ObservationAnswer_len FROM observations""")
 
 
-def _neg_sql(src: str, key: str, scheme: str, seed: int, cols: list[str]) -> list[tuple[str, str]]:
+def _neg_sql(src: str, key, scheme: str, seed: int, cols: list[str], prefix: str = "",
+             src_has_labels: bool = False) -> list[tuple[str, str]]:
+    """Oracle CTEs for negative sampling: index rows by (scheme, key), draw a donor
+    index outside the row's scheme block, fetch the donor's columns."""
+    keys = [key] if isinstance(key, str) else list(key)
     sel = ", ".join(f"d.{c}" for c in cols)
+    x, c, t, neg = (prefix + n for n in ("x", "c", "t", "neg"))
     return [
-        ("x", f"SELECT *, row_number() OVER (ORDER BY {scheme}, {key}) - 1 AS idx FROM {src}"),
-        ("c", f"SELECT {scheme}, min(idx) AS lo, count(*) AS m FROM x GROUP BY {scheme}"),
-        ("t", f"""SELECT x.* EXCLUDE (idx), c.lo, c.m,
-                         {S.draw(seed, key)} % ((SELECT count(*) FROM x) - c.m) AS r
-                  FROM x JOIN c USING ({scheme})"""),
-        ("neg", f"""SELECT t.* EXCLUDE (lo, m, r, {', '.join(cols)}), {sel}, 0 AS labels
-                    FROM t JOIN x d ON d.idx = CASE WHEN t.r < t.lo THEN t.r ELSE t.r + t.m END"""),
+        (x, f"SELECT *, row_number() OVER (ORDER BY {scheme}, {', '.join(keys)}) - 1 AS idx FROM {src}"),
+        (c, f"SELECT {scheme}, min(idx) AS lo, count(*) AS m FROM {x} GROUP BY {scheme}"),
+        (t, f"""SELECT {x}.* EXCLUDE (idx), {c}.lo, {c}.m,
+                       {S.draw(seed, *keys)} % ((SELECT count(*) FROM {x}) - {c}.m) AS r
+                FROM {x} JOIN {c} USING ({scheme})"""),
+        (neg, f"""SELECT t.* EXCLUDE (lo, m, r, {', '.join(cols)}{', labels' if src_has_labels else ''}),
+                         {sel}, 0 AS labels
+                  FROM {t} t JOIN {x} d ON d.idx = CASE WHEN t.r < t.lo THEN t.r ELSE t.r + t.m END"""),
     ]
 
 
