@@ -208,3 +208,28 @@ def metric_series(df: DataFrame, x: str = "n", keys=("acc", "f1", "precision", "
     """The metric series over ``x`` (one row per point, per scope)."""
     cols = ([scope_col] if scope_col and scope_col in df.columns else []) + [x, *keys]
     return df.select(*cols)
+
+
+def precision_at_k(test: DataFrame, classes: DataFrame, scores: DataFrame, id_col: str, class_col: str,
+                   k: int = 3) -> DataFrame:
+    """Share (x100) of test rows whose own class is among the ``k`` best-scored
+    training classes (score descending, class name ascending).
+
+    ``scores`` holds ``(id, class, score)`` for scored pairs (a scorer hook, e.g.
+    :func:`noteflow.operators.features.centroid_scores`); missing pairs score 0.
+    Every row is paired with the bounded class list by ``explode`` (no cartesian
+    join); the rank window is partitioned by row, K entries each.  A class
+    absent from training can never hit.
+    """
+    from .joins import cross_with_classes
+    from .sorting import topk_classes
+    own = test.select(F.col(id_col), F.col(class_col).alias("_nf_own"))
+    pairs = cross_with_classes(own, classes.select(F.col(class_col)), class_col)
+    scored = (pairs.join(scores.select(id_col, class_col, "score"), [id_col, class_col], "left")
+                   .withColumn("score", F.coalesce(F.col("score"), F.lit(0.0))))
+    top = topk_classes(scored, id_col, "score", class_col, k)
+    hits = top.groupBy(id_col).agg(F.max((F.col(class_col) == F.col("_nf_own")).cast("int")).alias("_nf_hit"))
+    per_row = own.join(hits, id_col, "left").fillna(0, subset=["_nf_hit"])
+    return per_row.agg(F.lit(k).alias("k"), F.count(F.lit(1)).alias("n_rows"),
+                       F.sum("_nf_hit").cast("long").alias("hits"),
+                       (F.avg("_nf_hit") * 100).alias("precision_at_k"))

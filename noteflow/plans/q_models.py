@@ -1 +1,131 @@
-"""Registered queries (see registry)."""
+"""Registered queries: features (F1-F5), the centroid scorer (E8), sources (S1-S9),
+models (M1-M12) and the model pipelines (PL5-PL7)."""
+
+from __future__ import annotations
+
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import functions as F
+
+from ..operators import evaluate as E
+from ..operators import features as FT
+from ..operators import sorting
+from ..operators.split import random_split
+from . import fixtures as fx
+from . import sqlsnip as S
+from .fixtures import with_views
+from .registry import register
+
+R = S.r6
+
+
+def _docs(spark, d, table="documents", id_col="doc_id"):
+    return fx.table(spark, d, table).select(id_col, "text", FT.analyzer_tokens("text").alias("toks"),
+                                            *(["lang"] if table == "documents" else []))
+
+
+_DOCS = ("docs", f"SELECT doc_id, lang, {S.analyzer_tokens('text')} AS toks FROM documents")
+
+
+def _weights_q(spark, d, **kw):
+    docs = _docs(spark, d)
+    model = FT.tfidf_fit(docs, "toks", **kw)
+    return FT.tfidf_weights(docs, model, "doc_id").select("doc_id", "term", F.round("weight", 6).alias("weight"))
+
+
+register("tfidf", with_views(f"SELECT doc_id, term, {R('weight')} AS weight FROM t_wt", extra=[_DOCS]
+                             + S.tfidf_vocab_ctes("t_", "docs", max_features=1024)
+                             + S.tfidf_weight_ctes("t_", "docs", "doc_id", "t_voc")))(
+    lambda spark, d: _weights_q(spark, d, max_features=1024))
+
+register("tfidf_df_bounds", with_views(f"SELECT doc_id, term, {R('weight')} AS weight FROM t_wt", extra=[_DOCS]
+                                       + S.tfidf_vocab_ctes("t_", "docs", min_df=5, max_df=0.25)
+                                       + S.tfidf_weight_ctes("t_", "docs", "doc_id", "t_voc")))(
+    lambda spark, d: _weights_q(spark, d, min_df=5, max_df=0.25))
+
+
+def _vectors(spark, d):
+    docs = _docs(spark, d)
+    model = FT.tfidf_fit(docs, "toks", max_features=1024)
+    v = FT.tfidf_transform(docs, model, "toks").withColumn("a", vector_to_array("tfidf"))
+    return v.select("doc_id", F.size(F.filter("a", lambda x: x != 0)).alias("nnz"),
+                    F.round(F.aggregate("a", F.lit(0.0), lambda s, x: s + x), 6).alias("sum_w"))
+
+
+register("tfidf_vectors", with_views(f"""
+SELECT d.doc_id, coalesce(w.nnz, 0) AS nnz, {R('coalesce(w.sum_w, 0)')} AS sum_w
+FROM docs d LEFT JOIN (SELECT doc_id, count(*) AS nnz, sum(weight) AS sum_w FROM t_wt GROUP BY doc_id) w USING (doc_id)""",
+    extra=[_DOCS] + S.tfidf_vocab_ctes("t_", "docs", max_features=1024)
+    + S.tfidf_weight_ctes("t_", "docs", "doc_id", "t_voc")))(_vectors)
+
+
+def _prefix(spark, d):
+    docs = _docs(spark, d)
+    model = FT.tfidf_fit_prefix(docs, 300, ["doc_id"], "toks", max_features=1024)
+    return FT.tfidf_weights(docs, model, "doc_id").select("doc_id", "term", F.round("weight", 6).alias("weight"))
+
+
+register("tfidf_fit_prefix", with_views(f"SELECT doc_id, term, {R('weight')} AS weight FROM t_wt", extra=[
+    _DOCS, ("head", "SELECT * FROM docs ORDER BY doc_id LIMIT 300")]
+    + S.tfidf_vocab_ctes("t_", "head", max_features=1024) + S.tfidf_weight_ctes("t_", "docs", "doc_id", "t_voc")))(_prefix)
+
+
+def _transfer(spark, d):
+    model = FT.tfidf_fit(_docs(spark, d), "toks", max_features=1024)
+    bench = _docs(spark, d, "benchmark", "item_id")
+    return FT.tfidf_weights(bench, model, "item_id").select("item_id", "term", F.round("weight", 6).alias("weight"))
+
+
+register("tfidf_transfer", with_views(f"SELECT item_id, term, {R('weight')} AS weight FROM b_wt", extra=[
+    _DOCS, ("bench", f"SELECT item_id, {S.analyzer_tokens('text')} AS toks FROM benchmark")]
+    + S.tfidf_vocab_ctes("t_", "docs", max_features=1024) + S.tfidf_weight_ctes("b_", "bench", "item_id", "t_voc")))(
+    _transfer)
+
+register("embed_batches")(
+    lambda spark, d: FT.embed_batches(fx.table(spark, d, "documents").select("doc_id", "text"), "text", dim=64)
+    .select("doc_id", F.size("features").alias("dim"),
+            F.round(F.sqrt(F.aggregate("features", F.lit(0.0), lambda s, x: s + x * x)), 6).alias("norm")))
+
+
+def _mean_pool(spark, d):
+    m = FT.mean_pool(fx.embedded(spark, d), ["label"], "features")
+    return m.select("label", F.posexplode("mean").alias("pos", "mean")).withColumn("mean", F.round("mean", 6))
+
+
+register("mean_pool", f"""
+SELECT label, CAST(i - 1 AS INTEGER) AS pos, {R('avg(x)')} AS mean
+FROM (SELECT label, unnest(embedding) AS x, unnest(range(1, len(embedding) + 1)) AS i FROM embeddings) t
+GROUP BY label, i""")(_mean_pool)
+
+# ---------------------------------------------------------------- E8 with the centroid scorer
+
+
+def _precision_at_k(spark, d, k=2):
+    docs = random_split(_docs(spark, d).withColumnRenamed("lang", "label"), "doc_id", 0.2, 42)
+    train = docs.filter(F.col("split") == "train")
+    test = docs.filter(F.col("split") == "val")
+    model = FT.tfidf_fit(train, "toks", max_features=1024)
+    cents = FT.class_centroids(FT.tfidf_weights(train, model, "doc_id"), train, "doc_id", "label")
+    scores = FT.centroid_scores(FT.tfidf_weights(test, model, "doc_id"), cents, "doc_id", "label")
+    out = E.precision_at_k(test, train.select("label").distinct(), scores, "doc_id", "label", k)
+    return out.withColumn("precision_at_k", F.round("precision_at_k", 6))
+
+
+_SPLIT_DOCS = [_DOCS, ("sd", f"""SELECT *, CASE WHEN row_number() OVER (ORDER BY {S.draw(42, 'doc_id')}, doc_id)
+                                  <= ceil((SELECT count(*) FROM docs) * CAST(0.2 AS DOUBLE)) THEN 'val' ELSE 'train' END AS split
+                                  FROM docs"""),
+               ("tr", "SELECT doc_id, lang AS label, toks FROM sd WHERE split = 'train'"),
+               ("te", "SELECT doc_id, lang AS label, toks FROM sd WHERE split = 'val'")]
+
+register("precision_at_k", with_views(f"""
+SELECT 2 AS k, count(*) AS n_rows, CAST(sum(hit) AS BIGINT) AS hits, {R('avg(hit) * 100')} AS precision_at_k
+FROM (SELECT te.doc_id, coalesce(max(CASE WHEN r.rk <= 2 AND r.label = te.label THEN 1 ELSE 0 END), 0) AS hit
+      FROM te LEFT JOIN (
+        SELECT p.doc_id, p.label, row_number() OVER (PARTITION BY p.doc_id ORDER BY coalesce(s.score, 0) DESC, p.label) AS rk
+        FROM (SELECT te.doc_id, c.label FROM te, (SELECT DISTINCT label FROM tr) c) p
+        LEFT JOIN (SELECT w.doc_id, c.label, sum(w.weight * c.c) AS score FROM e_wt w JOIN cent c USING (term)
+                   GROUP BY w.doc_id, c.label) s USING (doc_id, label)) r ON r.doc_id = te.doc_id
+      GROUP BY te.doc_id) h""", extra=_SPLIT_DOCS + S.tfidf_vocab_ctes("t_", "tr", max_features=1024)
+    + S.tfidf_weight_ctes("r_", "tr", "doc_id", "t_voc") + S.tfidf_weight_ctes("e_", "te", "doc_id", "t_voc") + [
+        ("cent", """SELECT s.label, s.term, s.sw / n.n AS c FROM
+                    (SELECT tr.label, w.term, sum(w.weight) AS sw FROM r_wt w JOIN tr USING (doc_id) GROUP BY 1, 2) s
+                    JOIN (SELECT label, count(*) AS n FROM tr GROUP BY label) n USING (label)""")]))(_precision_at_k)

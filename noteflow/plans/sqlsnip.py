@@ -83,3 +83,31 @@ def shuffle_sentences(x: str, key: str, seed=0) -> str:
 
 def combine_answer_comment(a: str, c: str) -> str:
     return f"coalesce({a}, '') || '.' || coalesce({c}, '')"
+
+
+def analyzer_tokens(x: str) -> str:
+    return f"list_filter({tokenize(x)}, lambda t: length(t) >= 2)"
+
+
+def tfidf_vocab_ctes(p: str, train: str, toks: str = "toks", min_df=1, max_df=1.0,
+                     max_features: int | None = None) -> list[tuple[str, str]]:
+    lo = f"{min_df}" if isinstance(min_df, int) else f"{float(min_df)} * n"
+    hi = f"{max_df}" if isinstance(max_df, int) else f"{float(max_df)} * n"
+    limit = f"LIMIT {max_features}" if max_features else ""
+    return [
+        (p + "n", f"SELECT count(*) AS n FROM {train}"),
+        (p + "cf", f"SELECT t AS term, count(*) AS cf FROM (SELECT unnest({toks}) AS t FROM {train}) a GROUP BY t"),
+        (p + "dfq", f"SELECT t AS term, count(*) AS df FROM (SELECT unnest(list_distinct({toks})) AS t FROM {train}) a GROUP BY t"),
+        (p + "v0", f"SELECT term, cf, df FROM {p}cf JOIN {p}dfq USING (term), {p}n WHERE df >= {lo} AND df <= {hi}"),
+        (p + "voc", f"""SELECT term, df, ln((1.0 + n) / (1.0 + df)) + 1 AS idf
+                        FROM (SELECT * FROM {p}v0 ORDER BY cf DESC, term {limit}) v, {p}n"""),
+    ]
+
+
+def tfidf_weight_ctes(p: str, docs: str, id_col: str, voc: str, toks: str = "toks") -> list[tuple[str, str]]:
+    return [
+        (p + "tf", f"""SELECT {id_col}, t AS term, count(*) AS tf
+                       FROM (SELECT {id_col}, unnest({toks}) AS t FROM {docs}) a GROUP BY {id_col}, t"""),
+        (p + "w", f"SELECT {id_col}, term, tf * idf AS w FROM {p}tf JOIN {voc} USING (term)"),
+        (p + "wt", f"SELECT {id_col}, term, w / sqrt(sum(w * w) OVER (PARTITION BY {id_col})) AS weight FROM {p}w"),
+    ]
