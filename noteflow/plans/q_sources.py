@@ -1 +1,97 @@
-"""Registered queries (see registry)."""
+"""Registered queries: source/sink round trips.
+
+Each query reads the driver's tables, writes an intermediate table under the
+session's shared checkpoint folder and reads it back; the oracle is the same
+data computed directly from the tables.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from .. import sources as SRC
+from ..operators import evaluate as E
+from ..operators.split import time_split3
+from . import fixtures as fx
+from . import sqlsnip as S
+from .fixtures import with_views
+from .q_eval import _METRIC_COLS, _P10, _macro_sql, _pred, _round
+from .registry import register
+
+_OBS_SCHEMA = "obs_id long, ObservationScheme string, ObservationAnswer string, LastUpdateDate string"
+
+
+def _csv(spark, d):
+    path = SRC.scratch_path(spark, "csv")
+    SRC.write_csv_sink(fx.observations_null(spark, d).select("obs_id", "ObservationScheme", "ObservationAnswer",
+                                                             "LastUpdateDate"), path, sep=";")
+    return SRC.read_csv_source(spark, path, _OBS_SCHEMA, sep=";")
+
+
+register("csv_roundtrip", with_views(
+    "SELECT obs_id, ObservationScheme, ObservationAnswer, LastUpdateDate FROM observations_null", "observations_null"))(_csv)
+
+
+def _splits(spark, d):
+    path = SRC.scratch_path(spark, "splits")
+    s = time_split3(fx.observations(spark, d).select("obs_id", "LastUpdateDate"), ["LastUpdateDate", "obs_id"],
+                    rate_pct=10)
+    SRC.write_splits(s, path)
+    return SRC.read_splits(spark, path, ["val", "test"]).select("obs_id", "split")
+
+
+register("splits_roundtrip", with_views("""
+SELECT obs_id, split FROM (
+  SELECT obs_id, CASE WHEN rn <= m THEN 'test' WHEN rn <= 2 * m THEN 'val' ELSE 'train' END AS split
+  FROM (SELECT obs_id, row_number() OVER (ORDER BY LastUpdateDate DESC, obs_id DESC) AS rn,
+               CAST(floor((SELECT count(*) FROM observations) * 10 / 100) AS BIGINT) AS m FROM observations) t) u
+WHERE split IN ('val', 'test')""", "observations"))(_splits)
+
+
+def _emb(spark, d):
+    fp, lp = SRC.scratch_path(spark, "feat"), SRC.scratch_path(spark, "lab")
+    e = fx.embedded(spark, d)
+    SRC.write_embeddings(e.select("row_id", "features"), fp)
+    e.select("row_id", "label").write.mode("overwrite").parquet(lp)
+    return SRC.read_embeddings(spark, fp, lp).select("row_id", "label", F.size("features").alias("dim"),
+                                                      F.round(F.aggregate("features", F.lit(0.0),
+                                                                          lambda a, x: a + x), 6).alias("sum_f"))
+
+
+register("embeddings_roundtrip", """
+SELECT vec_id AS row_id, label, len(embedding) AS dim, round(list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE))), 6) AS sum_f
+FROM embeddings""")(_emb)
+
+
+def _variants(spark, d):
+    base = SRC.scratch_path(spark, "variants")
+    fx.embedded(spark, d).write.mode("overwrite").parquet(f"{base}/full64")
+    fx.logits10(spark, d).select("row_id", F.col("logits").cast("array<float>").alias("features"),
+                                 F.col("y_true").alias("label")).write.mode("overwrite").parquet(f"{base}/head10")
+    v = SRC.read_variants(spark, f"{base}/*")
+    return v.groupBy("variant").agg(F.count(F.lit(1)).alias("n"), F.max(F.size("features")).alias("dim"))
+
+
+register("read_variants", """
+SELECT 'full64' AS variant, count(*) AS n, max(len(embedding)) AS dim FROM embeddings
+UNION ALL SELECT 'head10', count(*), 10 FROM embeddings""")(_variants)
+
+
+def _materialize(spark, d):
+    path = SRC.scratch_path(spark, "stage")
+    build = lambda: fx.table(spark, d, "documents").select(
+        "doc_id", F.size(F.split("text", r"\s+")).alias("n_pieces"))
+    SRC.materialize(spark, path, build)
+    return SRC.materialize(spark, path, build)  # second call reads the stored stage
+
+
+register("materialize", "SELECT doc_id, len(regexp_split_to_array(text, '\\s+')) AS n_pieces FROM documents")(_materialize)
+
+
+def _metrics(spark, d):
+    path = SRC.scratch_path(spark, "metrics")
+    SRC.write_metrics(_round(E.macro_metrics(_pred(fx.logits10(spark, d))), _METRIC_COLS), path)
+    return spark.read.schema("acc double, f1 double, precision double, recall double, n long").json(path)
+
+
+register("write_metrics", with_views(_macro_sql("p10"), "logits10", extra=[_P10]))(_metrics)

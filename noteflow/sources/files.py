@@ -32,7 +32,8 @@ def read_csv_source(spark: SparkSession, path: str, schema: StructType | str, se
     convert to Parquet once and work from Parquet.
     """
     r = (spark.read.schema(schema).option("header", True).option("sep", sep)
-         .option("multiLine", multiline).option("mode", mode).option("escape", '"'))
+         .option("multiLine", multiline).option("mode", mode).option("escape", '"')
+         .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False))
     if null_value is not None:
         r = r.option("nullValue", null_value)
     df = r.csv(path)
@@ -44,8 +45,8 @@ def read_csv_source(spark: SparkSession, path: str, schema: StructType | str, se
 
 def write_csv_sink(df: DataFrame, path: str, sep: str = ",") -> None:
     """Write with a header (no index column)."""
-    (df.write.mode("overwrite").option("header", True).option("sep", sep)
-       .option("escape", '"').csv(path))
+    (df.write.mode("overwrite").option("header", True).option("sep", sep).option("escape", '"')
+       .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
 
 
 def write_splits(df: DataFrame, path: str, split_col: str = "split") -> None:
