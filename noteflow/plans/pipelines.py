@@ -157,3 +157,95 @@ def sentence_scoring_pipeline(answers: DataFrame, comments: DataFrame, superuser
     from ..operators import sorting
     u = sorting.sort_by_date(u, "LastUpdateDate", ["src"] + key_cols + ["labels"])
     return SP.tail_split_n(u, n_test, ["pos"], "split", ("train_val", "test"))
+
+
+def classify_evaluate_pipeline(features: DataFrame, labels: DataFrame, row_id: str = "row_id",
+                               rate_pct: float = 10, fit=None, thresholds=None, kmax: int = 5) -> DataFrame:
+    """PL5: aligned features + labels -> time split (last m = test, m before = val)
+    -> fit on train -> predict every split -> accuracy per split (E4), confidence
+    sweep (E6) and top-k accuracy (E7) on the test rows.
+
+    Output: one long metric table ``(section, split, x, value, n)``."""
+    from ..functions.constants import CLASSIFIER_THRESHOLDS
+    from ..operators import evaluate as E, models as M, split as SP
+    data = features.join(labels, row_id)
+    data = SP.time_split3(data, [row_id], rate_pct=rate_pct)
+    fit = fit or (lambda df: M.fit_logreg(df, "features", "label", C=1.0, max_iter=50))
+    model = fit(data.filter(F.col("split") == "train"))
+    p = M.predict(model, data, "features").withColumnRenamed("label", "y_true")
+    acc = E.accuracy_by_split(p, "y_true", "y_pred").select(
+        F.lit("accuracy").alias("section"), "split", F.lit(None).cast("double").alias("x"),
+        F.col("acc").alias("value"), "n")
+    test = p.filter(F.col("split") == "test")
+    sw = E.confidence_sweep(test, thresholds or CLASSIFIER_THRESHOLDS, "y_true", "y_pred", "prob_max").select(
+        F.lit("confidence").alias("section"), F.lit("test").alias("split"), F.col("threshold").alias("x"),
+        F.col("accuracy").alias("value"), F.col("n_samples").alias("n"))
+    tk = E.topk_accuracy(test, kmax, "probs", "y_true").select(
+        F.lit("topk").alias("section"), F.lit("test").alias("split"), F.col("k").cast("double").alias("x"),
+        F.col("accuracy").alias("value"), F.lit(None).cast("long").alias("n"))
+    return acc.unionByName(sw).unionByName(tk)
+
+
+def scorer_evaluation_pipeline(pairs: DataFrame, id_cols, split_col: str = "split", k: int = 3,
+                               thresholds=None, max_features: int = 1024) -> DataFrame:
+    """PL6: evaluate a pair scorer on the sentence-scoring splits.
+
+    Native scorer (no neural model): TF-IDF of the answer, dot product with the
+    centroid of its scheme's positive training answers, calibrated to a
+    two-class logit by a one-feature logistic regression fitted on the training
+    pairs.  Reports softmax confidence sweep (E5, E6) and binary metrics (E2) on
+    the test pairs, and precision@k (E8) of the test positives against all
+    training schemes.  Output ``(section, x, value, n)``.
+    """
+    from ..functions.constants import SCORER_THRESHOLDS
+    from ..operators import evaluate as E, features as FT, models as M
+    ids = list(id_cols)
+    df = (pairs.withColumn("_nf_id", F.concat_ws(":", *[F.col(c).cast("string") for c in ids]))
+               .withColumn("toks", FT.analyzer_tokens("ObservationAnswer")))
+    train = df.filter(F.col(split_col).isin("train_val", "train", "val"))
+    test = df.filter(F.col(split_col) == "test")
+    train_pos = train.filter(F.col("labels") == 1).dropDuplicates(["_nf_id"])
+    model = FT.tfidf_fit(train_pos, "toks", max_features=max_features)
+    cents = FT.class_centroids(FT.tfidf_weights(train_pos, model, "_nf_id"), train_pos, "_nf_id",
+                               "ObservationScheme")
+    w = FT.tfidf_weights(df.select("_nf_id", "labels", "toks").withColumn(
+        "_nf_id", F.concat_ws("#", "_nf_id", F.col("labels").cast("string"))), model, "_nf_id")
+    sc = FT.centroid_scores(w, cents, "_nf_id", "ObservationScheme")
+    keyed = df.withColumn("_nf_pid", F.concat_ws("#", "_nf_id", F.col("labels").cast("string")))
+    own = keyed.join(sc.withColumnRenamed("_nf_id", "_nf_pid"), ["_nf_pid", "ObservationScheme"], "left") \
+               .withColumn("features", F.array(F.coalesce(F.col("score"), F.lit(0.0))))
+    lr = M.fit_logreg(own.filter(F.col(split_col) != "test"), "features", "labels", C=1.0, max_iter=50)
+    p = M.predict(lr, own.filter(F.col(split_col) == "test"), "features")
+    p = E.softmax_probs(p.withColumn("_nf_lg", F.transform("probs", lambda x: F.log(x))), "_nf_lg") \
+         .withColumnRenamed("labels", "y_true")
+    sweep = E.confidence_sweep(p, thresholds or SCORER_THRESHOLDS, "y_true", "y_pred", "prob_max").select(
+        F.lit("confidence").alias("section"), F.col("threshold").alias("x"), F.col("accuracy").alias("value"),
+        F.col("n_samples").alias("n"))
+    b = E.binary_metrics(p, "y_true", "y_pred")
+    bin_rows = b.selectExpr("stack(4, 'acc', acc, 'f1', f1, 'precision', precision, 'recall', recall) as (section, value)",
+                            "n").select("section", F.lit(None).cast("double").alias("x"), "value", "n")
+    test_pos = test.filter(F.col("labels") == 1).dropDuplicates(["_nf_id"])
+    tsc = FT.centroid_scores(FT.tfidf_weights(test_pos, model, "_nf_id"), cents, "_nf_id", "ObservationScheme")
+    pk = E.precision_at_k(test_pos, train_pos.select("ObservationScheme").distinct(), tsc, "_nf_id",
+                          "ObservationScheme", k).select(
+        F.lit("precision_at_k").alias("section"), F.col("k").cast("double").alias("x"),
+        F.col("precision_at_k").alias("value"), F.col("n_rows").alias("n"))
+    return sweep.unionByName(bin_rows).unionByName(pk)
+
+
+def feature_build_pipeline(docs: DataFrame, out_path: str, id_col: str = "doc_id", text_col: str = "text",
+                           label_col: str = "label", order_by=("doc_id",), max_features: int = 1024,
+                           tokens_path: str | None = None) -> DataFrame:
+    """PL7: dedup texts (keep first) -> tokens (cached as a stage) -> TF-IDF ->
+    label codes -> features written as an embeddings table; returns the table."""
+    from ..operators import features as FT, labels as L
+    from ..sources import files as SRC
+    d = clean.dedup_first(docs, [text_col], list(order_by))
+    build = lambda: d.select(id_col, label_col, FT.analyzer_tokens(text_col).alias("toks"))
+    toks = SRC.materialize(docs.sparkSession, tokens_path, build) if tokens_path else build()
+    model = FT.tfidf_fit(toks, "toks", max_features=max_features)
+    enc = L.fit_label_encoder(toks, label_col)
+    coded = L.apply_label_encoder(toks, enc, label_col, "label_code")
+    vec = FT.tfidf_transform(coded, model, "toks", "features")
+    SRC.write_embeddings(vec.select(id_col, F.col("label_code").alias("label"), "features"), out_path)
+    return docs.sparkSession.read.parquet(out_path)

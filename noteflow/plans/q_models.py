@@ -129,3 +129,162 @@ FROM (SELECT te.doc_id, coalesce(max(CASE WHEN r.rk <= 2 AND r.label = te.label
         ("cent", """SELECT s.label, s.term, s.sw / n.n AS c FROM
                     (SELECT tr.label, w.term, sum(w.weight) AS sw FROM r_wt w JOIN tr USING (doc_id) GROUP BY 1, 2) s
                     JOIN (SELECT label, count(*) AS n FROM tr GROUP BY label) n USING (label)""")]))(_precision_at_k)
+
+# ---------------------------------------------------------------- models (rows-only checks)
+
+from ..operators import labels as L  # noqa: E402
+from ..operators import models as M  # noqa: E402
+from ..sources import files as SRC  # noqa: E402
+from . import pipelines  # noqa: E402
+
+
+def _model_data(spark, d, embed: bool = False):
+    """Documents with language labels: TF-IDF vectors (or 64-d hashing embeddings), codes, split."""
+    docs = fx.doc_classes(spark, d)
+    enc = L.fit_label_encoder(docs, "label")
+    docs = L.apply_label_encoder(docs.withColumnRenamed("label", "lang"), enc, "lang", "label") \
+            .withColumn("label", F.col("label").cast("double"))
+    if embed:
+        x = FT.embed_batches(docs, "text", dim=64)
+    else:
+        t = docs.withColumn("toks", FT.analyzer_tokens("text"))
+        x = FT.tfidf_transform(t, FT.tfidf_fit(t, "toks", max_features=1024), "toks", "features")
+    return random_split(x.withColumnRenamed("doc_id", "row_id"), "row_id", 0.2, 42)
+
+
+def _metrics_of(model, data, scope="test"):
+    p = M.predict(model, data.filter(F.col("split") == "val"), "features")
+    return _round4(E.macro_metrics(p, "label", "y_pred"))
+
+
+def _round4(df):
+    return df.select(*[F.round(c, 6).alias(c) if c in ("acc", "f1", "precision", "recall") else F.col(c)
+                       for c in df.columns])
+
+
+def _train(data):
+    return data.filter(F.col("split") == "train")
+
+
+register("fit_logreg")(lambda spark, d: _metrics_of(M.fit_logreg(_train(x := _model_data(spark, d)), max_iter=50), x))
+register("fit_logreg_balanced")(lambda spark, d: _metrics_of(
+    M.fit_logreg(_train(x := _model_data(spark, d)), class_weight="balanced", max_iter=50), x))
+register("fit_ridge")(lambda spark, d: _metrics_of(M.fit_ridge(_train(x := _model_data(spark, d)), alpha=1.0), x))
+register("fit_lda")(lambda spark, d: _metrics_of(M.fit_lda(_train(x := _model_data(spark, d)), shrinkage=0.5), x))
+register("fit_linear_svm")(lambda spark, d: _metrics_of(
+    M.fit_linear_svm(_train(x := _model_data(spark, d, embed=True)), max_iter=20), x))
+register("fit_boosted_trees")(lambda spark, d: _metrics_of(
+    M.fit_boosted_trees(_train(x := _model_data(spark, d, embed=True)), n_trees=5, max_depth=3), x))
+
+
+def _grid(spark, d):
+    x = _model_data(spark, d, embed=True)
+    lr = LogisticRegression(featuresCol="features", labelCol="label", maxIter=30)
+    return M.grid_search(_train(x), lr, {"regParam": [0.001, 0.1], "elasticNetParam": [0.0]}, key="row_id")[1]
+
+
+def _random(spark, d):
+    x = _model_data(spark, d, embed=True)
+    lr = LogisticRegression(featuresCol="features", labelCol="label", maxIter=30)
+    return M.random_search(_train(x), lr, {"regParam": [0.001, 0.01, 0.1], "maxIter": [20, 30]}, 2, key="row_id")[1]
+
+
+from pyspark.ml.classification import LogisticRegression  # noqa: E402
+
+register("grid_search")(_grid)
+register("random_search")(_random)
+
+
+def _leaderboard(spark, d):
+    x = _model_data(spark, d)
+    fits = {"logreg": lambda t: M.fit_logreg(t, max_iter=50), "ridge": lambda t: M.fit_ridge(t, alpha=1.0),
+            "lda": lambda t: M.fit_lda(t, shrinkage=0.5)}
+    return _round4(M.leaderboard(_train(x), x.filter(F.col("split") == "val"), fits))
+
+
+register("leaderboard")(_leaderboard)
+register("cross_val_scores")(lambda spark, d: _round4(M.cross_val_scores(
+    _model_data(spark, d, embed=True).drop("split"), lambda t: M.fit_ridge(t, alpha=1.0), k=3)))
+
+
+def _predict(spark, d):
+    x = _model_data(spark, d)
+    p = M.predict(M.fit_logreg(_train(x), max_iter=50), x.filter(F.col("split") == "val"))
+    return p.select("row_id", "y_pred", F.round("prob_max", 6).alias("prob_max"))
+
+
+register("predict")(_predict)
+
+
+def _learning_curve(spark, d):
+    x = _model_data(spark, d, embed=True)
+    train, test = _train(x), x.filter(F.col("split") == "val")
+    new_code = 0.0  # 'de', the first language in code-point order
+    base = train.filter(F.col("label") != new_code)
+    extra = train.filter(F.col("label") == new_code)
+    return _round4(M.learning_curve(base, extra, [0, 20], lambda t: M.fit_ridge(t, alpha=1.0), test, new_code,
+                                    ["row_id"], "row_id"))
+
+
+register("learning_curve")(_learning_curve)
+register("refit_full")(lambda spark, d: _metrics_of(M.refit_full(
+    x := _model_data(spark, d).withColumn("split", F.when(F.col("row_id") < 0, "test").otherwise(F.col("split"))),
+    lambda t: M.fit_ridge(t, alpha=1.0)), x))
+
+
+def _save_load(spark, d):
+    x = _model_data(spark, d)
+    lr = M.fit_logreg(_train(x), max_iter=50)
+    p1 = SRC.scratch_path(spark, "model-lr")
+    SRC.save_model(lr, p1)
+    from pyspark.ml.classification import LogisticRegressionModel
+    back = SRC.load_model(p1, LogisticRegressionModel)
+    rg = M.fit_ridge(_train(x), alpha=1.0)
+    p2 = SRC.scratch_path(spark, "model-ridge")
+    rg.save(spark, p2)
+    rg2 = M.LinearModel.load(spark, p2)
+    a = _metrics_of(back, x).withColumn("model", F.lit("logreg"))
+    b = _metrics_of(rg2, x).withColumn("model", F.lit("ridge"))
+    return a.unionByName(b)
+
+
+register("save_load_model")(_save_load)
+
+
+def _pl5(spark, d):
+    e = fx.embedded(spark, d)
+    return pipelines.classify_evaluate_pipeline(
+        e.select("row_id", "features"), e.select("row_id", F.col("label").cast("double").alias("label")),
+        "row_id", 10).select("section", "split", "x", F.round("value", 6).alias("value"), "n")
+
+
+register("classify_evaluate_pipeline")(_pl5)
+
+
+def _pl6(spark, d):
+    from .q_prep import _pl4
+    pairs = _pl4(spark, d)
+    return pipelines.scorer_evaluation_pipeline(pairs, ["src", "myUnqualifiedId", "unqualifiedversionid__", "turn",
+                                                        "c_turn", "spos"]).select(
+        "section", "x", F.round("value", 6).alias("value"), "n")
+
+
+register("scorer_evaluation_pipeline")(_pl6)
+
+
+def _pl7(spark, d):
+    out = pipelines.feature_build_pipeline(fx.doc_classes(spark, d), SRC.scratch_path(spark, "features"),
+                                           tokens_path=SRC.scratch_path(spark, "tokens"))
+    a = vector_to_array(F.col("features")) if not dict(out.dtypes)["features"].startswith("array") else F.col("features")
+    return out.select("doc_id", "label", F.size(F.filter(a, lambda v: v != 0)).alias("nnz"),
+                      F.round(F.aggregate(a.cast("array<double>"), F.lit(0.0), lambda s, v: s + v), 6).alias("sum_w"))
+
+
+register("feature_build_pipeline", with_views(f"""
+SELECT d.doc_id, c.code AS label, coalesce(w.nnz, 0) AS nnz, {R('coalesce(w.sum_w, 0)')} AS sum_w
+FROM dd d JOIN (SELECT lang, CAST(row_number() OVER (ORDER BY lang) - 1 AS INTEGER) AS code
+                FROM (SELECT DISTINCT lang FROM dd) l) c USING (lang)
+LEFT JOIN (SELECT doc_id, count(*) AS nnz, sum(CAST(CAST(weight AS FLOAT) AS DOUBLE)) AS sum_w FROM t_wt GROUP BY doc_id) w USING (doc_id)""",
+    extra=[("dd", f"""SELECT doc_id, lang, {S.analyzer_tokens('text')} AS toks FROM documents
+                     QUALIFY row_number() OVER (PARTITION BY text ORDER BY doc_id) = 1""")]
+    + S.tfidf_vocab_ctes("t_", "dd", max_features=1024) + S.tfidf_weight_ctes("t_", "dd", "doc_id", "t_voc")))(_pl7)
