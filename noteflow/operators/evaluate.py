@@ -27,12 +27,14 @@ def _div0(a: Column, b: Column) -> Column:
 def per_class_counts(df: DataFrame, y: str = "y_true", yhat: str = "y_pred", group=()) -> DataFrame:
     """TP/FP/FN per class (and group), from the K x K confusion counts."""
     group = list(group)
-    cm = df.groupBy(*group, y, yhat).agg(F.count(F.lit(1)).alias("_n"))
+    ltype = df.schema[y].dataType
+    cm = (df.withColumn(yhat, F.col(yhat).cast(ltype))
+            .groupBy(*group, y, yhat).agg(F.count(F.lit(1)).alias("_n")))
     hit = F.col(y) == F.col(yhat)
     roles = F.array(
-        F.struct(F.col(y).cast("string").alias("label"), F.when(hit, F.col("_n")).otherwise(0).alias("tp"),
+        F.struct(F.col(y).alias("label"), F.when(hit, F.col("_n")).otherwise(0).alias("tp"),
                  F.lit(0).cast("long").alias("fp"), F.when(hit, 0).otherwise(F.col("_n")).alias("fn")),
-        F.struct(F.col(yhat).cast("string").alias("label"), F.lit(0).cast("long").alias("tp"),
+        F.struct(F.col(yhat).alias("label"), F.lit(0).cast("long").alias("tp"),
                  F.when(hit, 0).otherwise(F.col("_n")).alias("fp"), F.lit(0).cast("long").alias("fn")))
     ex = cm.select(*group, F.explode(roles).alias("r")).select(*group, "r.*").filter(F.col("label").isNotNull())
     return ex.groupBy(*group, "label").agg(F.sum("tp").alias("tp"), F.sum("fp").alias("fp"), F.sum("fn").alias("fn"))
