@@ -59,3 +59,6 @@ DATE_DMY_PATTERN = r"^\s*(\d{1,2})[-/.](\d{1,2})[-/.](\d{4})([ T]\d{1,2}:\d{2}(:
 NON_WORD_CHARS = r"[^\p{L}\p{N}_\s]"
 TOKEN_PATTERN = r"[\p{L}\p{N}_]+|[^\p{L}\p{N}_\s]"
 SPLIT_NON_ALNUM = r"[^\p{L}\p{N}]+"
+# A maximal run of letters and digits that holds letters only (same tokens as
+# splitting on SPLIT_NON_ALNUM and keeping the purely alphabetic pieces).
+LETTER_WORD = r"(?<![\p{L}\p{N}])\p{L}+(?![\p{L}\p{N}])"

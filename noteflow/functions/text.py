@@ -8,8 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .constants import (ASCII_PUNCTUATION, COMBINE_TOKENS, DANISH_STOPWORDS, NON_WORD_CHARS,
-                        NULL_SENTINEL, SPLIT_NON_ALNUM, TOKEN_PATTERN)
+from .constants import (ASCII_PUNCTUATION, COMBINE_TOKENS, DANISH_STOPWORDS, LETTER_WORD, NON_WORD_CHARS,
+                        NULL_SENTINEL, TOKEN_PATTERN)
 from .hashing import hash_text
 
 
@@ -73,9 +73,10 @@ def shuffle_sentences(c, key, seed: int = 0, keep_tail: bool = False) -> Column:
 
 def tokenize(c, stopwords=DANISH_STOPWORDS) -> Column:
     """Alphabetic words, stop words removed (tested before lower-casing), lower-cased."""
-    stop = F.array(*[F.lit(w) for w in stopwords])
-    words = F.split(_c(c), SPLIT_NON_ALNUM)
-    kept = F.filter(words, lambda x: x.rlike(r"^\p{L}+$") & ~F.array_contains(stop, x))
+    # One regex pass yields the alphabetic words; ``isin`` over the stop list is
+    # planned as a hash-set lookup (InSet), not a scan of the list per token.
+    words = F.regexp_extract_all(_c(c), F.lit(LETTER_WORD), 0)
+    kept = F.filter(words, lambda x: ~x.isin(*stopwords))
     return F.transform(kept, lambda x: F.lower(x))
 
 

@@ -32,9 +32,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import tokenize
-from .order import bounded_broadcast, global_rank
+from .order import bounded_broadcast, dim_rank, global_rank
 
 MAX_VOCAB = 2_000_000
+TOPK_VOCAB_MAX = 100_000
 
 
 def analyzer_tokens(text_col, stopwords=None):
@@ -60,8 +61,8 @@ class TfidfModel:
 def tfidf_fit(df: DataFrame, tokens_col: str, min_df: float = 1, max_df: float = 1.0,
               max_features: int | None = None) -> TfidfModel:
     """F1 fit.  ``min_df``/``max_df``: int = document count, float = share of documents."""
-    n = df.count()
-    t = df.select(F.col(tokens_col).alias("_nf_t"))
+    t = df.select(F.col(tokens_col).alias("_nf_t")).persist()  # feeds the count and both aggregates
+    n = t.count()
     cf = t.select(F.explode("_nf_t").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("cf"))
     dfq = (t.select(F.explode(F.array_distinct("_nf_t")).alias("term"))
             .groupBy("term").agg(F.count(F.lit(1)).alias("df")))
@@ -69,13 +70,20 @@ def tfidf_fit(df: DataFrame, tokens_col: str, min_df: float = 1, max_df: float =
     hi = max_df if isinstance(max_df, int) else max_df * n
     v = cf.join(dfq, "term").filter((F.col("df") >= lo) & (F.col("df") <= hi))
     if max_features is not None:
-        v = (global_rank(v.withColumn("_nf_neg", -F.col("cf")), ["_nf_neg", "term"], "_nf_r")
-             .filter(F.col("_nf_r") <= max_features).drop("_nf_neg", "_nf_r"))
+        if max_features <= TOPK_VOCAB_MAX:
+            # top-k per partition, merged in one task: at most max_features rows move
+            v = v.orderBy(F.col("cf").desc(), F.col("term").asc()).limit(max_features)
+        else:
+            v = (global_rank(v.withColumn("_nf_neg", -F.col("cf")), ["_nf_neg", "term"], "_nf_r")
+                 .filter(F.col("_nf_r") <= max_features).drop("_nf_neg", "_nf_r"))
+    v = v.persist()
     size = v.count()
     if size > MAX_VOCAB:
         raise ValueError(f"vocabulary of {size} terms exceeds {MAX_VOCAB}; set max_features or min_df")
-    v = global_rank(v.select("term", "df"), ["term"], "term_id").withColumn("term_id", (F.col("term_id") - 1).cast("int"))
-    v = v.withColumn("idf", F.log((F.lit(1.0) + n) / (F.lit(1.0) + F.col("df"))) + 1.0)
+    v = dim_rank(v.select("term", "df"), ["term"], "term_id").withColumn("term_id", (F.col("term_id") - 1).cast("int"))
+    v = v.withColumn("idf", F.log((F.lit(1.0) + n) / (F.lit(1.0) + F.col("df"))) + 1.0).persist()
+    v.count()
+    t.unpersist()
     return TfidfModel(v, n, tokens_col)
 
 

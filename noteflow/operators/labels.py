@@ -5,13 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .order import bounded_broadcast, global_rank
+from .order import bounded_broadcast, dim_rank
 
 
 def fit_label_encoder(df: DataFrame, col: str, class_col: str = "class", code_col: str = "code") -> DataFrame:
     """L1: codes 0..K-1 in sorted (code-point) class order."""
     classes = df.select(F.col(col).alias(class_col)).filter(F.col(class_col).isNotNull()).distinct()
-    return global_rank(classes, [class_col], code_col).withColumn(code_col, (F.col(code_col) - 1).cast("int"))
+    return dim_rank(classes, [class_col], code_col).withColumn(code_col, (F.col(code_col) - 1).cast("int"))
 
 
 def apply_label_encoder(df: DataFrame, enc: DataFrame, col: str, out: str = "label",
@@ -32,7 +32,7 @@ def fit_first_seen_encoder(df: DataFrame, col: str, order_by, class_col: str = "
     """L3: codes by order of first appearance."""
     first = (df.filter(F.col(col).isNotNull()).groupBy(F.col(col).alias(class_col))
                .agg(F.min(F.struct(*[F.col(c) for c in order_by])).alias("_nf_first")))
-    return (global_rank(first, ["_nf_first"], code_col)
+    return (dim_rank(first, ["_nf_first"], code_col)
             .withColumn(code_col, (F.col(code_col) - 1).cast("int")).drop("_nf_first"))
 
 
@@ -43,7 +43,7 @@ def extend_encoder(enc: DataFrame, new_classes: DataFrame, class_col: str = "cla
     top = -1 if top is None else top
     fresh = (new_classes.select(F.col(new_classes.columns[0]).alias(class_col)).filter(F.col(class_col).isNotNull())
              .distinct().join(enc.select(class_col), class_col, "left_anti"))
-    ranked = global_rank(fresh, [class_col], code_col).withColumn(code_col, (F.col(code_col) + top).cast("int"))
+    ranked = dim_rank(fresh, [class_col], code_col).withColumn(code_col, (F.col(code_col) + top).cast("int"))
     return enc.select(class_col, code_col).unionByName(ranked)
 
 

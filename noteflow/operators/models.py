@@ -131,15 +131,15 @@ class LinearModel:
 def moments(df: DataFrame, features: str, label: str, weight: str | None = None):
     """One pass: per-partition numpy partials of X'WX, sum w x, sum w, and per-class
     sums / weights, added up by one ``Summarizer.sum``.  Labels must be codes 0..K-1."""
-    k = int(df.agg(F.max(label)).first()[0]) + 1
-    if k > MAX_CLASSES:
-        raise ValueError("too many classes")
     col = F.col(features)
     if isinstance(df.schema[features].dataType, VectorUDT):
         col = vector_to_array(col)
     x = df.select(col.alias("x"), F.col(label).cast("int").alias("y"),
                   (F.col(weight) if weight else F.lit(1.0)).cast("double").alias("w"))
-    d = len(x.select("x").first()[0])
+    shape = x.agg(F.max("y").alias("k"), F.max(F.size("x")).alias("d")).first()
+    k, d = int(shape["k"]) + 1, int(shape["d"])
+    if k > MAX_CLASSES:
+        raise ValueError("too many classes")
 
     def part(it):
         xtx = np.zeros((d, d)); sx = np.zeros(d); sw = np.zeros(1)

@@ -142,3 +142,22 @@ def first_n_flag(df: DataFrame, n: int, order_by, flag: str = "is_first") -> Dat
 def group_window(group_by, order_by) -> Window:
     """Window over a bounded group (e.g. the K classes of one row)."""
     return Window.partitionBy(*_cols(group_by)).orderBy(*_cols(order_by))
+
+
+# Rows up to which a dimension (class list, vocabulary) is ranked in one window task.
+DIM_RANK_MAX_ROWS = 200_000
+
+
+def dim_rank(df: DataFrame, order_by, rank_col: str = "rank",
+             max_rows: int = DIM_RANK_MAX_ROWS) -> DataFrame:
+    """Rank a dimension table (K classes, a vocabulary).
+
+    If the table is proven small (``max_rows``, checked with one bounded count),
+    a single ``row_number`` window ranks it in one task - cheaper than the range
+    shuffle + checkpoint of :func:`global_rank`; larger tables fall back to
+    :func:`global_rank`.  Never used on fact tables.
+    """
+    if df.limit(max_rows + 1).count() <= max_rows:
+        w = Window.orderBy(*[c if isinstance(c, Column) else F.col(c) for c in order_by])
+        return df.withColumn(rank_col, F.row_number().over(w).cast("long"))
+    return global_rank(df, order_by, rank_col)

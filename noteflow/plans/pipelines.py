@@ -169,7 +169,7 @@ def classify_evaluate_pipeline(features: DataFrame, labels: DataFrame, row_id: s
     from ..functions.constants import CLASSIFIER_THRESHOLDS
     from ..operators import evaluate as E, models as M, split as SP
     data = features.join(labels, row_id)
-    data = SP.time_split3(data, [row_id], rate_pct=rate_pct)
+    data = SP.time_split3(data, [row_id], rate_pct=rate_pct).persist()
     fit = fit or (lambda df: M.fit_logreg(df, "features", "label", C=1.0, max_iter=50))
     model = fit(data.filter(F.col("split") == "train"))
     p = M.predict(model, data, "features").withColumnRenamed("label", "y_true")
@@ -201,7 +201,7 @@ def scorer_evaluation_pipeline(pairs: DataFrame, id_cols, split_col: str = "spli
     from ..operators import evaluate as E, features as FT, models as M
     ids = list(id_cols)
     df = (pairs.withColumn("_nf_id", F.concat_ws(":", *[F.col(c).cast("string") for c in ids]))
-               .withColumn("toks", FT.analyzer_tokens("ObservationAnswer")))
+               .withColumn("toks", FT.analyzer_tokens("ObservationAnswer"))).persist()
     train = df.filter(F.col(split_col).isin("train_val", "train", "val"))
     test = df.filter(F.col(split_col) == "test")
     train_pos = train.filter(F.col("labels") == 1).dropDuplicates(["_nf_id"])

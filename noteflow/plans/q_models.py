@@ -149,7 +149,7 @@ def _model_data(spark, d, embed: bool = False):
     else:
         t = docs.withColumn("toks", FT.analyzer_tokens("text"))
         x = FT.tfidf_transform(t, FT.tfidf_fit(t, "toks", max_features=1024), "toks", "features")
-    return random_split(x.withColumnRenamed("doc_id", "row_id"), "row_id", 0.2, 42)
+    return random_split(x.withColumnRenamed("doc_id", "row_id"), "row_id", 0.2, 42).persist()
 
 
 def _metrics_of(model, data, scope="test"):
