@@ -213,11 +213,11 @@ def scorer_evaluation_pipeline(pairs: DataFrame, id_cols, split_col: str = "spli
     sc = FT.centroid_scores(w, cents, "_nf_id", "ObservationScheme")
     keyed = df.withColumn("_nf_pid", F.concat_ws("#", "_nf_id", F.col("labels").cast("string")))
     own = keyed.join(sc.withColumnRenamed("_nf_id", "_nf_pid"), ["_nf_pid", "ObservationScheme"], "left") \
-               .withColumn("features", F.array(F.coalesce(F.col("score"), F.lit(0.0))))
+               .withColumn("features", F.array(F.coalesce(F.col("score"), F.lit(0.0)))).persist()
     lr = M.fit_logreg(own.filter(F.col(split_col) != "test"), "features", "labels", C=1.0, max_iter=50)
     p = M.predict(lr, own.filter(F.col(split_col) == "test"), "features")
     p = E.softmax_probs(p.withColumn("_nf_lg", F.transform("probs", lambda x: F.log(x))), "_nf_lg") \
-         .withColumnRenamed("labels", "y_true")
+         .withColumnRenamed("labels", "y_true").persist()
     sweep = E.confidence_sweep(p, thresholds or SCORER_THRESHOLDS, "y_true", "y_pred", "prob_max").select(
         F.lit("confidence").alias("section"), F.col("threshold").alias("x"), F.col("accuracy").alias("value"),
         F.col("n_samples").alias("n"))
