@@ -60,6 +60,8 @@ def fit_logreg(df: DataFrame, features: str = "features", label: str = "label",
     if class_weight == "balanced":
         d, wcol = balanced_weights(d, label), "weight"
     n = d.count()
+    if n == 0:
+        raise ValueError("empty training set")
     lr = LogisticRegression(featuresCol=features, labelCol=label, family="multinomial", regParam=1.0 / (C * n),
                             elasticNetParam=0.0, standardization=False, maxIter=max_iter)
     if wcol:
