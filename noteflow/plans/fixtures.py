@@ -31,20 +31,21 @@ def _date_of(id_col: str):
                                     ((F.col(id_col) * 37) % 200).cast("int")), "yyyy/MM/dd")
 
 
-def observations(spark, sf_dir) -> DataFrame:
+def observations(spark, sf_dir, with_value: bool = False) -> DataFrame:
     d = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
-    e = table(spark, sf_dir, "events").select("event_id", "event_type", "user_id")
+    e = table(spark, sf_dir, "events").select("event_id", "event_type", "user_id", "value")
     return (d.join(e, d.doc_id == e.event_id)
              .select(F.col("doc_id").alias("obs_id"),
                      F.col("event_type").alias("ObservationScheme"),
                      F.col("lang").alias("ObservationQuestion"),
                      F.col("text").alias("ObservationAnswer"),
                      F.col("user_id").cast("string").alias("PractionerName"),
-                     _date_of("doc_id").alias("LastUpdateDate")))
+                     _date_of("doc_id").alias("LastUpdateDate"),
+                     *([F.col("value")] if with_value else [])))
 
 
-def observations_raw(spark, sf_dir) -> DataFrame:
-    o = observations(spark, sf_dir)
+def observations_raw(spark, sf_dir, with_value: bool = False) -> DataFrame:
+    o = observations(spark, sf_dir, with_value)
     s = F.col("ObservationScheme")
     raw = (F.when(F.col("obs_id") % 3 == 0, F.upper(s))
             .when(F.col("obs_id") % 3 == 1, F.concat(s, F.lit(" ")))
@@ -53,14 +54,13 @@ def observations_raw(spark, sf_dir) -> DataFrame:
 
 
 def observations_null(spark, sf_dir) -> DataFrame:
-    o = observations_raw(spark, sf_dir)
-    e = table(spark, sf_dir, "events").select(F.col("event_id").alias("obs_id"), "value")
+    o = observations_raw(spark, sf_dir, with_value=True)
     i = F.col("obs_id")
     ans = (F.when(i % 11 == 0, F.lit(None).cast("string"))
             .when(i % 7 == 0, F.col("value").cast("string"))
             .when(i % 13 == 0, F.col("LastUpdateDate"))
             .otherwise(F.col("ObservationAnswer")))
-    return o.join(e, "obs_id").withColumn("ObservationAnswer", ans).drop("value")
+    return o.withColumn("ObservationAnswer", ans).drop("value")
 
 
 def goals(spark, sf_dir=None) -> DataFrame:
