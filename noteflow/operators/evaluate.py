@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.constants import CLASSIFIER_THRESHOLDS, LOG_TAGS
 from ..functions.text import scheme_of_text
+from ..session import values_df
 from .order import bounded_broadcast, rank_within
 
 
@@ -183,7 +184,7 @@ def training_log_pivot(df: DataFrame, seq: str = "seq", tag: str = "tag", value:
     last two.  Output: one row per position ``i`` with one column per metric.
     """
     spark = df.sparkSession
-    tags = spark.createDataFrame(list(LOG_TAGS.items()), "tag string, metric string")
+    tags = values_df(spark, list(LOG_TAGS.items()), "tag string, metric string")
     m = df.join(bounded_broadcast(tags), tag).select(seq, "metric", value)
     r = rank_within(m, ["metric"], [seq], "_nf_p").withColumn("_nf_p", F.col("_nf_p") - 1)
     n = r.groupBy("metric").agg(F.count(F.lit(1)).alias("_nf_n"))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import clean_text
-from .order import BROADCAST_MAX_ROWS, bounded_broadcast
+from .order import BROADCAST_MAX_ROWS, bounded_broadcast, row_count_at_most
 
 
 def _null_safe(left: DataFrame, right: DataFrame, keys: list[str], rprefix: str):
@@ -60,7 +60,7 @@ def keep_relevant(df: DataFrame, goals: DataFrame, scheme_col: str = "Observatio
     keeps every row whose cleaned name is a goal.
     """
     gc = _clean_goals(goals, goal_col)
-    small = gc.limit(BROADCAST_MAX_ROWS + 1).count() <= BROADCAST_MAX_ROWS
+    small = row_count_at_most(gc, BROADCAST_MAX_ROWS)
     g = F.broadcast(gc) if small else gc
     cleaned = df.withColumn("_nf_clean", clean_text(scheme_col))
     if all_spellings:

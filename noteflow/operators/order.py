@@ -32,11 +32,29 @@ def _cols(cols) -> list[Column]:
     return [c if isinstance(c, Column) else F.col(c) for c in cols]
 
 
+def static_max_rows(df: DataFrame) -> int | None:
+    """Row bound Catalyst proves from the plan alone (local data, limits, global
+    aggregates and what preserves them), or None."""
+    try:
+        opt = df._jdf.queryExecution().optimizedPlan().maxRows()
+        return int(opt.get()) if opt.isDefined() else None
+    except Exception:  # noqa: BLE001 - plans without the JVM accessor
+        return None
+
+
+def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
+    """True if ``df`` provably has at most ``max_rows`` rows: a static plan bound,
+    else one bounded count (``limit(max_rows + 1).count()``)."""
+    bound = static_max_rows(df)
+    if bound is not None and bound <= max_rows:
+        return True
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
 def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Hint ``df`` for broadcast if it has at most ``max_rows`` rows, else leave the
     join to a shuffle (AQE may still pick a broadcast from runtime sizes)."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    return F.broadcast(df) if row_count_at_most(df, max_rows) else df
 
 
 def _num_partitions(df: DataFrame) -> int:
@@ -157,7 +175,7 @@ def dim_rank(df: DataFrame, order_by, rank_col: str = "rank",
     shuffle + checkpoint of :func:`global_rank`; larger tables fall back to
     :func:`global_rank`.  Never used on fact tables.
     """
-    if df.limit(max_rows + 1).count() <= max_rows:
+    if row_count_at_most(df, max_rows):
         w = Window.orderBy(*[c if isinstance(c, Column) else F.col(c) for c in order_by])
         return df.withColumn(rank_col, F.row_number().over(w).cast("long"))
     return global_rank(df, order_by, rank_col)

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import values_df
+
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
           "pages benchmark labels conversations").split()
 
@@ -64,18 +66,18 @@ def observations_null(spark, sf_dir) -> DataFrame:
 
 
 def goals(spark, sf_dir=None) -> DataFrame:
-    return spark.createDataFrame([(g,) for g in GOALS], "type string")
+    return values_df(spark, [(g,) for g in GOALS], "type string")
 
 
 def converter(spark, sf_dir=None) -> DataFrame:
-    return spark.createDataFrame(CONVERTER, "clean_scheme string, original_scheme string")
+    return values_df(spark, CONVERTER, "clean_scheme string, original_scheme string")
 
 
 def superusers(spark, sf_dir) -> DataFrame:
     per_user = (table(spark, sf_dir, "events").groupBy("user_id")
                 .agg(F.count(F.lit(1)).alias("n")))
-    med = per_user.agg(F.median("n")).first()[0]
-    return (per_user.filter((F.col("n") >= F.lit(med)) | (F.col("user_id") % 3 == 0))
+    med = per_user.agg(F.median("n")).scalar()  # scalar subquery, planned with the query
+    return (per_user.filter((F.col("n") >= med) | (F.col("user_id") % 3 == 0))
             .select(F.col("user_id").cast("string").alias("PractionerName")))
 
 
@@ -125,7 +127,7 @@ def logits2(spark, sf_dir) -> DataFrame:
 
 
 def train_log(spark, sf_dir) -> DataFrame:
-    tags = spark.createDataFrame(LOG_TAG_OF_EVENT, "event_type string, tag string")
+    tags = values_df(spark, LOG_TAG_OF_EVENT, "event_type string, tag string")
     return (table(spark, sf_dir, "events").join(F.broadcast(tags), "event_type")
             .select(F.col("event_id").alias("seq"), "tag", "value"))
 

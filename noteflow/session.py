@@ -66,3 +66,20 @@ def reliable_checkpoint(df: DataFrame) -> DataFrame:
     """
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def values_df(spark: SparkSession, rows, schema: str) -> DataFrame:
+    """A small fixed table as an inline ``VALUES`` relation: Catalyst then knows its
+    exact row count (a static bound for broadcast decisions) and no RDD is built."""
+    names = [f.strip().split()[0] for f in schema.split(",")]
+    types = [f.strip().split()[1] for f in schema.split(",")]
+
+    def lit(v, t):
+        if v is None:
+            return f"CAST(NULL AS {t})"
+        if t == "string":
+            return "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
+        return f"CAST({v!r} AS {t})"
+
+    body = ", ".join("(" + ", ".join(lit(v, t) for v, t in zip(r, types)) + ")" for r in rows)
+    return spark.sql(f"SELECT * FROM VALUES {body} AS t({', '.join(names)})")
