@@ -57,7 +57,7 @@ def split_shapes(df: DataFrame, split_col: str = "split") -> DataFrame:
 
 
 def confusion_matrix(df: DataFrame, y: str = "y_true", yhat: str = "y_pred", wide: bool = False,
-                     labels: list | None = None) -> DataFrame:
+                     labels: list | None = None, max_labels: int = 10_000) -> DataFrame:
     """True x predicted counts.  Long form ``(y, yhat, n)``; wide form pivots the
     predicted labels (the union of true and predicted labels on both axes)."""
     long = df.groupBy(y, yhat).agg(F.count(F.lit(1)).alias("n"))
@@ -65,7 +65,10 @@ def confusion_matrix(df: DataFrame, y: str = "y_true", yhat: str = "y_pred", wid
         return long
     if labels is None:
         both = df.select(F.col(y).alias("_l")).union(df.select(F.col(yhat).alias("_l"))).distinct()
-        labels = sorted(r[0] for r in both.collect() if r[0] is not None)
+        got = both.limit(max_labels + 1).collect()
+        if len(got) > max_labels:
+            raise ValueError(f"more than {max_labels} labels; use the long form")
+        labels = sorted(r[0] for r in got if r[0] is not None)
     rows = df.select(F.col(y).alias("_l")).union(df.select(F.col(yhat).alias("_l"))).distinct()
     wide_df = long.groupBy(y).pivot(yhat, labels).agg(F.first("n"))
     full = rows.filter(F.col("_l").isNotNull()).withColumnRenamed("_l", y).join(wide_df, y, "left")

@@ -159,8 +159,15 @@ def moments(df: DataFrame, features: str, label: str, weight: str | None = None)
             np.add.at(cw, y, w)
         yield pd.DataFrame({"m": [np.concatenate([xtx.ravel(), sx, sw, cs.ravel(), cw]).tolist()]})
 
-    parts = x.mapInPandas(part, "m array<double>")
-    tot = parts.select(array_to_vector("m").alias("v")).agg(Summarizer.sum(F.col("v")).alias("s")).first()["s"]
+    # One partial (d*d + ...) per input partition.  Sum them as a two-level tree:
+    # ~sqrt(P) buckets first, then the buckets, so no single task merges all P partials.
+    n_parts = x.rdd.getNumPartitions()
+    buckets = max(1, int(np.ceil(np.sqrt(n_parts))))
+    parts = (x.mapInPandas(part, "m array<double>")
+              .withColumn("_nf_b", (F.spark_partition_id() % buckets))
+              .select("_nf_b", array_to_vector("m").alias("v")))
+    level1 = parts.groupBy("_nf_b").agg(Summarizer.sum(F.col("v")).alias("v"))
+    tot = level1.agg(Summarizer.sum(F.col("v")).alias("s")).first()["s"]
     v = tot.toArray()
     o = 0
     xtx = v[o:o + d * d].reshape(d, d); o += d * d

@@ -54,13 +54,16 @@ def pos_neg(pos: DataFrame, change_cols, scheme_col: str = "ObservationScheme",
 
 
 def examples_per_outcome(df: DataFrame, k: int, key: str, outcome_col: str = "outcome",
-                         seed: int = 0) -> DataFrame:
+                         seed: int = 0, max_outcomes: int = 10_000) -> DataFrame:
     """``k`` rows drawn with replacement from each outcome (TP/TN/FP/FN).
 
     Draw i of outcome o takes the row at position ``1 + draw(seed, o, i) mod n_o``
     of that outcome (positions in ``key`` order); an empty outcome gives no rows.
     """
-    counts = {r[0]: r[1] for r in df.groupBy(outcome_col).count().collect()}
+    got = df.groupBy(outcome_col).count().limit(max_outcomes + 1).collect()
+    if len(got) > max_outcomes:
+        raise ValueError(f"more than {max_outcomes} outcome values")
+    counts = {r[0]: r[1] for r in got}
     spark = df.sparkSession
     draws = spark.createDataFrame([(o, i) for o in counts for i in range(k)], f"{outcome_col} string, draw_no int")
     draws = (draws.join(F.broadcast(spark.createDataFrame(list(counts.items()), f"{outcome_col} string, _nf_n long")),
