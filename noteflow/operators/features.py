@@ -104,10 +104,12 @@ def tfidf_transform(df: DataFrame, model: TfidfModel, tokens_col: str | None = N
 def tfidf_weights(df: DataFrame, model: TfidfModel, id_col: str, tokens_col: str | None = None) -> DataFrame:
     """F1/F3 transform in long form ``(id, term, term_id, weight)``."""
     col = tokens_col or model.tokens_col
-    tf = (df.select(id_col, F.explode(col).alias("term"))
-            .groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf")))
     v = bounded_broadcast(model.vocab.select("term", "term_id", "idf"), MAX_VOCAB)
-    w = tf.join(v, "term").withColumn("w", F.col("tf") * F.col("idf"))
+    # drop out-of-vocabulary tokens before the per-document count, so the shuffle
+    # carries only in-vocabulary (document, term) pairs
+    tf = (df.select(id_col, F.explode(col).alias("term")).join(v, "term")
+            .groupBy(id_col, "term", "term_id", "idf").agg(F.count(F.lit(1)).alias("tf")))
+    w = tf.withColumn("w", F.col("tf") * F.col("idf"))
     norm = w.groupBy(id_col).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("_nf_norm"))
     return w.join(norm, id_col).select(id_col, "term", "term_id", (F.col("w") / F.col("_nf_norm")).alias("weight"))
 
@@ -181,7 +183,8 @@ def class_centroids(weights: DataFrame, labels: DataFrame, id_col: str, class_co
     n = labels.groupBy(class_col).agg(F.count(F.lit(1)).alias("_nf_n"))
     s = weights.join(labels.select(id_col, class_col), id_col).groupBy(class_col, "term_id").agg(
         F.sum("weight").alias("_nf_s"))
-    return s.join(n, class_col).select(class_col, "term_id", (F.col("_nf_s") / F.col("_nf_n")).alias("c"))
+    # classes x vocabulary rows: small, reused by the size check and the scoring join
+    return s.join(n, class_col).select(class_col, "term_id", (F.col("_nf_s") / F.col("_nf_n")).alias("c")).persist()
 
 
 def centroid_scores(weights: DataFrame, centroids: DataFrame, id_col: str, class_col: str,

@@ -100,7 +100,10 @@ GROUP BY label, i""")(_mean_pool)
 
 
 def _precision_at_k(spark, d, k=2):
-    docs = random_split(_docs(spark, d).withColumnRenamed("lang", "label"), "doc_id", 0.2, 42)
+    from ..session import reliable_checkpoint
+    # tokens are read by the fit, the centroids and the scoring: stage them once
+    docs = reliable_checkpoint(random_split(_docs(spark, d).withColumnRenamed("lang", "label"), "doc_id", 0.2, 42)
+                               .select("doc_id", "label", "toks", "split"))
     train = docs.filter(F.col("split") == "train")
     test = docs.filter(F.col("split") == "val")
     model = FT.tfidf_fit(train, "toks", max_features=1024)

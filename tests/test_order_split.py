@@ -129,3 +129,20 @@ def test_examples_per_outcome_empty_stratum(spark):
     df = spark.createDataFrame([(1, "TP"), (2, "TP"), (3, "FN")], "k long, outcome string")
     out = sampling.examples_per_outcome(df, 4, "k", "outcome", 0).collect()
     assert sorted(set(x["outcome"] for x in out)) == ["FN", "TP"] and len(out) == 8
+
+
+@pytest.mark.parametrize("key", ["preprocess_pipeline", "negative_samples", "sentence_scoring_pipeline",
+                                 "new_class_dataset_pipeline"])
+def test_results_do_not_depend_on_shuffle_partitions(spark, key):
+    import __spark_entry__ as E
+    from conftest import SF_SMALL
+    q = E.queries()[key]
+    results = []
+    for parts in ("1", "200"):
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+        try:
+            df = q(spark, SF_SMALL)
+            results.append(sorted(tuple(str(v) for v in r) for r in df.collect()))
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", "8")
+    assert results[0] == results[1]
