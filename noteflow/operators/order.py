@@ -163,7 +163,7 @@ def group_window(group_by, order_by) -> Window:
 
 
 # Rows up to which a dimension (class list, vocabulary) is ranked in one window task.
-DIM_RANK_MAX_ROWS = 200_000
+DIM_RANK_MAX_ROWS = 10_000
 
 
 def dim_rank(df: DataFrame, order_by, rank_col: str = "rank",
