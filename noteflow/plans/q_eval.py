@@ -93,7 +93,7 @@ register("softmax_probs", with_views(f"SELECT row_id, y_pred, {R('prob_max')} AS
 
 
 def _sweep_sql(thresholds) -> str:
-    vals = ", ".join(f"({float(t)})" for t in thresholds)
+    vals = ", ".join(f"(CAST({float(t)} AS DOUBLE))" for t in thresholds)
     return f"""
 SELECT t.threshold, count(sm.row_id) FILTER (WHERE sm.prob_max > t.threshold) AS n_samples,
        (SELECT count(*) FROM sm) AS total,

@@ -52,7 +52,7 @@ def _vectors(spark, d):
 
 
 register("tfidf_vectors", with_views(f"""
-SELECT d.doc_id, coalesce(w.nnz, 0) AS nnz, {R('coalesce(w.sum_w, 0)')} AS sum_w
+SELECT d.doc_id, CAST(coalesce(w.nnz, 0) AS INTEGER) AS nnz, {R('coalesce(w.sum_w, 0)')} AS sum_w
 FROM docs d LEFT JOIN (SELECT doc_id, count(*) AS nnz, sum(weight) AS sum_w FROM t_wt GROUP BY doc_id) w USING (doc_id)""",
     extra=[_DOCS] + S.tfidf_vocab_ctes("t_", "docs", max_features=1024)
     + S.tfidf_weight_ctes("t_", "docs", "doc_id", "t_voc")))(_vectors)
@@ -284,7 +284,7 @@ def _pl7(spark, d):
 
 
 register("feature_build_pipeline", with_views(f"""
-SELECT d.doc_id, c.code AS label, coalesce(w.nnz, 0) AS nnz, {R('coalesce(w.sum_w, 0)')} AS sum_w
+SELECT d.doc_id, c.code AS label, CAST(coalesce(w.nnz, 0) AS INTEGER) AS nnz, {R('coalesce(w.sum_w, 0)')} AS sum_w
 FROM dd d JOIN (SELECT lang, CAST(row_number() OVER (ORDER BY lang) - 1 AS INTEGER) AS code
                 FROM (SELECT DISTINCT lang FROM dd) l) c USING (lang)
 LEFT JOIN (SELECT doc_id, count(*) AS nnz, sum(CAST(CAST(weight AS FLOAT) AS DOUBLE)) AS sum_w FROM t_wt GROUP BY doc_id) w USING (doc_id)""",

@@ -279,7 +279,7 @@ SELECT o.obs_id, c.class FROM observations o, (SELECT DISTINCT ObservationScheme
         fx.observations(spark, d).select(F.col("ObservationScheme").alias("class")), "class"))
 
 register("attach_by_row_id", """
-SELECT f.vec_id AS row_id, len(f.embedding) AS dim, l.label FROM embeddings f JOIN embeddings l ON f.vec_id = l.vec_id""")(
+SELECT f.vec_id AS row_id, CAST(len(f.embedding) AS INTEGER) AS dim, l.label FROM embeddings f JOIN embeddings l ON f.vec_id = l.vec_id""")(
     lambda spark, d: joins.attach_by_row_id(
         fx.table(spark, d, "embeddings").select(F.col("vec_id").alias("row_id"), F.size("embedding").alias("dim")),
         fx.table(spark, d, "embeddings").select(F.col("vec_id").alias("row_id"), "label"), "row_id"))
@@ -394,7 +394,7 @@ def _sentence_ctes(prefix: str, src: str, tag: str) -> list[tuple[str, str]]:
                              PARTITION BY ObservationQuestion, sentence, ObservationScheme
                              ORDER BY {', '.join(k + ' DESC' for k in _SK)}) = 1"""),
         (prefix + "p", f"""SELECT * EXCLUDE (toks, sentence, ObservationAnswer), array_to_string(toks, ' ') AS ObservationAnswer,
-                                 len(toks) AS ObservationAnswer_len, 1 AS labels, '{tag}' AS src
+                                 CAST(len(toks) AS INTEGER) AS ObservationAnswer_len, 1 AS labels, '{tag}' AS src
                           FROM (SELECT *, regexp_extract_all(sentence, {S.lit(TOKEN_PATTERN)}) AS toks FROM {prefix}d) t
                           WHERE len(toks) >= 5"""),
     ] + _neg_sql(prefix + "p", _SK, "ObservationScheme", 100, ["ObservationAnswer", "ObservationAnswer_len"],

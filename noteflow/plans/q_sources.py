@@ -59,7 +59,7 @@ def _emb(spark, d):
 
 
 register("embeddings_roundtrip", """
-SELECT vec_id AS row_id, label, len(embedding) AS dim, round(list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE))), 6) AS sum_f
+SELECT vec_id AS row_id, label, CAST(len(embedding) AS INTEGER) AS dim, round(list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE))), 6) AS sum_f
 FROM embeddings""")(_emb)
 
 
@@ -73,7 +73,7 @@ def _variants(spark, d):
 
 
 register("read_variants", """
-SELECT 'full64' AS variant, count(*) AS n, max(len(embedding)) AS dim FROM embeddings
+SELECT 'full64' AS variant, count(*) AS n, CAST(max(len(embedding)) AS INTEGER) AS dim FROM embeddings
 UNION ALL SELECT 'head10', count(*), 10 FROM embeddings""")(_variants)
 
 
@@ -85,7 +85,7 @@ def _materialize(spark, d):
     return SRC.materialize(spark, path, build)  # second call reads the stored stage
 
 
-register("materialize", "SELECT doc_id, len(regexp_split_to_array(text, '\\s+')) AS n_pieces FROM documents")(_materialize)
+register("materialize", "SELECT doc_id, CAST(len(regexp_split_to_array(text, '\\s+')) AS INTEGER) AS n_pieces FROM documents")(_materialize)
 
 
 def _metrics(spark, d):

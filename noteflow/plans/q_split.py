@@ -163,8 +163,8 @@ def _concat_sorted(spark, d):
 
 
 register("concat_sorted", with_views("""
-SELECT src, id, row_number() OVER (ORDER BY d NULLS FIRST, src, id) AS pos, year(d) AS year, month(d) AS month,
-       day(d) AS day, ObservationScheme, ObservationComponentID
+SELECT src, id, row_number() OVER (ORDER BY d NULLS FIRST, src, id) AS pos, CAST(year(d) AS INTEGER) AS year,
+       CAST(month(d) AS INTEGER) AS month, CAST(day(d) AS INTEGER) AS day, ObservationScheme, ObservationComponentID
 FROM (SELECT *, CAST(try_strptime(LastUpdateDate, '%Y/%m/%d') AS DATE) AS d FROM (
         SELECT 'obs' AS src, obs_id AS id, LastUpdateDate, ObservationScheme, NULL AS ObservationComponentID FROM observations
         UNION ALL
@@ -202,7 +202,7 @@ SELECT * FROM (SELECT obs_id, ObservationScheme, 'placeholder' AS ObservationAns
                WHERE ObservationScheme = 'view' ORDER BY obs_id LIMIT 1) f""", "observations"))(_append_placeholder)
 
 register("append_matrix", """
-SELECT vec_id AS row_id, label, len(embedding) AS dim FROM embeddings
+SELECT vec_id AS row_id, label, CAST(len(embedding) AS INTEGER) AS dim FROM embeddings
 UNION ALL SELECT vec_id, label % 2, 2 FROM embeddings""")(
     lambda spark, d: N.append_matrix(
         fx.embedded(spark, d).select("row_id", "label", F.size("features").alias("dim")),

@@ -30,7 +30,7 @@ register("len_words", f"SELECT doc_id, {S.word_count('text')} AS text_len FROM d
     lambda spark, d: clean.len_words(fx.table(spark, d, "documents"), "text").select("doc_id", "text_len"))
 
 register("len_items", f"""
-SELECT doc_id, {S.token_count('text')} AS n_tokens, length(text) AS n_chars FROM documents""")(
+SELECT doc_id, {S.token_count('text')} AS n_tokens, CAST(length(text) AS INTEGER) AS n_chars FROM documents""")(
     lambda spark, d: fx.table(spark, d, "documents").select(
         "doc_id", T.token_count("text").alias("n_tokens"), F.char_length("text").alias("n_chars")))
 
@@ -40,7 +40,7 @@ SELECT doc_id, array_to_string(regexp_extract_all(text, {S.lit(TOKEN_PATTERN)}),
         "doc_id", T.tokens_to_string(F.regexp_extract_all("text", F.lit(TOKEN_PATTERN), 0)).alias("tokens")))
 
 register("split_sentences", f"""
-SELECT doc_id, len(s) AS n_sentences, array_to_string(s, ' || ') AS sentences
+SELECT doc_id, CAST(len(s) AS INTEGER) AS n_sentences, array_to_string(s, ' || ') AS sentences
 FROM (SELECT doc_id, {S.split_sentences('text')} AS s FROM documents) t""")(
     lambda spark, d: fx.table(spark, d, "documents").withColumn("s", T.split_sentences("text")).select(
         "doc_id", F.size("s").alias("n_sentences"), F.array_join("s", " || ").alias("sentences")))
@@ -100,7 +100,7 @@ FROM form_answers a JOIN form_comments c
         T.combine_answer_comment("ObservationAnswer", "comments_").alias("all_text")))
 
 register("date_parts", with_views("""
-SELECT obs_id, year(d) AS year, month(d) AS month, day(d) AS day
+SELECT obs_id, CAST(year(d) AS INTEGER) AS year, CAST(month(d) AS INTEGER) AS month, CAST(day(d) AS INTEGER) AS day
 FROM (SELECT obs_id, CAST(strptime(LastUpdateDate, '%Y/%m/%d') AS DATE) AS d FROM observations) t""",
     "observations"))(
     lambda spark, d: clean.date_parts(fx.observations(spark, d), "LastUpdateDate").select(
@@ -109,7 +109,7 @@ FROM (SELECT obs_id, CAST(strptime(LastUpdateDate, '%Y/%m/%d') AS DATE) AS d FRO
 # ---------------------------------------------------------------- O1-O4
 
 register("sort_by_date", with_views("""
-SELECT obs_id, year(d) AS year, month(d) AS month, day(d) AS day,
+SELECT obs_id, CAST(year(d) AS INTEGER) AS year, CAST(month(d) AS INTEGER) AS month, CAST(day(d) AS INTEGER) AS day,
        row_number() OVER (ORDER BY d NULLS FIRST, obs_id) AS pos
 FROM (SELECT obs_id, CAST(try_strptime(LastUpdateDate, '%Y/%m/%d') AS DATE) AS d FROM observations) t""",
     "observations"))(
@@ -125,7 +125,7 @@ def _scored(spark, d):
 register("topk_classes", with_views("""
 SELECT row_id, class, rank FROM (
   SELECT row_id, CAST(i - 1 AS INTEGER) AS class,
-         row_number() OVER (PARTITION BY row_id ORDER BY s DESC, i) AS rank
+         CAST(row_number() OVER (PARTITION BY row_id ORDER BY s DESC, i) AS INTEGER) AS rank
   FROM (SELECT row_id, unnest(logits) AS s, unnest(range(1, len(logits) + 1)) AS i FROM logits10) t) u
 WHERE rank <= 3""", "logits10"))(
     lambda spark, d: sorting.topk_classes(_scored(spark, d), "row_id", "score", "class", 3).select(

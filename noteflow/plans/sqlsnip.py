@@ -23,11 +23,11 @@ def basic_clean(x: str) -> str:
 
 
 def word_count(x: str) -> str:
-    return f"len(list_filter(regexp_split_to_array({x}, '\\s+'), lambda s: s <> ''))"
+    return f"CAST(len(list_filter(regexp_split_to_array({x}, '\\s+'), lambda s: s <> '')) AS INTEGER)"
 
 
 def token_count(x: str) -> str:
-    return f"len(regexp_extract_all({x}, {lit(TOKEN_PATTERN)}))"
+    return f"CAST(len(regexp_extract_all({x}, {lit(TOKEN_PATTERN)})) AS INTEGER)"
 
 
 def split_sentences(x: str) -> str:
