@@ -164,10 +164,17 @@ def correct_vs_missed(df: DataFrame, text_col: str = "text", y: str = "y_true",
     return outcomes_by_scheme(df, text_col, y, yhat).select("scheme", "true_pos", "false_neg")
 
 
-def scheme_drilldown(df: DataFrame, scheme: str, k: int, key: str, text_col: str = "text",
+def scheme_drilldown(df: DataFrame, scheme, k: int, key: str, text_col: str = "text",
                      y: str = "y_true", yhat: str = "y_pred", seed: int = 0) -> DataFrame:
-    """For one scheme (compared stripped): TP and FN counts and k drawn examples of each."""
+    """For one scheme - a name (compared stripped) or a position in the
+    name-sorted outcome table (E10) - TP and FN counts and k drawn examples of each."""
     from .sampling import examples_per_outcome
+    if isinstance(scheme, int):
+        names = (outcomes_by_scheme(df, text_col, y, yhat).select(F.trim("scheme").alias("s"))
+                 .orderBy("s").offset(scheme).limit(1).collect())
+        if not names:
+            raise IndexError(f"no scheme at position {scheme}")
+        scheme = names[0]["s"]
     s = (df.withColumn("scheme", F.trim(scheme_of_text(text_col, strip=False)))
            .filter(F.col("scheme") == scheme.strip())
            .withColumn("outcome", outcome(y, yhat)).filter(F.col("outcome").isin("TP", "FN")))

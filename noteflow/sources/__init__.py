@@ -1,5 +1,5 @@
 """Readers and writers."""
 
-from .files import (load_model, materialize, read_csv_source, read_embeddings, read_splits,  # noqa: F401
+from .files import (csv_to_parquet, load_model, materialize, read_csv_source, read_embeddings, read_splits,  # noqa: F401
                     read_variants, save_model, scratch_path, write_csv_sink, write_embeddings,
                     write_metrics, write_splits)

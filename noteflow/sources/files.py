@@ -43,6 +43,14 @@ def read_csv_source(spark: SparkSession, path: str, schema: StructType | str, se
     return df
 
 
+def csv_to_parquet(spark: SparkSession, csv_path: str, schema: StructType | str, out_path: str, sep: str = ",",
+                   order_col: str | None = "row_order", **kw) -> DataFrame:
+    """S1 helper: read a (multi-line, hence unsplittable) CSV once, keep its row order
+    in ``order_col`` and store it as Parquet; later stages read the splittable Parquet."""
+    read_csv_source(spark, csv_path, schema, sep, order_col, **kw).write.mode("overwrite").parquet(out_path)
+    return spark.read.parquet(out_path)
+
+
 def write_csv_sink(df: DataFrame, path: str, sep: str = ",") -> None:
     """Write with a header (no index column)."""
     (df.write.mode("overwrite").option("header", True).option("sep", sep).option("escape", '"')

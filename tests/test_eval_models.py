@@ -92,3 +92,12 @@ def test_linear_model_predict_and_logreg_beat_majority(spark):
     p2 = M.predict(M.fit_logreg(df, max_iter=50), df)
     acc2 = p2.select(F.avg((F.col("y_pred") == F.col("label")).cast("double"))).first()[0]
     assert acc2 > majority
+
+
+def test_scheme_drilldown_by_name_and_position(spark):
+    rows = [(i, "A [SEP] x" if i % 2 else "B [SEP] y", 1, 1 if i % 3 else 0) for i in range(30)]
+    df = spark.createDataFrame(rows, "k long, text string, y_true int, y_pred int")
+    by_name = E.scheme_drilldown(df, " B ", 2, "k").collect()
+    by_pos = E.scheme_drilldown(df, 1, 2, "k").collect()      # 'A' is position 0, 'B' position 1
+    assert sorted(map(tuple, by_name)) == sorted(map(tuple, by_pos))
+    assert {r["outcome"] for r in by_name} == {"TP", "FN"} and len(by_name) == 4
