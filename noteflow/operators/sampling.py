@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.hashing import draw
-from .order import BROADCAST_MAX_ROWS, bounded_broadcast, global_rank, rank_within
+from ..session import values_df
+from .order import BROADCAST_MAX_ROWS, global_rank, rank_within
 from .sorting import head_rows, sort_by_date, tail_rows
 
 
@@ -29,12 +30,21 @@ def negative_samples(df: DataFrame, change_cols, scheme_col: str = "ObservationS
     ranked = global_rank(df, [scheme_col, *keys], "_nf_idx").withColumn("_nf_idx", F.col("_nf_idx") - 1)
     blocks = ranked.groupBy(scheme_col).agg(F.min("_nf_idx").alias("_nf_lo"),
                                             F.count(F.lit(1)).alias("_nf_m"))
-    stats = blocks.agg(F.sum("_nf_m").alias("n"), F.max("_nf_m").alias("mx")).first()
-    n, mx = stats["n"] or 0, stats["mx"] or 0
+    got = blocks.limit(BROADCAST_MAX_ROWS + 1).collect()     # one row per scheme
+    if len(got) <= BROADCAST_MAX_ROWS:
+        n, mx = sum(b["_nf_m"] for b in got), max((b["_nf_m"] for b in got), default=0)
+        stype = dict(ranked.dtypes)[scheme_col]
+        blocks_side = values_df(df.sparkSession, [(b[scheme_col], b["_nf_lo"], b["_nf_m"]) for b in got],
+                                f"{scheme_col} {stype}, _nf_lo bigint, _nf_m bigint")
+        blocks_side = F.broadcast(blocks_side)
+    else:
+        stats = blocks.agg(F.sum("_nf_m").alias("n"), F.max("_nf_m").alias("mx")).first()
+        n, mx, blocks_side = stats["n"] or 0, stats["mx"] or 0, blocks
     if n and mx == n:
         raise ValueError("negative sampling needs at least two schemes")
     r = F.col("_nf_draw") % (F.lit(n) - F.col("_nf_m"))
-    rows = (ranked.join(bounded_broadcast(blocks, BROADCAST_MAX_ROWS), scheme_col)
+    rows = (ranked.join(blocks_side, ranked[scheme_col].eqNullSafe(blocks_side[scheme_col]))
+                  .drop(blocks_side[scheme_col])
                   .withColumn("_nf_draw", draw(seed, *keys))
                   .withColumn("_nf_t", F.when(r < F.col("_nf_lo"), r).otherwise(r + F.col("_nf_m"))))
     donors = ranked.select(F.col("_nf_idx").alias("_nf_t"), *[F.col(c).alias("_nf_d_" + c) for c in change])
