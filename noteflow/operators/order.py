@@ -104,7 +104,7 @@ def rank_within(df: DataFrame, group_by, order_by, rank_col: str = "rank",
     """
     groups = list(group_by)
     ranked = global_rank(df, groups + list(order_by), rank_col="_nf_g", descending=descending)
-    starts = ranked.groupBy(*groups).agg(F.min("_nf_g").alias("_nf_lo"))
+    starts = bounded_broadcast(ranked.groupBy(*groups).agg(F.min("_nf_g").alias("_nf_lo")))
     cond = [ranked[g].eqNullSafe(starts[g]) for g in groups]
     out = ranked.join(starts, cond, "inner")
     for g in groups:

@@ -230,9 +230,15 @@ def _learning_curve(spark, d):
 
 
 register("learning_curve")(_learning_curve)
-register("refit_full")(lambda spark, d: _metrics_of(M.refit_full(
-    x := _model_data(spark, d).withColumn("split", F.when(F.col("row_id") < 0, "test").otherwise(F.col("split"))),
-    lambda t: M.fit_ridge(t, alpha=1.0)), x))
+def _refit_full(spark, d):
+    from ..operators.split import time_split3
+    x = time_split3(_model_data(spark, d).drop("split"), ["row_id"], rate_pct=10)
+    model = M.refit_full(x, lambda t: M.fit_ridge(t, alpha=1.0))       # train + val
+    p = M.predict(model, x.filter(F.col("split") == "test"), "features")
+    return _round4(E.macro_metrics(p, "label", "y_pred"))
+
+
+register("refit_full")(_refit_full)
 
 
 def _save_load(spark, d):
