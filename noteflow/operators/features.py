@@ -28,7 +28,7 @@ from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normali
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import tokenize
@@ -110,8 +110,10 @@ def tfidf_weights(df: DataFrame, model: TfidfModel, id_col: str, tokens_col: str
     tf = (df.select(id_col, F.explode(col).alias("term")).join(v, "term")
             .groupBy(id_col, "term", "term_id", "idf").agg(F.count(F.lit(1)).alias("tf")))
     w = tf.withColumn("w", F.col("tf") * F.col("idf"))
-    norm = w.groupBy(id_col).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("_nf_norm"))
-    return w.join(norm, id_col).select(id_col, "term", "term_id", (F.col("w") / F.col("_nf_norm")).alias("weight"))
+    # per-document L2 norm over the document's in-vocabulary terms (at most the
+    # vocabulary size per window partition): one shuffle by id, no join back
+    norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(id_col)))
+    return w.select(id_col, "term", "term_id", (F.col("w") / norm).alias("weight"))
 
 
 def tfidf_fit_prefix(df: DataFrame, n: int, order_by, tokens_col: str, **kw) -> TfidfModel:
