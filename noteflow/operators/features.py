@@ -139,24 +139,28 @@ Encoder = Callable[[pd.Series], np.ndarray]
 
 def hashing_encoder(dim: int = 64, seed: int = 0) -> Callable[[], Encoder]:
     """A deterministic stand-in for a neural sentence encoder: signed feature hashing
-    of lower-cased word tokens into ``dim`` buckets, L2-normalised.  Returns a
+    of lower-cased word tokens (``[\\p{L}\\p{N}_]+``) into ``dim`` buckets, L2-normalised.
+
+    Token t goes to bucket ``h mod dim`` with sign ``+1`` if bit 59 of ``h`` is 0,
+    where ``h`` is the seeded md5 draw of :mod:`noteflow.functions.hashing`; sums
+    and the norm are computed in float64, the result is float32.  Returns a
     factory so the encoder is built once per task."""
     def factory() -> Encoder:
-        import re
+        import hashlib
 
-        import xxhash
-        word = re.compile(r"\w+", re.UNICODE)
+        import regex
+        word = regex.compile(r"[\p{L}\p{N}_]+")
 
         def enc(texts: pd.Series) -> np.ndarray:
-            out = np.zeros((len(texts), dim), dtype=np.float32)
+            out = np.zeros((len(texts), dim), dtype=np.float64)
             for i, t in enumerate(texts):
                 if t is None:
                     continue
                 for w in word.findall(t.lower()):
-                    h = xxhash.xxh64_intdigest(w, seed)
-                    out[i, h % dim] += 1.0 if (h >> 63) == 0 else -1.0
-            norms = np.linalg.norm(out, axis=1, keepdims=True)
-            return out / np.where(norms == 0, 1.0, norms)
+                    h = int(hashlib.md5(f"{seed}:{w}".encode()).hexdigest()[:15], 16)
+                    out[i, h % dim] += -1.0 if (h >> 59) & 1 else 1.0
+            norms = np.sqrt((out * out).sum(axis=1, keepdims=True))
+            return (out / np.where(norms == 0, 1.0, norms)).astype(np.float32)
         return enc
     return factory
 

@@ -80,10 +80,20 @@ register("tfidf_transfer", with_views(f"SELECT item_id, term, {R('weight')} AS w
     + S.tfidf_vocab_ctes("t_", "docs", max_features=1024) + S.tfidf_weight_ctes("b_", "bench", "item_id", "t_voc")))(
     _transfer)
 
-register("embed_batches")(
-    lambda spark, d: FT.embed_batches(fx.table(spark, d, "documents").select("doc_id", "text"), "text", dim=64)
-    .select("doc_id", F.size("features").alias("dim"),
-            F.round(F.sqrt(F.aggregate("features", F.lit(0.0), lambda s, x: s + x * x)), 6).alias("norm")))
+def _embed(spark, d):
+    e = FT.embed_batches(fx.table(spark, d, "documents").select("doc_id", "text"), "text", dim=64)
+    return (e.select("doc_id", F.posexplode("features").alias("bucket", "value")).filter(F.col("value") != 0)
+             .withColumn("value", F.round(F.col("value").cast("double"), 6)))
+
+
+register("embed_batches", f"""
+SELECT doc_id, bucket, round(CAST(CAST(s / sqrt(sum(s * s) OVER (PARTITION BY doc_id)) AS FLOAT) AS DOUBLE), 6) AS value
+FROM (SELECT doc_id, CAST(h % 64 AS INTEGER) AS bucket,
+             sum(CASE WHEN (h >> 59) & 1 = 1 THEN -1.0 ELSE 1.0 END) AS s
+      FROM (SELECT doc_id, {S.draw(0, 'w')} AS h
+            FROM (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}_]+')) AS w FROM documents) t) u
+      GROUP BY doc_id, bucket) v
+QUALIFY s <> 0""")(_embed)
 
 
 def _mean_pool(spark, d):
