@@ -74,8 +74,11 @@ def global_rank(df: DataFrame, order_by, rank_col: str = "rank",
     """
     keys = _cols(order_by)
     sort_keys = [k.desc() for k in keys] if descending else [k.asc() for k in keys]
-    p = num_partitions or _num_partitions(df)
-    staged = (df.repartitionByRange(p, *sort_keys)
+    # Without an explicit count AQE may coalesce adjacent range partitions (order is kept),
+    # so the partition count follows the data size up to spark.sql.shuffle.partitions.
+    ranged = (df.repartitionByRange(num_partitions, *sort_keys) if num_partitions
+              else df.repartitionByRange(*sort_keys))
+    staged = (ranged
                 .sortWithinPartitions(*sort_keys)
                 .withColumn("_nf_mid", F.monotonically_increasing_id()))
     staged = reliable_checkpoint(staged).withColumn(
