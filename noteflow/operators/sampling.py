@@ -12,47 +12,67 @@ from .sorting import head_rows, sort_by_date, tail_rows
 
 
 def negative_samples(df: DataFrame, change_cols, scheme_col: str = "ObservationScheme",
-                     key: str = "obs_id", seed: int = 100, label_col: str = "labels",
-                     len_col: str | None = "ObservationAnswer_len") -> DataFrame:
+                     key="obs_id", seed: int = 100, label_col: str = "labels",
+                     len_col: str | None = "ObservationAnswer_len", within: str | None = None) -> DataFrame:
     """For every row, take ``change_cols`` from a uniformly drawn row of a
-    *different* scheme; label 0.  O(n): one range-partitioned rank and one
-    equi-join, no per-row filtering.
-
-    Rows indexed by (scheme, key) occupy a contiguous block ``[lo_s, lo_s+m_s)``
-    per scheme.  A row of scheme s draws ``r = draw(seed, key) mod (n - m_s)``
-    and takes index ``r`` if ``r < lo_s`` else ``r + m_s`` - uniform over all rows
-    of other schemes.  The donor index is unique, so the join never fans out,
-    and targets are uniform, so it is not skewed.  A hot scheme is spread over
-    many range partitions by the global rank.
+    *different* scheme (and, with ``within``, the same value of that column, e.g.
+    answers draw from answers and comments from comments); label 0.  O(n): one
+    range-partitioned rank and one equi-join, no per-row filtering.
+
+    Rows indexed by (within, scheme, key) occupy a contiguous block
+    ``[lo_s, lo_s+m_s)`` per scheme inside the part ``[p_lo, p_lo+p_n)``.  A row
+    of scheme s draws ``r = draw(seed, key) mod (p_n - m_s)`` and takes index
+    ``p_lo + r`` if ``r < lo_s - p_lo`` else ``p_lo + r + m_s`` - uniform over the
+    part's rows of other schemes.  The donor index is unique, so the join never
+    fans out, and targets are uniform, so it is not skewed.  A hot scheme is
+    spread over many range partitions by the global rank.
     """
     keys = [key] if isinstance(key, str) else list(key)
+    parts = [within] if within else []
     change = list(change_cols) + ([len_col] if len_col and len_col in df.columns else [])
-    ranked = global_rank(df, [scheme_col, *keys], "_nf_idx").withColumn("_nf_idx", F.col("_nf_idx") - 1)
-    blocks = ranked.groupBy(scheme_col).agg(F.min("_nf_idx").alias("_nf_lo"),
-                                            F.count(F.lit(1)).alias("_nf_m"))
-    got = blocks.limit(BROADCAST_MAX_ROWS + 1).collect()     # one row per scheme
+    ranked = (global_rank(df, [*parts, scheme_col, *keys], "_nf_idx")
+              .withColumn("_nf_idx", F.col("_nf_idx") - 1))
+    group = [*parts, scheme_col]
+    blocks = ranked.groupBy(*group).agg(F.min("_nf_idx").alias("_nf_lo"), F.count(F.lit(1)).alias("_nf_m"))
+    got = blocks.limit(BROADCAST_MAX_ROWS + 1).collect()     # one row per (part, scheme)
     if len(got) <= BROADCAST_MAX_ROWS:
-        n, mx = sum(b["_nf_m"] for b in got), max((b["_nf_m"] for b in got), default=0)
-        stype = dict(ranked.dtypes)[scheme_col]
-        blocks_side = values_df(df.sparkSession, [(b[scheme_col], b["_nf_lo"], b["_nf_m"]) for b in got],
-                                f"{scheme_col} {stype}, _nf_lo bigint, _nf_m bigint")
-        blocks_side = F.broadcast(blocks_side)
+        span: dict = {}
+        for b in got:
+            pk = b[within] if within else None
+            lo, n = span.get(pk, (b["_nf_lo"], 0))
+            span[pk] = (min(lo, b["_nf_lo"]), n + b["_nf_m"])
+        for pk, (_, n) in span.items():
+            if any(b["_nf_m"] == n for b in got if (b[within] if within else None) == pk):
+                raise ValueError("negative sampling needs at least two schemes" + (f" in {within}={pk}" if within else ""))
+        dtypes = dict(ranked.dtypes)
+        schema = ", ".join([f"{c} {dtypes[c]}" for c in group] + ["_nf_lo bigint", "_nf_m bigint", "_nf_plo bigint",
+                                                                   "_nf_pn bigint"])
+        rows = [tuple(b[c] for c in group) + (b["_nf_lo"], b["_nf_m"],
+                                               *span[b[within] if within else None]) for b in got]
+        side = F.broadcast(values_df(df.sparkSession, rows, schema))
     else:
-        stats = blocks.agg(F.sum("_nf_m").alias("n"), F.max("_nf_m").alias("mx")).first()
-        n, mx, blocks_side = stats["n"] or 0, stats["mx"] or 0, blocks
-    if n and mx == n:
-        raise ValueError("negative sampling needs at least two schemes")
-    r = F.col("_nf_draw") % (F.lit(n) - F.col("_nf_m"))
-    rows = (ranked.join(blocks_side, ranked[scheme_col].eqNullSafe(blocks_side[scheme_col]))
-                  .drop(blocks_side[scheme_col])
-                  .withColumn("_nf_draw", draw(seed, *keys))
-                  .withColumn("_nf_t", F.when(r < F.col("_nf_lo"), r).otherwise(r + F.col("_nf_m"))))
+        if parts:
+            pspan = blocks.groupBy(*parts).agg(F.min("_nf_lo").alias("_nf_plo"), F.sum("_nf_m").alias("_nf_pn"))
+            side = blocks.join(pspan, parts)
+        else:
+            total = blocks.agg(F.sum("_nf_m")).first()[0] or 0
+            side = blocks.withColumns({"_nf_plo": F.lit(0).cast("bigint"), "_nf_pn": F.lit(total).cast("bigint")})
+        if side.filter(F.col("_nf_m") == F.col("_nf_pn")).limit(1).count():
+            raise ValueError("negative sampling needs at least two schemes")
+    cond = [ranked[c].eqNullSafe(side[c]) for c in group]
+    out = ranked.join(side, cond)
+    for c in group:
+        out = out.drop(side[c])
+    r = F.col("_nf_draw") % (F.col("_nf_pn") - F.col("_nf_m"))
+    rows_ = (out.withColumn("_nf_draw", draw(seed, *keys))
+                .withColumn("_nf_t", F.col("_nf_plo") + F.when(r < F.col("_nf_lo") - F.col("_nf_plo"), r)
+                            .otherwise(r + F.col("_nf_m"))))
     donors = ranked.select(F.col("_nf_idx").alias("_nf_t"), *[F.col(c).alias("_nf_d_" + c) for c in change])
-    out = rows.join(donors, "_nf_t")
+    joined = rows_.join(donors, "_nf_t")
     for c in change:
-        out = out.withColumn(c, F.col("_nf_d_" + c))
-    return (out.withColumn(label_col, F.lit(0))
-               .select(*[c for c in df.columns], *( [label_col] if label_col not in df.columns else [])))
+        joined = joined.withColumn(c, F.col("_nf_d_" + c))
+    return (joined.withColumn(label_col, F.lit(0))
+                  .select(*[c for c in df.columns], *([label_col] if label_col not in df.columns else [])))
 
 
 def pos_neg(pos: DataFrame, change_cols, scheme_col: str = "ObservationScheme", key: str = "obs_id",

@@ -145,13 +145,10 @@ def sentence_scoring_pipeline(answers: DataFrame, comments: DataFrame, superuser
                               comments.withColumnRenamed(order_by[0], "c_turn"), keys)
     com = clean.comments_as_answers(com)
     pos_c = sentence_rows(com, keys + order_by + ["c_turn"], "comment", min_tokens)
-    parts = []
-    for p in (pos_a, pos_c):
-        neg = sampling.negative_samples(p, ["ObservationAnswer"], "ObservationScheme", key_cols, seed)
-        parts += [p, neg]
-    u = parts[0]
-    for p in parts[1:]:
-        u = u.unionByName(p)
+    pos = pos_a.unionByName(pos_c)
+    # answers draw their negatives from answers, comments from comments: one shared rank
+    neg = sampling.negative_samples(pos, ["ObservationAnswer"], "ObservationScheme", key_cols, seed, within="src")
+    u = pos.unionByName(neg)
     u = u.withColumn("SchemeAnswer", T.combine_fields("ObservationScheme", "ObservationAnswer",
                                                       version=combine_version))
     from ..operators import sorting

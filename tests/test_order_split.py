@@ -146,3 +146,22 @@ def test_results_do_not_depend_on_shuffle_partitions(spark, key):
         finally:
             spark.conf.set("spark.sql.shuffle.partitions", "8")
     assert results[0] == results[1]
+
+
+def test_negative_samples_within_part_and_large_dimension_path(spark, monkeypatch):
+    rows = [(i, ["a", "b", "c"][i % 3], "x" if i < 40 else "y") for i in range(90)]
+    df = spark.createDataFrame([(k, g, p, f"{p}{g}{k}") for k, g, p in rows],
+                               "obs_id long, ObservationScheme string, src string, ObservationAnswer string")
+    fast = sampling.negative_samples(df, ["ObservationAnswer"], "ObservationScheme", "obs_id", 5, within="src")
+    got = {r["obs_id"]: r for r in fast.collect()}
+    for k, g, p in rows:
+        ans = got[k]["ObservationAnswer"]
+        assert ans[0] == p and ans[1] != g             # same part, other scheme
+    plain = sorted(map(tuple, sampling.negative_samples(df, ["ObservationAnswer"], "ObservationScheme",
+                                                        "obs_id", 5).collect()))
+    monkeypatch.setattr(sampling, "BROADCAST_MAX_ROWS", 1)   # force the shuffle-join path
+    slow = sampling.negative_samples(df, ["ObservationAnswer"], "ObservationScheme", "obs_id", 5, within="src")
+    assert {r["obs_id"]: r["ObservationAnswer"] for r in slow.collect()} == \
+        {k: r["ObservationAnswer"] for k, r in got.items()}
+    slow_plain = sampling.negative_samples(df, ["ObservationAnswer"], "ObservationScheme", "obs_id", 5)
+    assert plain == sorted(map(tuple, slow_plain.collect()))
