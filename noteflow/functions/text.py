@@ -45,11 +45,16 @@ def tokens_to_string(c) -> Column:
     return F.array_join(_c(c), " ")
 
 
-def split_sentences(c) -> Column:
+def split_sentences(c, mode: str = "rule", language: str = "da", country: str = "DK") -> Column:
     """Split after '.', '!' or '?' followed by white space, and at line breaks.
 
-    Returns ``array<string>`` of trimmed, non-empty sentences.
+    Returns ``array<string>`` of trimmed, non-empty sentences.  ``mode='locale'``
+    uses the JVM's locale-aware sentence iterator (Spark ``sentences``) instead;
+    its sentences are word lists without punctuation, joined here by one space.
     """
+    if mode == "locale":
+        words = F.sentences(_c(c), F.lit(language), F.lit(country))
+        return F.filter(F.transform(words, lambda ws: F.array_join(ws, " ")), lambda x: x != "")
     marked = F.regexp_replace(_c(c), r"([.!?])\s+", "$1\n")
     parts = F.transform(F.split(marked, r"\n+"), lambda x: F.trim(x))
     return F.filter(parts, lambda x: x != "")

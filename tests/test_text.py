@@ -60,3 +60,8 @@ def test_combine_fields_and_scheme_of_text(spark):
                   T.combine_fields("s", "a", "q", 1).alias("qa"),
                   T.scheme_of_text(T.combine_fields("s", "a", version=2)).alias("sch")).first()
     assert (r.v0, r.v2, r.qa, r.sch) == ("Puls  ,Hej", "[CLS] Puls [SEP] Hej", "Puls [SEP] q [SEP] Hej", "[CLS] Puls")
+
+
+def test_split_sentences_locale_mode(spark):
+    out = one(spark, ["Hej med dig. Hvordan går det? Fint."], F.array_join(T.split_sentences("s", mode="locale"), "|"))
+    assert out == ["Hej med dig|Hvordan går det|Fint"]
