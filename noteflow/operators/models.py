@@ -130,13 +130,51 @@ class LinearModel:
                            [r["class"] for r in rows])
 
 
-def moments(df: DataFrame, features: str, label: str, weight: str | None = None):
-    """One pass: per-partition numpy partials of X'WX, sum w x, sum w, and per-class
-    sums / weights, added up by one ``Summarizer.sum``.  Labels must be codes 0..K-1."""
+CHUNK = 65_536   # doubles per reduced piece of a moment partial (512 KB)
+
+
+def _sum_partials(parts: DataFrame, length: int) -> dict:
+    """Sum per-partition partial vectors ``(g int, m array<double>)`` by ``g``.
+
+    Each partial is cut into CHUNK-sized pieces; pieces are summed per (g, piece)
+    in two levels (~sqrt(P) buckets, then across buckets), so no buffer exceeds a
+    piece and the final reduction is spread over (groups x pieces) tasks."""
+    n_chunks = max(1, -(-length // CHUNK))
+    n_parts = parts.rdd.getNumPartitions()
+    buckets = max(1, int(np.ceil(np.sqrt(n_parts))))
+    pieces = F.transform(F.sequence(F.lit(0), F.lit(n_chunks - 1)),
+                         lambda i: F.struct(i.alias("c"), F.slice("m", i * CHUNK + 1, CHUNK).alias("p")))
+    ex = (parts.withColumn("_nf_b", F.spark_partition_id() % buckets)
+               .select("g", "_nf_b", F.explode(pieces).alias("x"))
+               .select("g", "_nf_b", F.col("x.c").alias("c"), array_to_vector(F.col("x.p")).alias("v")))
+    level1 = ex.groupBy("g", "c", "_nf_b").agg(Summarizer.sum(F.col("v")).alias("v"))
+    level2 = level1.groupBy("g", "c").agg(Summarizer.sum(F.col("v")).alias("v"))
+    out: dict = {}
+    for r in level2.collect():
+        out.setdefault(r["g"], {})[r["c"]] = r["v"].toArray()
+    return {g: np.concatenate([cs[c] for c in range(n_chunks)]) for g, cs in out.items()}
+
+
+def _unpack(v: np.ndarray, d: int, k: int) -> dict:
+    o = 0
+    xtx = v[o:o + d * d].reshape(d, d); o += d * d
+    sx = v[o:o + d]; o += d
+    sw = v[o]; o += 1
+    cs = v[o:o + k * d].reshape(k, d); o += k * d
+    return {"d": d, "k": k, "xtx": xtx, "sx": sx, "sw": sw, "cs": cs, "cw": v[o:o + k]}
+
+
+def moments_by_group(df: DataFrame, features: str, label: str, group: str | None = None,
+                     weight: str | None = None) -> dict:
+    """Moments per value of ``group`` (one group when None) in one pass over the data:
+    X'WX, sum w x, sum w, per-class sum w x and sum w.  Each partition emits one
+    numpy partial per group value it holds; partials are summed by
+    :func:`_sum_partials`.  Labels must be codes 0..K-1."""
     col = F.col(features)
     if isinstance(df.schema[features].dataType, VectorUDT):
         col = vector_to_array(col)
     x = df.select(col.alias("x"), F.col(label).cast("int").alias("y"),
+                  (F.col(group).cast("int") if group else F.lit(0)).alias("g"),
                   (F.col(weight) if weight else F.lit(1.0)).cast("double").alias("w"))
     shape = x.agg(F.max("y").alias("k"), F.max(F.size("x")).alias("d")).first()
     k, d = int(shape["k"]) + 1, int(shape["d"])
@@ -144,38 +182,71 @@ def moments(df: DataFrame, features: str, label: str, weight: str | None = None)
         raise ValueError("too many classes")
 
     def part(it):
-        xtx = np.zeros((d, d)); sx = np.zeros(d); sw = np.zeros(1)
-        cs = np.zeros((k, d)); cw = np.zeros(k)
+        acc = {}
         for pdf in it:
-            if len(pdf) == 0:
-                continue
-            X = np.stack(pdf["x"].to_numpy()).astype(np.float64)
-            w = pdf["w"].to_numpy(dtype=np.float64)
-            y = pdf["y"].to_numpy()
-            xtx += (X * w[:, None]).T @ X
-            sx += w @ X
-            sw += w.sum()
-            np.add.at(cs, y, X * w[:, None])
-            np.add.at(cw, y, w)
-        yield pd.DataFrame({"m": [np.concatenate([xtx.ravel(), sx, sw, cs.ravel(), cw]).tolist()]})
-
-    # One partial (d*d + ...) per input partition.  Sum them as a two-level tree:
-    # ~sqrt(P) buckets first, then the buckets, so no single task merges all P partials.
-    n_parts = x.rdd.getNumPartitions()
-    buckets = max(1, int(np.ceil(np.sqrt(n_parts))))
-    parts = (x.mapInPandas(part, "m array<double>")
-              .withColumn("_nf_b", (F.spark_partition_id() % buckets))
-              .select("_nf_b", array_to_vector("m").alias("v")))
-    level1 = parts.groupBy("_nf_b").agg(Summarizer.sum(F.col("v")).alias("v"))
-    tot = level1.agg(Summarizer.sum(F.col("v")).alias("s")).first()["s"]
-    v = tot.toArray()
-    o = 0
-    xtx = v[o:o + d * d].reshape(d, d); o += d * d
-    sx = v[o:o + d]; o += d
-    sw = v[o]; o += 1
-    cs = v[o:o + k * d].reshape(k, d); o += k * d
-    cw = v[o:o + k]
-    return {"d": d, "k": k, "xtx": xtx, "sx": sx, "sw": sw, "cs": cs, "cw": cw}
+            for g, sub in pdf.groupby("g"):
+                X = np.stack(sub["x"].to_numpy()).astype(np.float64)
+                w = sub["w"].to_numpy(dtype=np.float64)
+                y = sub["y"].to_numpy()
+                a = acc.setdefault(int(g), [np.zeros((d, d)), np.zeros(d), np.zeros(1), np.zeros((k, d)),
+                                            np.zeros(k)])
+                Xw = X * w[:, None]
+                a[0] += Xw.T @ X
+                a[1] += Xw.sum(axis=0)
+                a[2] += w.sum()
+                np.add.at(a[3], y, Xw)
+                np.add.at(a[4], y, w)
+        rows = [(g, np.concatenate([a[0].ravel(), a[1], a[2], a[3].ravel(), a[4]]).tolist()) for g, a in acc.items()]
+        yield pd.DataFrame(rows, columns=["g", "m"]) if rows else pd.DataFrame(
+            {"g": pd.Series([], dtype="int32"), "m": pd.Series([], dtype=object)})
+
+    parts = x.mapInPandas(part, "g int, m array<double>")
+    sums = _sum_partials(parts, d * d + d + 1 + k * d + k)
+    return {g: _unpack(v, d, k) for g, v in sums.items()}
+
+
+def moments(df: DataFrame, features: str, label: str, weight: str | None = None) -> dict:
+    """One-pass moments of the whole frame (see :func:`moments_by_group`)."""
+    return moments_by_group(df, features, label, None, weight)[0]
+
+
+def _minus(total: dict, part: dict) -> dict:
+    return {**total, **{f: total[f] - part[f] for f in ("xtx", "sx", "sw", "cs", "cw")}}
+
+
+def ridge_grid_cv(df: DataFrame, alphas, folds: int = 3, features: str = "features", label: str = "label",
+                  key: str = "row_id", seed: int = 42) -> DataFrame:
+    """M6 for ridge: cross-validated accuracy of every alpha with two passes over the
+    data in total - one for the per-fold moments (training moments of fold f are
+    the total minus fold f), one scoring pass that predicts each row with the
+    models of its own held-out fold for all alphas at once."""
+    data = kfold(as_vector(df, features), folds, label, key, seed, "fold")
+    per = moments_by_group(data, features, label, "fold")
+    total = None
+    for m in per.values():
+        total = dict(m) if total is None else {**total, **{f: total[f] + m[f] for f in ("xtx", "sx", "sw", "cs", "cw")}}
+    models = {(f, a): ridge_from_moments(_minus(total, per[f]), a) for f in per for a in alphas}
+    spark = df.sparkSession
+    bc = spark.sparkContext.broadcast({fa: (m.coef.T.copy(), m.intercept.copy()) for fa, m in models.items()})
+    alist = list(alphas)
+
+    @F.pandas_udf("array<int>")
+    def _preds(x: pd.Series, fold: pd.Series) -> pd.Series:
+        mats = bc.value
+        X = np.stack(x.to_numpy()).astype(np.float64) if len(x) else np.zeros((0, 1))
+        out = np.zeros((len(x), len(alist)), dtype=np.int32)
+        for f in np.unique(fold.to_numpy()):
+            rows = fold.to_numpy() == f
+            for j, a in enumerate(alist):
+                w, b = mats[(int(f), a)]
+                out[rows, j] = np.argmax(X[rows] @ w + b, axis=1)
+        return pd.Series(list(out))
+
+    scored = data.withColumn("_nf_p", _preds(vector_to_array(features), F.col("fold")))
+    hits = scored.agg(*[F.avg((F.col("_nf_p")[j] == F.col(label).cast("int")).cast("double")).alias(f"a{j}")
+                        for j in range(len(alist))]).first()
+    return spark.createDataFrame([(float(a), float(hits[f"a{j}"])) for j, a in enumerate(alist)],
+                                 "alpha double, cv_accuracy double")
 
 
 def ridge_from_moments(m: dict, alpha: float) -> LinearModel:

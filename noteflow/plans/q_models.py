@@ -205,6 +205,8 @@ def _random(spark, d):
 from pyspark.ml.classification import LogisticRegression  # noqa: E402
 
 register("grid_search")(_grid)
+register("ridge_grid_cv")(lambda spark, d: M.ridge_grid_cv(_train(_model_data(spark, d)).drop("split"),
+                                                           [0.1, 1.0, 10.0], folds=3))
 register("random_search")(_random)
 
 

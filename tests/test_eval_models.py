@@ -101,3 +101,17 @@ def test_scheme_drilldown_by_name_and_position(spark):
     by_pos = E.scheme_drilldown(df, 1, 2, "k").collect()      # 'A' is position 0, 'B' position 1
     assert sorted(map(tuple, by_name)) == sorted(map(tuple, by_pos))
     assert {r["outcome"] for r in by_name} == {"TP", "FN"} and len(by_name) == 4
+
+
+def test_ridge_grid_cv_matches_per_fold_fits(spark):
+    df, X, y = _xy(spark, n=240)
+    from noteflow.operators.split import kfold
+    table = {r["alpha"]: r["cv_accuracy"] for r in M.ridge_grid_cv(df, [0.5, 5.0], folds=3).collect()}
+    data = kfold(df, 3, "label", "row_id", 42, "fold")
+    for a in (0.5, 5.0):
+        hits = 0
+        for f in range(3):
+            model = M.fit_ridge(data.filter(F.col("fold") != f), alpha=a)
+            p = M.predict(model, data.filter(F.col("fold") == f))
+            hits += p.filter(F.col("y_pred") == F.col("label")).count()
+        assert table[a] == pytest.approx(hits / 240)
