@@ -63,8 +63,9 @@ def tfidf_fit(df: DataFrame, tokens_col: str, min_df: float = 1, max_df: float =
     """F1 fit.  ``min_df``/``max_df``: int = document count, float = share of documents."""
     t = df.select(F.col(tokens_col).alias("_nf_t")).persist()  # feeds the count and both aggregates
     n = t.count()
-    cf = t.select(F.explode("_nf_t").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("cf"))
-    dfq = (t.select(F.explode(F.array_distinct("_nf_t")).alias("term"))
+    cf = (t.select(F.explode_outer("_nf_t").alias("term")).filter(F.col("term").isNotNull())
+           .groupBy("term").agg(F.count(F.lit(1)).alias("cf")))
+    dfq = (t.select(F.explode_outer(F.array_distinct("_nf_t")).alias("term")).filter(F.col("term").isNotNull())
             .groupBy("term").agg(F.count(F.lit(1)).alias("df")))
     lo = min_df if isinstance(min_df, int) else min_df * n
     hi = max_df if isinstance(max_df, int) else max_df * n
@@ -107,7 +108,9 @@ def tfidf_weights(df: DataFrame, model: TfidfModel, id_col: str, tokens_col: str
     v = bounded_broadcast(model.vocab.select("term", "term_id", "idf"), MAX_VOCAB)
     # drop out-of-vocabulary tokens before the per-document count, so the shuffle
     # carries only in-vocabulary (document, term) pairs
-    tf = (df.select(id_col, F.explode(col).alias("term")).join(v, "term")
+    # explode_outer + null filter: an inner explode makes Catalyst infer size(tokens) > 0
+    # below the projection, which would run the tokenizer twice per document
+    tf = (df.select(id_col, F.explode_outer(col).alias("term")).filter(F.col("term").isNotNull()).join(v, "term")
             .groupBy(id_col, "term", "term_id", "idf").agg(F.count(F.lit(1)).alias("tf")))
     w = tf.withColumn("w", F.col("tf") * F.col("idf"))
     # per-document L2 norm over the document's in-vocabulary terms (at most the
