@@ -15,8 +15,6 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
-    # drop reliable-checkpoint files once the DataFrames that use them are released
-    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
