@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -121,8 +123,19 @@ def concat_sorted(df1: DataFrame, df2: DataFrame, date_col: str = "LastUpdateDat
 
 def append_tail(df: DataFrame, extra: DataFrame, n: int, order_by, key: str, seed: int = 0,
                 pos_col: str = "pos") -> DataFrame:
-    """Append the last ``n`` rows of ``extra`` (all of them if fewer) and shuffle."""
-    u = df.unionByName(tail_rows(extra, n, order_by), allowMissingColumns=True)
+    """Append the last ``n`` rows of ``extra`` (all of them, with a warning, if
+    fewer are available) and shuffle."""
+    from .order import TOPN_CUTOFF_MAX, _key_struct, _lit_key, cutoff_key
+    if 0 < n <= TOPN_CUTOFF_MAX:
+        k = cutoff_key(extra, n, order_by)
+        if k is None:
+            warnings.warn(f"append_tail: fewer than {n} rows available; appending all of them", stacklevel=2)
+            tail = extra
+        else:
+            tail = extra.filter(_key_struct(order_by) >= _lit_key(extra, order_by, k))
+    else:
+        tail = tail_rows(extra, n, order_by)
+    u = df.unionByName(tail, allowMissingColumns=True)
     return shuffle_rows(u, key, seed, pos_col)
 
 

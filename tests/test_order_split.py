@@ -165,3 +165,12 @@ def test_negative_samples_within_part_and_large_dimension_path(spark, monkeypatc
         {k: r["ObservationAnswer"] for k, r in got.items()}
     slow_plain = sampling.negative_samples(df, ["ObservationAnswer"], "ObservationScheme", "obs_id", 5)
     assert plain == sorted(map(tuple, slow_plain.collect()))
+
+
+def test_append_tail_warns_when_short(spark):
+    base = spark.createDataFrame([(i, "a") for i in range(5)], "k long, c string")
+    extra = spark.createDataFrame([(100 + i, "b") for i in range(3)], "k long, c string")
+    with pytest.warns(UserWarning):
+        out = sampling.append_tail(base, extra, 10, ["k"], "k", 0)
+    assert out.count() == 8
+    assert sampling.append_tail(base, extra, 2, ["k"], "k", 0).filter("c = 'b'").count() == 2
