@@ -39,9 +39,21 @@ def time_split3(df: DataFrame, order_by, n: int | None = None, rate_pct: float |
     """SP3: test = last m rows, val = the m rows before, train = the rest.
 
     ``m = n`` if given, else ``int(count * rate_pct / 100)``; m = 0 -> all train.
+    When 2m exceeds the row count the parts follow positional slicing with
+    wrapped negative starts (``data[n-m:]``, then ``x[len(x)-m:]``), as the
+    slices of an in-memory table would.
     """
-    m = n if n else int(df.count() * (rate_pct or 0) / 100)
-    f = last_n_flag(last_n_flag(df, m, order_by, "_nf_t"), 2 * m, order_by, "_nf_v")
+    total = df.count()
+    m = n if n else int(total * (rate_pct or 0) / 100)
+
+    def start(length: int, back: int) -> int:
+        # start index of the slice [length - back:], with Python's wrap of negative starts
+        s = length - back
+        return s if s >= 0 else max(0, length + s)
+
+    test_start = start(total, m)              # rows [test_start, total) are test
+    val_start = start(test_start, m)          # rows [val_start, test_start) are val
+    f = last_n_flag(last_n_flag(df, total - test_start, order_by, "_nf_t"), total - val_start, order_by, "_nf_v")
     return (f.withColumn(split_col, F.when(F.col("_nf_t"), "test").when(F.col("_nf_v"), "val")
                          .otherwise("train")).drop("_nf_t", "_nf_v"))
 

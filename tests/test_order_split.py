@@ -174,3 +174,17 @@ def test_append_tail_warns_when_short(spark):
         out = sampling.append_tail(base, extra, 10, ["k"], "k", 0)
     assert out.count() == 8
     assert sampling.append_tail(base, extra, 2, ["k"], "k", 0).filter("c = 'b'").count() == 2
+
+
+@pytest.mark.parametrize("n,m", [(10, 0), (10, 3), (10, 6), (10, 10), (10, 12), (7, 4)])
+def test_time_split3_matches_positional_slices(spark, n, m):
+    df = spark.createDataFrame([(i,) for i in range(n)], "k long")
+    got = {r["k"]: r["split"] for r in split.time_split3(df, ["k"], n=m).collect()} if m else \
+        {r["k"]: r["split"] for r in split.time_split3(df, ["k"], rate_pct=0).collect()}
+    data = list(range(n))
+    x, test = data[0:n - m], data[n - m:]
+    train, val = x[0:len(x) - m], x[len(x) - m:]
+    if m == 0:
+        train, val, test = data, [], []
+    want = {**{k: "train" for k in train}, **{k: "val" for k in val}, **{k: "test" for k in test}}
+    assert got == want
