@@ -65,7 +65,10 @@ def transfer_split(df: DataFrame, transfer_df: DataFrame, transfer_type: int, n_
     type 1: train = own rest, val = transfer;  type 2: train = transfer, val = own rest;
     type 3: as type 1, and the transfer set is also appended to train.
     """
-    own = last_n_flag(df, n_test, order_by, "_nf_t")
+    total = df.count()
+    s0 = total - n_test
+    n_last = total - (s0 if s0 >= 0 else max(0, total + s0))   # rows of data[n - n_test:]
+    own = last_n_flag(df, n_last, order_by, "_nf_t")
     rest = "val" if transfer_type == 2 else "train"
     own = own.withColumn(split_col, F.when(F.col("_nf_t"), "test").otherwise(rest)).drop("_nf_t")
     tr_name = "train" if transfer_type == 2 else "val"
