@@ -41,3 +41,11 @@ def test_dedup_last_is_idempotent(spark):
     a = sorted(r["doc_id"] for r in once.collect())
     assert a == sorted(r["doc_id"] for r in twice.collect())
     assert len(a) == o.select("lang", "text").distinct().count()
+
+
+def test_values_df_roundtrips_awkward_strings(spark):
+    from noteflow.session import values_df
+    vals = ["it's", "back\\slash", "\\N", "tab\there", "næste 'x' \\' y", "", None, "%_$", "line\nbreak"]
+    df = values_df(spark, [(v, i) for i, v in enumerate(vals)], "s string, i bigint")
+    got = {r["i"]: r["s"] for r in df.collect()}
+    assert [got[i] for i in range(len(vals))] == vals
