@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 
 from ..operators import evaluate as E
 from ..operators import features as FT
-from ..operators import sorting
 from ..operators.split import random_split
 from . import fixtures as fx
 from . import sqlsnip as S

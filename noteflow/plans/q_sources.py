@@ -13,7 +13,6 @@ from .. import sources as SRC
 from ..operators import evaluate as E
 from ..operators.split import time_split3
 from . import fixtures as fx
-from . import sqlsnip as S
 from .fixtures import with_views
 from .q_eval import _METRIC_COLS, _P10, _macro_sql, _pred, _round
 from .registry import register
