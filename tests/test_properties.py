@@ -32,3 +32,45 @@ def test_negative_samples_take_other_scheme_rows(spark, rows, seed):
     for r in out:
         assert donors[r["ObservationAnswer"]] != r["ObservationScheme"]
         assert r["labels"] == 0
+
+
+def _py_is_number_or_date(s):
+    import datetime
+    import re
+
+    from noteflow.functions.constants import DATE_DMY_PATTERN, DATE_YMD_PATTERN, NUMBER_PATTERN
+    if s is None:
+        return False
+    if re.search(NUMBER_PATTERN, s):
+        return True
+
+    def valid(y, m, d):
+        try:
+            datetime.date(y, m, d)
+            return True
+        except ValueError:
+            return False
+    g = re.search(DATE_YMD_PATTERN, s)
+    if g and valid(int(g.group(1)), int(g.group(2)), int(g.group(3))):
+        return True
+    g = re.search(DATE_DMY_PATTERN, s)
+    if g:
+        a, b, y = int(g.group(1)), int(g.group(2)), int(g.group(3))
+        return valid(y, a, b) or valid(y, b, a)
+    return False
+
+
+texts = st.text(alphabet=st.sampled_from(list("0123456789/-.: eEaInfity+T")), min_size=0, max_size=16)
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(values=st.lists(texts, min_size=20, max_size=60))
+def test_number_date_grammar_matches_python(spark, values):
+    from noteflow.operators import clean
+    extra = ["2020/02/29", "2021/02/29", "31-12-2020", "12-31-2020", "1e5", " 7 ", "-inf", "Infinity", "10:30",
+             "2020-1-2 10:30", "2020-01-02T10:30:00.5", "13/13/2020"]
+    rows = [(i, v) for i, v in enumerate(values + extra)]
+    df = spark.createDataFrame(rows, "i int, s string")
+    kept = {r["i"] for r in clean.drop_date_numeric(df, ["s"]).collect()}
+    for i, v in rows:
+        assert (i not in kept) == _py_is_number_or_date(v), repr(v)
