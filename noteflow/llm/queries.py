@@ -6,10 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, langid, packing, quality
+from . import decontam, langid, minhash, packing, quality, substrings
 from .util import prepare
 
 _OPS = [
+    substrings.op1_longest_previous_factor,
+    minhash.op2_bbit_minhash,
     langid.op3_language_bitmask,
     packing.op5_best_fit_packing,
     quality.op8_hierarchical_quality,
