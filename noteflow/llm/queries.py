@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, langid, minhash, packing, quality, substrings
+from . import decontam, langid, lines, minhash, packing, quality, substrings
 from .util import prepare
 
 _OPS = [
@@ -15,6 +15,7 @@ _OPS = [
     langid.op3_language_bitmask,
     packing.op5_best_fit_packing,
     quality.op8_hierarchical_quality,
+    lines.op9_line_suffix_array,
     decontam.op10_greedy_tiling,
 ]
 
@@ -32,4 +33,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op9_line_suffix_array": lines.OP9_SQL}
