@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, langid, lines, minhash, packing, quality, substrings
+from . import decontam, langid, lines, minhash, packing, quality, substrings, vectors
 from .util import prepare
 
 _OPS = [
     substrings.op1_longest_previous_factor,
     minhash.op2_bbit_minhash,
     langid.op3_language_bitmask,
+    vectors.op4_subspace_pigeonhole,
     packing.op5_best_fit_packing,
     quality.op8_hierarchical_quality,
     lines.op9_line_suffix_array,
