@@ -69,8 +69,8 @@ def _tables(n: int):
     return _TABLES[size]
 
 
-def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of every word of the texts, and the text it is in."""
+def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of every word of the texts: its hash, the text it is in, and its last two bytes."""
     data = np.frombuffer(b" ".join(texts) + b" ", np.uint8)
     space = SPACE[data]
     start = np.flatnonzero(~space & np.append(True, space[:-1]))
@@ -79,19 +79,27 @@ def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     total = np.concatenate([[_U(0)], np.cumsum((data + _U(1)) * up[:len(data)], dtype=np.uint64)])
     h = mix((total[end] - total[start]) * down[start] + (end - start).astype(np.uint64))
     ends = np.cumsum([len(t) + 1 for t in texts])
-    return h, np.searchsorted(ends, start, "right")
+    tail = data[end - 1].astype(np.int64) | np.where(end - start > 1, data[end - 2], 0).astype(np.int64) << 8
+    return h, np.searchsorted(ends, start, "right"), tail
 
 
-def shingle_sets(texts: list[bytes | None], size: int):
-    """The sorted distinct shingle hashes of each text."""
+def text_blocks(texts: list[bytes | None]):
+    """(place of the first, texts in lower case) about ``BLOCK`` bytes at a time."""
     at = 0
     while at < len(texts):
         stop, n = at, 0
         while stop < len(texts) and (stop == at or n + len(texts[stop] or b"") < BLOCK):
             n += len(texts[stop] or b"") + 1
             stop += 1
-        h, owner = word_hashes([(t or b"").lower() for t in texts[at:stop]])
-        cuts = np.searchsorted(owner, np.arange(stop - at + 1))
+        yield at, [(t or b"").lower() for t in texts[at:stop]]
+        at = stop
+
+
+def shingle_sets(texts: list[bytes | None], size: int):
+    """The sorted distinct shingle hashes of each text."""
+    for _, block in text_blocks(texts):
+        h, owner, _ = word_hashes(block)
+        cuts = np.searchsorted(owner, np.arange(len(block) + 1))
         for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
             w = h[a:b]
             k = min(size, len(w))
@@ -102,7 +110,6 @@ def shingle_sets(texts: list[bytes | None], size: int):
             for i in range(k):
                 s = mix(s * _U(0x632BE59BD9B4E019) + w[i:len(w) - k + 1 + i])
             yield np.unique(s)
-        at = stop
 
 
 def minima(s: np.ndarray) -> np.ndarray:
