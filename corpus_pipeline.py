@@ -12,8 +12,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from noteflow.llm import decontam, packing, quality
-from noteflow.llm.util import prepare, table
+from noteflow.llm import decontam, lines, minhash, packing, quality
+from noteflow.llm.util import WORD, prepare, table
 from noteflow.session import checkpoint_dir
 
 
@@ -22,7 +22,22 @@ def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     prepare(spark)
     model = quality.fit_classifier(docs, table(spark, sf_dir, "labels"))
     bad = quality.classify(docs, model).where("NOT kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias("_bad")).distinct()
-    return docs.join(bad, docs["doc_id"] == F.col("_bad"), "left_anti")
+    return docs.join(bad, docs["doc_id"] == bad["_bad"], "left_anti")
+
+
+def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the later copies of repeated line runs; ``n_chars`` follows the text,
+    and a document that loses all its words goes."""
+    prepare(spark)
+    cut = lines.dedup_lines(docs, counts=True).where((F.col("_n_removed") == 0) | F.col("text").rlike(WORD))
+    n_chars = F.when(F.col("_n_removed") > 0, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)
+    return cut.withColumn("n_chars", n_chars).select(*docs.columns)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates (five-word shingles, similarity 0.8)."""
+    prepare(spark)
+    return minhash.without_near_duplicates(docs, shingle_words=5, percent=80)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,6 +54,8 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [
     ("quality classifier", drop_low_quality),
+    ("line dedup", drop_repeated_lines),
+    ("MinHash near-dedup", drop_near_duplicates),
     ("benchmark decontamination", drop_contaminated),
     ("best-fit packing", pack),
 ]

@@ -152,7 +152,7 @@ def without_contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> Da
     """``docs`` less every row whose id matched an item; rows without an id stay."""
     bad = contamination(docs, benchmark, **options).select(F.col("doc_id").alias("_bad")).distinct()
     key = docs[options.get("id_col", "doc_id")].cast("long")
-    return docs.join(bad, key == F.col("_bad"), "left_anti")
+    return docs.join(bad, key == bad["_bad"], "left_anti")
 
 
 def op10_greedy_tiling(spark, sf_dir: str) -> DataFrame:

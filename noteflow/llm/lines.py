@@ -125,24 +125,23 @@ def dedup_lines(docs: DataFrame, min_words: int = 30, id_col: str = "doc_id", te
     runs = repeated_runs(docs, min_words, id_col, text_col)
     cuts = runs.groupBy("_ord", "_h").agg(F.array_sort(F.collect_list(F.struct("_first", "_last"))).alias("_cuts")) \
                .select(F.col("_ord").alias("_ord2"), F.col("_h").alias("_h2"), "_cuts")
-    o, h = doc_key(id_col, text_col)
-    keyed = docs.withColumn("_ord", o).withColumn("_h", h)
-    joined = keyed.join(cuts, (F.col("_ord") == F.col("_ord2")) & (F.col("_h") == F.col("_h2")), "left")
-    lines = F.split(F.col(text_col).cast("string"), "\n", -1)
+    # the row as a struct: its columns can't clash with ours
+    rows = docs.select(F.struct("*").alias("_row"), *doc_key(id_col, text_col))
+    text = F.col("_row")[text_col].cast("string")
+    joined = rows.join(cuts, (F.col("_ord") == F.col("_ord2")) & (F.col("_h") == F.col("_h2")), "left")
     # what lies between the runs, piece by piece
-    n_cuts = F.size("_cuts")
+    lines = F.split(text, "\n", -1)
     begin = F.concat(F.array(F.lit(0)), F.transform("_cuts", lambda c: c["_last"] + 1))
-    end = F.concat(F.transform("_cuts", lambda c: c["_first"]), F.array(F.size("_all")))
-    joined = joined.withColumn("_all", F.when(F.col("_cuts").isNotNull(), lines))
-    kept = F.flatten(F.zip_with(begin, end, lambda a, z: F.slice(F.col("_all"), a + 1, z - a)))
-    out = joined.withColumn(text_col, F.when(F.col("_cuts").isNull(), F.col(text_col)).otherwise(F.array_join(kept, "\n")))
+    end = F.concat(F.transform("_cuts", lambda c: c["_first"]), F.array(F.size(lines)))
+    kept = F.flatten(F.zip_with(begin, end, lambda a, z: F.slice(lines, a + 1, z - a)))
+    new = F.when(F.col("_cuts").isNull(), text).otherwise(F.array_join(kept, "\n"))
+    out = [new.alias(c) if c == text_col else F.col("_row")[c].alias(c) for c in docs.columns]
     if counts:
         removed = F.aggregate("_cuts", F.lit(0), lambda s, c: s + c["_last"] - c["_first"] + 1)
-        out = joined.withColumn("_n_lines", F.coalesce(F.size(lines), F.lit(0)).cast("long")) \
-                    .withColumn("_n_removed", F.coalesce(removed, F.lit(0)).cast("long")) \
-                    .withColumn("_n_runs", F.when(F.col("_cuts").isNull(), 0).otherwise(n_cuts).cast("long")) \
-                    .withColumn(text_col, F.when(F.col("_cuts").isNull(), F.col(text_col)).otherwise(F.array_join(kept, "\n")))
-    return out.drop("_ord", "_h", "_ord2", "_h2", "_cuts", "_all")
+        n_lines = F.when(text.isNull(), 0).otherwise(F.size(lines))
+        out += [n_lines.cast("long").alias("_n_lines"), F.coalesce(removed, F.lit(0)).cast("long").alias("_n_removed"),
+                F.when(F.col("_cuts").isNull(), 0).otherwise(F.size("_cuts")).cast("long").alias("_n_runs")]
+    return joined.select(*out)
 
 
 def op9_line_suffix_array(spark, sf_dir: str) -> DataFrame:

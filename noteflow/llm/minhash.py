@@ -248,7 +248,7 @@ def without_near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: in
                             text_col: str = "text") -> DataFrame:
     """``docs`` with one document of each group: the one with the smallest id."""
     gone = near_duplicates(docs, shingle_words, percent, id_col, text_col).where("NOT kept").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs[id_col].cast("long") == F.col("_gone"), "left_anti")
+    return docs.join(gone, docs[id_col].cast("long") == gone["_gone"], "left_anti")
 
 
 def op2_bbit_minhash(spark, sf_dir: str) -> DataFrame:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, langid, lines, lm, minhash, packing, quality, substrings, vectors
+from . import decontam, langid, licences, lines, lm, minhash, packing, quality, substrings, vectors
 from .util import prepare
 
 _OPS = [
@@ -15,6 +15,7 @@ _OPS = [
     langid.op3_language_bitmask,
     vectors.op4_subspace_pigeonhole,
     packing.op5_best_fit_packing,
+    licences.op6_licence_paragraphs,
     lm.op7_log_bilinear,
     quality.op8_hierarchical_quality,
     lines.op9_line_suffix_array,
