@@ -57,19 +57,21 @@ def split_shapes(df: DataFrame, split_col: str = "split") -> DataFrame:
 
 
 def confusion_matrix(df: DataFrame, y: str = "y_true", yhat: str = "y_pred", wide: bool = False,
-                     labels: list | None = None, max_labels: int = 10_000) -> DataFrame:
+                     labels: list | None = None) -> DataFrame:
     """True x predicted counts.  Long form ``(y, yhat, n)``; wide form pivots the
-    predicted labels (the union of true and predicted labels on both axes)."""
+    predicted labels (the union of true and predicted labels on both axes).  With ``labels``
+    given, predictions outside the list (and null ones) are counted in the column ``other``."""
     long = df.groupBy(y, yhat).agg(F.count(F.lit(1)).alias("n"))
     if not wide:
         return long
-    if labels is None:
-        both = df.select(F.col(y).alias("_l")).union(df.select(F.col(yhat).alias("_l"))).distinct()
-        got = both.limit(max_labels + 1).collect()
-        if len(got) > max_labels:
-            raise ValueError(f"more than {max_labels} labels; use the long form")
-        labels = sorted(r[0] for r in got if r[0] is not None)
-    rows = df.select(F.col(y).alias("_l")).union(df.select(F.col(yhat).alias("_l"))).distinct()
+    rows = long.select(F.explode(F.array(y, F.col(yhat).cast(long.schema[y].dataType))).alias("_l")) \
+               .filter(F.col("_l").isNotNull()).distinct()
+    other = labels is not None
+    if labels is None:   # the pivot's columns
+        labels = sorted(r[0] for r in rows.collect())
     wide_df = long.groupBy(y).pivot(yhat, labels).agg(F.first("n"))
-    full = rows.filter(F.col("_l").isNotNull()).withColumnRenamed("_l", y).join(wide_df, y, "left")
-    return full.fillna(0, subset=[str(v) for v in labels])
+    full = rows.withColumnRenamed("_l", y).join(wide_df, y, "left")
+    if other:
+        rest = long.filter(~F.coalesce(F.col(yhat).isin(*labels), F.lit(False))).groupBy(y).agg(F.sum("n").alias("other"))
+        full = full.join(rest, y, "left")
+    return full.fillna(0, subset=[str(v) for v in labels] + ["other"] * other)

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..functions.constants import CLASSIFIER_THRESHOLDS, LOG_TAGS
 from ..functions.text import scheme_of_text
 from ..session import values_df
-from .order import bounded_broadcast, rank_within
+from .order import bounded_broadcast, dim_rank, rank_within
 
 
 def _c(c) -> Column:
@@ -25,61 +25,76 @@ def _div0(a: Column, b: Column) -> Column:
     return F.when(b > 0, a / b).otherwise(F.lit(0.0))
 
 
+def _same(y: str, yhat: str) -> Column:
+    """Prediction equals label; a null on either side is a miss."""
+    return F.coalesce(F.col(y) == F.col(yhat), F.lit(False))
+
+
 def per_class_counts(df: DataFrame, y: str = "y_true", yhat: str = "y_pred", group=()) -> DataFrame:
-    """TP/FP/FN per class (and group), from the K x K confusion counts."""
+    """TP/FP/FN per class (and group) from the K x K confusion counts, with ``rows`` and
+    ``ok`` (all rows and right ones, counted at the true label); null labels have a row of
+    their own."""
     group = list(group)
     ltype = df.schema[y].dataType
     cm = (df.withColumn(yhat, F.col(yhat).cast(ltype))
             .groupBy(*group, y, yhat).agg(F.count(F.lit(1)).alias("_n")))
-    hit = F.col(y) == F.col(yhat)
+    hit, n, none = _same(y, yhat), F.col("_n"), F.lit(0).cast("long")
     roles = F.array(
-        F.struct(F.col(y).alias("label"), F.when(hit, F.col("_n")).otherwise(0).alias("tp"),
-                 F.lit(0).cast("long").alias("fp"), F.when(hit, 0).otherwise(F.col("_n")).alias("fn")),
-        F.struct(F.col(yhat).alias("label"), F.lit(0).cast("long").alias("tp"),
-                 F.when(hit, 0).otherwise(F.col("_n")).alias("fp"), F.lit(0).cast("long").alias("fn")))
-    ex = cm.select(*group, F.explode(roles).alias("r")).select(*group, "r.*").filter(F.col("label").isNotNull())
-    return ex.groupBy(*group, "label").agg(F.sum("tp").alias("tp"), F.sum("fp").alias("fp"), F.sum("fn").alias("fn"))
+        F.struct(F.col(y).alias("label"), F.when(hit, n).otherwise(none).alias("tp"), none.alias("fp"),
+                 F.when(hit, none).otherwise(n).alias("fn"), n.alias("rows"), F.when(hit, n).otherwise(none).alias("ok")),
+        F.struct(F.col(yhat).alias("label"), none.alias("tp"), F.when(hit, none).otherwise(n).alias("fp"), none.alias("fn"),
+                 none.alias("rows"), none.alias("ok")))
+    return (cm.select(*group, F.explode(roles).alias("r")).select(*group, "r.*")
+              .groupBy(*group, "label").agg(*[F.sum(c).alias(c) for c in ("tp", "fp", "fn", "rows", "ok")]))
+
+
+_MACRO = ["acc", "f1", "precision", "recall", "n"]
+
+
+def _macro_aggs() -> list[Column]:
+    tp, fp, fn = F.col("tp"), F.col("fp"), F.col("fn")
+    named = F.col("label").isNotNull()
+    avg = lambda c: F.avg(F.when(named, c))
+    return [(F.sum("ok") / F.sum("rows")).alias("acc"), avg(_div0(2 * tp, 2 * tp + fp + fn)).alias("f1"),
+            avg(_div0(tp, tp + fp)).alias("precision"), avg(_div0(tp, tp + fn)).alias("recall"),
+            F.coalesce(F.sum("rows"), F.lit(0)).cast("long").alias("n")]
 
 
 def macro_metrics(df: DataFrame, y: str = "y_true", yhat: str = "y_pred", group=()) -> DataFrame:
     """Accuracy and macro precision / recall / F1 over the union of true and
-    predicted labels; an undefined ratio counts as 0.  One row (per group)."""
+    predicted labels; an undefined ratio counts as 0, a null prediction or label as wrong.
+    One row (per group), one pass over the rows."""
     group = list(group)
-    pc = per_class_counts(df, y, yhat, group)
-    tp, fp, fn = F.col("tp"), F.col("fp"), F.col("fn")
-    pc = pc.select(*group, "tp", _div0(tp, tp + fp).alias("p"), _div0(tp, tp + fn).alias("r"),
-                   _div0(2 * tp, 2 * tp + fp + fn).alias("f"))
-    per = pc.groupBy(*group).agg(F.avg("p").alias("precision"), F.avg("r").alias("recall"),
-                                 F.avg("f").alias("f1"))
-    acc = df.groupBy(*group).agg(F.avg((F.col(y) == F.col(yhat)).cast("double")).alias("acc"),
-                                 F.count(F.lit(1)).alias("n"))
-    if not group:
-        a = acc.first()
-        return per.select(F.lit(a["acc"]).cast("double").alias("acc"), "f1", "precision", "recall",
-                          F.lit(a["n"]).cast("long").alias("n"))
-    return acc.join(per, group).select(*group, "acc", "f1", "precision", "recall", "n")
+    per = per_class_counts(df, y, yhat, group)
+    return (per.groupBy(*group) if group else per).agg(*_macro_aggs()).select(*group, *_MACRO)
 
 
 def binary_metrics(df: DataFrame, y: str = "y_true", yhat: str = "y_pred", positive=1) -> DataFrame:
     """Accuracy, precision, recall and F1 of the positive class, one pass."""
-    t, p = F.col(y) == positive, F.col(yhat) == positive
+    t, p = (F.coalesce(F.col(c) == positive, F.lit(False)) for c in (y, yhat))
     s = df.agg(F.sum((t & p).cast("long")).alias("tp"), F.sum((~t & p).cast("long")).alias("fp"),
-               F.sum((t & ~p).cast("long")).alias("fn"), F.avg((F.col(y) == F.col(yhat)).cast("double")).alias("acc"),
+               F.sum((t & ~p).cast("long")).alias("fn"), F.avg(_same(y, yhat).cast("double")).alias("acc"),
                F.count(F.lit(1)).alias("n"))
     tp, fp, fn = F.col("tp"), F.col("fp"), F.col("fn")
     return s.select("acc", _div0(2 * tp, 2 * tp + fp + fn).alias("f1"), _div0(tp, tp + fp).alias("precision"),
                     _div0(tp, tp + fn).alias("recall"), "n")
 
 
-def auto_metrics(df: DataFrame, y: str = "y_true", yhat: str = "y_pred") -> DataFrame:
-    """Binary metrics when the true labels have exactly two values, else macro."""
-    k = df.agg(F.countDistinct(y)).first()[0]
-    return binary_metrics(df, y, yhat) if k == 2 else macro_metrics(df, y, yhat)
+def auto_metrics(df: DataFrame, y: str = "y_true", yhat: str = "y_pred", positive=1) -> DataFrame:
+    """Binary metrics when the true labels have exactly two values, else macro; decided
+    inside the plan, from the same per-class counts."""
+    tp, fp, fn = F.col("tp"), F.col("fp"), F.col("fn")
+    one = lambda c: F.coalesce(F.max(F.when(F.col("label") == positive, c)), F.lit(0.0))
+    both = per_class_counts(df, y, yhat).agg(
+        *_macro_aggs(), F.sum(((tp + fn > 0) & F.col("label").isNotNull()).cast("int")).alias("_k"),
+        one(_div0(2 * tp, 2 * tp + fp + fn)).alias("_f1"), one(_div0(tp, tp + fp)).alias("_precision"),
+        one(_div0(tp, tp + fn)).alias("_recall"))
+    return both.select("acc", *[F.when(F.col("_k") == 2, F.col(f"_{c}")).otherwise(F.col(c)).alias(c) for c in _MACRO[1:4]], "n")
 
 
 def accuracy_by_split(df: DataFrame, y: str = "y_true", yhat: str = "y_pred", split: str = "split") -> DataFrame:
-    """Accuracy per split."""
-    return df.groupBy(split).agg(F.avg((F.col(y) == F.col(yhat)).cast("double")).alias("acc"),
+    """Accuracy per split; a null prediction or label is wrong."""
+    return df.groupBy(split).agg(F.avg(_same(y, yhat).cast("double")).alias("acc"),
                                  F.count(F.lit(1)).alias("n"))
 
 
@@ -88,10 +103,11 @@ def softmax_probs(df: DataFrame, logits: str = "logits", probs: str = "probs") -
     ``pos_prob`` = probability of class 1."""
     lg = F.col(logits)
     mx = F.array_max(lg)
-    ex = F.transform(lg, lambda x: F.exp(x - mx))
-    tot = F.aggregate(ex, F.lit(0.0), lambda a, x: a + x)
-    p = F.transform(ex, lambda x: x / tot)
-    return (df.withColumn(probs, p)
+    # the maximum and the sum are zipped in: inside a lambda they would be computed per element
+    ex = F.zip_with(lg, F.array_repeat(mx, F.size(lg)), lambda x, m: F.exp(x - m))
+    tot = F.aggregate(F.col("_nf_ex"), F.lit(0.0), lambda a, x: a + x)
+    p = F.zip_with(F.col("_nf_ex"), F.array_repeat(tot, F.size("_nf_ex")), lambda x, t: x / t)
+    return (df.withColumn("_nf_ex", ex).withColumn(probs, p).drop("_nf_ex")
               .withColumn("y_pred", (F.array_position(lg, mx) - 1).cast("int"))
               .withColumn("prob_max", F.array_max(F.col(probs)))
               .withColumn("pos_prob", F.try_element_at(F.col(probs), F.lit(2))))
@@ -227,19 +243,27 @@ def precision_at_k(test: DataFrame, classes: DataFrame, scores: DataFrame, id_co
 
     ``scores`` holds ``(id, class, score)`` for scored pairs (a scorer hook, e.g.
     :func:`noteflow.operators.features.centroid_scores`); missing pairs score 0.
-    Every row is paired with the bounded class list by ``explode`` (no cartesian
-    join); the rank window is partitioned by row, K entries each.  A class
-    absent from training can never hit.
+    No row x class pairs are built: a row's rank is one plus the scored pairs that beat
+    its own, plus, when its own score is 0 or less, the unscored classes that do (all of
+    them below 0; at 0 those with smaller names: the names before its own less the scored
+    ones among them).  A class absent from training can never hit.
     """
-    from .joins import cross_with_classes
-    from .sorting import topk_classes
-    own = test.select(F.col(id_col), F.col(class_col).alias("_nf_own"))
-    pairs = cross_with_classes(own, classes.select(F.col(class_col)), class_col)
-    scored = (pairs.join(scores.select(id_col, class_col, "score"), [id_col, class_col], "left")
-                   .withColumn("score", F.coalesce(F.col("score"), F.lit(0.0))))
-    top = topk_classes(scored, id_col, "score", class_col, k)
-    hits = top.groupBy(id_col).agg(F.max((F.col(class_col) == F.col("_nf_own")).cast("int")).alias("_nf_hit"))
-    per_row = own.join(hits, id_col, "left").fillna(0, subset=["_nf_hit"])
-    return per_row.agg(F.lit(k).alias("k"), F.count(F.lit(1)).alias("n_rows"),
-                       F.sum("_nf_hit").cast("long").alias("hits"),
-                       (F.avg("_nf_hit") * 100).alias("precision_at_k"))
+    names = dim_rank(classes.select(F.col(class_col).alias("_nf_own")).filter(F.col("_nf_own").isNotNull()).distinct(),
+                     ["_nf_own"], "_nf_pos")
+    n_classes = names.agg(F.count(F.lit(1)).alias("n")).select("n").scalar()
+    own = test.select(F.col(id_col).alias("_nf_id"), F.col(class_col).alias("_nf_own")).join(names, "_nf_own", "left")
+    s = scores.select(F.col(id_col).alias("_nf_sid"), F.col(class_col).alias("_nf_c"), "score") \
+              .join(names.select(F.col("_nf_own").alias("_nf_c")), "_nf_c")
+    mine = s.select(F.col("_nf_sid").alias("_nf_mid"), F.col("_nf_c").alias("_nf_mc"), F.col("score").alias("_nf_s"))
+    own = own.join(mine, (F.col("_nf_id") == F.col("_nf_mid")) & (F.col("_nf_own") == F.col("_nf_mc")), "left") \
+             .select("_nf_id", "_nf_own", "_nf_pos", F.coalesce("_nf_s", F.lit(0.0)).alias("_nf_s"))
+    before = F.col("_nf_c") < F.col("_nf_own")
+    beats = (F.col("score") > F.col("_nf_s")) | ((F.col("score") == F.col("_nf_s")) & before)
+    per = (own.join(s, F.col("_nf_id") == F.col("_nf_sid"), "left").groupBy("_nf_id", "_nf_own", "_nf_pos", "_nf_s")
+              .agg(F.coalesce(F.sum(beats.cast("long")), F.lit(0)).alias("_nf_beat"), F.count("_nf_c").alias("_nf_scored"),
+                   F.coalesce(F.sum(before.cast("long")), F.lit(0)).alias("_nf_lower")))
+    unscored = F.when(F.col("_nf_s") < 0, n_classes - F.col("_nf_scored")) \
+                .when(F.col("_nf_s") == 0, F.col("_nf_pos") - 1 - F.col("_nf_lower")).otherwise(0)
+    hit = F.coalesce(F.col("_nf_pos").isNotNull() & (F.col("_nf_beat") + unscored < k), F.lit(False)).cast("long")
+    return per.agg(F.lit(k).alias("k"), F.count(F.lit(1)).alias("n_rows"), F.sum(hit).alias("hits"),
+                   (F.avg(hit) * 100).alias("precision_at_k"))

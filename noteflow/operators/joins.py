@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import clean_text
-from .order import BROADCAST_MAX_ROWS, bounded_broadcast, row_count_at_most
+from ..session import staged
+from .order import bounded_broadcast
 
 
 def _null_safe(left: DataFrame, right: DataFrame, keys: list[str], rprefix: str):
@@ -42,7 +43,7 @@ def decode_names(df: DataFrame, converter: DataFrame, col: str = "type",
 def semi_filter(df: DataFrame, keys_df: DataFrame, col: str, key_col: str | None = None) -> DataFrame:
     """Keep rows whose ``col`` appears in ``keys_df``."""
     k = keys_df.select(F.col(key_col or keys_df.columns[0]).alias(col)).distinct()
-    return df.join(bounded_broadcast(k), col, "left_semi")
+    return df.join(k, col, "left_semi")
 
 
 def _clean_goals(goals: DataFrame, goal_col: str) -> DataFrame:
@@ -59,9 +60,7 @@ def keep_relevant(df: DataFrame, goals: DataFrame, scheme_col: str = "Observatio
     other spellings of the same cleaned name are dropped); ``all_spellings``
     keeps every row whose cleaned name is a goal.
     """
-    gc = _clean_goals(goals, goal_col)
-    small = row_count_at_most(gc, BROADCAST_MAX_ROWS)
-    g = F.broadcast(gc) if small else gc
+    g = _clean_goals(goals, goal_col)
     cleaned = df.withColumn("_nf_clean", clean_text(scheme_col))
     if all_spellings:
         kept = cleaned.join(g.withColumnRenamed("type", "_nf_clean"), "_nf_clean", "left_semi")
@@ -71,8 +70,6 @@ def keep_relevant(df: DataFrame, goals: DataFrame, scheme_col: str = "Observatio
                         .agg(F.min_by(F.col(scheme_col), order).alias("_nf_raw"))
                         .join(g.withColumnRenamed("type", "_nf_clean"), "_nf_clean", "left_semi")
                         .select("_nf_raw"))
-        # At most one spelling per goal: bounded by the checked goal count.
-        first = F.broadcast(first) if small else first
         kept = cleaned.join(first, cleaned[scheme_col] == first["_nf_raw"], "left_semi")
     cols = [F.col("_nf_clean").alias("type") if c == scheme_col else F.col(c) for c in df.columns]
     return kept.select(*cols)
@@ -80,8 +77,9 @@ def keep_relevant(df: DataFrame, goals: DataFrame, scheme_col: str = "Observatio
 
 def unmatched_goals(df: DataFrame, goals: DataFrame, scheme_col: str = "ObservationScheme",
                     goal_col: str = "type") -> DataFrame:
-    """Cleaned goal names with no matching row."""
-    seen = df.select(clean_text(scheme_col).alias("type"))
+    """Cleaned goal names with no matching row.  The rows are reduced to their
+    distinct spellings, then names, map-side; the fact table itself is never shuffled."""
+    seen = df.select(scheme_col).distinct().select(clean_text(scheme_col).alias("type")).distinct()
     return _clean_goals(goals, goal_col).join(seen, "type", "left_anti")
 
 
@@ -91,20 +89,16 @@ def anti_keys(df: DataFrame, other: DataFrame, keys: list[str]) -> DataFrame:
     return df.join(r, cond, "left_anti")
 
 
-def cross_with_classes(df: DataFrame, classes: DataFrame, class_col: str = "class",
-                       max_classes: int = 100_000) -> DataFrame:
-    """Pair each row with every distinct class.
+def cross_with_classes(df: DataFrame, classes: DataFrame, class_col: str = "class") -> DataFrame:
+    """Pair each row with every distinct class (rows x classes by definition).
 
-    The class list is a small dimension whose size is checked before it is
-    shipped; rows are expanded with ``explode`` over that bounded array, so the
-    plan has no cartesian product.
+    The class list is one array value, a scalar subquery of the same plan; each row is
+    expanded with ``explode``, so there is no cartesian product and nothing is collected.
     """
-    names = [r[0] for r in classes.select(class_col).distinct()
-             .filter(F.col(class_col).isNotNull()).limit(max_classes + 1).collect()]
-    if len(names) > max_classes:
-        raise ValueError(f"more than {max_classes} classes; refusing to pair every row with each")
-    arr = F.array(*[F.lit(n) for n in sorted(names)]) if names else F.array().cast("array<string>")
-    return df.withColumn(class_col, F.explode(arr))
+    names = (classes.select(F.col(class_col).alias("_nf_c")).filter(F.col("_nf_c").isNotNull())
+                    .agg(F.array_sort(F.collect_set("_nf_c")).alias("_nf_list")).scalar())
+    base = df.drop(class_col) if class_col in df.columns else df
+    return base.withColumn(class_col, F.explode(names))
 
 
 def attach_by_row_id(df: DataFrame, labels: DataFrame, row_id: str = "row_id") -> DataFrame:
@@ -119,9 +113,10 @@ def common_classes(splits: DataFrame, label_col: str = "label", split_col: str =
     present = (splits.filter(F.col(split_col).isin(names))
                      .groupBy(label_col).agg(F.countDistinct(split_col).alias("_nf_n"))
                      .filter(F.col("_nf_n") == len(names)).select(label_col))
-    return splits.join(present, label_col, "left_semi")
+    # written first, so the planner knows its size: a small class list is broadcast and the
+    # rows stay where they are, a large one is shuffle-joined
+    return splits.join(staged(present), label_col, "left_semi")
 
 
 __all__ = ["join_comments", "decode_names", "semi_filter", "keep_relevant", "unmatched_goals",
-           "anti_keys", "cross_with_classes", "attach_by_row_id", "common_classes",
-           "BROADCAST_MAX_ROWS"]
+           "anti_keys", "cross_with_classes", "attach_by_row_id", "common_classes"]

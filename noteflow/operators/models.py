@@ -29,12 +29,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import evaluate as E
-from .order import bounded_broadcast
 from .split import kfold
 
-MAX_CLASSES = 100_000
-
-
 def as_vector(df: DataFrame, col: str, out: str | None = None) -> DataFrame:
     """Make ``col`` an ML vector (arrays are converted)."""
     out = out or col
@@ -49,7 +45,7 @@ def balanced_weights(df: DataFrame, label: str, weight_col: str = "weight") -> D
     k = counts.count()
     n = df.count()
     w = counts.select(label, (F.lit(float(n)) / (F.lit(float(k)) * F.col("_nf_nc"))).alias(weight_col))
-    return df.join(bounded_broadcast(w, MAX_CLASSES), label)
+    return df.join(w, label)
 
 
 def fit_logreg(df: DataFrame, features: str = "features", label: str = "label", C: float = 1.0,
@@ -178,8 +174,6 @@ def moments_by_group(df: DataFrame, features: str, label: str, group: str | None
                   (F.col(weight) if weight else F.lit(1.0)).cast("double").alias("w"))
     shape = x.agg(F.max("y").alias("k"), F.max(F.size("x")).alias("d")).first()
     k, d = int(shape["k"]) + 1, int(shape["d"])
-    if k > MAX_CLASSES:
-        raise ValueError("too many classes")
 
     def part(it):
         acc = {}

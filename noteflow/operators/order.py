@@ -3,28 +3,30 @@
 A Spark DataFrame has no row order, so every operator whose result depends on
 position takes ``order_by``: a list of columns forming a unique key.
 
-* :func:`global_rank` - exact 1-based position in ``order_by`` order.  Range
-  partitioning + per-partition counts; no ``Window.orderBy`` without
-  ``partitionBy`` (which would plan ``Exchange SinglePartition``).
+* :class:`KeyOrder` - the key columns alone, range partitioned, sorted and staged;
+  gives exact positions and the key at a position, whatever the number asked for.
+* :func:`global_rank` - exact 1-based position in ``order_by`` order, joined back by
+  key (no ``Window.orderBy`` without ``partitionBy``, which would plan ``Exchange
+  SinglePartition``).
 * :func:`rank_within` - exact position inside a group, also when one group
   holds a large share of all rows (the group is split across many range
   partitions instead of landing in one window task).
-* :func:`last_n_flag` - mark the last ``n`` rows; small ``n`` uses a top-n
-  cutoff key, large ``n`` the global rank.
-* :func:`bounded_broadcast` - broadcast a side only after proving its size.
+* :func:`last_n_flag` / :func:`first_n_flag` - mark rows against the key at a position.
+* :func:`bounded_broadcast` - hint a side only if the plan itself proves it tiny.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import reliable_checkpoint
 
-# Rows a cutoff search may bring into one task (TakeOrderedAndProject keeps n keys).
-TOPN_CUTOFF_MAX = 100_000
-# Default row bound for a broadcast dimension.
-BROADCAST_MAX_ROWS = 1_000_000
+# Rows up to which a side whose size the plan proves (inline values, limits, global
+# aggregates) is hinted for broadcast; every other join is left to AQE's measured sizes.
+BROADCAST_PROVEN_ROWS = 10_000
 _LOCAL_BITS = 33  # monotonically_increasing_id(): partition id << 33 | row index
 
 
@@ -42,77 +44,91 @@ def static_max_rows(df: DataFrame) -> int | None:
         return None
 
 
-def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True if ``df`` provably has at most ``max_rows`` rows: a static plan bound,
-    else one bounded count (``limit(max_rows + 1).count()``)."""
+def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_PROVEN_ROWS) -> DataFrame:
+    """Hint ``df`` for broadcast if the plan proves at most ``max_rows`` rows; no job is
+    run, and any other side is left to AQE, which sees its size in bytes."""
     bound = static_max_rows(df)
-    if bound is not None and bound <= max_rows:
-        return True
-    return df.limit(max_rows + 1).count() <= max_rows
+    return F.broadcast(df) if bound is not None and bound <= max_rows else df
+
 
+class KeyOrder:
+    """The rows of ``df`` in ``order_by`` order, as keys.
 
-def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Hint ``df`` for broadcast if it has at most ``max_rows`` rows, else leave the
-    join to a shuffle (AQE may still pick a broadcast from runtime sizes)."""
-    return F.broadcast(df) if row_count_at_most(df, max_rows) else df
+    Only the key columns are range partitioned, sorted and staged (a reliable
+    checkpoint, so all passes see the same positions after an executor loss); one
+    count per partition goes to the driver.
+    """
 
+    def __init__(self, df: DataFrame, order_by, descending: bool = False, num_partitions: int | None = None):
+        names = [f"_nf_k{i}" for i in range(len(list(order_by)))]
+        keys = df.select(*[c.alias(n) for c, n in zip(_cols(order_by), names)])
+        sort = [F.col(n).desc() if descending else F.col(n).asc() for n in names]
+        ranged = keys.repartitionByRange(num_partitions, *sort) if num_partitions else keys.repartitionByRange(*sort)
+        self.names, self.spark = names, df.sparkSession
+        self.staged = reliable_checkpoint(ranged.sortWithinPartitions(*sort).withColumn("_nf_mid", F.monotonically_increasing_id()))
+        pid = F.shiftright(F.col("_nf_mid"), _LOCAL_BITS)
+        counts = sorted((r["p"], r["n"]) for r in self.staged.groupBy(pid.alias("p")).agg(F.count(F.lit(1)).alias("n")).collect())
+        self.offsets, self.total = [], 0
+        for p, n in counts:
+            self.offsets.append((p, self.total, n))
+            self.total += n
+
+    def ranks(self, rank_col: str) -> DataFrame:
+        """Key columns ``_nf_k0 ..`` and the 1-based position."""
+        off = self.spark.createDataFrame([(p, o) for p, o, _ in self.offsets] or [(0, 0)], "_nf_pid long, _nf_off long")
+        mask = (1 << _LOCAL_BITS) - 1
+        # one row per range partition
+        return (self.staged.withColumn("_nf_pid", F.shiftright(F.col("_nf_mid"), _LOCAL_BITS))
+                    .join(F.broadcast(off), "_nf_pid")
+                    .select(*self.names, (F.col("_nf_off") + F.col("_nf_mid").bitwiseAND(F.lit(mask)) + 1).alias(rank_col)))
+
+    def key_at(self, position: int):
+        """Key (a Row) at the 1-based ``position``, None outside the rows."""
+        for p, o, n in self.offsets:
+            if o < position <= o + n:
+                return self.staged.where(F.col("_nf_mid") == (p << _LOCAL_BITS | (position - o - 1))).select(*self.names).first()
+        return None
 
-def _num_partitions(df: DataFrame) -> int:
-    spark = df.sparkSession
-    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
+    def flag(self, df: DataFrame, order_by, n: int, last: bool, name: str) -> DataFrame:
+        """Mark the last (or first) ``n`` rows of ``df``."""
+        if n <= 0 or n >= self.total:
+            return df.withColumn(name, F.lit(n > 0))
+        key = self.key_at(self.total - n + 1 if last else n)
+        cut = _lit_key(df, order_by, key)
+        return df.withColumn(name, _key_struct(order_by) >= cut if last else _key_struct(order_by) <= cut)
+
+
+def join_keys(df: DataFrame, ranks: DataFrame, order_by, names) -> DataFrame:
+    """``df`` with what ``ranks`` says about its key (nulls match nulls)."""
+    mine = [f"{n}_own" for n in names]
+    own = df.select("*", *[c.alias(m) for c, m in zip(_cols(order_by), mine)])
+    cond = reduce(lambda a, b: a & b, [F.col(m).eqNullSafe(F.col(n)) for m, n in zip(mine, names)])
+    return own.join(ranks, cond).drop(*mine, *names)
 
 
 def global_rank(df: DataFrame, order_by, rank_col: str = "rank",
                 descending: bool = False, num_partitions: int | None = None) -> DataFrame:
-    """Add ``rank_col`` = 1-based position of each row in ``order_by`` order.
-
-    Plan: ``repartitionByRange`` on the key, sort inside partitions, number rows
-    with ``monotonically_increasing_id`` (partition id in the high bits), write a
-    reliable checkpoint so both passes see the same rows, count rows per
-    partition (one number per partition to the driver), and add the partition
-    offset through a broadcast of those P numbers.
-    """
-    keys = _cols(order_by)
-    sort_keys = [k.desc() for k in keys] if descending else [k.asc() for k in keys]
-    # Without an explicit count AQE may coalesce adjacent range partitions (order is kept),
-    # so the partition count follows the data size up to spark.sql.shuffle.partitions.
-    ranged = (df.repartitionByRange(num_partitions, *sort_keys) if num_partitions
-              else df.repartitionByRange(*sort_keys))
-    staged = (ranged
-                .sortWithinPartitions(*sort_keys)
-                .withColumn("_nf_mid", F.monotonically_increasing_id()))
-    staged = reliable_checkpoint(staged).withColumn(
-        "_nf_pid", F.shiftright(F.col("_nf_mid"), _LOCAL_BITS))
-    counts = sorted((r["_nf_pid"], r["n"]) for r in
-                    staged.groupBy("_nf_pid").agg(F.count(F.lit(1)).alias("n")).collect())
-    offsets, acc = [], 0
-    for pid, n in counts:
-        offsets.append((pid, acc))
-        acc += n
-    spark = df.sparkSession
-    off = spark.createDataFrame(offsets or [(0, 0)], "_nf_pid long, _nf_off long")
-    mask = (1 << _LOCAL_BITS) - 1
-    return (staged.join(F.broadcast(off), "_nf_pid")
-                  .withColumn(rank_col, F.col("_nf_off") + F.col("_nf_mid").bitwiseAND(F.lit(mask)) + 1)
-                  .drop("_nf_pid", "_nf_off", "_nf_mid"))
+    """Add ``rank_col`` = 1-based position of each row in ``order_by`` order (a unique key)."""
+    order = KeyOrder(df, order_by, descending, num_partitions)
+    return join_keys(df, order.ranks(rank_col), order_by, order.names)
 
 
 def rank_within(df: DataFrame, group_by, order_by, rank_col: str = "rank",
                 descending: bool = False) -> DataFrame:
     """Add ``rank_col`` = 1-based position inside each ``group_by`` group.
 
-    Ranks globally by (group, order) - a hot group is then spread over many
-    range partitions - and subtracts the rank where the group starts (a K-row
-    aggregate joined back by key).
+    Ranks keys globally by (group, order) - a hot group is then spread over many
+    range partitions - and subtracts the rank where the group starts (one row per
+    group, joined back by the group).
     """
-    groups = list(group_by)
-    ranked = global_rank(df, groups + list(order_by), rank_col="_nf_g", descending=descending)
-    starts = bounded_broadcast(ranked.groupBy(*groups).agg(F.min("_nf_g").alias("_nf_lo")))
-    cond = [ranked[g].eqNullSafe(starts[g]) for g in groups]
-    out = ranked.join(starts, cond, "inner")
-    for g in groups:
-        out = out.drop(starts[g])
-    return out.withColumn(rank_col, F.col("_nf_g") - F.col("_nf_lo") + 1).drop("_nf_g", "_nf_lo")
+    by = [*group_by, *order_by]
+    order = KeyOrder(df, by, descending)
+    ranks = order.ranks("_nf_g")
+    group = order.names[:len(list(group_by))]
+    starts = ranks.groupBy(*[F.col(g).alias(f"{g}_s") for g in group]).agg(F.min("_nf_g").alias("_nf_lo"))
+    cond = [F.col(g).eqNullSafe(F.col(f"{g}_s")) for g in group]
+    placed = ranks.join(starts, cond).select(*order.names, (F.col("_nf_g") - F.col("_nf_lo") + 1).alias(rank_col))
+    return join_keys(df, placed, by, order.names)
 
 
 def _key_struct(order_by) -> Column:
@@ -125,39 +141,18 @@ def _lit_key(df: DataFrame, order_by, row) -> Column:
                       for i, (v, t) in enumerate(zip(row, types))])
 
 
-def cutoff_key(df: DataFrame, n: int, order_by):
-    """Key of the n-th last row in ``order_by`` order (a Row), or None if n > count."""
-    cut = (df.select(_key_struct(order_by).alias("k"))
-             .orderBy(F.col("k").desc()).offset(n - 1).limit(1).collect())
-    return cut[0]["k"] if cut else None
-
-
 def last_n_flag(df: DataFrame, n: int, order_by, flag: str = "is_last") -> DataFrame:
     """Add boolean ``flag``: row is among the last ``n`` rows in ``order_by`` order."""
     if n <= 0:
         return df.withColumn(flag, F.lit(False))
-    if n <= TOPN_CUTOFF_MAX:
-        k = cutoff_key(df, n, order_by)
-        if k is None:  # fewer than n rows: all of them
-            return df.withColumn(flag, F.lit(True))
-        return df.withColumn(flag, _key_struct(order_by) >= _lit_key(df, order_by, k))
-    total = df.count()
-    ranked = global_rank(df, order_by, rank_col="_nf_r")
-    return ranked.withColumn(flag, F.col("_nf_r") > total - n).drop("_nf_r")
+    return KeyOrder(df, order_by).flag(df, order_by, n, True, flag)
 
 
 def first_n_flag(df: DataFrame, n: int, order_by, flag: str = "is_first") -> DataFrame:
     """Add boolean ``flag``: row is among the first ``n`` rows in ``order_by`` order."""
     if n <= 0:
         return df.withColumn(flag, F.lit(False))
-    if n <= TOPN_CUTOFF_MAX:
-        cut = (df.select(_key_struct(order_by).alias("k"))
-                 .orderBy(F.col("k").asc()).offset(n - 1).limit(1).collect())
-        if not cut:
-            return df.withColumn(flag, F.lit(True))
-        return df.withColumn(flag, _key_struct(order_by) <= _lit_key(df, order_by, cut[0]["k"]))
-    ranked = global_rank(df, order_by, rank_col="_nf_r")
-    return ranked.withColumn(flag, F.col("_nf_r") <= n).drop("_nf_r")
+    return KeyOrder(df, order_by).flag(df, order_by, n, False, flag)
 
 
 def group_window(group_by, order_by) -> Window:
@@ -165,20 +160,6 @@ def group_window(group_by, order_by) -> Window:
     return Window.partitionBy(*_cols(group_by)).orderBy(*_cols(order_by))
 
 
-# Rows up to which a dimension (class list, vocabulary) is ranked in one window task.
-DIM_RANK_MAX_ROWS = 10_000
-
-
-def dim_rank(df: DataFrame, order_by, rank_col: str = "rank",
-             max_rows: int = DIM_RANK_MAX_ROWS) -> DataFrame:
-    """Rank a dimension table (K classes, a vocabulary).
-
-    If the table is proven small (``max_rows``, checked with one bounded count),
-    a single ``row_number`` window ranks it in one task - cheaper than the range
-    shuffle + checkpoint of :func:`global_rank`; larger tables fall back to
-    :func:`global_rank`.  Never used on fact tables.
-    """
-    if row_count_at_most(df, max_rows):
-        w = Window.orderBy(*[c if isinstance(c, Column) else F.col(c) for c in order_by])
-        return df.withColumn(rank_col, F.row_number().over(w).cast("long"))
+def dim_rank(df: DataFrame, order_by, rank_col: str = "rank") -> DataFrame:
+    """Rank a dimension table (classes, a vocabulary) of any size: the global rank."""
     return global_rank(df, order_by, rank_col)

@@ -8,9 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.hashing import draw
-from ..session import values_df
-from .order import BROADCAST_MAX_ROWS, global_rank, rank_within
-from .sorting import head_rows, sort_by_date, tail_rows
+from .order import KeyOrder, global_rank, join_keys, rank_within
+from .sorting import head_rows, sort_by_date
 
 
 def negative_samples(df: DataFrame, change_cols, scheme_col: str = "ObservationScheme",
@@ -30,47 +29,32 @@ def negative_samples(df: DataFrame, change_cols, scheme_col: str = "ObservationS
     spread over many range partitions by the global rank.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    parts = [within] if within else []
+    by = [*([within] if within else []), scheme_col, *keys]
     change = list(change_cols) + ([len_col] if len_col and len_col in df.columns else [])
-    ranked = (global_rank(df, [*parts, scheme_col, *keys], "_nf_idx")
-              .withColumn("_nf_idx", F.col("_nf_idx") - 1))
-    group = [*parts, scheme_col]
-    blocks = ranked.groupBy(*group).agg(F.min("_nf_idx").alias("_nf_lo"), F.count(F.lit(1)).alias("_nf_m"))
-    got = blocks.limit(BROADCAST_MAX_ROWS + 1).collect()     # one row per (part, scheme)
-    if len(got) <= BROADCAST_MAX_ROWS:
-        span: dict = {}
-        for b in got:
-            pk = b[within] if within else None
-            lo, n = span.get(pk, (b["_nf_lo"], 0))
-            span[pk] = (min(lo, b["_nf_lo"]), n + b["_nf_m"])
-        for pk, (_, n) in span.items():
-            if any(b["_nf_m"] == n for b in got if (b[within] if within else None) == pk):
-                raise ValueError("negative sampling needs at least two schemes" + (f" in {within}={pk}" if within else ""))
-        dtypes = dict(ranked.dtypes)
-        schema = ", ".join([f"{c} {dtypes[c]}" for c in group] + ["_nf_lo bigint", "_nf_m bigint", "_nf_plo bigint",
-                                                                   "_nf_pn bigint"])
-        rows = [tuple(b[c] for c in group) + (b["_nf_lo"], b["_nf_m"],
-                                               *span[b[within] if within else None]) for b in got]
-        side = F.broadcast(values_df(df.sparkSession, rows, schema))
+    order = KeyOrder(df, by)
+    group = order.names[:len(by) - len(keys)]                       # [part,] scheme
+    ranks = order.ranks("_nf_idx").withColumn("_nf_idx", F.col("_nf_idx") - 1)
+    blocks = ranks.groupBy(*group).agg(F.min("_nf_idx").alias("_nf_lo"), F.count(F.lit(1)).alias("_nf_m"))
+    if within:
+        span = blocks.groupBy(F.col(group[0]).alias("_nf_part")).agg(F.min("_nf_lo").alias("_nf_plo"), F.sum("_nf_m").alias("_nf_pn"))
+        side = blocks.join(span, F.col(group[0]).eqNullSafe(F.col("_nf_part"))).drop("_nf_part")
     else:
-        if parts:
-            pspan = blocks.groupBy(*parts).agg(F.min("_nf_lo").alias("_nf_plo"), F.sum("_nf_m").alias("_nf_pn"))
-            side = blocks.join(pspan, parts)
-        else:
-            total = blocks.agg(F.sum("_nf_m")).first()[0] or 0
-            side = blocks.withColumns({"_nf_plo": F.lit(0).cast("bigint"), "_nf_pn": F.lit(total).cast("bigint")})
-        if side.filter(F.col("_nf_m") == F.col("_nf_pn")).limit(1).count():
-            raise ValueError("negative sampling needs at least two schemes")
-    cond = [ranked[c].eqNullSafe(side[c]) for c in group]
-    out = ranked.join(side, cond)
-    for c in group:
-        out = out.drop(side[c])
+        side = blocks.withColumns({"_nf_plo": F.lit(0).cast("long"), "_nf_pn": F.lit(order.total).cast("long")})
+    alone = side.where(F.col("_nf_m") == F.col("_nf_pn")).first()
+    if alone:
+        raise ValueError("negative sampling needs at least two schemes" + (f" in {within}={alone[group[0]]}" if within else ""))
+    side = side.select(*[F.col(g).alias(f"{g}_b") for g in group], "_nf_lo", "_nf_m", "_nf_plo", "_nf_pn")
     r = F.col("_nf_draw") % (F.col("_nf_pn") - F.col("_nf_m"))
-    rows_ = (out.withColumn("_nf_draw", draw(seed, *keys))
-                .withColumn("_nf_t", F.col("_nf_plo") + F.when(r < F.col("_nf_lo") - F.col("_nf_plo"), r)
-                            .otherwise(r + F.col("_nf_m"))))
-    donors = ranked.select(F.col("_nf_idx").alias("_nf_t"), *[F.col(c).alias("_nf_d_" + c) for c in change])
-    joined = rows_.join(donors, "_nf_t")
+    drawn = (ranks.join(side, [F.col(g).eqNullSafe(F.col(f"{g}_b")) for g in group])
+                  .withColumn("_nf_draw", draw(seed, *order.names[len(group):]))
+                  .select(*order.names, (F.col("_nf_plo") + F.when(r < F.col("_nf_lo") - F.col("_nf_plo"), r)
+                                         .otherwise(r + F.col("_nf_m"))).alias("_nf_t")))
+    given = ranks.select(F.col("_nf_idx").alias("_nf_t"), *[F.col(n).alias(f"{n}_d") for n in order.names])
+    pairs = drawn.join(given, "_nf_t").drop("_nf_t")                # key -> donor's key
+    donors = df.select(*[F.col(c).alias(f"{n}_e") for c, n in zip(by, order.names)], *[F.col(c).alias("_nf_d_" + c) for c in change])
+    found = pairs.join(donors, [F.col(f"{n}_d").eqNullSafe(F.col(f"{n}_e")) for n in order.names]) \
+                 .drop(*[f"{n}_{x}" for n in order.names for x in "de"])
+    joined = join_keys(df, found, by, order.names)
     for c in change:
         joined = joined.withColumn(c, F.col("_nf_d_" + c))
     return (joined.withColumn(label_col, F.lit(0))
@@ -85,25 +69,24 @@ def pos_neg(pos: DataFrame, change_cols, scheme_col: str = "ObservationScheme",
     return concat_sorted(p, neg, date_col, [key, label_col])
 
 
-def examples_per_outcome(df: DataFrame, k: int, key: str, outcome_col: str = "outcome",
-                         seed: int = 0, max_outcomes: int = 10_000) -> DataFrame:
+def examples_per_outcome(df: DataFrame, k: int, key: str, outcome_col: str = "outcome", seed: int = 0) -> DataFrame:
     """``k`` rows drawn with replacement from each outcome (TP/TN/FP/FN).
 
     Draw i of outcome o takes the row at position ``1 + draw(seed, o, i) mod n_o``
     of that outcome (positions in ``key`` order); an empty outcome gives no rows.
+    Only (outcome, key) is ranked; the drawn keys then fetch their rows.
     """
-    got = df.groupBy(outcome_col).count().limit(max_outcomes + 1).collect()
-    if len(got) > max_outcomes:
-        raise ValueError(f"more than {max_outcomes} outcome values")
-    counts = {r[0]: r[1] for r in got}
-    spark = df.sparkSession
-    draws = spark.createDataFrame([(o, i) for o in counts for i in range(k)], f"{outcome_col} string, draw_no int")
-    draws = (draws.join(F.broadcast(spark.createDataFrame(list(counts.items()), f"{outcome_col} string, _nf_n long")),
-                        outcome_col)
-                  .withColumn("_nf_pos", 1 + draw(seed, outcome_col, "draw_no") % F.col("_nf_n"))
-                  .drop("_nf_n"))
-    ranked = rank_within(df, [outcome_col], [key], "_nf_pos")
-    return draws.join(ranked, [outcome_col, "_nf_pos"]).drop("_nf_pos")
+    slim = df.select(outcome_col, key)
+    draws = (slim.groupBy(outcome_col).agg(F.count(F.lit(1)).alias("_nf_n"))
+                 .withColumn("draw_no", F.explode(F.sequence(F.lit(0), F.lit(k - 1)))) if k > 0 else
+             slim.groupBy(outcome_col).agg(F.count(F.lit(1)).alias("_nf_n")).withColumn("draw_no", F.lit(0)).limit(0))
+    draws = draws.select(F.col(outcome_col).alias("_nf_o"), F.col("draw_no").cast("int").alias("draw_no"),
+                         (1 + draw(seed, outcome_col, "draw_no") % F.col("_nf_n")).alias("_nf_want"))
+    ranked = rank_within(slim, [outcome_col], [key], "_nf_pos")
+    picked = draws.join(ranked, F.col("_nf_o").eqNullSafe(F.col(outcome_col)) & (F.col("_nf_want") == F.col("_nf_pos"))) \
+                  .select("_nf_o", "draw_no", F.col(key).alias("_nf_key"))
+    return df.join(picked, F.col(outcome_col).eqNullSafe(F.col("_nf_o")) & F.col(key).eqNullSafe(F.col("_nf_key"))) \
+             .drop("_nf_o", "_nf_key")
 
 
 def shuffle_rows(df: DataFrame, key: str, seed: int = 0, pos_col: str = "pos") -> DataFrame:
@@ -125,16 +108,10 @@ def append_tail(df: DataFrame, extra: DataFrame, n: int, order_by, key: str, see
                 pos_col: str = "pos") -> DataFrame:
     """Append the last ``n`` rows of ``extra`` (all of them, with a warning, if
     fewer are available) and shuffle."""
-    from .order import TOPN_CUTOFF_MAX, _key_struct, _lit_key, cutoff_key
-    if 0 < n <= TOPN_CUTOFF_MAX:
-        k = cutoff_key(extra, n, order_by)
-        if k is None:
-            warnings.warn(f"append_tail: fewer than {n} rows available; appending all of them", stacklevel=2)
-            tail = extra
-        else:
-            tail = extra.filter(_key_struct(order_by) >= _lit_key(extra, order_by, k))
-    else:
-        tail = tail_rows(extra, n, order_by)
+    order = KeyOrder(extra, order_by)
+    if order.total < n:
+        warnings.warn(f"append_tail: fewer than {n} rows available; appending all of them", stacklevel=2)
+    tail = order.flag(extra, order_by, n, True, "_nf_f").filter("_nf_f").drop("_nf_f")
     u = df.unionByName(tail, allowMissingColumns=True)
     return shuffle_rows(u, key, seed, pos_col)
 

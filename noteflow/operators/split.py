@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.hashing import draw
-from .order import first_n_flag, global_rank, last_n_flag, rank_within
+from .order import KeyOrder, global_rank, rank_within
 
 
 def round_half_even(x: float) -> int:
@@ -23,15 +23,16 @@ def round_half_even(x: float) -> int:
 def tail_split_n(df: DataFrame, n_test: int, order_by, split_col: str = "split",
                  names=("train_val", "test")) -> DataFrame:
     """SP1: the last ``n_test`` rows in ``order_by`` order are the test set; 0 -> all train."""
-    flagged = last_n_flag(df, n_test, order_by, "_nf_t")
+    flagged = KeyOrder(df, order_by).flag(df, order_by, n_test, True, "_nf_t")
     return flagged.withColumn(split_col, F.when(F.col("_nf_t"), names[1]).otherwise(names[0])).drop("_nf_t")
 
 
 def tail_split_frac(df: DataFrame, frac: float, order_by, split_col: str = "split",
                     names=("train_val", "test")) -> DataFrame:
     """SP2: last ``round_half_even(n * frac)`` rows are the test set."""
-    m = round_half_even(df.count() * frac)
-    return tail_split_n(df, m, order_by, split_col, names)
+    order = KeyOrder(df, order_by)
+    flagged = order.flag(df, order_by, round_half_even(order.total * frac), True, "_nf_t")
+    return flagged.withColumn(split_col, F.when(F.col("_nf_t"), names[1]).otherwise(names[0])).drop("_nf_t")
 
 
 def time_split3(df: DataFrame, order_by, n: int | None = None, rate_pct: float | None = None,
@@ -43,7 +44,8 @@ def time_split3(df: DataFrame, order_by, n: int | None = None, rate_pct: float |
     wrapped negative starts (``data[n-m:]``, then ``x[len(x)-m:]``), as the
     slices of an in-memory table would.
     """
-    total = df.count()
+    order = KeyOrder(df, order_by)
+    total = order.total
     m = n if n else int(total * (rate_pct or 0) / 100)
 
     def start(length: int, back: int) -> int:
@@ -53,7 +55,7 @@ def time_split3(df: DataFrame, order_by, n: int | None = None, rate_pct: float |
 
     test_start = start(total, m)              # rows [test_start, total) are test
     val_start = start(test_start, m)          # rows [val_start, test_start) are val
-    f = last_n_flag(last_n_flag(df, total - test_start, order_by, "_nf_t"), total - val_start, order_by, "_nf_v")
+    f = order.flag(order.flag(df, order_by, total - test_start, True, "_nf_t"), order_by, total - val_start, True, "_nf_v")
     return (f.withColumn(split_col, F.when(F.col("_nf_t"), "test").when(F.col("_nf_v"), "val")
                          .otherwise("train")).drop("_nf_t", "_nf_v"))
 
@@ -65,10 +67,11 @@ def transfer_split(df: DataFrame, transfer_df: DataFrame, transfer_type: int, n_
     type 1: train = own rest, val = transfer;  type 2: train = transfer, val = own rest;
     type 3: as type 1, and the transfer set is also appended to train.
     """
-    total = df.count()
+    order = KeyOrder(df, order_by)
+    total = order.total
     s0 = total - n_test
     n_last = total - (s0 if s0 >= 0 else max(0, total + s0))   # rows of data[n - n_test:]
-    own = last_n_flag(df, n_last, order_by, "_nf_t")
+    own = order.flag(df, order_by, n_last, True, "_nf_t")
     rest = "val" if transfer_type == 2 else "train"
     own = own.withColumn(split_col, F.when(F.col("_nf_t"), "test").otherwise(rest)).drop("_nf_t")
     tr_name = "train" if transfer_type == 2 else "val"
@@ -90,8 +93,9 @@ def random_split(df: DataFrame, key: str, frac: float = 0.2, seed: int = 42, spl
     if not exact:
         cut = int(frac * (1 << 60))
         return df.withColumn(split_col, F.when(h < F.lit(cut), names[1]).otherwise(names[0]))
-    m = math.ceil(df.count() * frac)
-    f = first_n_flag(df.withColumn("_nf_h", h), m, ["_nf_h", key], "_nf_s")
+    drawn, by = df.withColumn("_nf_h", h), ["_nf_h", key]
+    order = KeyOrder(drawn, by)
+    f = order.flag(drawn, by, math.ceil(order.total * frac), False, "_nf_s")
     return (f.withColumn(split_col, F.when(F.col("_nf_s"), names[1]).otherwise(names[0]))
              .drop("_nf_s", "_nf_h"))
 

@@ -34,15 +34,17 @@ def _date_of(id_col: str):
 
 
 def observations(spark, sf_dir, with_value: bool = False) -> DataFrame:
-    d = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
-    e = table(spark, sf_dir, "events").select("event_id", "event_type", "user_id", "value")
-    return (d.join(e, d.doc_id == e.event_id)
-             .select(F.col("doc_id").alias("obs_id"),
+    docs = table(spark, sf_dir, "documents")
+    n = docs.agg(F.count(F.lit(1)).alias("n")).scalar()   # one observation per event, its text a document's
+    d = docs.select("doc_id", "text", "lang")
+    e = table(spark, sf_dir, "events").select("event_id", "event_type", "user_id", "value", (F.col("event_id") % n).alias("_doc"))
+    return (e.join(d, d.doc_id == e["_doc"])
+             .select(F.col("event_id").alias("obs_id"),
                      F.col("event_type").alias("ObservationScheme"),
                      F.col("lang").alias("ObservationQuestion"),
                      F.col("text").alias("ObservationAnswer"),
                      F.col("user_id").cast("string").alias("PractionerName"),
-                     _date_of("doc_id").alias("LastUpdateDate"),
+                     _date_of("event_id").alias("LastUpdateDate"),
                      *([F.col("value")] if with_value else [])))
 
 
@@ -112,17 +114,23 @@ def embedded(spark, sf_dir) -> DataFrame:
         F.col("vec_id").alias("row_id"), F.col("embedding").alias("features"), "label")
 
 
+def _folded(k: int):
+    """k logits from all values: logit j is the sum of those at positions i with i % k = j."""
+    return F.transform(F.sequence(F.lit(0), F.lit(k - 1)), lambda j: F.aggregate(
+        F.filter("embedding", lambda x, i: i % k == j), F.lit(0.0), lambda a, x: a + x))
+
+
 def logits10(spark, sf_dir) -> DataFrame:
     return table(spark, sf_dir, "embeddings").select(
         F.col("vec_id").alias("row_id"),
-        F.slice("embedding", 1, 10).cast("array<double>").alias("logits"),
+        _folded(10).alias("logits"),
         F.col("label").alias("y_true"))
 
 
 def logits2(spark, sf_dir) -> DataFrame:
     return table(spark, sf_dir, "embeddings").select(
         F.col("vec_id").alias("row_id"),
-        F.slice("embedding", 1, 2).cast("array<double>").alias("logits"),
+        _folded(2).alias("logits"),
         (F.col("label") % 2).alias("y_true"))
 
 
@@ -151,14 +159,19 @@ def _values(rows, cols) -> str:
     return f"SELECT * FROM (VALUES {body}) AS t({', '.join(cols)})"
 
 
+def _folded_sql(k: int) -> str:
+    return (f"list_transform(range({k}), lambda j: list_sum(list_transform(list_filter(embedding, "
+            f"lambda x, i: (i - 1) % {k} = j), lambda x: CAST(x AS DOUBLE))))")
+
+
 _SCHEME_LIST_SQL = "[" + ", ".join(f"'{s}'" for s in SCHEMES) + "]"
 
 FIXTURE_SQL: dict[str, tuple[str, tuple[str, ...]]] = {
     "observations": (f"""
-        SELECT d.doc_id AS obs_id, e.event_type AS ObservationScheme, d.lang AS ObservationQuestion,
+        SELECT e.event_id AS obs_id, e.event_type AS ObservationScheme, d.lang AS ObservationQuestion,
                d.text AS ObservationAnswer, CAST(e.user_id AS VARCHAR) AS PractionerName,
-               {_date_sql('d.doc_id')} AS LastUpdateDate
-        FROM documents d JOIN events e ON d.doc_id = e.event_id""", ()),
+               {_date_sql('e.event_id')} AS LastUpdateDate
+        FROM events e JOIN documents d ON d.doc_id = e.event_id % (SELECT count(*) FROM documents)""", ()),
     "observations_raw": ("""
         SELECT * REPLACE (CASE obs_id % 3 WHEN 0 THEN upper(ObservationScheme)
                                            WHEN 1 THEN ObservationScheme || ' '
@@ -191,10 +204,8 @@ FIXTURE_SQL: dict[str, tuple[str, tuple[str, ...]]] = {
                CASE WHEN (conv_id + turn) % 5 = 0 THEN NULL ELSE text END AS comments_
         FROM conversations WHERE role = 'user'""", ()),
     "embedded": ("SELECT vec_id AS row_id, embedding AS features, label FROM embeddings", ()),
-    "logits10": ("""SELECT vec_id AS row_id, CAST(embedding[1:10] AS DOUBLE[]) AS logits,
-                           label AS y_true FROM embeddings""", ()),
-    "logits2": ("""SELECT vec_id AS row_id, CAST(embedding[1:2] AS DOUBLE[]) AS logits,
-                          label % 2 AS y_true FROM embeddings""", ()),
+    "logits10": (f"SELECT vec_id AS row_id, {_folded_sql(10)} AS logits, label AS y_true FROM embeddings", ()),
+    "logits2": (f"SELECT vec_id AS row_id, {_folded_sql(2)} AS logits, label % 2 AS y_true FROM embeddings", ()),
     "train_log": (f"""
         SELECT e.event_id AS seq, t.tag, e.value
         FROM events e JOIN ({_values(LOG_TAG_OF_EVENT, ['event_type', 'tag'])}) t

@@ -64,16 +64,20 @@ FROM embeddings""")(_emb)
 
 def _variants(spark, d):
     base = SRC.scratch_path(spark, "variants")
-    fx.embedded(spark, d).write.mode("overwrite").parquet(f"{base}/full64")
-    fx.logits10(spark, d).select("row_id", F.col("logits").cast("array<float>").alias("features"),
-                                 F.col("y_true").alias("label")).write.mode("overwrite").parquet(f"{base}/head10")
-    v = SRC.read_variants(spark, f"{base}/*")
-    return v.groupBy("variant").agg(F.count(F.lit(1)).alias("n"), F.max(F.size("features")).alias("dim"))
+    e, lg = fx.embedded(spark, d), fx.logits10(spark, d)
+    for name, x, labels in (("full64", e, e.select("row_id", "label")),
+                            ("fold10", lg.select("row_id", F.col("logits").cast("array<float>").alias("features")),
+                             lg.select("row_id", (F.col("y_true") + 100).alias("label")))):
+        x.select("row_id", "features").write.mode("overwrite").parquet(f"{base}/{name}/features")
+        labels.write.mode("overwrite").parquet(f"{base}/{name}/labels")
+    v = SRC.read_variants(spark, base)
+    return v.groupBy("variant").agg(F.count(F.lit(1)).alias("n"), F.max(F.size("features")).alias("dim"),
+                                    F.sum(F.col("label").cast("long")).alias("sum_label"))
 
 
 register("read_variants", """
-SELECT 'full64' AS variant, count(*) AS n, CAST(max(len(embedding)) AS INTEGER) AS dim FROM embeddings
-UNION ALL SELECT 'head10', count(*), 10 FROM embeddings""")(_variants)
+SELECT 'full64' AS variant, count(*) AS n, CAST(max(len(embedding)) AS INTEGER) AS dim, CAST(sum(label) AS BIGINT) AS sum_label FROM embeddings
+UNION ALL SELECT 'fold10', count(*), 10, CAST(sum(label + 100) AS BIGINT) FROM embeddings""")(_variants)
 
 
 def _materialize(spark, d):

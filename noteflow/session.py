@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
+import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
@@ -13,6 +18,7 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
@@ -68,18 +74,38 @@ def reliable_checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+_STAGED: list[tuple[SparkSession, str]] = []
+
+
+def remove_staged() -> None:
+    """Delete the staged tables of sessions that still run (at exit, or when results are read)."""
+    while _STAGED:
+        spark, path = _STAGED.pop()
+        try:
+            p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+        except Exception:  # noqa: BLE001 - the session is gone
+            pass
+
+
+atexit.register(remove_staged)
+
+
+def staged(df: DataFrame) -> DataFrame:
+    """``df`` written as Parquet to the shared folder and read back: lineage is cut, columns
+    can be pruned, and the planner knows the size in bytes.  Removed at exit."""
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark)}/staged-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    _STAGED.append((spark, path))
+    return spark.read.parquet(path)
+
+
 def values_df(spark: SparkSession, rows, schema: str) -> DataFrame:
-    """A small fixed table as an inline ``VALUES`` relation: Catalyst then knows its
-    exact row count (a static bound for broadcast decisions) and no RDD is built."""
-    names = [f.strip().split()[0] for f in schema.split(",")]
-    types = [f.strip().split()[1] for f in schema.split(",")]
-
-    def lit(v, t):
-        if v is None:
-            return f"CAST(NULL AS {t})"
-        if t == "string":
-            return "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
-        return f"CAST({v!r} AS {t})"
-
-    body = ", ".join("(" + ", ".join(lit(v, t) for v, t in zip(r, types)) + ")" for r in rows)
-    return spark.sql(f"SELECT * FROM VALUES {body} AS t({', '.join(names)})")
+    """A small fixed table as a local relation: Catalyst knows its exact row count (a
+    static bound for broadcast decisions) and no RDD is built.  ``schema`` is a DDL string
+    of any types; values are Python objects of those types."""
+    fields = StructType.fromDDL(schema)
+    arrow = to_arrow_schema(fields)
+    cols = list(zip(*rows)) or [()] * len(fields)
+    return spark.createDataFrame(pa.table([pa.array(list(c), f.type) for c, f in zip(cols, arrow)], schema=arrow), fields)

@@ -88,12 +88,14 @@ def write_embeddings(df: DataFrame, path: str, features: str = "features") -> No
     out.write.mode("overwrite").parquet(path)
 
 
-def read_variants(spark: SparkSession, glob: str, variant_col: str = "variant") -> DataFrame:
-    """Read every embedding file under a glob; the file's parent folder name
-    names its variant (pairing by name, never by sort position)."""
-    df = spark.read.parquet(glob)
-    parent = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2)
-    return df.withColumn(variant_col, parent)
+def read_variants(spark: SparkSession, base: str, row_id: str = "row_id", variant_col: str = "variant") -> DataFrame:
+    """The embedding variants under ``base``, each feature file paired with its label
+    file by name: ``<base>/<variant>/features`` and ``<base>/<variant>/labels``, joined on
+    (variant, row id), never by position."""
+    def part(kind: str) -> DataFrame:
+        name = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -3)
+        return spark.read.parquet(f"{base}/*/{kind}").withColumn(variant_col, name)
+    return part("features").join(part("labels"), [variant_col, row_id])
 
 
 def save_model(model, path: str) -> None:
@@ -124,5 +126,6 @@ def materialize(spark: SparkSession, path: str, build: Callable[[], DataFrame])
 
 
 def write_metrics(df: DataFrame, path: str) -> None:
-    """Write a metric table (a handful of rows) as one JSON file."""
-    df.coalesce(1).write.mode("overwrite").json(path)
+    """Write a metric table (a handful of rows) as one JSON file; ``repartition`` keeps the
+    stages above it parallel and moves only the finished rows."""
+    df.repartition(1).write.mode("overwrite").json(path)

@@ -1,5 +1,8 @@
 """Ordering, splitting and sampling properties (repartition invariance, exact sizes)."""
 
+import datetime as dt
+import decimal
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -34,16 +37,14 @@ def test_rank_within_hot_group(spark):
 
 
 @pytest.mark.parametrize("n", [0, 1, 50, 200, 10_000])
-def test_last_n_flag_both_paths(spark, n, monkeypatch):
+def test_last_n_flag(spark, n):
     from conftest import SF_SMALL
     df = _docs(spark, SF_SMALL)
     total = df.count()
     want = set(x["doc_id"] for x in df.orderBy(F.desc("doc_id")).limit(n).collect()) if n else set()
-    for cutoff in (order.TOPN_CUTOFF_MAX, 10):      # cutoff-key path and global-rank path
-        monkeypatch.setattr(order, "TOPN_CUTOFF_MAX", cutoff)
-        got = set(x["doc_id"] for x in order.last_n_flag(df, n, ["doc_id"], "t").filter("t").collect())
-        assert got == want
-        assert len(got) == min(n, total)
+    got = set(x["doc_id"] for x in order.last_n_flag(df, n, ["doc_id"], "t").filter("t").collect())
+    assert got == want
+    assert len(got) == min(n, total)
 
 
 def test_time_split3_disjoint_and_cover(spark):
@@ -148,7 +149,7 @@ def test_results_do_not_depend_on_shuffle_partitions(spark, key):
     assert results[0] == results[1]
 
 
-def test_negative_samples_within_part_and_large_dimension_path(spark, monkeypatch):
+def test_negative_samples_within_part(spark):
     rows = [(i, ["a", "b", "c"][i % 3], "x" if i < 40 else "y") for i in range(90)]
     df = spark.createDataFrame([(k, g, p, f"{p}{g}{k}") for k, g, p in rows],
                                "obs_id long, ObservationScheme string, src string, ObservationAnswer string")
@@ -157,14 +158,27 @@ def test_negative_samples_within_part_and_large_dimension_path(spark, monkeypatc
     for k, g, p in rows:
         ans = got[k]["ObservationAnswer"]
         assert ans[0] == p and ans[1] != g             # same part, other scheme
-    plain = sorted(map(tuple, sampling.negative_samples(df, ["ObservationAnswer"], "ObservationScheme",
-                                                        "obs_id", 5).collect()))
-    monkeypatch.setattr(sampling, "BROADCAST_MAX_ROWS", 1)   # force the shuffle-join path
-    slow = sampling.negative_samples(df, ["ObservationAnswer"], "ObservationScheme", "obs_id", 5, within="src")
-    assert {r["obs_id"]: r["ObservationAnswer"] for r in slow.collect()} == \
-        {k: r["ObservationAnswer"] for k, r in got.items()}
-    slow_plain = sampling.negative_samples(df, ["ObservationAnswer"], "ObservationScheme", "obs_id", 5)
-    assert plain == sorted(map(tuple, slow_plain.collect()))
+    assert len(got) == len(rows)
+
+
+def test_negative_samples_null_part(spark):
+    rows = [(i, ["a", "b"][i % 2], None if i % 2 == i % 4 else "x", f"t{i}") for i in range(60)]
+    df = spark.createDataFrame(rows, "obs_id long, ObservationScheme string, src string, ObservationAnswer string")
+    out = sampling.negative_samples(df, ["ObservationAnswer"], "ObservationScheme", "obs_id", 5, within="src").collect()
+    part = {r[3]: (r[1], r[2]) for r in rows}
+    assert len(out) == 60
+    for r in out:
+        assert part[r["ObservationAnswer"]][1] == r["src"] and part[r["ObservationAnswer"]][0] != r["ObservationScheme"]
+
+
+@pytest.mark.parametrize("kind,values", [("date", [dt.date(2024, 1, 1), dt.date(2024, 1, 2)]),
+                                         ("decimal(10,2)", [decimal.Decimal("1.50"), decimal.Decimal("2.25")])])
+def test_negative_samples_date_and_decimal_schemes(spark, kind, values):
+    rows = [(i, values[i % 2], f"t{i}") for i in range(20)]
+    df = spark.createDataFrame(rows, f"obs_id long, ObservationScheme {kind}, ObservationAnswer string")
+    out = sampling.negative_samples(df, ["ObservationAnswer"], "ObservationScheme", "obs_id", 5).collect()
+    own = {r[2]: r[1] for r in rows}
+    assert len(out) == 20 and all(own[r["ObservationAnswer"]] != r["ObservationScheme"] for r in out)
 
 
 def test_append_tail_warns_when_short(spark):
