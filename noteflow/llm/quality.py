@@ -129,9 +129,10 @@ def fit_classifier(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
 
     got = rows.where("NOT _listing").select("_text", "_good").mapInArrow(features, "x array<double>, good boolean").toArrow()
     y = got["good"].to_numpy().astype(float)
+    prior = float(np.clip(y.mean(), 1e-3, 1 - 1e-3)) if len(y) else 0.5
     if not 0 < y.sum() < len(y):
-        return {"terms": frozenset(listed), "prior": float(y.mean()) if len(y) else 0.5, "logit": None}
-    return {"terms": frozenset(listed), "prior": float(y.mean()), "logit": fit_logistic(np.array(got["x"].to_pylist()), y)}
+        return {"terms": frozenset(listed), "prior": prior, "logit": None}
+    return {"terms": frozenset(listed), "prior": prior, "logit": fit_logistic(np.array(got["x"].to_pylist()), y)}
 
 
 def site_posteriors(scores: DataFrame) -> DataFrame:
