@@ -2,20 +2,19 @@
 
 TF-IDF plan
 -----------
-* fit: ``explode(tokens)`` -> ``groupBy(term)`` for corpus counts and
-  ``explode(array_distinct(tokens))`` -> ``groupBy(term)`` for document
-  frequencies.  Both aggregates combine map-side, so a term present in every
-  document costs one row per input partition, not one per document.  The
-  vocabulary (at most ``max_features`` terms, checked) is ranked by corpus count
+* fit: one explode of (term, 1, 0) per token and (term, 0, 1) per distinct token,
+  one ``groupBy(term)`` for corpus counts and document frequencies.  The aggregate
+  combines map-side, so a term present in every document costs one row per input
+  partition, not one per document.  ``max_features`` cuts by corpus count
   descending, ties alphabetically; term ids are alphabetical, idf is
   ``ln((1+n)/(1+df)) + 1``.
 * transform, vector form: a ``CountVectorizerModel`` built from the fitted
   vocabulary counts terms per document inside the JVM (no shuffle), an
   ``ElementwiseProduct`` applies idf and a ``Normalizer`` the L2 norm - all
   document-local, sparse.
-* transform, long form ``(id, term, term_id, weight)``: explode + broadcast
-  vocabulary join + per-document norm, for SQL-checkable output and for the
-  sparse dot products of the centroid scorer.
+* transform, long form ``(id, term, term_id, weight)``: those sparse vectors
+  exploded, for SQL-checkable output and for the sparse dot products of the
+  centroid scorer.
 """
 
 from __future__ import annotations
@@ -28,14 +27,12 @@ from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normali
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import tokenize
-from .order import bounded_broadcast, dim_rank, global_rank
-
-MAX_VOCAB = 2_000_000
-TOPK_VOCAB_MAX = 100_000
+from ..session import staged
+from .order import KeyOrder, dim_rank
 
 
 def analyzer_tokens(text_col, stopwords=None):
@@ -52,7 +49,7 @@ class TfidfModel:
         self._terms = None
 
     def terms(self) -> list[tuple[str, float]]:
-        """(term, idf) in term-id order, collected once (size bounded at fit time)."""
+        """(term, idf) in term-id order, collected once: the vector form's dictionary."""
         if self._terms is None:
             self._terms = [(r["term"], r["idf"]) for r in self.vocab.orderBy("term_id").collect()]
         return self._terms
@@ -60,32 +57,24 @@ class TfidfModel:
 
 def tfidf_fit(df: DataFrame, tokens_col: str, min_df: float = 1, max_df: float = 1.0,
               max_features: int | None = None) -> TfidfModel:
-    """F1 fit.  ``min_df``/``max_df``: int = document count, float = share of documents."""
-    t = df.select(F.col(tokens_col).alias("_nf_t")).persist()  # feeds the count and both aggregates
-    n = t.count()
-    cf = (t.select(F.explode_outer("_nf_t").alias("term")).filter(F.col("term").isNotNull())
-           .groupBy("term").agg(F.count(F.lit(1)).alias("cf")))
-    dfq = (t.select(F.explode_outer(F.array_distinct("_nf_t")).alias("term")).filter(F.col("term").isNotNull())
-            .groupBy("term").agg(F.count(F.lit(1)).alias("df")))
+    """F1 fit.  ``min_df``/``max_df``: int = document count, float = share of documents.
+    The vocabulary may have any size; ``max_features`` keeps the terms with the largest
+    corpus counts (ties alphabetically)."""
+    toks, one, none = F.col("_nf_t"), F.lit(1).cast("long"), F.lit(0).cast("long")
+    # corpus and document counts from one explode and one shuffle
+    each = F.concat(F.transform(toks, lambda t: F.struct(t.alias("term"), one.alias("c"), none.alias("d"))),
+                    F.transform(F.array_distinct(toks), lambda t: F.struct(t.alias("term"), none.alias("c"), one.alias("d"))))
+    n = df.count()
+    v = (df.select(F.col(tokens_col).alias("_nf_t")).select(F.explode_outer(each).alias("x")).filter(F.col("x.term").isNotNull())
+           .groupBy("x.term").agg(F.sum("x.c").alias("cf"), F.sum("x.d").alias("df")))
     lo = min_df if isinstance(min_df, int) else min_df * n
     hi = max_df if isinstance(max_df, int) else max_df * n
-    v = cf.join(dfq, "term").filter((F.col("df") >= lo) & (F.col("df") <= hi))
+    v = staged(v.filter((F.col("df") >= lo) & (F.col("df") <= hi)).withColumn("_nf_neg", -F.col("cf")))
     if max_features is not None:
-        if max_features <= TOPK_VOCAB_MAX:
-            # top-k per partition, merged in one task: at most max_features rows move
-            v = v.orderBy(F.col("cf").desc(), F.col("term").asc()).limit(max_features)
-        else:
-            v = (global_rank(v.withColumn("_nf_neg", -F.col("cf")), ["_nf_neg", "term"], "_nf_r")
-                 .filter(F.col("_nf_r") <= max_features).drop("_nf_neg", "_nf_r"))
-    v = v.persist()
-    size = v.count()
-    if size > MAX_VOCAB:
-        raise ValueError(f"vocabulary of {size} terms exceeds {MAX_VOCAB}; set max_features or min_df")
+        by = ["_nf_neg", "term"]
+        v = KeyOrder(v, by).flag(v, by, max_features, False, "_nf_in").filter("_nf_in").drop("_nf_in")
     v = dim_rank(v.select("term", "df"), ["term"], "term_id").withColumn("term_id", (F.col("term_id") - 1).cast("int"))
-    v = v.withColumn("idf", F.log((F.lit(1.0) + n) / (F.lit(1.0) + F.col("df"))) + 1.0).persist()
-    v.count()
-    t.unpersist()
-    return TfidfModel(v, n, tokens_col)
+    return TfidfModel(staged(v.withColumn("idf", F.log((F.lit(1.0) + n) / (F.lit(1.0) + F.col("df"))) + 1.0)), n, tokens_col)
 
 
 def tfidf_transform(df: DataFrame, model: TfidfModel, tokens_col: str | None = None,
@@ -103,20 +92,14 @@ def tfidf_transform(df: DataFrame, model: TfidfModel, tokens_col: str | None = N
 
 
 def tfidf_weights(df: DataFrame, model: TfidfModel, id_col: str, tokens_col: str | None = None) -> DataFrame:
-    """F1/F3 transform in long form ``(id, term, term_id, weight)``."""
-    col = tokens_col or model.tokens_col
-    v = bounded_broadcast(model.vocab.select("term", "term_id", "idf"), MAX_VOCAB)
-    # drop out-of-vocabulary tokens before the per-document count, so the shuffle
-    # carries only in-vocabulary (document, term) pairs
-    # explode_outer + null filter: an inner explode makes Catalyst infer size(tokens) > 0
-    # below the projection, which would run the tokenizer twice per document
-    tf = (df.select(id_col, F.explode_outer(col).alias("term")).filter(F.col("term").isNotNull()).join(v, "term")
-            .groupBy(id_col, "term", "term_id", "idf").agg(F.count(F.lit(1)).alias("tf")))
-    w = tf.withColumn("w", F.col("tf") * F.col("idf"))
-    # per-document L2 norm over the document's in-vocabulary terms (at most the
-    # vocabulary size per window partition): one shuffle by id, no join back
-    norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(id_col)))
-    return w.select(id_col, "term", "term_id", (F.col("w") / norm).alias("weight"))
+    """F1/F3 transform in long form ``(id, term, term_id, weight)``: the sparse vectors of
+    :func:`tfidf_transform` exploded, so no (document, term) row is shuffled; ``term`` joins
+    in by ``term_id`` from the vocabulary."""
+    v = F.unwrap_udt(F.col("_nf_v"))
+    parts = F.transform(v["indices"], lambda t, i: F.struct(t.alias("term_id"), v["values"][i].alias("weight")))
+    vec = tfidf_transform(df.select(id_col, F.col(tokens_col or model.tokens_col).alias("_nf_toks")), model, "_nf_toks", "_nf_v")
+    long = vec.select(id_col, F.explode_outer(parts).alias("x")).filter(F.col("x").isNotNull()).select(id_col, "x.*")
+    return long.join(model.vocab.select("term", "term_id"), "term_id").select(id_col, "term", "term_id", "weight")
 
 
 def tfidf_fit_prefix(df: DataFrame, n: int, order_by, tokens_col: str, **kw) -> TfidfModel:
@@ -192,16 +175,20 @@ def class_centroids(weights: DataFrame, labels: DataFrame, id_col: str, class_co
     n = labels.groupBy(class_col).agg(F.count(F.lit(1)).alias("_nf_n"))
     s = weights.join(labels.select(id_col, class_col), id_col).groupBy(class_col, "term_id").agg(
         F.sum("weight").alias("_nf_s"))
-    # classes x vocabulary rows: small, reused by the size check and the scoring join
-    return s.join(n, class_col).select(class_col, "term_id", (F.col("_nf_s") / F.col("_nf_n")).alias("c")).persist()
+    return staged(s.join(n, class_col).select(class_col, "term_id", (F.col("_nf_s") / F.col("_nf_n")).alias("c")))
 
 
-def centroid_scores(weights: DataFrame, centroids: DataFrame, id_col: str, class_col: str,
-                    max_entries: int = 50_000_000) -> DataFrame:
+def centroid_scores(weights: DataFrame, centroids: DataFrame, id_col: str, class_col: str) -> DataFrame:
     """Dot product of each document with each class centroid, for pairs that share a
-    term: ``(id, class, score)``.  The centroid table (classes x vocabulary, size
-    checked) is broadcast, so hot terms cause no skew; the per-(id, class) sums
-    combine map-side because a document's terms sit in one partition."""
-    c = bounded_broadcast(centroids, max_entries)
-    return (weights.join(c, "term_id").groupBy(id_col, class_col)
+    term: ``(id, class, score)``.  The join is AQE's choice: a small centroid table is
+    broadcast, a large one shuffled with hot terms split."""
+    return (weights.join(centroids, "term_id").groupBy(id_col, class_col)
                    .agg(F.sum(F.col("weight") * F.col("c")).alias("score")))
+
+
+def own_class_scores(weights: DataFrame, centroids: DataFrame, id_col: str, own: str, class_col: str) -> DataFrame:
+    """Dot product of each document with the centroid of its own class alone: ``(id, score)``;
+    ``own`` is an expression for the class, e.g. a field of the id struct."""
+    c = centroids.select(F.col(class_col).alias("_nf_cls"), F.col("term_id").alias("_nf_tid"), "c")
+    return (weights.join(c, (F.expr(own) == F.col("_nf_cls")) & (F.col("term_id") == F.col("_nf_tid")))
+                   .groupBy(id_col).agg(F.sum(F.col("weight") * F.col("c")).alias("score")))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.constants import TOKEN_PATTERN
 from ..operators import clean, joins
+from ..session import staged
 
 
 def preprocess_pipeline(obs: DataFrame, goals: DataFrame, converter: DataFrame,
@@ -97,7 +98,9 @@ def new_class_dataset_pipeline(answers: DataFrame, comments: DataFrame, goals: D
     c = shuffle_texts(c, keys, shuffle_seed)
     c = clean.min_len(clean.len_words(c, "all_text"), "all_text_len", min_tokens)
     c = sorting.sort_by_date(c, "LastUpdateDate", keys)
-    c = SP.tail_split_frac(c, test_frac, ["pos"], "split", ("trainval", "test"))
+    # pos is 1..n already: the last round(n * test_frac) positions are the test set
+    n = c.agg(F.count(F.lit(1)).alias("n")).scalar()
+    c = c.withColumn("split", F.when(F.col("pos") > n - F.bround(n * F.lit(float(test_frac))), "test").otherwise("trainval"))
     test = c.filter(F.col("split") == "test")
     trainval = joins.anti_keys(c, test, keys)
     excluded = clean.keep_classes(trainval, "type", exclude).withColumn("split", F.lit("excluded"))
@@ -134,7 +137,7 @@ def sentence_scoring_pipeline(answers: DataFrame, comments: DataFrame, superuser
     negative per positive (answer of another scheme), all sorted by date,
     ``SchemeAnswer`` text, last ``n_test`` rows = test."""
     from ..functions import text as T
-    from ..operators import sampling, split as SP
+    from ..operators import sampling
     keys, order_by = list(keys), list(order_by)
     if superusers is not None:
         answers = joins.semi_filter(answers, superusers, "PractionerName")
@@ -153,7 +156,9 @@ def sentence_scoring_pipeline(answers: DataFrame, comments: DataFrame, superuser
                                                       version=combine_version))
     from ..operators import sorting
     u = sorting.sort_by_date(u, "LastUpdateDate", ["src"] + key_cols + ["labels"])
-    return SP.tail_split_n(u, n_test, ["pos"], "split", ("train_val", "test"))
+    # pos is 1..n already: the last n_test positions are the test set
+    n = u.agg(F.count(F.lit(1)).alias("n")).scalar()
+    return u.withColumn("split", F.when(F.col("pos") > n - n_test, "test").otherwise("train_val"))
 
 
 def classify_evaluate_pipeline(features: DataFrame, labels: DataFrame, row_id: str = "row_id",
@@ -197,24 +202,23 @@ def scorer_evaluation_pipeline(pairs: DataFrame, id_cols, split_col: str = "spli
     from ..functions.constants import SCORER_THRESHOLDS
     from ..operators import evaluate as E, features as FT, models as M
     ids = list(id_cols)
-    df = (pairs.withColumn("_nf_id", F.concat_ws(":", *[F.col(c).cast("string") for c in ids]))
-               .withColumn("toks", FT.analyzer_tokens("ObservationAnswer"))).persist()
+    # ids are structs of the key columns: nulls and separators inside them can't merge rows
+    df = staged(pairs.withColumn("_nf_id", F.struct(*ids)).withColumn("toks", FT.analyzer_tokens("ObservationAnswer"))
+                     .withColumn("_nf_pid", F.struct(*ids, "labels", F.col("ObservationScheme").alias("_nf_scheme"))))
     train = df.filter(F.col(split_col).isin("train_val", "train", "val"))
     test = df.filter(F.col(split_col) == "test")
     train_pos = train.filter(F.col("labels") == 1).dropDuplicates(["_nf_id"])
     model = FT.tfidf_fit(train_pos, "toks", max_features=max_features)
     cents = FT.class_centroids(FT.tfidf_weights(train_pos, model, "_nf_id"), train_pos, "_nf_id",
                                "ObservationScheme")
-    w = FT.tfidf_weights(df.select("_nf_id", "labels", "toks").withColumn(
-        "_nf_id", F.concat_ws("#", "_nf_id", F.col("labels").cast("string"))), model, "_nf_id")
-    sc = FT.centroid_scores(w, cents, "_nf_id", "ObservationScheme")
-    keyed = df.withColumn("_nf_pid", F.concat_ws("#", "_nf_id", F.col("labels").cast("string")))
-    own = keyed.join(sc.withColumnRenamed("_nf_id", "_nf_pid"), ["_nf_pid", "ObservationScheme"], "left") \
-               .withColumn("features", F.array(F.coalesce(F.col("score"), F.lit(0.0)))).persist()
+    # every pair against the centroid of its own scheme only
+    sc = FT.own_class_scores(FT.tfidf_weights(df, model, "_nf_pid"), cents, "_nf_pid", "_nf_pid._nf_scheme", "ObservationScheme")
+    own = staged(df.drop("toks").join(sc.withColumnRenamed("_nf_pid", "_nf_sid"), F.col("_nf_pid") == F.col("_nf_sid"), "left")
+                   .withColumn("features", F.array(F.coalesce(F.col("score"), F.lit(0.0)))).drop("_nf_sid"))
     lr = M.fit_logreg(own.filter(F.col(split_col) != "test"), "features", "labels", C=1.0, max_iter=50)
     p = M.predict(lr, own.filter(F.col(split_col) == "test"), "features")
     p = E.softmax_probs(p.withColumn("_nf_lg", F.transform("probs", lambda x: F.log(x))), "_nf_lg") \
-         .withColumnRenamed("labels", "y_true").persist()
+         .withColumnRenamed("labels", "y_true")
     sweep = E.confidence_sweep(p, thresholds or SCORER_THRESHOLDS, "y_true", "y_pred", "prob_max").select(
         F.lit("confidence").alias("section"), F.col("threshold").alias("x"), F.col("accuracy").alias("value"),
         F.col("n_samples").alias("n"))
