@@ -18,7 +18,6 @@ from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
-from pyspark.ml import Pipeline
 from pyspark.ml.classification import (GBTClassifier, LinearSVC, LogisticRegression, OneVsRest)
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -28,7 +27,9 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import staged
 from . import evaluate as E
+from .order import KeyOrder
 from .split import kfold
 
 def as_vector(df: DataFrame, col: str, out: str | None = None) -> DataFrame:
@@ -127,20 +128,19 @@ class LinearModel:
 
 
 CHUNK = 65_536   # doubles per reduced piece of a moment partial (512 KB)
+BUCKETS = 256    # first-level sums per piece
 
 
 def _sum_partials(parts: DataFrame, length: int) -> dict:
     """Sum per-partition partial vectors ``(g int, m array<double>)`` by ``g``.
 
     Each partial is cut into CHUNK-sized pieces; pieces are summed per (g, piece)
-    in two levels (~sqrt(P) buckets, then across buckets), so no buffer exceeds a
+    in two levels (BUCKETS, then across buckets), so no buffer exceeds a
     piece and the final reduction is spread over (groups x pieces) tasks."""
     n_chunks = max(1, -(-length // CHUNK))
-    n_parts = parts.rdd.getNumPartitions()
-    buckets = max(1, int(np.ceil(np.sqrt(n_parts))))
     pieces = F.transform(F.sequence(F.lit(0), F.lit(n_chunks - 1)),
                          lambda i: F.struct(i.alias("c"), F.slice("m", i * CHUNK + 1, CHUNK).alias("p")))
-    ex = (parts.withColumn("_nf_b", F.spark_partition_id() % buckets)
+    ex = (parts.withColumn("_nf_b", F.spark_partition_id() % BUCKETS)
                .select("g", "_nf_b", F.explode(pieces).alias("x"))
                .select("g", "_nf_b", F.col("x.c").alias("c"), array_to_vector(F.col("x.p")).alias("v")))
     level1 = ex.groupBy("g", "c", "_nf_b").agg(Summarizer.sum(F.col("v")).alias("v"))
@@ -359,29 +359,26 @@ def leaderboard(train: DataFrame, test: DataFrame, estimators: dict, features: s
 def cross_val_scores(df: DataFrame, fit: Callable, k: int = 5, features: str = "features", label: str = "label",
                      key: str = "row_id", seed: int = 42) -> DataFrame:
     """M9: accuracy per fold of a stratified seeded k-fold."""
-    data = kfold(df, k, label, key, seed, "fold").cache()
+    data = staged(kfold(df, k, label, key, seed, "fold"))   # read by every fold, also lazily afterwards
     out = None
     for f in range(k):
         model = fit(data.filter(F.col("fold") != f))
         p = predict(model, data.filter(F.col("fold") == f), features)
         m = E.macro_metrics(p, label, "y_pred").withColumn("fold", F.lit(f))
         out = m if out is None else out.unionByName(m)
-    data.unpersist()
     return out.select("fold", "acc", "f1", "precision", "recall", "n")
 
 
 def learning_curve(base: DataFrame, extra: DataFrame, sizes, fit: Callable, test: DataFrame, new_class,
-                   order_by, key: str, features: str = "features", label: str = "label",
-                   seed: int = 0) -> DataFrame:
+                   order_by, features: str = "features", label: str = "label") -> DataFrame:
     """For each n, append the last n rows of the new class (U2), fit, and score
     all test rows (E1) and the new class's test rows (E14); the last point uses
     all of ``extra``.  Result ``(n, scope, acc, f1, precision, recall)``."""
-    from .sampling import append_tail
-    total = extra.count()
+    order = KeyOrder(extra, order_by)     # one ranking for all points; the order of training rows is free
     out = None
-    for n in list(sizes) + [total]:
-        train = append_tail(base, extra, n, order_by, key, seed).drop("pos")
-        model = fit(train)
+    for n in list(sizes) + [order.total]:
+        tail = order.flag(extra, order_by, n, True, "_nf_f").filter("_nf_f").drop("_nf_f")
+        model = fit(base.unionByName(tail, allowMissingColumns=True))
         p = predict(model, test, features)
         allm = E.macro_metrics(p, label, "y_pred").withColumn("scope", F.lit("all"))
         newm = E.new_class_metrics(p, new_class, label, "y_pred").withColumn("scope", F.lit("new_class"))
@@ -393,7 +390,3 @@ def learning_curve(base: DataFrame, extra: DataFrame, sizes, fit: Callable, test
 def refit_full(splits: DataFrame, fit: Callable, split_col: str = "split"):
     """Refit the chosen model on train + validation."""
     return fit(splits.filter(F.col(split_col).isin("train", "val")))
-
-
-def pipeline_of(*stages) -> Pipeline:
-    return Pipeline(stages=list(stages))

@@ -237,7 +237,7 @@ def _learning_curve(spark, d):
     base = train.filter(F.col("label") != new_code)
     extra = train.filter(F.col("label") == new_code)
     return _round4(M.learning_curve(base, extra, [0, 20], lambda t: M.fit_ridge(t, alpha=1.0), test, new_code,
-                                    ["row_id"], "row_id"))
+                                    ["row_id"]))
 
 
 register("learning_curve")(_learning_curve)
