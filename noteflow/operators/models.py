@@ -265,24 +265,71 @@ def fit_ridge(df: DataFrame, features: str = "features", label: str = "label", a
     return ridge_from_moments(moments(df, features, label, w), alpha)
 
 
-def lda_from_moments(m: dict, shrinkage: float | None = None) -> LinearModel:
-    """LDA (least-squares solver): class means, pooled within-class covariance, priors."""
+def lda_from_moments(m: dict, shrinkage: float | None = None, cov: np.ndarray | None = None) -> LinearModel:
+    """LDA (least-squares solver): class means, pooled within-class covariance (or ``cov``), priors."""
     n, cw = m["sw"], m["cw"]
     present = cw > 0
     mu = np.zeros_like(m["cs"])
     mu[present] = m["cs"][present] / cw[present, None]
-    cov = (m["xtx"] - (mu.T * cw) @ mu) / n
-    if shrinkage:
-        cov = (1 - shrinkage) * cov + shrinkage * (np.trace(cov) / m["d"]) * np.eye(m["d"])
+    if cov is None:
+        cov = (m["xtx"] - (mu.T * cw) @ mu) / n
+        if shrinkage:
+            cov = (1 - shrinkage) * cov + shrinkage * (np.trace(cov) / m["d"]) * np.eye(m["d"])
     coef = np.linalg.lstsq(cov, mu.T, rcond=None)[0].T
     with np.errstate(divide="ignore"):
         intercept = -0.5 * np.einsum("kd,kd->k", mu, coef) + np.log(cw / n)
     return LinearModel(coef, intercept, list(range(m["k"])))
 
 
+def ledoit_wolf(cov: np.ndarray, n: float, fourth: float) -> np.ndarray:
+    """Shrunk covariance of n centred rows, from their covariance and the sum of their squared
+    squared norms (Ledoit and Wolf 2004)."""
+    p = len(cov)
+    mu = np.trace(cov) / p
+    spread = (cov ** 2).sum()
+    delta = (spread - p * mu ** 2) / p
+    beta = min((fourth / n - spread) / (p * n), delta)
+    s = beta / delta if beta > 0 and delta > 0 else 0.0
+    return (1 - s) * cov + s * mu * np.eye(p)
+
+
+def _lda_auto(df: DataFrame, features: str, label: str) -> LinearModel:
+    """LDA with Ledoit-Wolf shrinkage of every class's standardised covariance, weighted by
+    the class shares: one pass for the classes' moments, one for their fourth moments."""
+    per = moments_by_group(df, features, label, label)
+    total = None
+    for m in per.values():
+        total = dict(m) if total is None else {**total, **{f: total[f] + m[f] for f in ("xtx", "sx", "sw", "cs", "cw")}}
+    stats = {}
+    for g, m in per.items():
+        mean = m["sx"] / m["sw"]
+        cov = m["xtx"] / m["sw"] - np.outer(mean, mean)
+        dev = np.sqrt(np.clip(np.diag(cov), 0, None))
+        stats[g] = mean, np.where(dev > 0, dev, 1.0), cov
+    shared = df.sparkSession.sparkContext.broadcast({g: (mean, dev) for g, (mean, dev, _) in stats.items()})
+    col = vector_to_array(F.col(features)) if isinstance(df.schema[features].dataType, VectorUDT) else F.col(features)
+
+    def fourth(it):
+        sums: dict = {}
+        for pdf in it:
+            for g, sub in pdf.groupby("g"):
+                mean, dev = shared.value[int(g)]
+                z = (np.stack(sub["x"].to_numpy()).astype(np.float64) - mean) / dev
+                sums[int(g)] = sums.get(int(g), 0.0) + float(((z * z).sum(1) ** 2).sum())
+        yield pd.DataFrame({"g": pd.Series(list(sums), dtype="int32"), "v": pd.Series(list(sums.values()), dtype="float64")})
+
+    got = {r["g"]: r["v"] for r in df.select(col.alias("x"), F.col(label).cast("int").alias("g"))
+           .mapInPandas(fourth, "g int, v double").groupBy("g").agg(F.sum("v").alias("v")).collect()}
+    cov = sum(per[g]["sw"] / total["sw"] * dev[:, None] * ledoit_wolf(c / dev[:, None] / dev, per[g]["sw"], got[g]) * dev
+              for g, (_, dev, c) in stats.items())
+    return lda_from_moments(total, cov=cov)
+
+
 def fit_lda(df: DataFrame, features: str = "features", label: str = "label",
-            shrinkage: float | None = None) -> LinearModel:
-    """M3: linear discriminant analysis."""
+            shrinkage: float | str | None = None) -> LinearModel:
+    """M3: linear discriminant analysis; ``shrinkage`` None, a share, or 'auto'."""
+    if shrinkage == "auto":
+        return _lda_auto(df, features, label)
     return lda_from_moments(moments(df, features, label), shrinkage)
 
 

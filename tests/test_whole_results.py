@@ -78,3 +78,27 @@ def test_ranks_with_null_keys(spark):
 def test_staged_table_is_pruned(spark):
     df = staged(spark.range(5).withColumn("x", F.lit("y")))
     assert "ReadSchema: struct<id:bigint>" in df.select("id")._jdf.queryExecution().toString()
+
+
+def test_lda_with_automatic_shrinkage(spark):
+    import numpy as np
+    from noteflow.operators import models as M
+    rng = np.random.default_rng(5)
+    y = rng.integers(0, 3, 240)
+    x = rng.standard_normal((240, 4)) * [1, 2, 0.5, 3] + np.array([[0, 0, 0, 0], [2, 0, 1, 0], [0, 3, 0, -4]])[y]
+    df = spark.createDataFrame([(r.tolist(), int(c)) for r, c in zip(x, y)], "features array<double>, label int")
+    got = M.fit_lda(df, shrinkage="auto")
+    cov, mu = np.zeros((4, 4)), np.stack([x[y == k].mean(0) for k in range(3)])
+    for k in range(3):
+        z = x[y == k] - mu[k]
+        dev = z.std(0)
+        z = z / dev
+        n, p = z.shape
+        s = z.T @ z / n
+        m = np.trace(s) / p
+        d2 = ((s - m * np.eye(p)) ** 2).sum() / p
+        b2 = min(sum(((np.outer(r, r) - s) ** 2).sum() / p for r in z) / n ** 2, d2)
+        cov += n / len(x) * np.outer(dev, dev) * (b2 / d2 * m * np.eye(p) + (1 - b2 / d2) * s)
+    coef = np.linalg.solve(cov, mu.T).T
+    assert np.allclose(got.coef, coef)
+    assert np.allclose(got.intercept, -0.5 * (mu * coef).sum(1) + np.log(np.bincount(y) / len(y)))
