@@ -7,10 +7,12 @@
    expanded into all pairs: each of its documents is compared with one leader per key
    (drawn anew for every key), and only documents of different components found that way
    are then compared with each other, so no link is lost.
-3. A pair's similarity is estimated from the packed bits, corrected for chance agreement
-   (``(e - 1/2^b) / (1 - 1/2^b)`` of the agreeing share e), and dropped if it lies
-   ``SLACK`` below the threshold (six standard errors); the rest is confirmed on the full
-   sets, each built once for documents with a candidate.
+3. A pair is dropped if a parity sketch of its sets proves too many different shingles (each
+   differing bit is one at least), or if its similarity estimated from the packed bits,
+   corrected for chance agreement (``(e - 1/2^b) / (1 - 1/2^b)`` of the agreeing share e),
+   lies ``SLACK`` (six standard errors) below the threshold; the rest is confirmed on the
+   full sets, each built once for documents with a candidate.  Documents that only share a
+   common passage end here, before any text is fetched for them.
 4. Connected components by contraction (:func:`noteflow.llm.util.components`).
 
 A link of exactly the threshold is missed with probability about 1e-7.  Texts without
@@ -20,15 +22,19 @@ is kept).  Rows that share an id are one document, represented by its largest se
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .util import components, durable, table
 
 ROWS, BANDS, B_BITS = 5, 40, 4
+#: Longs of a parity sketch.
+SKETCH = 4
 N_MIN = ROWS * BANDS
 #: Share under the threshold at which an estimate is still confirmed.
 SLACK = 0.18
@@ -122,24 +128,42 @@ def minima(s: np.ndarray) -> np.ndarray:
     return best
 
 
+def parity(s: np.ndarray) -> np.ndarray:
+    """Sketch of a set: per bit, whether an odd number of its members hash there."""
+    odd = np.bincount((s >> _U(3)).astype(np.int64) & (64 * SKETCH - 1), minlength=64 * SKETCH) & 1
+    return np.packbits(odd.astype(bool)).view(np.int64)
+
+
+def differing(a, b) -> Column:
+    """Shingles in one set only, at least: the differing bits of two sketches."""
+    return reduce(lambda x, y: x + y, [F.bit_count(a[i].bitwiseXOR(b[i])) for i in range(SKETCH)])
+
+
+def possible(na, nb, a, b, percent: int) -> Column:
+    """Sizes and sketches allow a similarity of ``percent``: in linked sets at most
+    ``(100 - p) / (100 + p)`` of both sizes together lie in one set only."""
+    return (100 * F.least(na, nb) >= percent * F.greatest(na, nb)) & \
+        ((100 + percent) * differing(a, b) <= (100 - percent) * (na + nb))
+
+
 def signatures(batches, size: int):
-    """(_id, _text) to _id, _n, _sig (digest of the set), _bands, _bits."""
+    """(_id, _text) to _id, _n, _sig (digest of the set), _bands, _bits, _parity."""
     for batch in batches:
         rows = []
         for i, s in zip(batch.column(0).to_pylist(), shingle_sets(batch.column(1).to_pylist(), size)):
             if not len(s):
-                rows.append((i, 0, None, [], None))
+                rows.append((i, 0, None, [], None, []))
                 continue
             m = minima(s)
             bands = np.full(BANDS, 0, np.uint64) + np.arange(BANDS, dtype=np.uint64)
             for r in range(ROWS):
                 bands = mix(bands * _U(0xC2B2AE3D27D4EB4F) + m.reshape(BANDS, ROWS)[:, r])
             planes = np.packbits((m[None, :] >> np.arange(B_BITS, dtype=np.uint32)[:, None] & 1).astype(bool), axis=1)
-            rows.append((i, len(s), xxhash.xxh3_128_digest(s.tobytes()), bands.astype(np.int64), planes.tobytes()))
+            rows.append((i, len(s), xxhash.xxh3_128_digest(s.tobytes()), bands.astype(np.int64), planes.tobytes(), parity(s)))
         yield pa.RecordBatch.from_arrays(
             [pa.array([r[k] for r in rows], t) for k, t in enumerate(
-                (pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.binary()))],
-            names=["_id", "_n", "_sig", "_bands", "_bits"])
+                (pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.binary(), pa.list_(pa.int64())))],
+            names=["_id", "_n", "_sig", "_bands", "_bits", "_parity"])
 
 
 def estimates(a: list[bytes], b: list[bytes]) -> np.ndarray:
@@ -158,18 +182,19 @@ class Corpus:
         self.texts = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).cast("string").cast("binary").alias("_text"))
         self.size = size
         self.signed = durable(self.texts.mapInArrow(lambda it: signatures(it, size),
-                                                    "_id long, _n long, _sig binary, _bands array<long>, _bits binary"))
+                                                    "_id long, _n long, _sig binary, _bands array<long>, _bits binary, _parity array<long>"))
         sets = self.signed.where("_id IS NOT NULL AND _n > 0").groupBy("_id") \
                    .agg(F.max(F.struct("_n", "_sig")).alias("_s")).select("_id", F.col("_s._sig").alias("_sig"))
-        self.classes = durable(sets.join(sets.groupBy("_sig").agg(F.min("_id").alias("_rep")), "_sig"))   # _sig, _id, _rep
+        sets = durable(sets)
+        self.classes = durable(sets.join(durable(sets.groupBy("_sig").agg(F.min("_id").alias("_rep"))), "_sig"))   # _sig, _id, _rep
         reps = self.classes.where("_id = _rep").select("_id", "_sig")
         self.reps = self.signed.join(reps, ["_id", "_sig"]).dropDuplicates(["_id"])
         keys = self.reps.select("_id", F.explode("_bands").alias("_key"))
-        shared = keys.groupBy("_key").agg(F.count(F.lit(1)).alias("_m"), F.min_by("_id", F.xxhash64("_id", "_key")).alias("_lead")).where("_m > 1")
-        self.buckets = durable(keys.join(shared, "_key").select("_key", "_id", "_lead"))
+        shared = durable(keys.groupBy("_key").agg(F.count(F.lit(1)).alias("_m")).where("_m > 1").select("_key"))
+        self.buckets = durable(keys.join(shared, "_key"))      # _key, _id
         # everything below concerns documents with a candidate only
         cand = self.buckets.select("_id").distinct()
-        self.bits = durable(self.reps.join(cand, "_id").select("_id", "_n", "_bits"))
+        self.bits = durable(self.reps.join(cand, "_id").select("_id", "_n", "_bits", "_parity"))
 
         def sets_of(batches):
             for batch in batches:
@@ -193,10 +218,14 @@ class Corpus:
                     b = b.filter(pa.array(keep))
                 yield b.select([0, 1])
 
-        one = self.bits.select(F.col("_id").alias("_u"), F.col("_n").alias("_nu"), F.col("_bits").alias("_bu"))
-        two = self.bits.select(F.col("_id").alias("_v"), F.col("_n").alias("_nv"), F.col("_bits").alias("_bv"))
-        sized = (100 * F.least("_nu", "_nv") >= p * F.greatest("_nu", "_nv"))
-        return pairs.join(one, "_u").join(two, "_v").where(sized).select("_u", "_v", "_bu", "_bv").mapInArrow(near, "_u long, _v long")
+        one, two = (self.sketches().select(F.col("_id").alias(f"_{x}"), F.col("_n").alias(f"_n{x}"), F.col("_parity").alias(f"_p{x}")) for x in "uv")
+        ok = possible(F.col("_nu"), F.col("_nv"), F.col("_pu"), F.col("_pv"), p)
+        left = pairs.join(one, "_u").join(two, "_v").where(ok).select("_u", "_v")
+        one, two = (self.bits.select(F.col("_id").alias(f"_{x}"), F.col("_bits").alias(f"_b{x}")) for x in "uv")
+        return left.join(one, "_u").join(two, "_v").select("_u", "_v", "_bu", "_bv").mapInArrow(near, "_u long, _v long")
+
+    def sketches(self) -> DataFrame:
+        return self.bits.select("_id", "_n", "_parity")
 
     def links(self, pairs: DataFrame) -> DataFrame:
         """Confirmed links among ``pairs``."""
@@ -224,16 +253,18 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80,
                     text_col: str = "text") -> DataFrame:
     """Per row: doc_id, n_shingles, component_id, kept."""
     c = Corpus(docs, shingle_words, percent, id_col, text_col)
-    tried = durable(c.buckets.where("_id <> _lead").select(*ordered("_id", "_lead")).distinct())
+    leads = durable(c.buckets.groupBy("_key").agg(F.min_by("_id", F.xxhash64("_id", "_key")).alias("_lead")))
+    tried = durable(c.buckets.join(leads, "_key").where("_id <> _lead").select(*ordered("_id", "_lead")).distinct())
     stars = durable(c.links(tried))
     first = components(stars, "_u", "_v")
     # documents of one key that are not in one component yet
-    own = c.buckets.join(first.withColumnRenamed("id", "_id"), "_id", "left") \
-                   .select("_key", "_id", F.coalesce("component_id", "_id").alias("_c"))
+    own = durable(c.buckets.join(first.withColumnRenamed("id", "_id"), "_id", "left")
+                   .select("_key", "_id", F.coalesce("component_id", "_id").alias("_c")))
     open_keys = own.groupBy("_key").agg(F.min("_c").alias("_lo"), F.max("_c").alias("_hi")).where("_lo < _hi").select("_key")
-    rest = durable(own.join(open_keys, "_key"))
-    other = rest.select("_key", F.col("_id").alias("_id2"), F.col("_c").alias("_c2"))
-    more = rest.join(other, "_key").where("_c < _c2").select(*ordered("_id", "_id2")).distinct() \
+    rest = own.join(durable(open_keys), "_key").join(c.sketches(), "_id")
+    other = rest.select("_key", F.col("_id").alias("_id2"), F.col("_c").alias("_c2"), F.col("_n").alias("_n2"), F.col("_parity").alias("_parity2"))
+    ok = possible(F.col("_n"), F.col("_n2"), F.col("_parity"), F.col("_parity2"), percent)
+    more = rest.join(other, (rest["_key"] == other["_key"]) & (F.col("_c") < F.col("_c2")) & ok).select(*ordered("_id", "_id2")).distinct() \
                .join(tried, ["_u", "_v"], "left_anti")
     found = components(stars.unionByName(c.links(more)), "_u", "_v")
     comp = c.classes.join(found.withColumnRenamed("id", "_rep"), "_rep", "left") \

@@ -69,9 +69,9 @@ def components(edges: DataFrame, u: str = "u", v: str = "v") -> DataFrame:
     """Connected components: (id, component_id) for every node that has an edge;
     ``component_id`` is the smallest id of the component.
 
-    Contraction: each node points to its smallest neighbour (or itself), edges are
-    rewritten to those targets and loops and repeats dropped, until none is left; labels
-    follow the pointers.  Only minima per node are aggregated (map-side combined), so a
+    Contraction: each node points to its smallest neighbour (or itself), pointers are
+    doubled until they reach roots, edges are rewritten to the roots and loops and repeats
+    dropped, until none is left; labels follow the pointers.  Only minima per node are aggregated (map-side combined), so a
     hub with very many neighbours is reduced before it is shuffled, and each round is a
     reliable checkpoint.  Rounds grow with the logarithm of the longest chain.
     """
@@ -80,11 +80,13 @@ def components(edges: DataFrame, u: str = "u", v: str = "v") -> DataFrame:
     labels = None
     while True:
         both = e.unionByName(e.select(F.col("_v").alias("_u"), F.col("_u").alias("_v")))
-        small = durable(both.groupBy(F.col("_u").alias("_n")).agg(F.min("_v").alias("_m"))
-                        .select("_n", F.least("_n", "_m").alias("_m")))
-        # two pointer steps per round
-        to = small.join(small.select(F.col("_n").alias("_m"), F.col("_m").alias("_mm")), "_m", "left") \
-                  .select("_n", F.coalesce("_mm", "_m").alias("_m"))
+        to = durable(both.groupBy(F.col("_u").alias("_n")).agg(F.min("_v").alias("_m"))
+                     .select("_n", F.least("_n", "_m").alias("_m")))
+        while True:   # pointers form a forest; doubling brings each node to its root
+            step = to.join(to.select(F.col("_n").alias("_m"), F.col("_m").alias("_mm")), "_m").select("_n", "_m", "_mm")
+            if step.where("_mm <> _m").isEmpty():
+                break
+            to = durable(step.select("_n", F.col("_mm").alias("_m")))
         if labels is None:
             labels = to.select(F.col("_n").alias("_id"), F.col("_m").alias("_c"))
         else:
