@@ -5,15 +5,16 @@ the punctuation in ``PUNCTUATION``, its features the distinct word unigrams, big
 trigrams.  A multinomial logistic regression over them knows the licence families and
 ``unknown``; it is trained on the templates below, cut and thinned in fixed ways, and on a
 bounded hashed sample of the corpus' own paragraphs (``sample_rows``) that hold no template
-trigram.  One temperature, chosen by log loss on the other half of that material, calibrates the
+trigram and no template's bigrams to the share that would confirm it.  One temperature, chosen by log loss on the other half of that material, calibrates the
 probabilities; below ``min_probability`` a paragraph is unknown.  A prediction counts only if
 template comparison confirms it: at least ``min_overlap`` of the bigrams of one of the
 family's templates stand in the paragraph.
 
-Features are the n-grams with an anchor, a template word that at most ``max_share`` of the
-sampled paragraphs hold.  A paragraph without an anchor has no features and is unknown, so
-documents without any are left out before their lines are touched: the classifier's answer
-for every paragraph of every document is the same as if all were scored.
+Anchors are words chosen from the templates alone, the same for every table: so many of each
+template that its bigrams without any of them are fewer than ``min_overlap`` asks for.  A
+paragraph without an anchor can therefore confirm no template, and documents without any are
+left out before their lines are touched: the answer for every paragraph of every document is
+the same as if all were scored, however frequent a licence is.
 
 Weights, templates and anchors are bounded by the templates and broadcast as literals or
 small tables.  Null and empty texts have no paragraphs; a null id is carried; repeated rows
@@ -94,6 +95,10 @@ TEMPLATES = {
     ],
 }
 
+#: Words that are anchors only if a template has no others left.
+FUNCTION_WORDS = {"a", "all", "and", "any", "as", "be", "by", "following", "for", "form", "free", "in", "is", "it", "may", "no", "not",
+                  "of", "or", "part", "person", "project", "that", "the", "this", "to", "use", "with", "without", "work", "you"}
+
 
 def words_of(c: Column) -> Column:
     plain = F.translate(F.lower(c), PUNCTUATION + "\t\n\r\u000b\u000c", " " * (len(PUNCTUATION) + 5))
@@ -125,6 +130,19 @@ def template_rows(spark: SparkSession) -> DataFrame:
                 .select("family", "template", words_of(F.col("body")).alias("_words"))
 
 
+def anchor_words(templates: DataFrame, min_overlap: float) -> list[str]:
+    """Words of which every paragraph with ``min_overlap`` of a template's bigrams holds one."""
+    chosen: set[str] = set()
+    for words in sorted(r["_words"] for r in templates.collect()):
+        pairs = set(zip(words, words[1:]))
+        need = next((n for n in range(1, len(pairs) + 1) if n / len(pairs) >= min_overlap), len(pairs))
+        left = [p for p in pairs if not chosen & {*p}]
+        while left and len(left) >= need:
+            chosen.add(min({w for p in left for w in p}, key=lambda w: (w in FUNCTION_WORDS or len(w) == 1, -sum(w in p for p in left), -len(w), w)))
+            left = [p for p in pairs if not chosen & {*p}]
+    return sorted(chosen)
+
+
 def without(k: int, r: int):
     return lambda w, i: (i % k) != r
 
@@ -146,7 +164,7 @@ def variants(templates: DataFrame) -> DataFrame:
     return known.unionByName(loose).where(F.size("_words") > 0)
 
 
-def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample_rows: int = 4000, max_share: float = 0.01) -> dict:
+def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample_rows: int = 4000, min_overlap: float = 0.6) -> dict:
     """Train on the templates and at most about ``sample_rows`` documents' paragraphs."""
     spark = docs.sparkSession
     templates = template_rows(spark)
@@ -154,32 +172,32 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample_
     picked = docs.select(F.col(id_col).alias("_sid"), F.col(text_col).cast("string").alias("_stext")) \
                  .where(F.pmod(F.xxhash64("_stext"), F.lit(max(1, total // sample_rows + 1))) == 0)
     lines = durable(paragraphs(picked, "_sid", "_stext").select("_words").distinct())
-    n_lines = lines.count()
     trigrams = [r[0] for r in templates.select(F.explode(grams_of(F.col("_words"), (3,)))).distinct().collect()]
-    vocabulary = templates.select(F.explode(F.array_distinct("_words")).alias("w")).distinct()
-    common = lines.select(F.explode(F.array_distinct("_words")).alias("w")).join(F.broadcast(vocabulary), "w") \
-                  .groupBy("w").count().where(F.col("count") > max_share * n_lines).select("w")
-    anchors = sorted(r["w"] for r in vocabulary.join(common, "w", "left_anti").collect() if len(r["w"]) > 1)
-    other = lines.where(~F.arrays_overlap(grams_of(F.col("_words"), (3,)), F.array(*map(F.lit, trigrams)))) \
-                 .select(F.lit(UNKNOWN).alias("family"), F.lit(0).alias("_k"), "_words")
-    rows = variants(templates).unionByName(other).withColumn("grams", anchored(F.col("_words"), anchors)) \
+    other = lines.where(~F.arrays_overlap(grams_of(F.col("_words"), (3,)), F.array(*map(F.lit, trigrams))))
+    alike = overlaps(other, ["_words"]).where(F.col("_t.overlap") >= min_overlap).select("_words").distinct()
+    other = other.join(alike, "_words", "left_anti").select(F.lit(UNKNOWN).alias("family"), F.lit(0).alias("_k"), "_words")
+    rows = variants(templates).unionByName(other).withColumn("grams", grams_of(F.col("_words"))) \
                               .withColumn("half", F.pmod(F.xxhash64("family", "_k", "_words"), F.lit(3)) == 0)
     labels = sorted([*TEMPLATES, UNKNOWN])
     rows = durable(rows.withColumn("label", F.element_at(F.create_map(*[F.lit(x) for k, f in enumerate(labels) for x in (f, float(k))]), F.col("family")))
                        .select("label", "grams", "half", F.when(F.col("family") == UNKNOWN, 1.0).otherwise(10.0).alias("weight")))
-    grams = sorted(r[0] for r in variants(templates).select(F.explode(anchored(F.col("_words"), anchors))).distinct().collect())
+    grams = sorted(r[0] for r in variants(templates).select(F.explode(grams_of(F.col("_words")))).distinct().collect())
     vectors = CountVectorizerModel.from_vocabulary(grams, inputCol="grams", outputCol="features")
     trained = LogisticRegression(family="multinomial", regParam=0.003, maxIter=60, weightCol="weight", labelCol="label") \
         .fit(vectors.transform(rows.where("NOT half")))
     weights = trained.coefficientMatrix.toArray()
-    model = {"labels": labels, "anchors": anchors, "grams": grams, "weights": weights, "bias": list(trained.interceptVector.toArray()), "scale": 1.0}
+    model = {"labels": labels, "grams": grams, "weights": weights, "bias": list(trained.interceptVector.toArray()), "scale": 1.0}
     model["scale"] = calibrate(rows.where("half"), model)
     return model
 
 
-def anchored(words: Column, anchors: list[str]) -> Column:
-    """The n-grams that hold an anchor."""
-    return F.filter(grams_of(words), lambda g: F.arrays_overlap(F.split(g, " "), F.array(*map(F.lit, anchors))))
+def overlaps(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """``keys``, family and _t, the largest share of a template's bigrams that a row's _words hold and which template's."""
+    bigrams = template_rows(rows.sparkSession).select("family", "template", grams_of(F.col("_words"), (2,)).alias("_g")) \
+                                              .select("family", "template", F.size("_g").alias("_size"), F.explode("_g").alias("_gram"))
+    own = rows.select(*keys, F.explode(grams_of(F.col("_words"), (2,))).alias("_gram"))
+    return own.join(F.broadcast(bigrams), "_gram").groupBy(*keys, "family", "template", "_size").agg(F.count(F.lit(1)).alias("_n")) \
+              .groupBy(*keys, "family").agg(F.max(F.struct((F.col("_n") / F.col("_size")).alias("overlap"), "template")).alias("_t"))
 
 
 def raw_scores(rows: DataFrame, keys: list[str], model: dict) -> DataFrame:
@@ -213,9 +231,9 @@ def scan(docs: DataFrame, model: dict, min_probability: float = 0.5, min_overlap
          id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Confirmed licence paragraphs: doc_id, line, family, probability, template, overlap."""
     spark = docs.sparkSession
-    anchors = F.array(*map(F.lit, model["anchors"]))
+    anchors = F.array(*map(F.lit, anchor_words(template_rows(spark), min_overlap)))
     found = paragraphs(docs, id_col, text_col, only=F.arrays_overlap(words_of(F.col("_text")), anchors)) \
-        .where(F.arrays_overlap("_words", anchors)).withColumn("grams", anchored(F.col("_words"), model["anchors"])) \
+        .where(F.arrays_overlap("_words", anchors)).withColumn("grams", grams_of(F.col("_words"))) \
         .withColumn("_h", F.xxhash64("_words")).dropDuplicates(["_id", "_line", "_h"])
     found = durable(found)
     keys = ["_id", "_line", "_h"]
@@ -225,11 +243,7 @@ def scan(docs: DataFrame, model: dict, min_probability: float = 0.5, min_overlap
     said = scored.select(*keys, best.alias("probability"), F.element_at(labels, F.array_position("_p", best).cast("int")).alias("family")) \
                  .where((F.col("family") != UNKNOWN) & (F.col("probability") >= min_probability))
     # template comparison: share of a template's bigrams that the paragraph holds
-    bigrams = template_rows(spark).select("family", "template", grams_of(F.col("_words"), (2,)).alias("_g")) \
-                                  .select("family", "template", F.size("_g").alias("_size"), F.explode("_g").alias("_gram"))
-    own = found.select(*keys, F.explode(grams_of(F.col("_words"), (2,))).alias("_gram"))
-    shared = own.join(F.broadcast(bigrams), "_gram").groupBy(*keys, "family", "template", "_size").agg(F.count(F.lit(1)).alias("_n")) \
-                .groupBy(*keys, "family").agg(F.max(F.struct((F.col("_n") / F.col("_size")).alias("overlap"), "template")).alias("_t"))
+    shared = overlaps(found, keys)
     pair = [F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) for k in keys] + [F.col("a.family") == F.col("b.family")]
     return said.alias("a").join(shared.alias("b"), pair) \
                .where(F.col("b._t.overlap") >= min_overlap) \

@@ -162,6 +162,33 @@ def test_licences_odd_texts(spark, frame, empty):
     assert not any(x in plan for x in ("Python", "Pandas", "Arrow"))
 
 
+def test_licences_in_a_small_table(spark):
+    docs = table(spark, SF_MORE, "documents").where(F.col("text").rlike("(?i)licen[sc]e")).orderBy("doc_id").limit(10).select("doc_id", "text").collect()
+    few = spark.createDataFrame(docs, "doc_id long, text string")
+    want = {(r["doc_id"], k) for r in docs for k, x in enumerate(r["text"].split("\n")) if "licen" in x.lower()}
+    got = {(r["doc_id"], r["line"]) for r in licences.scan(few, licences.fit(few)).collect()}
+    assert got == want and len(want) >= 10
+
+
+def test_licences_stay_when_frequent(spark):
+    lines = ["Released under the MIT License", "Licensed under the Apache License, Version 2.0", "Licensed under the BSD 3-Clause License",
+             "SPDX-License-Identifier: MPL-2.0"]
+    family = ["MIT", "Apache-2.0", "BSD", "MPL-2.0"]
+    rows = [(i, f"plain words {i} about item{i}\n" + (f"{lines[i // 3 % 4]}, see note{i}." if i % 3 == 0 else f"other text {i}")) for i in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r["doc_id"], r["line"], r["family"]) for r in licences.scan(docs, licences.fit(docs)).collect()}
+    assert got == {(i, 1, family[i // 3 % 4]) for i in range(0, 600, 3)}
+
+
+def test_anchors_miss_no_confirmed_paragraph(spark):
+    rows = licences.template_rows(spark)
+    for share in (0.3, 0.6, 0.9):
+        anchors = set(licences.anchor_words(rows, share))
+        for r in rows.collect():
+            pairs = set(zip(r["_words"], r["_words"][1:]))
+            assert sum(not anchors & {*p} for p in pairs) / len(pairs) < share
+
+
 # ---------------------------------------------------------------- 7
 
 def test_base_scores_by_brute_force_and_model_beats_them(spark):
