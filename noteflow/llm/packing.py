@@ -14,6 +14,7 @@ on its own; an empty table gives an empty result.
 from __future__ import annotations
 
 import json
+import re
 import zlib
 from collections import defaultdict
 
@@ -110,12 +111,21 @@ class Encoder:
     characters, so texts are cut there and each distinct unit is encoded once (by
     ``tiktoken`` with the same vocabulary and merge order, checked at load).  Texts with
     other white-space patterns around a cut are encoded whole.
+
+    The file's added tokens (``<|endoftext|>``) are matched in the text as the library does by
+    default: earliest first, longest at a place, each one id, and the parts around them are
+    encoded as texts of their own.
     """
 
     def __init__(self, path: str, pattern: str):
         import tiktoken
         with open(path, encoding="utf-8") as f:
-            model = json.load(f)["model"]
+            file = json.load(f)
+        model, added = file["model"], file.get("added_tokens") or []
+        if any(t.get(k) for t in added for k in ("single_word", "lstrip", "rstrip")):
+            raise ValueError(f"{path}: added tokens that depend on the text around them")
+        self.added = {t["content"]: t["id"] for t in added if t["content"]}
+        self.literals = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")") if self.added else None
         vocab = model["vocab"]
         printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
         char_of = {chr(b): b for b in printable}
@@ -123,7 +133,7 @@ class Encoder:
         pairs = (m if isinstance(m, list) else m.split(" ") for m in model["merges"])
         if any(vocab[a + b] != 256 + i for i, (a, b) in enumerate(pairs)):
             raise ValueError(f"{path}: merge order and ids differ")
-        ranks = {bytes(char_of[c] for c in t): i for t, i in vocab.items()}
+        ranks = {bytes(char_of[c] for c in t): i for t, i in vocab.items() if t not in self.added}
         self.bpe = tiktoken.Encoding("file", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
         self.newline = vocab[chr(256 + 10)]
         self.cache: dict[str, bytes | None] = {}
@@ -151,7 +161,28 @@ class Encoder:
                 a = b + 1
 
     def encode(self, texts: pa.Array) -> list[np.ndarray]:
-        """Ids of each text."""
+        """Ids of each text, added tokens included."""
+        if not self.added:
+            return self.encode_plain(texts)
+        hit = pc.match_substring(texts, next(iter(self.added))) if len(self.added) == 1 else \
+            pc.match_substring_regex(texts, "|".join(map(re.escape, self.added)))
+        cut = {i: self.literals.split(texts[i].as_py()) for i in np.flatnonzero(hit.to_numpy(zero_copy_only=False)).tolist()}
+        if not cut:
+            return self.encode_plain(texts)
+        parts, first = [], []
+        for i, text in enumerate(texts.to_pylist()):
+            first.append(len(parts))
+            parts += cut[i][::2] if i in cut else [text]     # odd places hold the literals
+        coded, out = self.encode_plain(pa.array(parts, pa.string())), []
+        for i, a in enumerate(first):
+            ids = [coded[a]]
+            for k, literal in enumerate(cut[i][1::2] if i in cut else ()):
+                ids += [np.array([self.added[literal]], "<u4"), coded[a + k + 1]]
+            out.append(np.concatenate(ids) if len(ids) > 1 else ids[0])
+        return out
+
+    def encode_plain(self, texts: pa.Array) -> list[np.ndarray]:
+        """Ids of each text, added tokens taken as ordinary characters."""
         if not len(texts):
             return []
         units = pc.split_pattern(texts, " ")

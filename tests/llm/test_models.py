@@ -71,6 +71,18 @@ def test_tokens_equal_the_tokenizer_library(documents):
     assert all(g.tolist() == w.ids for g, w in zip(got, want))
 
 
+def test_added_tokens_equal_the_unmodified_library(documents):
+    from tokenizers import Tokenizer
+    path, pattern = packing.tokenizer_file()
+    end = "<|endoftext|>"
+    texts = [f"hello {end} world", end, end * 3, f" {end} ", f"a{end}b  {end}\n{end} c", f"{end} lead", f"trail {end}", "<|endoftext|", "<|endof text|>",
+             "<|<|endoftext|>|>", f"two  {end}  spaces\n\n{end}\n", "plain"] + [x or "" for _, x in documents[:30]]
+    texts += [f"{x[:40]}{end}{x[40:90]} {end} {x[90:]}" for x in texts[-20:]]
+    got = packing.Encoder(path, pattern).encode(pa.array(texts))
+    want = Tokenizer.from_file(path).encode_batch(texts, add_special_tokens=False)
+    assert [g.tolist() for g in got] == [w.ids for w in want] and got[0].tolist() == [31373, 220, 50256, 995]
+
+
 def test_packing_round_trip(spark, documents, frame):
     from tokenizers import Tokenizer
     path, pattern = packing.tokenizer_file()
