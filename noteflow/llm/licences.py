@@ -16,6 +16,13 @@ paragraph without an anchor can therefore confirm no template, and documents wit
 left out before their lines are touched: the answer for every paragraph of every document is
 the same as if all were scored, however frequent a licence is.
 
+Licence headers are wrapped, so with ``wrapped`` passages over several lines are scored too, in
+the same way and by their words in one run.  A block is a run of lines with words (a line without
+any is its border); in each block the tightest passages that hold ``min_overlap`` of a template's
+bigrams within twice the template's words are found, whatever line breaks lie between.  A passage
+that holds a confirmed line of its family is that line's; of confirmed passages of a family that
+share lines the fullest and then shortest stay.  Rows give the first and last line covered.
+
 Weights, templates and anchors are bounded by the templates and broadcast as literals or
 small tables.  Null and empty texts have no paragraphs; a null id is carried; repeated rows
 each give their rows (the same id and text count once); a document never meets another, so
@@ -26,7 +33,7 @@ from __future__ import annotations
 
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import CountVectorizerModel
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .util import durable, table
@@ -227,16 +234,52 @@ def calibrate(rows: DataFrame, model: dict) -> float:
     return min(ranked)[2] if ranked else 1.0
 
 
-def scan(docs: DataFrame, model: dict, min_probability: float = 0.5, min_overlap: float = 0.6,
-         id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Confirmed licence paragraphs: doc_id, line, family, probability, template, overlap."""
+def passages(docs: DataFrame, min_overlap: float, id_col: str, text_col: str, only: Column) -> DataFrame:
+    """_id, _doc, _line, _last, _hs (its lines' hashes), _words: passages of two or more lines of a block that hold
+    ``min_overlap`` of a template's bigrams."""
     spark = docs.sparkSession
-    anchors = F.array(*map(F.lit, anchor_words(template_rows(spark), min_overlap)))
-    found = paragraphs(docs, id_col, text_col, only=F.arrays_overlap(words_of(F.col("_text")), anchors)) \
-        .where(F.arrays_overlap("_words", anchors)).withColumn("grams", grams_of(F.col("_words"))) \
-        .withColumn("_h", F.xxhash64("_words")).dropDuplicates(["_id", "_line", "_h"])
-    found = durable(found)
-    keys = ["_id", "_line", "_h"]
+    text = F.col(text_col).cast("string")
+    whole = docs.select(F.col(id_col).cast("long").alias("_id"), text.alias("_text")).where("_text IS NOT NULL").where(only) \
+                .withColumn("_doc", F.xxhash64("_text")).dropDuplicates(["_id", "_doc"])
+    in_doc = Window.partitionBy("_id", "_doc").orderBy("_line")
+    in_block = Window.partitionBy("_id", "_doc", "_block").orderBy("_line")
+    lines = whole.select("_id", "_doc", F.posexplode_outer(F.split("_text", "\n", -1)).alias("_line", "_l")) \
+                 .select("_id", "_doc", "_line", words_of(F.col("_l")).alias("_words")).where(F.size("_words") > 0) \
+                 .withColumn("_block", F.col("_line") - F.row_number().over(in_doc)) \
+                 .withColumn("_from", F.sum(F.size("_words")).over(in_block) - F.size("_words")) \
+                 .withColumn("_tail", F.lag(F.element_at("_words", -1)).over(in_block))
+    lines = durable(lines)
+    # a bigram that crosses a line break is at the line of its second word and begins one line before
+    words = F.when(F.col("_tail").isNotNull(), F.concat(F.array("_tail"), F.col("_words"))).otherwise(F.col("_words"))
+    wide, crossing = lines.withColumn("_w", words), F.col("_tail").isNotNull().cast("int")
+    n = F.size("_w")
+    pairs = F.when(n > 1, F.transform(F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1))), lambda i: F.array_join(F.slice("_w", i, 2), " ")))
+    own = wide.select("_id", "_doc", "_block", "_line", "_from", crossing.alias("_crossing"), F.posexplode(pairs).alias("_at", "_gram")) \
+              .select("_id", "_doc", "_block", (F.col("_from") + F.col("_at") - F.col("_crossing")).alias("_pos"),
+                      F.when((F.col("_at") == 0) & (F.col("_crossing") == 1), 1).otherwise(0).alias("_before"), "_line", "_gram")
+    templates = template_rows(spark).select("template", F.size("_words").alias("_n"), grams_of(F.col("_words"), (2,)).alias("_g")) \
+                                    .select("template", "_n", F.size("_g").alias("_size"), F.explode("_g").alias("_gram"))
+    hits = own.join(F.broadcast(templates), "_gram")
+    # positions in units of the template's words: a window reaches over twice its words
+    ahead = Window.partitionBy("_id", "_doc", "_block", "template").orderBy("_unit").rangeBetween(0, 20_000)
+    near = hits.withColumn("_unit", F.col("_pos") * F.floor(F.lit(10_000) / F.col("_n"))) \
+               .withColumn("_near", F.sort_array(F.collect_list(F.struct("_pos", "_line", "_gram")).over(ahead)))
+    grams = F.transform("_near", lambda x: x["_gram"])
+    firsts = F.filter("_near", lambda x, i: F.array_position(grams, x["_gram"]) == i + 1)
+    spans = near.withColumn("_firsts", firsts).where(F.size("_firsts") / F.col("_size") >= min_overlap) \
+                .select("_id", "_doc", "_block", (F.col("_line") - F.col("_before")).alias("_line"), F.element_at("_firsts", -1)["_line"].alias("_last")) \
+                .where("_last > _line").distinct()
+    of = lines.select(F.col("_id").alias("_i"), F.col("_doc").alias("_d"), F.col("_line").alias("_k"), F.col("_words").alias("_w"))
+    inside = F.col("_id").eqNullSafe(F.col("_i")) & (F.col("_doc") == F.col("_d")) & F.col("_k").between(F.col("_line"), F.col("_last"))
+    return spans.join(of, inside).groupBy("_id", "_doc", "_line", "_last") \
+                .agg(F.transform(F.sort_array(F.collect_list(F.struct("_k", "_w"))), lambda x: x["_w"]).alias("_ls")) \
+                .select("_id", "_doc", "_line", "_last", F.transform("_ls", lambda w: F.xxhash64(w)).alias("_hs"), F.flatten("_ls").alias("_words"))
+
+
+def confirmed(found: DataFrame, keys: list[str], model: dict, min_probability: float, min_overlap: float) -> DataFrame:
+    """Rows (``keys``, _words) whose family the classifier names and a template confirms: ``keys``,
+    family, probability, template, overlap."""
+    found = durable(found.withColumn("grams", grams_of(F.col("_words"))))
     scored = raw_scores(found, keys, model).withColumn("_p", softmax(F.col("_s"), model["scale"]))
     best = F.array_max("_p")
     labels = F.array(*map(F.lit, model["labels"]))
@@ -247,10 +290,42 @@ def scan(docs: DataFrame, model: dict, min_probability: float = 0.5, min_overlap
     pair = [F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) for k in keys] + [F.col("a.family") == F.col("b.family")]
     return said.alias("a").join(shared.alias("b"), pair) \
                .where(F.col("b._t.overlap") >= min_overlap) \
-               .select(F.col("a._id").alias("doc_id"), F.col("a._line").alias("line"), F.col("a.family").alias("family"),
-                       F.col("a.probability").alias("probability"), F.col("b._t.template").alias("template"), F.col("b._t.overlap").alias("overlap"))
+               .select(*[F.col(f"a.{k}").alias(k) for k in keys], F.col("a.family").alias("family"), F.col("a.probability").alias("probability"),
+                       F.col("b._t.template").alias("template"), F.col("b._t.overlap").alias("overlap"))
+
+
+def scan(docs: DataFrame, model: dict, min_probability: float = 0.5, min_overlap: float = 0.6,
+         id_col: str = "doc_id", text_col: str = "text", wrapped: bool = False) -> DataFrame:
+    """Confirmed licence paragraphs: doc_id, line, last_line, family, probability, template,
+    overlap.  Single lines, with ``wrapped`` also passages over several lines."""
+    spark = docs.sparkSession
+    anchors = F.array(*map(F.lit, anchor_words(template_rows(spark), min_overlap)))
+    only = F.arrays_overlap(words_of(F.col("_text")), anchors)
+    found = paragraphs(docs, id_col, text_col, only=only) \
+        .where(F.arrays_overlap("_words", anchors)) \
+        .withColumn("_h", F.xxhash64("_words")).dropDuplicates(["_id", "_line", "_h"])
+    rest = ["family", "probability", "template", "overlap"]
+    single = confirmed(found, ["_id", "_line", "_h"], model, min_probability, min_overlap)
+    if wrapped:
+        single = durable(single)
+    lines = single.select(F.col("_id").alias("doc_id"), F.col("_line").alias("line"), F.col("_line").alias("last_line"), *rest)
+    if not wrapped:
+        return lines
+    keys = ["_id", "_doc", "_line", "_last", "_hs"]
+    spans = confirmed(passages(docs, min_overlap, id_col, text_col, only), keys, model, min_probability, min_overlap)
+    taken = single.select(F.col("_id").alias("_i"), F.col("_line").alias("_k"), F.col("_h").alias("_own"), F.col("family").alias("_f"))
+    free = spans.join(taken, F.col("_id").eqNullSafe(F.col("_i")) & (F.col("family") == F.col("_f"))
+                      & F.col("_k").between(F.col("_line"), F.col("_last"))
+                      & (F.get("_hs", F.col("_k") - F.col("_line")) == F.col("_own")), "left_anti")
+    # passages of a family that share lines: the fullest, then the shortest stay
+    per = Window.partitionBy("_id", "_doc", "family").orderBy("_line", "_last")
+    apart = F.coalesce(F.col("_line") > F.max("_last").over(per.rowsBetween(Window.unboundedPreceding, -1)), F.lit(True))
+    group = Window.partitionBy("_id", "_doc", "family", "_group")
+    ranked = free.withColumn("_apart", apart.cast("int")).withColumn("_group", F.sum("_apart").over(per)) \
+                 .withColumn("_r", F.rank().over(group.orderBy(F.desc("overlap"), F.col("_last") - F.col("_line"))))
+    return lines.unionByName(ranked.where("_r = 1").select(F.col("_id").alias("doc_id"), F.col("_line").alias("line"), F.col("_last").alias("last_line"), *rest))
 
 
 def op6_licence_paragraphs(spark, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return scan(docs, fit(docs))
+    return scan(docs, fit(docs), wrapped=True)

@@ -192,6 +192,23 @@ def test_licences_stay_when_frequent(spark):
     assert got == {(i, 1, family[i // 3 % 4]) for i in range(0, 600, 3)}
 
 
+def test_licences_wrapped_over_lines(spark, frame):
+    gpl = ("    This program is free software: you can redistribute it and/or modify\n    it under the terms of the GNU General Public License as published by\n"
+           "    the Free Software Foundation, either version 3 of the License, or\n    (at your option) any later version.")
+    lgpl = (" * This library is free software; you can redistribute it and/or\n * modify it under the terms of the GNU Lesser General Public\n"
+            " * License as published by the Free Software Foundation; either\n * version 2.1 of the License")
+    bsd = ("Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions\n"
+           "are met:\n1. Redistributions of source code must retain the above copyright")
+    rows = [(1, f"code\n\n{gpl}\n\nmore"), (2, f"/*\n{lgpl}\n */"), (3, bsd), (4, f"{bsd}\n\n{gpl}"), (None, "released under\nthe MIT license."),
+            (5, "released under the\n\nMIT license"), (6, "Released under the MIT License.\nplain words"), (7, "plain\nwords under\nthe software"), (8, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = licences.scan(docs, licences.fit(frame), wrapped=True)
+    got = {(r["doc_id"], r["line"], r["last_line"], r["family"]) for r in found.collect()}
+    assert got == {(1, 2, 4, "GPL"), (2, 1, 3, "LGPL"), (3, 0, 2, "BSD"), (4, 0, 2, "BSD"), (4, 5, 7, "GPL"), (None, 0, 1, "MIT"), (6, 0, 0, "MIT")}
+    plan = found._jdf.queryExecution().toString()
+    assert not any(x in plan for x in ("Python", "Pandas", "Arrow"))
+
+
 def test_anchors_miss_no_confirmed_paragraph(spark):
     rows = licences.template_rows(spark)
     for share in (0.3, 0.6, 0.9):
