@@ -5,15 +5,18 @@ benchmark item become a pair if they share a seed of ``min_match`` consecutive w
 For each pair, the longest common runs that overlap no earlier tile are marked again and
 again (running Karp-Rabin over word numbers, every hit compared word by word) until none
 of ``min_match`` words is left.  The share of the item's words under tiles does not
-depend on the order of the passages, so reordered copies are caught too.
+depend on the order of the passages, so reordered copies are caught too.  A pair counts if
+that share reaches ``threshold`` or one tile has ``long_tile`` words: a passage quoted from a
+long item is a leak however small its share.
 
 The benchmark is read in blocks of at most about ``BLOCK_WORDS`` words (an item is never
 cut), each held by the tasks while they stream over all documents; any size of benchmark
 is covered, one pass of the documents per block.  Documents never meet each other, so no
 group of them can be hot.
 
-Null and empty texts, items of fewer than ``min_match`` words and null item ids match
-nothing; repeated documents each give their own rows; repeated items count once.
+Null and empty texts and items of fewer than ``min_match`` words match nothing; repeated
+documents each give their own rows; an item repeated with the same text counts once, and each
+distinct text of an id, or of no id (``item_id`` null), is searched.
 """
 
 from __future__ import annotations
@@ -82,15 +85,15 @@ def tiles(item: np.ndarray, doc: np.ndarray, min_match: int) -> list[tuple[int,
 class Block:
     """A part of the benchmark: word numbers, items and the seed index."""
 
-    def __init__(self, items: list[tuple[int, str]], min_match: int):
+    def __init__(self, items: list[tuple[int | None, str]], min_match: int):
         self.min_match, self.number = min_match, {}
-        self.items = {}
+        self.items: dict[int, tuple[int | None, np.ndarray]] = {}   # by place: ids may repeat or be null
         seeds: list[np.ndarray] = []
         owners: list[np.ndarray] = []
-        for k, text in items:
+        for k, (item_id, text) in enumerate(items):
             ids = np.array([self.number.setdefault(w, len(self.number) + 1) for w in WORDS.findall(text.lower())], np.int64)
             if len(ids) >= min_match:
-                self.items[k] = ids
+                self.items[k] = item_id, ids
                 seeds.append(rolling(ids, min_match))
                 owners.append(np.full(len(seeds[-1]), k, np.int64))
         h = np.concatenate(seeds) if seeds else np.empty(0, np.uint64)
@@ -98,7 +101,7 @@ class Block:
         self.seeds, self.owners = h[order], (np.concatenate(owners) if owners else np.empty(0, np.int64))[order]
 
     def pairs(self, doc: np.ndarray) -> list[int]:
-        """Items that share a seed with the document."""
+        """Places of the items that share a seed with the document."""
         known = np.convolve(doc > 0, np.ones(self.min_match, int), "valid") == self.min_match
         h = rolling(doc, self.min_match)[known]
         lo, hi = np.searchsorted(self.seeds, h), np.searchsorted(self.seeds, h, "right")
@@ -110,26 +113,26 @@ class Block:
         if len(doc) < self.min_match:
             return
         for k in self.pairs(doc):
-            item = self.items[k]
+            item_id, item = self.items[k]
             if found := tiles(item, doc, self.min_match):
                 n = sum(t[2] for t in found)
-                yield doc_id, k, len(item), n, len(found), max(t[2] for t in found), n / len(item)
+                yield doc_id, item_id, len(item), n, len(found), max(t[2] for t in found), n / len(item)
 
 
 def benchmark_blocks(benchmark: DataFrame, item_col: str, text_col: str, words: int):
     """The benchmark's items, at most about ``words`` words at a time."""
     items = benchmark.select(F.col(item_col).cast("long").alias("_k"), F.col(text_col).cast("string").alias("_t")) \
-                     .where("_k IS NOT NULL AND _t IS NOT NULL").groupBy("_k").agg(F.max("_t").alias("_t"))
+                     .where("_t IS NOT NULL").distinct()
     total = items.agg(F.sum(F.size(F.split("_t", r"\s+"))).alias("n")).first()["n"] or 0
     n = -(-total // words)
     for b in range(n):
-        yield [(r["_k"], r["_t"]) for r in items.where(F.pmod(F.xxhash64("_k"), F.lit(n)) == b).orderBy("_k").collect()]
+        yield [(r["_k"], r["_t"]) for r in items.where(F.pmod(F.xxhash64("_k", "_t"), F.lit(n)) == b).orderBy("_k", "_t").collect()]
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, min_match: int = 5, threshold: float = 0.5,
                   id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
-                  item_text_col: str = "text", block_words: int = BLOCK_WORDS) -> DataFrame:
-    """Pairs with coverage >= ``threshold``: doc_id, item_id, n_words (of the item),
+                  item_text_col: str = "text", block_words: int = BLOCK_WORDS, long_tile: int = 13) -> DataFrame:
+    """Pairs with coverage >= ``threshold`` or a tile of >= ``long_tile`` words: doc_id, item_id, n_words (of the item),
     covered (words under tiles), n_tiles, longest (words of the longest tile), coverage."""
     spark = docs.sparkSession
     texts = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).cast("string").alias("_t")).where("_t IS NOT NULL")
@@ -138,7 +141,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, min_match: int = 5, thr
         def scan(batches, items=items):
             block = Block(items, min_match)
             for batch in batches:
-                rows = [r for d, t in zip(*(c.to_pylist() for c in batch.columns)) for r in block.match(d, t) if r[-1] >= threshold]
+                rows = [r for d, t in zip(*(c.to_pylist() for c in batch.columns)) for r in block.match(d, t) if r[-1] >= threshold or r[-2] >= long_tile]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([r[i] for r in rows], t) for i, t in enumerate(
                         (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.float64()))],

@@ -354,3 +354,24 @@ def test_contamination_small_cases(spark, monkeypatch):
     left = decontam.without_contaminated(docs, bench).collect()
     assert sorted(str(r["doc_id"]) for r in left) == ["11", "12", "13", "15", "None"]
     assert decontam.contamination(docs, bench.limit(0)).count() == 0
+
+
+def test_partial_quotes_of_long_items(spark):
+    words = [f"w{k}" for k in range(200)]
+    bench = spark.createDataFrame([(1, " ".join(words)), (2, " ".join(f"v{k}" for k in range(59)))], "item_id long, text string")
+    docs = spark.createDataFrame([(10, "x " + " ".join(words[50:149]) + " y"), (11, "x " + " ".join(f"v{k}" for k in range(20, 49))),
+                                  (12, "x " + " ".join(words[7:20]) + " y"), (13, "x " + " ".join(words[7:19]) + " y")], "doc_id long, text string")
+    got = sorted((r["doc_id"], r["item_id"], r["longest"]) for r in decontam.contamination(docs, bench).collect())
+    assert got == [(10, 1, 99), (11, 2, 29), (12, 1, 13)]
+    assert [r["doc_id"] for r in decontam.without_contaminated(docs, bench).collect()] == [13]
+
+
+def test_every_benchmark_text_is_searched(spark):
+    bench = spark.createDataFrame([(1, "a b c d e f"), (1, "z y x w v u"), (None, "k l m n o p"), (None, "g h i j g i"), (None, None)],
+                                  "item_id long, text string")
+    docs = spark.createDataFrame([(10, "a b c d e f"), (11, "z y x w v u"), (12, "k l m n o p"), (13, "g h i j g i"), (14, "q r s t u v")],
+                                 "doc_id long, text string")
+    for block in (1000, 6):
+        got = sorted((r["doc_id"], r["item_id"]) for r in decontam.contamination(docs, bench, block_words=block).collect())
+        assert got == [(10, 1), (11, 1), (12, None), (13, None)]
+    assert [r["doc_id"] for r in decontam.without_contaminated(docs, bench).collect()] == [14]
