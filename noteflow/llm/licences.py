@@ -103,8 +103,9 @@ TEMPLATES = {
 }
 
 #: Words that are anchors only if a template has no others left.
-FUNCTION_WORDS = {"a", "all", "and", "any", "as", "be", "by", "following", "for", "form", "free", "in", "is", "it", "may", "no", "not",
-                  "of", "or", "part", "person", "project", "that", "the", "this", "to", "use", "with", "without", "work", "you"}
+FUNCTION_WORDS = {"a", "all", "an", "and", "any", "are", "as", "at", "be", "been", "but", "by", "can", "following", "for", "form", "free", "from",
+                  "had", "has", "have", "in", "is", "it", "may", "no", "not", "of", "on", "or", "part", "person", "project", "that", "the", "this",
+                  "to", "under", "use", "was", "were", "with", "without", "work", "you"}
 
 
 def words_of(c: Column) -> Column:
