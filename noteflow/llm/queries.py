@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, langid, licences, lines, lm, minhash, packing, quality, substrings, vectors
+from . import curriculum, decontam, langid, licences, lines, lm, minhash, packing, quality, repair, substrings, vectors
 from .util import prepare
 
 _OPS = [
@@ -20,6 +20,8 @@ _OPS = [
     quality.op8_hierarchical_quality,
     lines.op9_line_suffix_array,
     decontam.op10_greedy_tiling,
+    curriculum.op12_curriculum_mix,
+    repair.op13_bidirectional_repair,
 ]
 
 
@@ -36,4 +38,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_line_suffix_array": lines.OP9_SQL}
+    return {"op9_line_suffix_array": lines.OP9_SQL, "op12_curriculum_mix": curriculum.OP12_SQL,
+            "op13_bidirectional_repair": repair.OP13_SQL}

@@ -65,6 +65,13 @@ def crc_mod(id_col: str, m: int) -> Column:
     return F.crc32(F.col(id_col).cast("string").cast("binary")) % F.lit(m)
 
 
+def crc32_sql(text: str) -> str:
+    """Unsigned crc32 of an ASCII string in DuckDB SQL, bit by bit (reversed polynomial 0xEDB88320)."""
+    bits = f"flatten(list_transform(string_split({text}, ''), lambda c: [CAST(ascii(c) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1]))"
+    step = "CASE WHEN b >= 0 THEN xor(a, b) WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END"
+    return f"xor(4294967295, list_reduce({bits}, lambda a, b: {step}, CAST(4294967295 AS BIGINT)))"
+
+
 def components(edges: DataFrame, u: str = "u", v: str = "v") -> DataFrame:
     """Connected components: (id, component_id) for every node that has an edge;
     ``component_id`` is the smallest id of the component.
