@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import curriculum, decontam, langid, licences, lines, lm, minhash, packing, quality, repair, substrings, vectors
+from . import curriculum, decontam, langid, licences, lines, lm, minhash, packing, quality, repair, substrings, trie, vectors
 from .util import prepare
 
 _OPS = [
@@ -20,6 +20,7 @@ _OPS = [
     quality.op8_hierarchical_quality,
     lines.op9_line_suffix_array,
     decontam.op10_greedy_tiling,
+    trie.op11_parentheses_trie,
     curriculum.op12_curriculum_mix,
     repair.op13_bidirectional_repair,
 ]
@@ -38,5 +39,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_line_suffix_array": lines.OP9_SQL, "op12_curriculum_mix": curriculum.OP12_SQL,
-            "op13_bidirectional_repair": repair.OP13_SQL}
+    return {"op9_line_suffix_array": lines.OP9_SQL, "op11_parentheses_trie": trie.OP11_SQL,
+            "op12_curriculum_mix": curriculum.OP12_SQL, "op13_bidirectional_repair": repair.OP13_SQL}
