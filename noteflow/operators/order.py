@@ -1,12 +1,16 @@
 """Order-dependent building blocks that never move a fact table into one task.
 
 A Spark DataFrame has no row order, so every operator whose result depends on
-position takes ``order_by``: a list of columns forming a unique key.
+position takes ``order_by``: a list of columns.  Rows that agree in all of them
+follow a hash of the whole row, so each keeps a place of its own and no key is too
+frequent to be split; rows that agree in every column interchange.
 
 * :class:`KeyOrder` - the key columns alone, range partitioned, sorted and staged;
-  gives exact positions and the key at a position, whatever the number asked for.
-* :func:`global_rank` - exact 1-based position in ``order_by`` order, joined back by
-  key (no ``Window.orderBy`` without ``partitionBy``, which would plan ``Exchange
+  gives the key at a position and marks the rows before or after it.
+* :class:`RowOrder` - the rows themselves, range partitioned, sorted and staged once;
+  gives every row its exact position without a join back by key.
+* :func:`global_rank` - exact 1-based position in ``order_by`` order (no
+  ``Window.orderBy`` without ``partitionBy``, which would plan ``Exchange
   SinglePartition``).
 * :func:`rank_within` - exact position inside a group, also when one group
   holds a large share of all rows (the group is split across many range
@@ -22,7 +26,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import reliable_checkpoint
+from pyspark.sql.types import ArrayType, DataType, MapType, StructType
+
+from ..session import reliable_checkpoint, staged, values_df
 
 # Rows up to which a side whose size the plan proves (inline values, limits, global
 # aggregates) is hinted for broadcast; every other join is left to AQE's measured sizes.
@@ -51,6 +57,53 @@ def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_PROVEN_ROWS) -> D
     return F.broadcast(df) if bound is not None and bound <= max_rows else df
 
 
+def _has_map(t: DataType) -> bool:
+    return (isinstance(t, MapType) or isinstance(t, ArrayType) and _has_map(t.elementType)
+            or isinstance(t, StructType) and any(_has_map(f.dataType) for f in t))
+
+
+def row_hash(df: DataFrame) -> Column:
+    """64-bit hash of all columns (maps cannot be hashed and are left out)."""
+    cols = [F.col(f"`{f.name}`") for f in df.schema if not _has_map(f.dataType)]
+    return F.xxhash64(*cols) if cols else F.lit(0).cast("long")
+
+
+def _starts(df: DataFrame) -> tuple[list[tuple[int, int, int]], int]:
+    """(partition, rows before it, its rows) from the staged ids, and the number of all rows."""
+    pid = F.shiftright(F.col("_nf_mid"), _LOCAL_BITS)
+    counts = sorted((r["p"], r["n"]) for r in df.groupBy(pid.alias("p")).agg(F.count(F.lit(1)).alias("n")).collect())
+    offsets, total = [], 0
+    for p, n in counts:
+        offsets.append((p, total, n))
+        total += n
+    return offsets, total
+
+
+def _with_position(df: DataFrame, offsets, rank_col: str, first: int = 1) -> DataFrame:
+    """``rank_col`` from the staged ids (one offset row per range partition is broadcast)."""
+    off = values_df(df.sparkSession, [(p, o) for p, o, _ in offsets], "_nf_pid long, _nf_off long")
+    local = F.col("_nf_mid").bitwiseAND(F.lit((1 << _LOCAL_BITS) - 1))
+    return (df.withColumn("_nf_pid", F.shiftright(F.col("_nf_mid"), _LOCAL_BITS)).join(F.broadcast(off), "_nf_pid")
+              .withColumn(rank_col, F.col("_nf_off") + local + first).drop("_nf_pid", "_nf_off", "_nf_mid"))
+
+
+class RowOrder:
+    """The rows of ``df`` in ``order_by`` order, staged as Parquet: one range shuffle of the
+    rows, one count per partition to the driver, and every column is read only if used."""
+
+    def __init__(self, df: DataFrame, order_by, descending: bool = False, num_partitions: int | None = None):
+        sort = [c.desc() if descending else c.asc() for c in _cols(order_by)] + [row_hash(df).asc()]
+        ranged = df.repartitionByRange(num_partitions, *sort) if num_partitions else df.repartitionByRange(*sort)
+        self.staged = staged(ranged.sortWithinPartitions(*sort).withColumn("_nf_mid", F.monotonically_increasing_id()))
+        self.offsets, self.total = _starts(self.staged)
+        self.columns = df.columns
+
+    def ranked(self, rank_col: str, first: int = 1) -> DataFrame:
+        """The rows with their position, counted from ``first``."""
+        out = _with_position(self.staged, self.offsets, rank_col, first)
+        return out.select(*[F.col(f"`{c}`") for c in self.columns if c != rank_col], rank_col)
+
+
 class KeyOrder:
     """The rows of ``df`` in ``order_by`` order, as keys.
 
@@ -66,21 +119,11 @@ class KeyOrder:
         ranged = keys.repartitionByRange(num_partitions, *sort) if num_partitions else keys.repartitionByRange(*sort)
         self.names, self.spark = names, df.sparkSession
         self.staged = reliable_checkpoint(ranged.sortWithinPartitions(*sort).withColumn("_nf_mid", F.monotonically_increasing_id()))
-        pid = F.shiftright(F.col("_nf_mid"), _LOCAL_BITS)
-        counts = sorted((r["p"], r["n"]) for r in self.staged.groupBy(pid.alias("p")).agg(F.count(F.lit(1)).alias("n")).collect())
-        self.offsets, self.total = [], 0
-        for p, n in counts:
-            self.offsets.append((p, self.total, n))
-            self.total += n
+        self.offsets, self.total = _starts(self.staged)
 
     def ranks(self, rank_col: str) -> DataFrame:
-        """Key columns ``_nf_k0 ..`` and the 1-based position."""
-        off = self.spark.createDataFrame([(p, o) for p, o, _ in self.offsets] or [(0, 0)], "_nf_pid long, _nf_off long")
-        mask = (1 << _LOCAL_BITS) - 1
-        # one row per range partition
-        return (self.staged.withColumn("_nf_pid", F.shiftright(F.col("_nf_mid"), _LOCAL_BITS))
-                    .join(F.broadcast(off), "_nf_pid")
-                    .select(*self.names, (F.col("_nf_off") + F.col("_nf_mid").bitwiseAND(F.lit(mask)) + 1).alias(rank_col)))
+        """Key columns ``_nf_k0 ..`` and the 1-based position, one row per row of ``df``."""
+        return _with_position(self.staged, self.offsets, rank_col)
 
     def key_at(self, position: int):
         """Key (a Row) at the 1-based ``position``, None outside the rows."""
@@ -90,16 +133,26 @@ class KeyOrder:
         return None
 
     def flag(self, df: DataFrame, order_by, n: int, last: bool, name: str) -> DataFrame:
-        """Mark the last (or first) ``n`` rows of ``df``."""
+        """Mark exactly the last (or first) ``n`` rows of ``df``.  Rows are compared with the
+        key at the cut; only if that key is repeated across the cut are its rows ranked."""
         if n <= 0 or n >= self.total:
             return df.withColumn(name, F.lit(n > 0))
-        key = self.key_at(self.total - n + 1 if last else n)
-        cut = _lit_key(df, order_by, key)
-        return df.withColumn(name, _key_struct(order_by) >= cut if last else _key_struct(order_by) <= cut)
+        at = self.total - n + 1 if last else n
+        row = self.key_at(at)
+        cut, mine = _lit_key(df, order_by, row), _key_struct(order_by)
+        own = F.struct(*[F.col(k).alias(f"k{i}") for i, k in enumerate(self.names)])
+        near = self.staged.agg(F.count_if(own < cut).alias("lower"), F.count_if(own == cut).alias("same")).first()
+        wanted = near["lower"] + near["same"] - at + 1 if last else at - near["lower"]
+        if wanted == near["same"]:
+            return df.withColumn(name, mine >= cut if last else mine <= cut)
+        tied = RowOrder(df.where(mine == cut), []).ranked("_nf_tie")
+        inside = F.col("_nf_tie") > near["same"] - wanted if last else F.col("_nf_tie") <= wanted
+        clear = df.where(mine != cut).withColumn(name, mine > cut if last else mine < cut)
+        return clear.unionByName(tied.withColumn(name, inside).drop("_nf_tie"))
 
 
 def join_keys(df: DataFrame, ranks: DataFrame, order_by, names) -> DataFrame:
-    """``df`` with what ``ranks`` says about its key (nulls match nulls)."""
+    """``df`` with what ``ranks`` says about its key (nulls match nulls); ``ranks`` holds a key once."""
     mine = [f"{n}_own" for n in names]
     own = df.select("*", *[c.alias(m) for c, m in zip(_cols(order_by), mine)])
     cond = reduce(lambda a, b: a & b, [F.col(m).eqNullSafe(F.col(n)) for m, n in zip(mine, names)])
@@ -108,27 +161,25 @@ def join_keys(df: DataFrame, ranks: DataFrame, order_by, names) -> DataFrame:
 
 def global_rank(df: DataFrame, order_by, rank_col: str = "rank",
                 descending: bool = False, num_partitions: int | None = None) -> DataFrame:
-    """Add ``rank_col`` = 1-based position of each row in ``order_by`` order (a unique key)."""
-    order = KeyOrder(df, order_by, descending, num_partitions)
-    return join_keys(df, order.ranks(rank_col), order_by, order.names)
+    """Add ``rank_col`` = 1-based position of each row in ``order_by`` order; rows with the
+    same key take consecutive positions."""
+    return RowOrder(df, order_by, descending, num_partitions).ranked(rank_col)
 
 
 def rank_within(df: DataFrame, group_by, order_by, rank_col: str = "rank",
                 descending: bool = False) -> DataFrame:
     """Add ``rank_col`` = 1-based position inside each ``group_by`` group.
 
-    Ranks keys globally by (group, order) - a hot group is then spread over many
+    Ranks rows globally by (group, order) - a hot group is then spread over many
     range partitions - and subtracts the rank where the group starts (one row per
     group, joined back by the group).
     """
-    by = [*group_by, *order_by]
-    order = KeyOrder(df, by, descending)
-    ranks = order.ranks("_nf_g")
-    group = order.names[:len(list(group_by))]
-    starts = ranks.groupBy(*[F.col(g).alias(f"{g}_s") for g in group]).agg(F.min("_nf_g").alias("_nf_lo"))
-    cond = [F.col(g).eqNullSafe(F.col(f"{g}_s")) for g in group]
-    placed = ranks.join(starts, cond).select(*order.names, (F.col("_nf_g") - F.col("_nf_lo") + 1).alias(rank_col))
-    return join_keys(df, placed, by, order.names)
+    groups = [F.col(g) if isinstance(g, str) else g for g in group_by]
+    ranked = RowOrder(df, [*groups, *order_by], descending).ranked("_nf_g")
+    names = [f"_nf_s{i}" for i in range(len(groups))]
+    starts = ranked.groupBy(*[g.alias(n) for g, n in zip(groups, names)]).agg(F.min("_nf_g").alias("_nf_lo"))
+    cond = [g.eqNullSafe(F.col(n)) for g, n in zip(groups, names)]
+    return ranked.join(starts, cond).withColumn(rank_col, F.col("_nf_g") - F.col("_nf_lo") + 1).drop("_nf_g", "_nf_lo", *names)
 
 
 def _key_struct(order_by) -> Column:

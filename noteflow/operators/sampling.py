@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.hashing import draw
-from .order import KeyOrder, global_rank, join_keys, rank_within
+from ..session import staged
+from .order import KeyOrder, RowOrder, global_rank, rank_within
 from .sorting import head_rows, sort_by_date
 
 
@@ -17,48 +18,43 @@ def negative_samples(df: DataFrame, change_cols, scheme_col: str = "ObservationS
                      len_col: str | None = "ObservationAnswer_len", within: str | None = None) -> DataFrame:
     """For every row, take ``change_cols`` from a uniformly drawn row of a
     *different* scheme (and, with ``within``, the same value of that column, e.g.
-    answers draw from answers and comments from comments); label 0.  O(n): one
-    range-partitioned rank and one equi-join, no per-row filtering.
+    answers draw from answers and comments from comments); label 0.  O(n): the rows
+    are ranked and staged once, then joined with one row per scheme and, by row
+    number, with their donors.
 
-    Rows indexed by (within, scheme, key) occupy a contiguous block
+    Rows in (within, scheme, key) order occupy a contiguous block
     ``[lo_s, lo_s+m_s)`` per scheme inside the part ``[p_lo, p_lo+p_n)``.  A row
-    of scheme s draws ``r = draw(seed, key) mod (p_n - m_s)`` and takes index
+    of scheme s draws ``r = draw(seed, key) mod (p_n - m_s)`` and takes row
     ``p_lo + r`` if ``r < lo_s - p_lo`` else ``p_lo + r + m_s`` - uniform over the
-    part's rows of other schemes.  The donor index is unique, so the join never
-    fans out, and targets are uniform, so it is not skewed.  A hot scheme is
-    spread over many range partitions by the global rank.
+    part's rows of other schemes.  Row numbers are unique, also where keys repeat, so
+    the join never fans out, and targets are uniform, so it is not skewed.  A hot scheme
+    is spread over many range partitions.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    by = [*([within] if within else []), scheme_col, *keys]
+    group = [*([within] if within else []), scheme_col]
     change = list(change_cols) + ([len_col] if len_col and len_col in df.columns else [])
-    order = KeyOrder(df, by)
-    group = order.names[:len(by) - len(keys)]                       # [part,] scheme
-    ranks = order.ranks("_nf_idx").withColumn("_nf_idx", F.col("_nf_idx") - 1)
-    blocks = ranks.groupBy(*group).agg(F.min("_nf_idx").alias("_nf_lo"), F.count(F.lit(1)).alias("_nf_m"))
+    order = RowOrder(df, [*group, *keys])
+    rows = order.ranked("_nf_idx", first=0)
+    names = [f"_nf_g{i}" for i in range(len(group))]
+    blocks = rows.groupBy(*[F.col(g).alias(n) for g, n in zip(group, names)]).agg(F.min("_nf_idx").alias("_nf_lo"), F.count(F.lit(1)).alias("_nf_m"))
     if within:
-        span = blocks.groupBy(F.col(group[0]).alias("_nf_part")).agg(F.min("_nf_lo").alias("_nf_plo"), F.sum("_nf_m").alias("_nf_pn"))
-        side = blocks.join(span, F.col(group[0]).eqNullSafe(F.col("_nf_part"))).drop("_nf_part")
+        span = blocks.groupBy(F.col(names[0]).alias("_nf_part")).agg(F.min("_nf_lo").alias("_nf_plo"), F.sum("_nf_m").alias("_nf_pn"))
+        side = blocks.join(span, F.col(names[0]).eqNullSafe(F.col("_nf_part"))).drop("_nf_part")
     else:
         side = blocks.withColumns({"_nf_plo": F.lit(0).cast("long"), "_nf_pn": F.lit(order.total).cast("long")})
+    side = staged(side)
     alone = side.where(F.col("_nf_m") == F.col("_nf_pn")).first()
     if alone:
-        raise ValueError("negative sampling needs at least two schemes" + (f" in {within}={alone[group[0]]}" if within else ""))
-    side = side.select(*[F.col(g).alias(f"{g}_b") for g in group], "_nf_lo", "_nf_m", "_nf_plo", "_nf_pn")
+        raise ValueError("negative sampling needs at least two schemes" + (f" in {within}={alone[names[0]]}" if within else ""))
     r = F.col("_nf_draw") % (F.col("_nf_pn") - F.col("_nf_m"))
-    drawn = (ranks.join(side, [F.col(g).eqNullSafe(F.col(f"{g}_b")) for g in group])
-                  .withColumn("_nf_draw", draw(seed, *order.names[len(group):]))
-                  .select(*order.names, (F.col("_nf_plo") + F.when(r < F.col("_nf_lo") - F.col("_nf_plo"), r)
-                                         .otherwise(r + F.col("_nf_m"))).alias("_nf_t")))
-    given = ranks.select(F.col("_nf_idx").alias("_nf_t"), *[F.col(n).alias(f"{n}_d") for n in order.names])
-    pairs = drawn.join(given, "_nf_t").drop("_nf_t")                # key -> donor's key
-    donors = df.select(*[F.col(c).alias(f"{n}_e") for c, n in zip(by, order.names)], *[F.col(c).alias("_nf_d_" + c) for c in change])
-    found = pairs.join(donors, [F.col(f"{n}_d").eqNullSafe(F.col(f"{n}_e")) for n in order.names]) \
-                 .drop(*[f"{n}_{x}" for n in order.names for x in "de"])
-    joined = join_keys(df, found, by, order.names)
-    for c in change:
-        joined = joined.withColumn(c, F.col("_nf_d_" + c))
-    return (joined.withColumn(label_col, F.lit(0))
-                  .select(*[c for c in df.columns], *([label_col] if label_col not in df.columns else [])))
+    target = F.col("_nf_plo") + F.when(r < F.col("_nf_lo") - F.col("_nf_plo"), r).otherwise(r + F.col("_nf_m"))
+    drawn = (rows.join(side, [F.col(g).eqNullSafe(F.col(n)) for g, n in zip(group, names)])
+                 .withColumn("_nf_draw", F.coalesce(draw(seed, *keys), draw(seed, "_nf_idx"))).withColumn("_nf_t", target))
+    donors = rows.select(F.col("_nf_idx").alias("_nf_d"), *[F.col(c).alias("_nf_d_" + c) for c in change])
+    joined = drawn.join(donors, F.col("_nf_t") == F.col("_nf_d"))
+    values = {c: F.col("_nf_d_" + c) for c in change} | {label_col: F.lit(0)}
+    return joined.select(*[values[c].alias(c) if c in values else F.col(c) for c in df.columns],
+                         *([F.lit(0).alias(label_col)] if label_col not in df.columns else []))
 
 
 def pos_neg(pos: DataFrame, change_cols, scheme_col: str = "ObservationScheme", key: str = "obs_id",
@@ -74,19 +70,14 @@ def examples_per_outcome(df: DataFrame, k: int, key: str, outcome_col: str = "ou
 
     Draw i of outcome o takes the row at position ``1 + draw(seed, o, i) mod n_o``
     of that outcome (positions in ``key`` order); an empty outcome gives no rows.
-    Only (outcome, key) is ranked; the drawn keys then fetch their rows.
     """
-    slim = df.select(outcome_col, key)
-    draws = (slim.groupBy(outcome_col).agg(F.count(F.lit(1)).alias("_nf_n"))
-                 .withColumn("draw_no", F.explode(F.sequence(F.lit(0), F.lit(k - 1)))) if k > 0 else
-             slim.groupBy(outcome_col).agg(F.count(F.lit(1)).alias("_nf_n")).withColumn("draw_no", F.lit(0)).limit(0))
-    draws = draws.select(F.col(outcome_col).alias("_nf_o"), F.col("draw_no").cast("int").alias("draw_no"),
-                         (1 + draw(seed, outcome_col, "draw_no") % F.col("_nf_n")).alias("_nf_want"))
-    ranked = rank_within(slim, [outcome_col], [key], "_nf_pos")
-    picked = draws.join(ranked, F.col("_nf_o").eqNullSafe(F.col(outcome_col)) & (F.col("_nf_want") == F.col("_nf_pos"))) \
-                  .select("_nf_o", "draw_no", F.col(key).alias("_nf_key"))
-    return df.join(picked, F.col(outcome_col).eqNullSafe(F.col("_nf_o")) & F.col(key).eqNullSafe(F.col("_nf_key"))) \
-             .drop("_nf_o", "_nf_key")
+    draws = df.groupBy(F.col(outcome_col).alias("_nf_o")).agg(F.count(F.lit(1)).alias("_nf_n")) \
+              .withColumn("draw_no", F.explode(F.sequence(F.lit(0), F.lit(max(k, 1) - 1)))).where(F.col("draw_no") < k)
+    draws = draws.select("_nf_o", F.col("draw_no").cast("int").alias("draw_no"),
+                         (1 + draw(seed, F.coalesce(F.col("_nf_o").cast("string"), F.lit("")), "draw_no") % F.col("_nf_n")).alias("_nf_want"))
+    ranked = rank_within(df, [outcome_col], [key], "_nf_pos")
+    return ranked.join(draws, F.col(outcome_col).eqNullSafe(F.col("_nf_o")) & (F.col("_nf_want") == F.col("_nf_pos"))) \
+                 .select(*df.columns, "draw_no")
 
 
 def shuffle_rows(df: DataFrame, key: str, seed: int = 0, pos_col: str = "pos") -> DataFrame:

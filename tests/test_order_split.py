@@ -202,3 +202,59 @@ def test_time_split3_matches_positional_slices(spark, n, m):
         train, val, test = data, [], []
     want = {**{k: "train" for k in train}, **{k: "val" for k in val}, **{k: "test" for k in test}}
     assert got == want
+
+
+# ---------------------------------------------------------------- repeated keys
+
+def _repeated(spark):
+    """Keys 1 (many times, also whole rows), 2, null; 40 rows."""
+    rows = [(1, "hot", f"t{i % 12}", "2024/01/01") for i in range(36)] + [(2, "a", "x", "2024/01/02"), (2, "b", "y", None),
+                                                                         (None, "a", None, "2023/01/01"), (None, "b", "z", "2025/01/01")]
+    return spark.createDataFrame(rows, "obs_id long, ObservationScheme string, ObservationAnswer string, LastUpdateDate string").repartition(3)
+
+
+def _sorted(rows):
+    return sorted(map(str, rows))
+
+
+def test_ranks_with_repeated_keys_keep_every_row(spark):
+    from noteflow.operators import sorting
+    df = _repeated(spark)
+    want = _sorted(tuple(r) for r in df.collect())
+    for out, pos in ((order.global_rank(df, ["obs_id"], "p"), "p"), (sorting.sort_by_date(df, order_by=["obs_id"]), "pos"),
+                     (sampling.shuffle_rows(df, "obs_id"), "pos"), (order.global_rank(df, ["obs_id"], "p", descending=True), "p")):
+        rows = out.collect()
+        assert _sorted(tuple(r[c] for c in df.columns) for r in rows) == want
+        assert sorted(r[pos] for r in rows) == list(range(1, 41))
+    within = order.rank_within(df, ["ObservationScheme"], ["obs_id"], "p").collect()
+    assert sorted(r["p"] for r in within if r["ObservationScheme"] == "hot") == list(range(1, 37)) and len(within) == 40
+    both = sampling.concat_sorted(df, df, order_by=["obs_id"]).collect()
+    assert sorted(r["pos"] for r in both) == list(range(1, 81))
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 20, 38, 39])
+def test_cuts_through_repeated_keys_are_exact(spark, n):
+    from noteflow.operators import sorting
+    df = _repeated(spark)
+    first, last = order.first_n_flag(df, n, ["obs_id"], "f"), order.last_n_flag(df, n, ["obs_id"], "f")
+    for flagged in (first, last):
+        rows = flagged.collect()
+        assert len(rows) == 40 and sum(r["f"] for r in rows) == n
+    assert sorting.row_range(df, 40 - n, None, ["obs_id"]).count() == n
+    assert split.tail_split_n(df, n, ["obs_id"]).where("split = 'test'").count() == n
+    assert split.random_split(df, "obs_id", n / 40).where("split = 'val'").count() == n
+    assert sampling.append_tail(df, df, n, ["obs_id"], "obs_id").count() == 40 + n
+
+
+def test_sampling_with_repeated_keys_keeps_every_row(spark):
+    df = _repeated(spark)
+    neg = sampling.negative_samples(df, ["ObservationAnswer"], key="obs_id").collect()
+    assert _sorted((r["obs_id"], r["ObservationScheme"], r["LastUpdateDate"]) for r in neg) == \
+        _sorted((r["obs_id"], r["ObservationScheme"], r["LastUpdateDate"]) for r in df.collect())
+    assert all(not (r["ObservationAnswer"] or "").startswith("t") for r in neg if r["ObservationScheme"] == "hot")
+    folds = split.kfold(df, 3, "ObservationScheme", "obs_id").groupBy("ObservationScheme", "fold").count().collect()
+    assert sum(r["count"] for r in folds) == 40 and sorted(r["count"] for r in folds if r["ObservationScheme"] == "hot") == [12, 12, 12]
+    sizes = split.subsample_sizes(df, [10, 0], "obs_id").groupBy("sample_size").count().collect()
+    assert {r["sample_size"]: r["count"] for r in sizes} == {10: 10, 0: 40}
+    picked = sampling.examples_per_outcome(df.withColumn("outcome", F.col("ObservationScheme")), 5, "obs_id").groupBy("outcome").count().collect()
+    assert {r["outcome"]: r["count"] for r in picked} == {"hot": 5, "a": 5, "b": 5}
