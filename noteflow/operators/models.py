@@ -1,7 +1,7 @@
 """Models (M1-M12): linear and tree classifiers, tuning, learning curves.
 
-* M1 / M4 / M5 are Spark ML estimators (multinomial logistic regression,
-  one-vs-rest linear SVM, one-vs-rest gradient-boosted trees).
+* M1 / M4 are Spark ML estimators (multinomial logistic regression, one-vs-rest
+  linear SVM); M5, boosted trees on distributed histograms, is in :mod:`trees`.
 * M2 / M3 (ridge one-vs-all, linear discriminant analysis) are closed form:
   one distributed pass computes the moments (X'WX, per-class weighted sums and
   counts) as numpy partials per partition (``mapInPandas``), summed by a
@@ -18,7 +18,7 @@ from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.classification import (GBTClassifier, LinearSVC, LogisticRegression, OneVsRest)
+from pyspark.ml.classification import LinearSVC, LogisticRegression, OneVsRest
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import VectorUDT
@@ -31,6 +31,9 @@ from ..session import staged
 from . import evaluate as E
 from .order import KeyOrder
 from .split import kfold
+from .trees import BoostedTrees, fit_boosted_trees  # noqa: F401 - M5, used with the other fits
+
+
 
 def as_vector(df: DataFrame, col: str, out: str | None = None) -> DataFrame:
     """Make ``col`` an ML vector (arrays are converted)."""
@@ -74,19 +77,6 @@ def fit_linear_svm(df: DataFrame, features: str = "features", label: str = "labe
         as_vector(df, features))
 
 
-def fit_boosted_trees(df: DataFrame, features: str = "features", label: str = "label", lr: float = 0.1,
-                      n_trees: int = 10, max_depth: int = 3, validation_col: str | None = None,
-                      parallelism: int = 4, seed: int = 42):
-    """M5: gradient-boosted trees for K classes as one-vs-rest binary GBTs; an optional
-    boolean column marks validation rows (early stopping on them)."""
-    gbt = GBTClassifier(featuresCol=features, labelCol=label, stepSize=lr, maxIter=n_trees, maxDepth=max_depth,
-                        seed=seed)
-    if validation_col:
-        gbt.setValidationIndicatorCol(validation_col)
-    return OneVsRest(classifier=gbt, featuresCol=features, labelCol=label, parallelism=parallelism).fit(
-        as_vector(df, features))
-
-
 # ---------------------------------------------------------------- closed-form linear models (M2, M3)
 
 class LinearModel:
@@ -340,7 +330,7 @@ def predict(model, df: DataFrame, features: str = "features", out: str = "y_pred
 
     Models with a probability column use it; one-vs-rest and closed-form models
     get probabilities as the softmax of their raw margins / scores."""
-    if isinstance(model, LinearModel):
+    if isinstance(model, (LinearModel, BoostedTrees)):
         s = model.transform(df, features)
         return E.softmax_probs(s.withColumnRenamed("scores", "_nf_raw"), "_nf_raw").drop("_nf_raw", "y_pred") \
             .withColumn(out, F.col("prediction").cast("int")).drop("prediction")

@@ -185,7 +185,7 @@ register("fit_ridge")(lambda spark, d: _metrics_of(M.fit_ridge(_train(x := _mode
 register("fit_lda")(lambda spark, d: _metrics_of(M.fit_lda(_train(x := _model_data(spark, d)), shrinkage=0.5), x))
 register("fit_linear_svm")(lambda spark, d: _metrics_of(
     M.fit_linear_svm(_train(x := _model_data(spark, d, embed=True)), max_iter=20), x))
-register("fit_boosted_trees")(lambda spark, d: _metrics_of(
+register("boosted_trees_metrics")(lambda spark, d: _metrics_of(
     M.fit_boosted_trees(_train(x := _model_data(spark, d, embed=True)), n_trees=5, max_depth=3), x))
 
 

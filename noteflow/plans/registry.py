@@ -23,7 +23,7 @@ def register(key: str, sql: str | None = None):
 
 
 def _load():
-    from . import q_prep, q_text, q_split, q_eval, q_models, q_sources  # noqa: F401
+    from . import q_prep, q_text, q_split, q_eval, q_models, q_fits, q_sources  # noqa: F401
 
 
 def queries() -> dict[str, QueryFn]:

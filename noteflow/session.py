@@ -38,9 +38,19 @@ def get_spark(master: str | None = None, app: str = "noteflow",
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    ship_package(spark)
     return spark
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it (on a cluster without
+    that path ship it with ``--py-files`` as usual)."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    known = [p for p in spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in known:
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([root, *known])
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint folder of the session.
 
