@@ -31,6 +31,14 @@ def features_column(df: DataFrame, name: str) -> Column:
     return F.unwrap_udt(F.col(name)) if isinstance(df.schema[name].dataType, VectorUDT) else F.col(name)
 
 
+def vector_length(df: DataFrame, name: str) -> Column:
+    """Number of features of each row of a :func:`features_column`."""
+    t = df.schema[name].dataType
+    if hasattr(t, "fieldNames"):
+        return F.coalesce(F.col(f"{name}.size"), F.size(f"{name}.values"))
+    return F.size(name)
+
+
 def _parts(column) -> tuple[np.ndarray, np.ndarray]:
     """Lengths and flat values of a list column (nulls count as empty)."""
     lens = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False)

@@ -2,11 +2,12 @@
 
 * M1 / M4 are Spark ML estimators (multinomial logistic regression, one-vs-rest
   linear SVM); M5, boosted trees on distributed histograms, is in :mod:`trees`.
-* M2 / M3 (ridge one-vs-all, linear discriminant analysis) are closed form:
-  one distributed pass computes the moments (X'WX, per-class weighted sums and
-  counts) as numpy partials per partition (``mapInPandas``), summed by a
-  single ``Summarizer.sum``; the d x d solve runs on the driver (d <= a few
-  thousand).  Every alpha of a grid reuses the same moments.
+* M2 (ridge one-vs-all) and M3 (linear discriminant analysis, in :mod:`lda`) are
+  closed form: one distributed pass computes the moments (X'WX, per-class
+  weighted sums and counts) as numpy blocks per task (:mod:`blocks`); the d x d
+  solve runs on the driver (d <= a few thousand).  Every alpha of a grid reuses
+  the same moments.  Wide sparse rows have a conjugate gradient fit without any
+  d x d matrix (:mod:`ridge_cg`).
 * Tuning uses ``CrossValidator`` with a stratified, seeded fold column (SP7).
 """
 
@@ -22,16 +23,20 @@ from pyspark.ml.classification import LinearSVC, LogisticRegression, OneVsRest
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import VectorUDT
-from pyspark.ml.stat import Summarizer
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import staged
 from . import evaluate as E
+from .lda import fit_lda, lda_grid_cv  # noqa: F401 - M3, used with the other fits
+from .linear import LinearModel, all_of, minus, moments, moments_by_group, ridge_from_moments
 from .order import KeyOrder
+from .ridge_cg import fit_ridge_cg, ridge_cg_grid  # noqa: F401 - M2 on wide rows
+from .search import learning_curve_moments, successive_halving  # noqa: F401 - M7, M11
+from .softmax import logreg_grid  # noqa: F401 - M6
 from .split import kfold
-from .trees import BoostedTrees, fit_boosted_trees  # noqa: F401 - M5, used with the other fits
+from .trees import BoostedTrees, fit_boosted_trees  # noqa: F401 - M5
 
 
 
@@ -77,126 +82,7 @@ def fit_linear_svm(df: DataFrame, features: str = "features", label: str = "labe
         as_vector(df, features))
 
 
-# ---------------------------------------------------------------- closed-form linear models (M2, M3)
-
-class LinearModel:
-    """Scores = X coef' + intercept; prediction = argmax (class codes 0..K-1)."""
-
-    def __init__(self, coef: np.ndarray, intercept: np.ndarray, classes: list):
-        self.coef, self.intercept, self.classes = coef, intercept, classes
-
-    def transform(self, df: DataFrame, features: str = "features", out: str = "prediction") -> DataFrame:
-        """Add ``scores`` (array<double>) and the argmax ``prediction`` (Arrow-batched numpy)."""
-        coef_t = self.coef.T.astype(np.float64)
-        b = self.intercept.astype(np.float64)
-        col = F.col(features)
-        if isinstance(df.schema[features].dataType, VectorUDT):
-            col = vector_to_array(col)
-
-        @F.pandas_udf("array<double>")
-        def _scores(x: pd.Series) -> pd.Series:
-            if len(x) == 0:
-                return pd.Series([], dtype=object)
-            m = np.stack(x.to_numpy()).astype(np.float64) @ coef_t + b
-            return pd.Series(list(m))
-
-        s = df.withColumn("scores", _scores(col))
-        return s.withColumn(out, (F.array_position("scores", F.array_max("scores")) - 1).cast("double"))
-
-    def save(self, spark, path: str) -> None:
-        """S7 for closed-form models: coefficients as a Parquet table."""
-        rows = [(int(i), self.coef[i].tolist(), float(self.intercept[i]), str(self.classes[i]))
-                for i in range(len(self.classes))]
-        spark.createDataFrame(rows, "code int, coef array<double>, intercept double, class string") \
-             .write.mode("overwrite").parquet(path)
-
-    @staticmethod
-    def load(spark, path: str) -> "LinearModel":
-        rows = sorted(spark.read.parquet(path).collect(), key=lambda r: r["code"])
-        return LinearModel(np.array([r["coef"] for r in rows]), np.array([r["intercept"] for r in rows]),
-                           [r["class"] for r in rows])
-
-
-CHUNK = 65_536   # doubles per reduced piece of a moment partial (512 KB)
-BUCKETS = 256    # first-level sums per piece
-
-
-def _sum_partials(parts: DataFrame, length: int) -> dict:
-    """Sum per-partition partial vectors ``(g int, m array<double>)`` by ``g``.
-
-    Each partial is cut into CHUNK-sized pieces; pieces are summed per (g, piece)
-    in two levels (BUCKETS, then across buckets), so no buffer exceeds a
-    piece and the final reduction is spread over (groups x pieces) tasks."""
-    n_chunks = max(1, -(-length // CHUNK))
-    pieces = F.transform(F.sequence(F.lit(0), F.lit(n_chunks - 1)),
-                         lambda i: F.struct(i.alias("c"), F.slice("m", i * CHUNK + 1, CHUNK).alias("p")))
-    ex = (parts.withColumn("_nf_b", F.spark_partition_id() % BUCKETS)
-               .select("g", "_nf_b", F.explode(pieces).alias("x"))
-               .select("g", "_nf_b", F.col("x.c").alias("c"), array_to_vector(F.col("x.p")).alias("v")))
-    level1 = ex.groupBy("g", "c", "_nf_b").agg(Summarizer.sum(F.col("v")).alias("v"))
-    level2 = level1.groupBy("g", "c").agg(Summarizer.sum(F.col("v")).alias("v"))
-    out: dict = {}
-    for r in level2.collect():
-        out.setdefault(r["g"], {})[r["c"]] = r["v"].toArray()
-    return {g: np.concatenate([cs[c] for c in range(n_chunks)]) for g, cs in out.items()}
-
-
-def _unpack(v: np.ndarray, d: int, k: int) -> dict:
-    o = 0
-    xtx = v[o:o + d * d].reshape(d, d); o += d * d
-    sx = v[o:o + d]; o += d
-    sw = v[o]; o += 1
-    cs = v[o:o + k * d].reshape(k, d); o += k * d
-    return {"d": d, "k": k, "xtx": xtx, "sx": sx, "sw": sw, "cs": cs, "cw": v[o:o + k]}
-
-
-def moments_by_group(df: DataFrame, features: str, label: str, group: str | None = None,
-                     weight: str | None = None) -> dict:
-    """Moments per value of ``group`` (one group when None) in one pass over the data:
-    X'WX, sum w x, sum w, per-class sum w x and sum w.  Each partition emits one
-    numpy partial per group value it holds; partials are summed by
-    :func:`_sum_partials`.  Labels must be codes 0..K-1."""
-    col = F.col(features)
-    if isinstance(df.schema[features].dataType, VectorUDT):
-        col = vector_to_array(col)
-    x = df.select(col.alias("x"), F.col(label).cast("int").alias("y"),
-                  (F.col(group).cast("int") if group else F.lit(0)).alias("g"),
-                  (F.col(weight) if weight else F.lit(1.0)).cast("double").alias("w"))
-    shape = x.agg(F.max("y").alias("k"), F.max(F.size("x")).alias("d")).first()
-    k, d = int(shape["k"]) + 1, int(shape["d"])
-
-    def part(it):
-        acc = {}
-        for pdf in it:
-            for g, sub in pdf.groupby("g"):
-                X = np.stack(sub["x"].to_numpy()).astype(np.float64)
-                w = sub["w"].to_numpy(dtype=np.float64)
-                y = sub["y"].to_numpy()
-                a = acc.setdefault(int(g), [np.zeros((d, d)), np.zeros(d), np.zeros(1), np.zeros((k, d)),
-                                            np.zeros(k)])
-                Xw = X * w[:, None]
-                a[0] += Xw.T @ X
-                a[1] += Xw.sum(axis=0)
-                a[2] += w.sum()
-                np.add.at(a[3], y, Xw)
-                np.add.at(a[4], y, w)
-        rows = [(g, np.concatenate([a[0].ravel(), a[1], a[2], a[3].ravel(), a[4]]).tolist()) for g, a in acc.items()]
-        yield pd.DataFrame(rows, columns=["g", "m"]) if rows else pd.DataFrame(
-            {"g": pd.Series([], dtype="int32"), "m": pd.Series([], dtype=object)})
-
-    parts = x.mapInPandas(part, "g int, m array<double>")
-    sums = _sum_partials(parts, d * d + d + 1 + k * d + k)
-    return {g: _unpack(v, d, k) for g, v in sums.items()}
-
-
-def moments(df: DataFrame, features: str, label: str, weight: str | None = None) -> dict:
-    """One-pass moments of the whole frame (see :func:`moments_by_group`)."""
-    return moments_by_group(df, features, label, None, weight)[0]
-
-
-def _minus(total: dict, part: dict) -> dict:
-    return {**total, **{f: total[f] - part[f] for f in ("xtx", "sx", "sw", "cs", "cw")}}
-
+# ---------------------------------------------------------------- ridge in closed form (M2)
 
 def ridge_grid_cv(df: DataFrame, alphas, folds: int = 3, features: str = "features", label: str = "label",
                   key: str = "row_id", seed: int = 42) -> DataFrame:
@@ -206,10 +92,8 @@ def ridge_grid_cv(df: DataFrame, alphas, folds: int = 3, features: str = "featur
     models of its own held-out fold for all alphas at once."""
     data = kfold(as_vector(df, features), folds, label, key, seed, "fold")
     per = moments_by_group(data, features, label, "fold")
-    total = None
-    for m in per.values():
-        total = dict(m) if total is None else {**total, **{f: total[f] + m[f] for f in ("xtx", "sx", "sw", "cs", "cw")}}
-    models = {(f, a): ridge_from_moments(_minus(total, per[f]), a) for f in per for a in alphas}
+    total = all_of(per)
+    models = {(f, a): ridge_from_moments(minus(total, per[f]), a) for f in per for a in alphas}
     spark = df.sparkSession
     bc = spark.sparkContext.broadcast({fa: (m.coef.T.copy(), m.intercept.copy()) for fa, m in models.items()})
     alist = list(alphas)
@@ -233,19 +117,6 @@ def ridge_grid_cv(df: DataFrame, alphas, folds: int = 3, features: str = "featur
                                  "alpha double, cv_accuracy double")
 
 
-def ridge_from_moments(m: dict, alpha: float) -> LinearModel:
-    """Ridge one-vs-all with targets +-1 and an intercept (centred by the weighted means)."""
-    sw, sx = m["sw"], m["sx"]
-    xbar = sx / sw
-    xtx_c = m["xtx"] - sw * np.outer(xbar, xbar)
-    xty = 2.0 * m["cs"].T - sx[:, None]               # sum w x y, y = +1 for own class else -1
-    ybar = (2.0 * m["cw"] - sw) / sw
-    xty_c = xty - sw * np.outer(xbar, ybar)
-    coef = np.linalg.solve(xtx_c + alpha * np.eye(m["d"]), xty_c).T
-    intercept = ybar - coef @ xbar
-    return LinearModel(coef, intercept, list(range(m["k"])))
-
-
 def fit_ridge(df: DataFrame, features: str = "features", label: str = "label", alpha: float = 1.0,
               class_weight: str | None = None) -> LinearModel:
     """M2: one-vs-all least squares on +-1 targets (argmax decision)."""
@@ -255,74 +126,6 @@ def fit_ridge(df: DataFrame, features: str = "features", label: str = "label", a
     return ridge_from_moments(moments(df, features, label, w), alpha)
 
 
-def lda_from_moments(m: dict, shrinkage: float | None = None, cov: np.ndarray | None = None) -> LinearModel:
-    """LDA (least-squares solver): class means, pooled within-class covariance (or ``cov``), priors."""
-    n, cw = m["sw"], m["cw"]
-    present = cw > 0
-    mu = np.zeros_like(m["cs"])
-    mu[present] = m["cs"][present] / cw[present, None]
-    if cov is None:
-        cov = (m["xtx"] - (mu.T * cw) @ mu) / n
-        if shrinkage:
-            cov = (1 - shrinkage) * cov + shrinkage * (np.trace(cov) / m["d"]) * np.eye(m["d"])
-    coef = np.linalg.lstsq(cov, mu.T, rcond=None)[0].T
-    with np.errstate(divide="ignore"):
-        intercept = -0.5 * np.einsum("kd,kd->k", mu, coef) + np.log(cw / n)
-    return LinearModel(coef, intercept, list(range(m["k"])))
-
-
-def ledoit_wolf(cov: np.ndarray, n: float, fourth: float) -> np.ndarray:
-    """Shrunk covariance of n centred rows, from their covariance and the sum of their squared
-    squared norms (Ledoit and Wolf 2004)."""
-    p = len(cov)
-    mu = np.trace(cov) / p
-    spread = (cov ** 2).sum()
-    delta = (spread - p * mu ** 2) / p
-    beta = min((fourth / n - spread) / (p * n), delta)
-    s = beta / delta if beta > 0 and delta > 0 else 0.0
-    return (1 - s) * cov + s * mu * np.eye(p)
-
-
-def _lda_auto(df: DataFrame, features: str, label: str) -> LinearModel:
-    """LDA with Ledoit-Wolf shrinkage of every class's standardised covariance, weighted by
-    the class shares: one pass for the classes' moments, one for their fourth moments."""
-    per = moments_by_group(df, features, label, label)
-    total = None
-    for m in per.values():
-        total = dict(m) if total is None else {**total, **{f: total[f] + m[f] for f in ("xtx", "sx", "sw", "cs", "cw")}}
-    stats = {}
-    for g, m in per.items():
-        mean = m["sx"] / m["sw"]
-        cov = m["xtx"] / m["sw"] - np.outer(mean, mean)
-        dev = np.sqrt(np.clip(np.diag(cov), 0, None))
-        stats[g] = mean, np.where(dev > 0, dev, 1.0), cov
-    shared = df.sparkSession.sparkContext.broadcast({g: (mean, dev) for g, (mean, dev, _) in stats.items()})
-    col = vector_to_array(F.col(features)) if isinstance(df.schema[features].dataType, VectorUDT) else F.col(features)
-
-    def fourth(it):
-        sums: dict = {}
-        for pdf in it:
-            for g, sub in pdf.groupby("g"):
-                mean, dev = shared.value[int(g)]
-                z = (np.stack(sub["x"].to_numpy()).astype(np.float64) - mean) / dev
-                sums[int(g)] = sums.get(int(g), 0.0) + float(((z * z).sum(1) ** 2).sum())
-        yield pd.DataFrame({"g": pd.Series(list(sums), dtype="int32"), "v": pd.Series(list(sums.values()), dtype="float64")})
-
-    got = {r["g"]: r["v"] for r in df.select(col.alias("x"), F.col(label).cast("int").alias("g"))
-           .mapInPandas(fourth, "g int, v double").groupBy("g").agg(F.sum("v").alias("v")).collect()}
-    cov = sum(per[g]["sw"] / total["sw"] * dev[:, None] * ledoit_wolf(c / dev[:, None] / dev, per[g]["sw"], got[g]) * dev
-              for g, (_, dev, c) in stats.items())
-    return lda_from_moments(total, cov=cov)
-
-
-def fit_lda(df: DataFrame, features: str = "features", label: str = "label",
-            shrinkage: float | str | None = None) -> LinearModel:
-    """M3: linear discriminant analysis; ``shrinkage`` None, a share, or 'auto'."""
-    if shrinkage == "auto":
-        return _lda_auto(df, features, label)
-    return lda_from_moments(moments(df, features, label), shrinkage)
-
-
 # ---------------------------------------------------------------- prediction and tuning
 
 def predict(model, df: DataFrame, features: str = "features", out: str = "y_pred") -> DataFrame:

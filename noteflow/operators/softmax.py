@@ -24,7 +24,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import staged, values_df
-from .blocks import dense_rows, features_column, slices, sum_blocks
+from .blocks import dense_rows, features_column, slices, sum_blocks, vector_length
+from .linear import LinearModel
 from .split import kfold
 
 MEMORY = 10          # L-BFGS steps remembered per model
@@ -92,9 +93,7 @@ class Block:
         fold = F.col(fold_col).cast("int") if fold_col else F.lit(-1)
         rows = df.where(F.col(label).isNotNull()).select(features_column(df, features).alias("x"), F.col(label).cast("int").alias("y"), fold.alias("f"))
         self.rows = staged(rows)
-        size = F.col("x.size") if "size" in _fields(self.rows, "x") else F.lit(None).cast("int")
-        length = F.size("x.values") if "values" in _fields(self.rows, "x") else F.size("x")
-        counts = self.rows.groupBy("f", "y").agg(F.count(F.lit(1)).alias("n"), F.max(F.coalesce(size, length)).alias("d")).collect()
+        counts = self.rows.groupBy("f", "y").agg(F.count(F.lit(1)).alias("n"), F.max(vector_length(self.rows, "x")).alias("d")).collect()
         if not counts:
             raise ValueError("empty training set")
         self.d, self.k = max(r["d"] for r in counts), max(r["y"] for r in counts) + 1
@@ -177,11 +176,6 @@ class Block:
         return {i: (int(v[0]), int(v[1])) for i, v in sum_blocks(self.rows, work).items()}
 
 
-def _fields(df: DataFrame, col: str) -> list[str]:
-    t = df.schema[col].dataType
-    return t.fieldNames() if hasattr(t, "fieldNames") else []
-
-
 def logreg_grid(df: DataFrame, Cs, class_weights=(None,), folds: int = 3, features: str = "features", label: str = "label",
                 key: str = "row_id", seed: int = 42, max_iter: int = 100, tol: float = 1e-6):
     """M6 for logistic regression: every C and class weight, cross-validated on stratified seeded
@@ -189,7 +183,6 @@ def logreg_grid(df: DataFrame, Cs, class_weights=(None,), folds: int = 3, featur
 
     Returns ``(model, table)``, the table (C, class_weight, cv_accuracy: mean over folds) and the
     model with its pass count as ``passes``."""
-    from .models import LinearModel
     block = Block(kfold(df, folds, label, key, seed, "_nf_fold"), features, label, "_nf_fold")
     grid = [(c, cw) for c in Cs for cw in class_weights]
     specs = [Spec(c, cw == "balanced", f) for c, cw in grid for f in range(folds)]

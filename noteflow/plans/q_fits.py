@@ -6,8 +6,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import models as M
+from ..operators import search
 from ..session import staged
+from ..sources import files as SRC
 from . import fixtures as fx
+from . import sqlsnip as S
+from .q_eval import _macro_sql
 from .registry import register
 
 # ---------------------------------------------------------------- M5: boosted trees
@@ -85,3 +89,208 @@ SELECT row_id, CAST(arg_max(k, (p, -k)) AS INTEGER) AS y_pred, round(max(p), 6)
 FROM (SELECT *, exp(m) / sum(exp(m)) OVER (PARTITION BY row_id) AS p FROM m{TREES['n_trees']}) WHERE val GROUP BY row_id"""))(
     lambda spark, d: M.predict(_boosted(x := _folded_rows(spark, d, WIDTH, 4)), x.where("val"))
     .select("row_id", "y_pred", F.round("prob_max", 6).alias("prob_max")))
+
+# ---------------------------------------------------------------- closed forms on two folded features
+
+CLASSES = 4
+
+
+def _pairs(spark, d):
+    return _folded_rows(spark, d, 2, CLASSES)
+
+
+#: (row_id, a, b, label, val), and the folds of every row.
+_ROWS = f"t AS MATERIALIZED (SELECT row_id, features[1] AS a, features[2] AS b, label, val FROM ({folded_sql(2, CLASSES)}))"
+_FOLDS = f"""folded AS MATERIALIZED (SELECT *, CAST((row_number() OVER (PARTITION BY label ORDER BY {S.draw(42, 'row_id')}, row_id) - 1) % 3 AS INTEGER) AS fold FROM t)"""
+#: Training rows per left-out fold.
+_BY_FOLD = "train AS (SELECT g.fold AS grp, f.* FROM folded f JOIN (SELECT DISTINCT fold FROM folded) g ON g.fold <> f.fold)"
+
+
+def linear_ctes(cands: str) -> list[str]:
+    """``fits`` (grp, cand, k, wa, wb, w0) of every candidate (cand, model, value, balanced) on ``train``
+    (grp, label, a, b): ridge on -1 / +1, or a discriminant by lsqr, eigen or svd, solved by hand for two features."""
+    return [
+        f"cands AS (SELECT * FROM (VALUES {cands}) AS t(cand, model, value, balanced))",
+        """raw AS MATERIALIZED (SELECT grp, label AS k, count(*) AS c, sum(a) AS ca, sum(b) AS cb, sum(a * a) AS caa, sum(a * b) AS cab, sum(b * b) AS cbb
+           FROM train GROUP BY grp, label)""",
+        """classes AS (SELECT unnest(range((SELECT max(label) + 1 FROM train))) AS k)""",
+        """grown AS (SELECT r.*, count(*) OVER (PARTITION BY grp) AS kinds, sum(c) OVER (PARTITION BY grp) AS rows FROM raw r)""",
+        """weighed AS MATERIALIZED (SELECT q.cand, q.model, q.value, g.grp, g.k, g.kinds, w * c AS c, w * ca AS ca, w * cb AS cb, w * caa AS caa, w * cab AS cab, w * cbb AS cbb
+           FROM (SELECT g.*, q.cand AS qc, CASE WHEN q.balanced THEN rows / (kinds * c) ELSE 1 END AS w FROM grown g, cands q) g JOIN cands q ON q.cand = g.qc)""",
+        """sums AS MATERIALIZED (SELECT cand, model, any_value(value) AS value, grp, any_value(kinds) AS kinds, sum(c) AS n, sum(ca) AS sa, sum(cb) AS sb,
+             sum(caa) AS saa, sum(cab) AS sab, sum(cbb) AS sbb, sum(caa - ca * ca / c) AS waa, sum(cab - ca * cb / c) AS wab, sum(cbb - cb * cb / c) AS wbb
+           FROM weighed GROUP BY cand, model, grp)""",
+        """ridges AS (SELECT *, (m2 * xa - m1 * xb) / (m0 * m2 - m1 * m1) AS wa, (m0 * xb - m1 * xa) / (m0 * m2 - m1 * m1) AS wb FROM (
+             SELECT s.cand, s.grp, k.k, s.n, s.sa, s.sb, s.saa - s.sa * s.sa / s.n + s.value AS m0, s.sab - s.sa * s.sb / s.n AS m1,
+                    s.sbb - s.sb * s.sb / s.n + s.value AS m2, (2 * coalesce(w.c, 0) - s.n) / s.n AS y,
+                    2 * coalesce(w.ca, 0) - s.sa - s.sa * (2 * coalesce(w.c, 0) - s.n) / s.n AS xa,
+                    2 * coalesce(w.cb, 0) - s.sb - s.sb * (2 * coalesce(w.c, 0) - s.n) / s.n AS xb
+             FROM sums s CROSS JOIN classes k LEFT JOIN weighed w ON w.cand = s.cand AND w.grp = s.grp AND w.k = k.k WHERE s.model = 'ridge'))""",
+        """discriminants AS (SELECT *, (m2 * ua - m1 * ub) / (m0 * m2 - m1 * m1) AS wa, (m0 * ub - m1 * ua) / (m0 * m2 - m1 * m1) AS wb FROM (
+             SELECT s.cand, s.grp, w.k, s.n, w.c, w.ca / w.c AS ua, w.cb / w.c AS ub,
+                    ((1 - s.value) * s.waa + s.value * (s.waa + s.wbb) / 2) / m AS m0, (1 - s.value) * s.wab / m AS m1,
+                    ((1 - s.value) * s.wbb + s.value * (s.waa + s.wbb) / 2) / m AS m2
+             FROM (SELECT *, CASE model WHEN 'svd' THEN n - kinds ELSE n END AS m FROM sums WHERE model <> 'ridge') s JOIN weighed w ON w.cand = s.cand AND w.grp = s.grp))""",
+        """fits AS MATERIALIZED (SELECT cand, grp, k, wa, wb, y - (wa * sa + wb * sb) / n AS w0 FROM ridges
+           UNION ALL SELECT cand, grp, k, wa, wb, ln(c / n) - (wa * ua + wb * ub) / 2 FROM discriminants)"""]
+
+
+def _scored(test: str) -> str:
+    """``scored``: (cand, grp, row_id, label, y_pred) of the rows ``test`` (grp, row_id, label, a, b)."""
+    return f"""scored AS MATERIALIZED (SELECT f.cand, x.grp, x.row_id, any_value(x.label) AS label,
+        CAST(arg_max(f.k, (f.w0 + f.wa * x.a + f.wb * x.b, -f.k)) AS INTEGER) AS y_pred
+      FROM ({test}) x JOIN fits f ON f.grp = x.grp GROUP BY f.cand, x.grp, x.row_id)"""
+
+
+def _linear_sql(body: str, cands: str, train: str, test: str, *ctes: str) -> str:
+    parts = [_ROWS, *ctes, train, *linear_ctes(cands), _scored(test)]
+    return "WITH " + ",\n".join(parts) + "\n" + body
+
+
+_TRAIN = "train AS (SELECT 0 AS grp, * FROM t WHERE NOT val)"
+_TEST = "SELECT 0 AS grp, * FROM t WHERE val"
+_HELD = "SELECT fold AS grp, * FROM folded"
+_PREDICTED = "SELECT row_id, y_pred FROM scored"
+_CV = "SELECT cand, avg(acc) AS cv_accuracy FROM (SELECT cand, grp, avg(CAST(y_pred = label AS INTEGER)) AS acc FROM scored GROUP BY ALL) GROUP BY cand"
+
+
+def _split(rows):
+    return rows.where("NOT val"), rows.where("val")
+
+
+def _predicted(model, test):
+    return M.predict(model, test).select("row_id", "y_pred")
+
+
+def _ridge_predictions(spark, d):
+    train, test = _split(_pairs(spark, d))
+    return _predicted(M.fit_ridge(train, alpha=2.0), test)
+
+
+def _ridge_cg_predictions(spark, d):
+    train, test = _split(_pairs(spark, d))
+    return _predicted(M.fit_ridge_cg(train, alpha=2.0, class_weight="balanced", tol=1e-12), test)
+
+
+def _saved_ridge(spark, d):
+    train, test = _split(_pairs(spark, d))
+    path = SRC.scratch_path(spark, "model-ridge")
+    M.fit_ridge(train, alpha=2.0).save(spark, path)
+    return _predicted(M.LinearModel.load(spark, path), test)
+
+
+def _lda_predictions(spark, d):
+    train, test = _split(_pairs(spark, d))
+    out = None
+    for solver, z in (("lsqr", None), ("lsqr", 0.4), ("eigen", 0.4), ("svd", None)):
+        p = _predicted(M.fit_lda(train, shrinkage=z, solver=solver), test).withColumn("solver", F.lit(solver)).withColumn("shrinkage", F.lit(z or 0.0))
+        out = p if out is None else out.unionByName(p)
+    return out
+
+
+register("predict_ridge", _linear_sql(_PREDICTED, "(0, 'ridge', 2.0, false)", _TRAIN, _TEST))(_ridge_predictions)
+register("predict_saved_ridge", _linear_sql(_PREDICTED, "(0, 'ridge', 2.0, false)", _TRAIN, _TEST))(_saved_ridge)
+register("predict_ridge_cg", _linear_sql(_PREDICTED, "(0, 'ridge', 2.0, true)", _TRAIN, _TEST))(_ridge_cg_predictions)
+register("predict_lda", _linear_sql(
+    "SELECT row_id, y_pred, c.model AS solver, CAST(c.value AS DOUBLE) AS shrinkage FROM scored JOIN cands c USING (cand)",
+    "(0, 'lsqr', 0.0, false), (1, 'lsqr', 0.4, false), (2, 'eigen', 0.4, false), (3, 'svd', 0.0, false)", _TRAIN, _TEST))(_lda_predictions)
+
+
+def _rounded(df, *cols):
+    return df.withColumns({c: F.round(c, 6) for c in cols})
+
+
+_RIDGE_GRID = [(a, b) for a in (0.0001, 0.001, 0.01, 0.1, 10.0) for b in (False, True)]
+register("ridge_cg_grid", _linear_sql(
+    f"""SELECT CAST(c.value AS DOUBLE) AS alpha, CASE WHEN c.balanced THEN 'balanced' ELSE 'none' END AS class_weight, round(v.cv_accuracy, 6) AS cv_accuracy
+        FROM ({_CV}) v JOIN cands c USING (cand)""",
+    ", ".join(f"({i}, 'ridge', {a}, {str(b).lower()})" for i, (a, b) in enumerate(_RIDGE_GRID)), _BY_FOLD, _HELD, _FOLDS))(
+    lambda spark, d: _rounded(M.ridge_cg_grid(_pairs(spark, d), [0.0001, 0.001, 0.01, 0.1, 10.0], [None, "balanced"], tol=1e-12)[1], "cv_accuracy"))
+
+_LDA_GRID = [(m, z) for m in ("svd", "lsqr", "eigen") for z in (0.0, 0.001, 0.02, 0.4, 0.6, 0.8, 1.0) if m != "svd" or z == 0]
+register("lda_grid", _linear_sql(
+    f"""SELECT c.model AS solver, CASE WHEN c.value = 0 THEN 'none' ELSE CAST(CAST(c.value AS DOUBLE) AS VARCHAR) END AS shrinkage, round(v.cv_accuracy, 6) AS cv_accuracy
+        FROM ({_CV}) v JOIN cands c USING (cand)
+        UNION ALL SELECT 'svd', CAST(CAST(value AS DOUBLE) AS VARCHAR), NULL FROM cands WHERE model = 'lsqr' AND value > 0""",
+    ", ".join(f"({i}, '{m}', {z}, false)" for i, (m, z) in enumerate(_LDA_GRID)), _BY_FOLD, _HELD, _FOLDS))(
+    lambda spark, d: _rounded(M.lda_grid_cv(_pairs(spark, d), [None, 0.001, 0.02, 0.4, 0.6, 0.8, 1.0], ["svd", "lsqr", "eigen"]), "cv_accuracy").drop("tol"))
+
+register("ridge_grid_moments", _linear_sql(
+    """SELECT CAST(c.value AS DOUBLE) AS alpha, round(v.acc, 6) AS cv_accuracy
+       FROM (SELECT cand, avg(CAST(y_pred = label AS INTEGER)) AS acc FROM scored GROUP BY cand) v JOIN cands c USING (cand)""",
+    "(0, 'ridge', 0.1, false), (1, 'ridge', 100.0, false)", _BY_FOLD, _HELD, _FOLDS))(
+    lambda spark, d: _rounded(M.ridge_grid_cv(_pairs(spark, d), [0.1, 100.0], folds=3), "cv_accuracy"))
+
+
+def _macro_of(src: str, group: str) -> str:
+    return f"SELECT {group}, round(acc, 6) AS acc, round(f1, 6) AS f1, round(precision, 6) AS precision, round(recall, 6) AS recall FROM ({_macro_sql(src, group)}) q"
+
+
+_METRICS = ("acc", "f1", "precision", "recall")
+register("cross_val_ridge", _linear_sql(
+    _macro_of("(SELECT grp AS fold, label AS y_true, y_pred FROM scored)", "fold"), "(0, 'ridge', 1.0, false)", _BY_FOLD, _HELD, _FOLDS))(
+    lambda spark, d: _rounded(M.cross_val_scores(_pairs(spark, d), lambda t: M.fit_ridge(t, alpha=1.0), k=3), *_METRICS).select("fold", *_METRICS))
+
+register("leaderboard_closed_form", _linear_sql(
+    _macro_of("(SELECT c.model AS model, s.label AS y_true, s.y_pred FROM scored s JOIN cands c USING (cand))", "model"),
+    "(0, 'ridge', 1.0, false), (1, 'lsqr', 0.0, false)", _TRAIN, _TEST))(
+    lambda spark, d: _rounded(M.leaderboard(*_split(_pairs(spark, d)), {"ridge": lambda t: M.fit_ridge(t, alpha=1.0), "lsqr": lambda t: M.fit_lda(t)}),
+                              *_METRICS).select("model", *_METRICS))
+
+
+def _refit(spark, d):
+    rows = _pairs(spark, d).withColumn("split", F.when(F.col("row_id") % 5 == 4, "test").when(F.col("row_id") % 5 == 3, "val").otherwise("train"))
+    return _predicted(M.refit_full(rows, lambda t: M.fit_ridge(t, alpha=2.0)), rows.where("split = 'test'"))
+
+
+register("refit_ridge", _linear_sql(_PREDICTED, "(0, 'ridge', 2.0, false)", _TRAIN, _TEST))(_refit)
+
+# ---------------------------------------------------------------- M11: the curve from prefix sums of moments
+
+CURVE = list(range(0, 100, 5))
+
+
+def _curve(spark, d):
+    train, test = _split(_pairs(spark, d))
+    out = search.learning_curve_moments(train.where("label <> 0"), train.where("label = 0"), CURVE, lambda m: M.ridge_from_moments(m, 1.0),
+                                        test, 0, ["row_id"])
+    return _rounded(out, *_METRICS)
+
+
+register("learning_curve_moments", _linear_sql(
+    f"""SELECT p.n, q.scope, q.acc, q.f1, q.precision, q.recall FROM points p JOIN (
+          SELECT 'all' AS scope, * FROM ({_macro_of("(SELECT grp, label AS y_true, y_pred FROM scored)", "grp")})
+          UNION ALL SELECT 'new_class', * FROM ({_macro_of("(SELECT grp, 1 AS y_true, CAST(y_pred = 0 AS INTEGER) AS y_pred FROM scored WHERE label = 0)", "grp")})) q
+        ON q.grp = p.point""",
+    "(0, 'ridge', 1.0, false)", "train AS (SELECT p.point AS grp, o.* EXCLUDE (back) FROM points p JOIN own o ON o.label <> 0 OR o.back <= p.n)",
+    "SELECT p.point AS grp, t.* FROM t, points p WHERE t.val",
+    "own AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY row_id DESC) AS back FROM t WHERE NOT val)",
+    f"""points AS MATERIALIZED (SELECT row_number() OVER (ORDER BY last, n) - 1 AS point, n FROM (
+          SELECT DISTINCT CAST(least(i, total) AS INTEGER) AS n, false AS last FROM (SELECT unnest({CURVE}) AS i, (SELECT count(*) FROM own WHERE label = 0) AS total)
+          UNION ALL SELECT CAST(count(*) AS INTEGER), true FROM own WHERE label = 0))"""))(_curve)
+
+# ---------------------------------------------------------------- M7: successive halving
+
+SPACE = {"ridge": (1e-4, 1e4), "lda": (0.0, 1.0)}
+N_CANDIDATES, RUNG = 9, 64
+
+
+def _halving(spark, d):
+    out = search.successive_halving(_pairs(spark, d), SPACE, n=N_CANDIDATES, rung_rows=(RUNG,))
+    return _rounded(out, "value", "accuracy")
+
+
+register("successive_halving", _linear_sql(
+    f"""SELECT CAST(c.cand AS INTEGER) AS candidate, CASE c.model WHEN 'ridge' THEN 'ridge' ELSE 'lda' END AS model, round(CAST(c.value AS DOUBLE), 6) AS value, r.rung,
+               CAST(r.n_rows AS BIGINT) AS n_rows, round(r.acc, 6) AS accuracy
+        FROM (SELECT *, 0 AS rung FROM first UNION ALL
+              SELECT s.cand, avg(CAST(y_pred = label AS INTEGER)), count(*), 1 FROM scored s WHERE s.cand IN (
+                SELECT cand FROM first ORDER BY acc DESC, cand LIMIT {max(1, int(N_CANDIDATES / 3))}) GROUP BY s.cand) r JOIN cands c USING (cand)""".replace(
+        "FROM first", """FROM (SELECT s.cand, avg(CAST(y_pred = label AS INTEGER)) AS acc, count(*) AS n_rows FROM scored s
+            WHERE s.row_id IN (SELECT row_id FROM t ORDER BY {}, row_id LIMIT {}) GROUP BY s.cand)""".format(S.draw(43, "row_id"), RUNG)),
+    ", ".join(f"({i}, '{'ridge' if m == 'ridge' else 'lsqr'}', CAST({v!r} AS DOUBLE), false)" for i, (m, v) in enumerate(search._candidates(SPACE, N_CANDIDATES, 42))),
+    _BY_FOLD, _HELD, _FOLDS))(_halving)
+
+# ---------------------------------------------------------------- M6: logistic regression, all folds and points in one block (no SQL)
+
+register("logreg_grid")(lambda spark, d: _rounded(M.logreg_grid(_folded_rows(spark, d, 16, 10), [0.01, 0.1, 1.0, 10.0], [None, "balanced"])[1], "cv_accuracy"))
