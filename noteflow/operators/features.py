@@ -8,13 +8,17 @@ TF-IDF plan
   partition, not one per document.  ``max_features`` cuts by corpus count
   descending, ties alphabetically; term ids are alphabetical, idf is
   ``ln((1+n)/(1+df)) + 1``.
-* transform, vector form: a ``CountVectorizerModel`` built from the fitted
-  vocabulary counts terms per document inside the JVM (no shuffle), an
-  ``ElementwiseProduct`` applies idf and a ``Normalizer`` the L2 norm - all
-  document-local, sparse.
-* transform, long form ``(id, term, term_id, weight)``: those sparse vectors
-  exploded, for SQL-checkable output and for the sparse dot products of the
-  centroid scorer.
+* transform, vector form (vocabularies that ``max_features`` bounds): a
+  ``CountVectorizerModel`` built from the fitted vocabulary counts terms per
+  document inside the JVM (no shuffle), an ``ElementwiseProduct`` applies idf and a
+  ``Normalizer`` the L2 norm - all document-local, sparse.
+* transform, long form ``(id, term, term_id, weight)``, for SQL-checkable output and
+  for the sparse dot products of the centroid scorer: a bounded vocabulary explodes
+  those vectors; any other stays a table on shared storage that (document, term)
+  counts are joined with.  Terms in more than ``FREQUENT`` of the documents are split
+  off and broadcast (their number is bounded by the mean number of distinct terms
+  per document over ``FREQUENT``, whatever the corpus), so no join key holds more than
+  that share of the documents; norms are summed per document.  Nothing is collected.
 """
 
 from __future__ import annotations
@@ -27,7 +31,7 @@ from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normali
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import tokenize
@@ -41,15 +45,24 @@ def analyzer_tokens(text_col, stopwords=None):
     return F.filter(toks, lambda t: F.char_length(t) >= 2)
 
 
+#: Share of the documents from which a term is looked up by broadcast instead of a shuffle.
+FREQUENT = 0.01
+#: Largest ``max_features`` whose vocabulary is carried in the plan.
+VECTOR_TERMS = 1 << 18
+
+
 class TfidfModel:
-    """A fitted vocabulary: DataFrame ``(term, term_id, df, idf)`` plus the document count."""
+    """A fitted vocabulary: DataFrame ``(term, term_id, df, idf)`` plus the document count;
+    ``bounded`` if ``max_features`` holds it to what a plan can carry."""
 
-    def __init__(self, vocab: DataFrame, n_docs: int, tokens_col: str):
-        self.vocab, self.n_docs, self.tokens_col = vocab, n_docs, tokens_col
+    def __init__(self, vocab: DataFrame, n_docs: int, tokens_col: str, bounded: bool = True):
+        self.vocab, self.n_docs, self.tokens_col, self.bounded = vocab, n_docs, tokens_col, bounded
         self._terms = None
 
     def terms(self) -> list[tuple[str, float]]:
         """(term, idf) in term-id order, collected once: the vector form's dictionary."""
+        if not self.bounded:
+            raise ValueError("vectors need a vocabulary bounded by max_features; use tfidf_weights or tfidf_sparse")
         if self._terms is None:
             self._terms = [(r["term"], r["idf"]) for r in self.vocab.orderBy("term_id").collect()]
         return self._terms
@@ -74,7 +87,8 @@ def tfidf_fit(df: DataFrame, tokens_col: str, min_df: float = 1, max_df: float =
         by = ["_nf_neg", "term"]
         v = KeyOrder(v, by).flag(v, by, max_features, False, "_nf_in").filter("_nf_in").drop("_nf_in")
     v = dim_rank(v.select("term", "df"), ["term"], "term_id").withColumn("term_id", (F.col("term_id") - 1).cast("int"))
-    return TfidfModel(staged(v.withColumn("idf", F.log((F.lit(1.0) + n) / (F.lit(1.0) + F.col("df"))) + 1.0)), n, tokens_col)
+    vocab = staged(v.withColumn("idf", F.log((F.lit(1.0) + n) / (F.lit(1.0) + F.col("df"))) + 1.0))
+    return TfidfModel(vocab, n, tokens_col, max_features is not None and max_features <= VECTOR_TERMS)
 
 
 def tfidf_transform(df: DataFrame, model: TfidfModel, tokens_col: str | None = None,
@@ -92,16 +106,56 @@ def tfidf_transform(df: DataFrame, model: TfidfModel, tokens_col: str | None = N
 
 
 def tfidf_weights(df: DataFrame, model: TfidfModel, id_col: str, tokens_col: str | None = None) -> DataFrame:
-    """F1/F3 transform in long form ``(id, term, term_id, weight)``: the sparse vectors of
-    :func:`tfidf_transform` exploded, so no (document, term) row is shuffled; ``term`` joins
-    in by ``term_id`` from the vocabulary."""
+    """F1/F3 transform in long form ``(id, term, term_id, weight)``.
+
+    Bounded vocabulary: the sparse vectors of :func:`tfidf_transform` exploded, so no
+    (document, term) row is shuffled; ``term`` joins in by ``term_id``.  Any other: term counts per
+    row joined with the vocabulary table.  Rows with the same id are documents of their own."""
+    col = tokens_col or model.tokens_col
+    if not model.bounded:
+        return _weights_by_join(_numbered(df, id_col, col), model).withColumnRenamed("_nf_id", id_col).drop("_nf_row")
     v = F.unwrap_udt(F.col("_nf_v"))
     parts = F.transform(v["indices"], lambda t, i: F.struct(t.alias("term_id"), v["values"][i].alias("weight")))
-    vec = tfidf_transform(df.select(id_col, F.col(tokens_col or model.tokens_col).alias("_nf_toks")), model, "_nf_toks", "_nf_v")
+    vec = tfidf_transform(df.select(id_col, F.col(col).alias("_nf_toks")), model, "_nf_toks", "_nf_v")
     long = vec.select(id_col, F.explode_outer(parts).alias("x")).filter(F.col("x").isNotNull()).select(id_col, "x.*")
     return long.join(model.vocab.select("term", "term_id"), "term_id").select(id_col, "term", "term_id", "weight")
 
 
+def _numbered(df: DataFrame, id_col: str, col: str) -> DataFrame:
+    """Staged (_nf_id, _nf_t, _nf_row): ids, tokens and a number of the row."""
+    return staged(df.select(F.col(id_col).alias("_nf_id"), F.col(col).alias("_nf_t")).withColumn("_nf_row", F.monotonically_increasing_id()))
+
+
+def _weights_by_join(rows: DataFrame, model: TfidfModel) -> DataFrame:
+    """Long form (_nf_id, _nf_row, term, term_id, weight) of numbered rows, for a vocabulary of any size."""
+    # all tokens of a row are in one task, so the map side already counts each of its terms once
+    counts = (rows.select("_nf_id", "_nf_row", F.explode_outer("_nf_t").alias("_nf_term")).where(F.col("_nf_term").isNotNull())
+                  .groupBy("_nf_row", "_nf_id", "_nf_term").agg(F.count(F.lit(1)).alias("_nf_tf")))
+    vocab = model.vocab.select("term", "term_id", "df", "idf")
+    often = F.col("df") > FREQUENT * model.n_docs
+    hit = F.col("_nf_term") == F.col("term")
+    near = counts.join(F.broadcast(vocab.where(often)), hit, "left")
+    rest = near.where(F.col("term").isNull()).drop("term", "term_id", "df", "idf").join(vocab.where(~often), hit)
+    raw = F.col("_nf_tf") * F.col("idf")
+    norm = F.sqrt(F.sum(raw * raw).over(Window.partitionBy("_nf_row")))
+    return near.where(F.col("term").isNotNull()).unionByName(rest).select("_nf_id", "_nf_row", "term", "term_id", (raw / norm).alias("weight"))
+
+
+def tfidf_sparse(df: DataFrame, model: TfidfModel, id_col: str, tokens_col: str | None = None, out: str = "features") -> DataFrame:
+    """F1 for a vocabulary of any size: one row per row of ``df``, ``(id, features)``, the features a
+    struct (type, size, indices, values) that :func:`sources.files.read_vectors` reads as ML vectors;
+    a row without a known term has no entries."""
+    rows = _numbered(df, id_col, tokens_col or model.tokens_col)
+    docs = (_weights_by_join(rows, model).groupBy(F.col("_nf_row").alias("_nf_r"))
+            .agg(F.sort_array(F.collect_list(F.struct("term_id", "weight"))).alias("_nf_e")))
+    entries = F.coalesce("_nf_e", F.array().cast("array<struct<term_id:int,weight:double>>"))
+    size = model.vocab.agg(F.count(F.lit(1)).cast("int").alias("n")).scalar()
+    return rows.join(docs, F.col("_nf_row") == F.col("_nf_r"), "left").withColumn("_nf_e", entries).select(
+        F.col("_nf_id").alias(id_col), F.struct(F.lit(0).cast("byte").alias("type"), size.alias("size"),
+                                                F.transform("_nf_e", lambda e: e["term_id"]).alias("indices"),
+                                                F.transform("_nf_e", lambda e: e["weight"]).alias("values")).alias(out))
+
+
 def tfidf_fit_prefix(df: DataFrame, n: int, order_by, tokens_col: str, **kw) -> TfidfModel:
     """fit on the first ``n`` rows in ``order_by`` order (transform everything after)."""
     from .sorting import head_rows

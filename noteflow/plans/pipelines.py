@@ -238,7 +238,8 @@ def feature_build_pipeline(docs: DataFrame, out_path: str, id_col: str = "doc_id
                            label_col: str = "label", order_by=("doc_id",), max_features: int = 1024,
                            tokens_path: str | None = None) -> DataFrame:
     """PL7: dedup texts (keep first) -> tokens (cached as a stage) -> TF-IDF ->
-    label codes -> features written as an embeddings table; returns the table."""
+    label codes -> sparse features written as an embeddings table; returns the table,
+    its features ML vectors."""
     from ..operators import features as FT, labels as L
     from ..sources import files as SRC
     d = clean.dedup_first(docs, [text_col], list(order_by))
@@ -249,4 +250,4 @@ def feature_build_pipeline(docs: DataFrame, out_path: str, id_col: str = "doc_id
     coded = L.apply_label_encoder(toks, enc, label_col, "label_code")
     vec = FT.tfidf_transform(coded, model, "toks", "features")
     SRC.write_embeddings(vec.select(id_col, F.col("label_code").alias("label"), "features"), out_path)
-    return docs.sparkSession.read.parquet(out_path)
+    return SRC.read_vectors(docs.sparkSession, out_path)

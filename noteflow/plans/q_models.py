@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from ..operators import evaluate as E
 from ..operators import features as FT
 from ..operators.split import random_split
+from ..sources import files as SRC
 from . import fixtures as fx
 from . import sqlsnip as S
 from .fixtures import with_views
@@ -57,6 +58,25 @@ FROM docs d LEFT JOIN (SELECT doc_id, count(*) AS nnz, sum(weight) AS sum_w FROM
     + S.tfidf_weight_ctes("t_", "docs", "doc_id", "t_voc")))(_vectors)
 
 
+def _sparse(spark, d):
+    """The whole vocabulary, stored as sparse structs and read back as vectors."""
+    docs = _docs(spark, d)
+    path = SRC.scratch_path(spark, "sparse")
+    FT.tfidf_sparse(docs, FT.tfidf_fit(docs, "toks", min_df=2), "doc_id").write.parquet(path)
+    v = F.unwrap_udt(F.col("features"))
+    return SRC.read_vectors(spark, path).select(
+        "doc_id", v["size"].alias("size"), F.size(v["indices"]).alias("nnz"), F.round(F.aggregate(v["values"], F.lit(0.0), lambda s, x: s + x), 6).alias("sum_w"),
+        F.coalesce(F.array_max(v["indices"]), F.lit(-1)).alias("last_term"))
+
+
+register("tfidf_sparse", with_views(f"""
+SELECT d.doc_id, CAST((SELECT count(*) FROM t_voc) AS INTEGER) AS size, CAST(coalesce(w.nnz, 0) AS INTEGER) AS nnz, {R('coalesce(w.sum_w, 0)')} AS sum_w,
+       CAST(coalesce(w.last_term, -1) AS INTEGER) AS last_term
+FROM docs d LEFT JOIN (SELECT doc_id, count(*) AS nnz, sum(weight) AS sum_w, max(v.id) AS last_term
+                       FROM t_wt JOIN (SELECT term, row_number() OVER (ORDER BY term) - 1 AS id FROM t_voc) v USING (term) GROUP BY doc_id) w USING (doc_id)""",
+    extra=[_DOCS] + S.tfidf_vocab_ctes("t_", "docs", min_df=2) + S.tfidf_weight_ctes("t_", "docs", "doc_id", "t_voc")))(_sparse)
+
+
 def _prefix(spark, d):
     docs = _docs(spark, d)
     model = FT.tfidf_fit_prefix(docs, 300, ["doc_id"], "toks", max_features=1024)
@@ -146,7 +166,6 @@ FROM (SELECT te.doc_id, coalesce(max(CASE WHEN r.rk <= 2 AND r.label = te.label
 
 from ..operators import labels as L  # noqa: E402
 from ..operators import models as M  # noqa: E402
-from ..sources import files as SRC  # noqa: E402
 from . import pipelines  # noqa: E402
 
 
@@ -295,9 +314,9 @@ register("scorer_evaluation_pipeline")(_pl6)
 def _pl7(spark, d):
     out = pipelines.feature_build_pipeline(fx.doc_classes(spark, d), SRC.scratch_path(spark, "features"),
                                            tokens_path=SRC.scratch_path(spark, "tokens"))
-    a = vector_to_array(F.col("features")) if not dict(out.dtypes)["features"].startswith("array") else F.col("features")
+    a = F.unwrap_udt(F.col("features"))["values"]      # only the stored entries
     return out.select("doc_id", "label", F.size(F.filter(a, lambda v: v != 0)).alias("nnz"),
-                      F.round(F.aggregate(a.cast("array<double>"), F.lit(0.0), lambda s, v: s + v), 6).alias("sum_w"))
+                      F.round(F.aggregate(a, F.lit(0.0), lambda s, v: s + v), 6).alias("sum_w"))
 
 
 register("feature_build_pipeline", with_views(f"""

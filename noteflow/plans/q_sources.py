@@ -31,6 +31,38 @@ register("csv_roundtrip", with_views(
     "SELECT obs_id, ObservationScheme, ObservationAnswer, LastUpdateDate FROM observations_null", "observations_null"))(_csv)
 
 
+def _csv_order(spark, d):
+    """Three files of unequal size, texts with quotes and line breaks, read in order and in splits."""
+    path = SRC.scratch_path(spark, "csv-order")
+    o = fx.observations_null(spark, d).select("obs_id", "ObservationScheme", "ObservationAnswer", "LastUpdateDate")
+    part = F.when(F.col("obs_id") % 100 < 5, 0).when(F.col("obs_id") % 100 < 75, 1).otherwise(2)
+    quoted = F.when(F.col("obs_id") % 4 == 0, F.concat(F.lit('say "x;y",\n'), "ObservationAnswer")).otherwise(F.col("ObservationAnswer"))
+    files = o.withColumn("ObservationAnswer", quoted).withColumn("p", part).repartitionByRange(3, "p").sortWithinPartitions("p", F.desc("obs_id")).drop("p")
+    SRC.write_csv_sink(files, path, sep=";")
+    got = SRC.read_csv_source(spark, path, _OBS_SCHEMA, sep=";", order_col="row_order")
+    return got.select("obs_id", "row_order", F.md5("ObservationAnswer").alias("answer_md5"))
+
+
+register("csv_file_order", with_views("""
+SELECT obs_id, row_number() OVER (ORDER BY CASE WHEN obs_id % 100 < 5 THEN 0 WHEN obs_id % 100 < 75 THEN 1 ELSE 2 END, obs_id DESC) - 1 AS row_order,
+       md5(CASE WHEN obs_id % 4 = 0 THEN 'say "x;y",' || chr(10) || ObservationAnswer ELSE ObservationAnswer END) AS answer_md5
+FROM observations_null""", "observations_null"))(_csv_order)
+
+
+def _aligned(spark, d):
+    """Features and labels without a key, in files cut differently, paired by position."""
+    fp, lp = SRC.scratch_path(spark, "feat"), SRC.scratch_path(spark, "lab")
+    e = fx.embedded(spark, d)
+    e.repartitionByRange(3, "row_id").sortWithinPartitions("row_id").select("features").write.parquet(fp)
+    e.repartitionByRange(2, "row_id").sortWithinPartitions("row_id").select("label", F.col("row_id").alias("was")).write.parquet(lp)
+    return SRC.read_aligned(spark, fp, lp).select("position", "was", "label", F.round(F.aggregate("features", F.lit(0.0), lambda a, x: a + x), 6).alias("sum_f"))
+
+
+register("embeddings_by_position", """
+SELECT row_number() OVER (ORDER BY vec_id) - 1 AS position, vec_id AS was, label,
+       round(list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE))), 6) AS sum_f FROM embeddings""")(_aligned)
+
+
 def _splits(spark, d):
     path = SRC.scratch_path(spark, "splits")
     s = time_split3(fx.observations(spark, d).select("obs_id", "LastUpdateDate"), ["LastUpdateDate", "obs_id"],

@@ -9,11 +9,12 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.ml.linalg import VectorUDT
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StructField, StructType
 
-from ..session import checkpoint_dir
+from ..session import checkpoint_dir, staged, values_df
 
 
 def scratch_path(spark: SparkSession, name: str, unique: bool = True) -> str:
@@ -27,26 +28,72 @@ def read_csv_source(spark: SparkSession, path: str, schema: StructType | str, se
                     null_value: str | None = None) -> DataFrame:
     """Read a delimited file with a header and a declared schema.
 
-    ``order_col`` records the row order of the file: ``(source file, position)``
-    numbered right after the scan.  ``multiLine`` files are not splittable, so
-    convert to Parquet once and work from Parquet.
+    ``order_col`` numbers the rows, from 0, in the order of the files' paths and of the lines in
+    them; such files are read in splits (see :func:`read_csv_ordered`).  Without it a ``multiLine``
+    file is one task.
     """
-    r = (spark.read.schema(schema).option("header", True).option("sep", sep)
-         .option("multiLine", multiline).option("mode", mode).option("escape", '"')
-         .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False))
+    options = {"sep": sep, "escape": '"', "mode": mode, "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
     if null_value is not None:
-        r = r.option("nullValue", null_value)
-    df = r.csv(path)
+        options["nullValue"] = null_value
     if order_col:
-        df = (df.withColumn("_source_file", F.col("_metadata.file_path"))
-                .withColumn(order_col, F.monotonically_increasing_id()))
-    return df
+        return read_csv_ordered(spark, path, schema, options, order_col)
+    return spark.read.schema(schema).options(header="true", multiLine=str(multiline).lower(), **options).csv(path)
+
+
+def read_csv_ordered(spark: SparkSession, path: str, schema: StructType | str, options: dict, order_col: str) -> DataFrame:
+    """Delimited files with a header each, read in splits, rows numbered in file and line order.
+
+    * Lines come from the splittable text scan with their file and split.  A line break is
+      inside a quoted field when the quotes before it, from the start of the file, are odd in
+      number; each split counts its quotes, and a prefix sum over the file's splits gives the
+      parity at each split's start.  A line that begins at even parity begins a record.
+    * Records are numbered by prefix sums of the record starts per split; the lines of a record
+      are joined inside their split, and only the records at split borders are joined across.
+    * ``from_csv`` parses the finished records.  Blank lines between records count for nothing.
+
+    ``_source_file`` holds the row's file; its first record, the header, is dropped."""
+    raw = spark.read.option("lineSep", "\n").text(path)
+    lines = raw.select(F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_block_start").alias("s"),
+                       F.monotonically_increasing_id().alias("i"), F.col("value").alias("t"))
+    quotes = F.length("t") - F.length(F.replace("t", F.lit('"'), F.lit("")))
+    split = Window.partitionBy("f", "s").orderBy("i")
+    before = split.rowsBetween(Window.unboundedPreceding, -1)
+    seen = staged(lines.withColumn("n", quotes).withColumn("q", F.coalesce(F.sum("n").over(before), F.lit(0)) % 2)
+                       .withColumn("blank", ~F.col("t").rlike(r"[^\s]")))
+    odd = F.col("q") == 1
+    splits = seen.groupBy("f", "s").agg((F.sum("n") % 2).alias("parity"), F.count_if(~odd & ~F.col("blank")).alias("even"),
+                                        F.count_if(odd & ~F.col("blank")).alias("uneven"))
+    file = Window.partitionBy("f").orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
+    known = splits.withColumn("p0", F.coalesce(F.sum("parity").over(file), F.lit(0)) % 2) \
+                  .withColumn("starts", F.when(F.col("p0") == 0, F.col("even")).otherwise(F.col("uneven"))) \
+                  .withColumn("r0", F.coalesce(F.sum("starts").over(file), F.lit(0)))
+    known = staged(known.select("f", "s", "p0", "r0", "starts"))
+    total, offsets = 0, []
+    for r in sorted(known.groupBy("f").agg(F.sum("starts").alias("n")).collect(), key=lambda r: r["f"]):
+        offsets.append((r["f"], total))
+        total += max(0, r["n"] - 1)
+    first = values_df(spark, offsets, "f string, rows_before long")
+    inside = (F.col("q") + F.col("p0")) % 2 == 1
+    numbered = seen.join(known, ["f", "s"]).where(inside | ~F.col("blank")) \
+                   .withColumn("r", F.col("r0") + F.sum(F.when(inside, 0).otherwise(1)).over(split)) \
+                   .withColumn("edge", (F.col("r") == F.col("r0")) | (F.col("r") == F.col("r0") + F.col("starts")))
+
+    def text(order: str, piece: str):
+        return F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(order, piece))), lambda x: x[piece]), "\n").alias("t")
+    pieces = numbered.groupBy("f", "s", "r").agg(text("i", "t"), F.first("edge").alias("edge"))
+    whole = pieces.where("NOT edge").select("f", "r", "t").unionByName(
+        pieces.where("edge").groupBy("f", "r").agg(text("s", "t")))
+    fields = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    parsed = F.from_csv(F.rtrim("t", F.lit("\r")), ", ".join(f"`{x.name}` {x.dataType.simpleString()}" for x in fields), options)
+    return (whole.where("r > 1").join(F.broadcast(first), "f")
+                 .select(parsed.alias("x"), F.col("f").alias("_source_file"), (F.col("rows_before") + F.col("r") - 2).alias(order_col))
+                 .select("x.*", "_source_file", order_col))
 
 
 def csv_to_parquet(spark: SparkSession, csv_path: str, schema: StructType | str, out_path: str, sep: str = ",",
                    order_col: str | None = "row_order", **kw) -> DataFrame:
-    """S1 helper: read a (multi-line, hence unsplittable) CSV once, keep its row order
-    in ``order_col`` and store it as Parquet; later stages read the splittable Parquet."""
+    """S1 helper: read a CSV once, keep its row order in ``order_col`` and store it as Parquet;
+    later stages read the Parquet."""
     read_csv_source(spark, csv_path, schema, sep, order_col, **kw).write.mode("overwrite").parquet(out_path)
     return spark.read.parquet(out_path)
 
@@ -80,12 +127,47 @@ def read_embeddings(spark: SparkSession, feat_path: str, label_path: str, row_id
 
 
 def write_embeddings(df: DataFrame, path: str, features: str = "features") -> None:
-    """Persist features (as ``array<float>``) with their labels."""
-    out = df
-    if not dict(df.dtypes)[features].startswith("array"):
-        from pyspark.ml.functions import vector_to_array
-        out = df.withColumn(features, vector_to_array(features, "float32"))
-    out.write.mode("overwrite").parquet(path)
+    """Persist features with their labels, in single precision: arrays as they are; ML vectors
+    as a struct (type, size, indices, values) that keeps sparse rows sparse (its values are
+    stored as doubles, which ML vectors need, rounded to floats)."""
+    if isinstance(df.schema[features].dataType, VectorUDT):
+        v = F.unwrap_udt(features)
+        rounded = F.transform(v["values"], lambda x: x.cast("float").cast("double"))
+        entries = F.struct(v["type"].alias("type"), v["size"].alias("size"), v["indices"].alias("indices"), rounded.alias("values"))
+        df = df.withColumn(features, F.when(F.col(features).isNotNull(), entries))
+    df.write.mode("overwrite").parquet(path)
+
+
+def read_vectors(spark: SparkSession, path: str, features: str = "features") -> DataFrame:
+    """Features stored as (type, size, indices, values) read back as ML vectors, in the scan
+    itself (no conversion step, other columns as they are)."""
+    plain = spark.read.parquet(path).schema
+    return spark.read.schema(StructType([StructField(f.name, VectorUDT() if f.name == features else f.dataType, f.nullable) for f in plain])).parquet(path)
+
+
+def read_positions(spark: SparkSession, path: str, position: str = "position") -> DataFrame:
+    """Parquet rows with their place: files in the order of their paths, rows in the order of
+    the file, counted from 0.  One count per file reaches the driver."""
+    rows = spark.read.parquet(path)
+    placed = rows.select("*", F.col("_metadata.file_path").alias("_nf_file"), F.col("_metadata.row_index").alias("_nf_index"))
+    counts = sorted(tuple(r) for r in placed.groupBy("_nf_file").count().collect())
+    offsets, total = [], 0
+    for name, n in counts:
+        offsets.append((name, total))
+        total += n
+    before = values_df(spark, offsets, "_nf_name string, _nf_before long")
+    return placed.join(F.broadcast(before), F.col("_nf_file") == F.col("_nf_name")) \
+                 .select(*rows.columns, (F.col("_nf_before") + F.col("_nf_index")).alias(position))
+
+
+def read_aligned(spark: SparkSession, feat_path: str, label_path: str, position: str = "position") -> DataFrame:
+    """S4 / J8 without a key: feature and label rows paired by position.  Files of both sides may
+    be cut differently; different row counts are an error."""
+    left, right = read_positions(spark, feat_path, position), read_positions(spark, label_path, position)
+    n, m = (x.agg(F.count(F.lit(1)).alias("n")).first()["n"] for x in (left, right))
+    if n != m:
+        raise ValueError(f"{n} feature rows cannot be paired with {m} label rows")
+    return left.join(right, position)
 
 
 def read_variants(spark: SparkSession, base: str, row_id: str = "row_id", variant_col: str = "variant") -> DataFrame:

@@ -1,5 +1,6 @@
 """Sources and sinks, and dedup idempotence."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
@@ -49,3 +50,62 @@ def test_values_df_roundtrips_awkward_strings(spark):
     df = values_df(spark, [(v, i) for i, v in enumerate(vals)], "s string, i bigint")
     got = {r["i"]: r["s"] for r in df.collect()}
     assert [got[i] for i in range(len(vals))] == vals
+
+
+def _csv_text(rows, newline="\n"):
+    import csv
+    import io
+    out = io.StringIO()
+    w = csv.writer(out, delimiter=";", lineterminator=newline)
+    w.writerow(["k", "text"])
+    for r in rows:
+        w.writerow(r)
+    return out.getvalue()
+
+
+@pytest.mark.parametrize("split_bytes", ["64", "700", "64m"])
+def test_csv_rows_keep_file_and_line_order_in_any_splits(spark, tmp_path, split_bytes):
+    import random
+    rng = random.Random(5)
+    words = ["a", 'quo"ted', "two\nlines", "\n\n", ";", '"', "", "é", " padded ", "x" * 150]
+    want, n = [], 0
+    for name, size in (("b.csv", 3), ("a.csv", 200), ("c.csv", 40), ("d.csv", 0)):
+        rows = [(n + i, "".join(rng.choice(words) for _ in range(rng.randint(1, 5))) or "z") for i in range(size)]
+        n += size
+        body = _csv_text(rows, "\r\n" if name == "c.csv" else "\n")
+        (tmp_path / name).write_text(body.replace("\n2;", "\n\n2;", 1) if name == "b.csv" else body, newline="")
+        want.append((name, rows))
+    flat = [r for _, rows in sorted(want) for r in rows]
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split_bytes)
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        got = SRC.read_csv_source(spark, str(tmp_path), "k long, text string", sep=";", order_col="pos").orderBy("pos").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert [r["pos"] for r in got] == list(range(len(flat)))
+    assert [(r["k"], r["text"]) for r in got] == flat
+    assert got[0]["_source_file"].endswith("a.csv")
+
+
+def test_positions_pair_files_cut_differently(spark, tmp_path):
+    a, b = str(tmp_path / "a"), str(tmp_path / "b")
+    spark.range(100).repartitionByRange(7, "id").sortWithinPartitions("id").selectExpr("id AS x").write.parquet(a)
+    spark.range(100).repartitionByRange(3, "id").sortWithinPartitions("id").selectExpr("id AS y").write.parquet(b)
+    rows = SRC.read_aligned(spark, a, b).collect()
+    assert sorted((r["position"], r["x"], r["y"]) for r in rows) == [(i, i, i) for i in range(100)]
+    spark.range(5).selectExpr("id AS y").write.mode("append").parquet(b)
+    with pytest.raises(ValueError):
+        SRC.read_aligned(spark, a, b)
+
+
+def test_sparse_vectors_stay_sparse_on_disk(spark, tmp_path):
+    from pyspark.ml.linalg import SparseVector, Vectors
+    path = str(tmp_path / "v")
+    df = spark.createDataFrame([(1, Vectors.sparse(1 << 20, [3, 70_000], [0.5, 2.0])), (2, Vectors.dense([1.0, 0.25])), (3, None)], ["id", "features"])
+    SRC.write_embeddings(df, path)
+    assert dict(spark.read.parquet(path).dtypes)["features"].startswith("struct<type")
+    back = {r["id"]: r["features"] for r in SRC.read_vectors(spark, path).collect()}
+    assert back[1] == Vectors.sparse(1 << 20, [3, 70_000], [0.5, 2.0]) and isinstance(back[1], SparseVector)
+    assert back[2] == Vectors.dense([1.0, 0.25]) and back[3] is None
