@@ -158,9 +158,11 @@ def topk_accuracy(df: DataFrame, kmax: int = 5, probs: str = "probs", y: str = "
 
 
 def outcome(y: str = "y_true", yhat: str = "y_pred", positive=1) -> Column:
-    """TP / TN / FP / FN of one row."""
+    """TP / TN / FP / FN of one row.  A null prediction is a wrong one: FN of a positive
+    row, FP of any other; a null label is no positive, and its row is never right."""
     hit, p = F.col(y) == F.col(yhat), F.col(yhat) == positive
-    return (F.when(hit & p, "TP").when(hit, "TN").when(p, "FP").otherwise("FN"))
+    lost = F.col(yhat).isNull() & ~F.coalesce(F.col(y) == positive, F.lit(False))
+    return F.when(hit & p, "TP").when(hit, "TN").when(p | lost, "FP").otherwise("FN")
 
 
 OUTCOMES = ["TP", "FN", "FP", "TN"]

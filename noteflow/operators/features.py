@@ -94,15 +94,16 @@ def tfidf_fit(df: DataFrame, tokens_col: str, min_df: float = 1, max_df: float =
 def tfidf_transform(df: DataFrame, model: TfidfModel, tokens_col: str | None = None,
                     out: str = "tfidf") -> DataFrame:
     """F1/F3 transform to a sparse ``Vector`` column, document-local in the JVM.
-    Terms outside the vocabulary are ignored."""
+    Terms outside the vocabulary are ignored; null tokens count as none."""
     terms = model.terms()
     col = tokens_col or model.tokens_col
-    cv = CountVectorizerModel.from_vocabulary([t for t, _ in terms] or ["\u0000"], inputCol=col,
+    cv = CountVectorizerModel.from_vocabulary([t for t, _ in terms] or ["\u0000"], inputCol="_nf_in",
                                               outputCol="_nf_tf")
     ep = ElementwiseProduct(scalingVec=Vectors.dense([i for _, i in terms] or [0.0]), inputCol="_nf_tf",
                             outputCol="_nf_w")
     nz = Normalizer(p=2.0, inputCol="_nf_w", outputCol=out)
-    return nz.transform(ep.transform(cv.transform(df))).drop("_nf_tf", "_nf_w")
+    some = df.withColumn("_nf_in", F.coalesce(F.col(col), F.array().cast("array<string>")))
+    return nz.transform(ep.transform(cv.transform(some))).drop("_nf_in", "_nf_tf", "_nf_w")
 
 
 def tfidf_weights(df: DataFrame, model: TfidfModel, id_col: str, tokens_col: str | None = None) -> DataFrame:

@@ -131,11 +131,11 @@ def sentence_rows(df: DataFrame, order_by, src: str, min_tokens: int = 5,
 
 def sentence_scoring_pipeline(answers: DataFrame, comments: DataFrame, superusers: DataFrame | None = None,
                               keys=("myUnqualifiedId", "unqualifiedversionid__"), order_by=("turn",),
-                              min_tokens: int = 5, seed: int = 100, n_test: int = 16000,
+                              min_tokens: int = 5, seed: int = 100, n_test: int | float = 16000,
                               combine_version: int = 1) -> DataFrame:
     """PL4: sentence-scoring data: positives from answers and from comments, one
     negative per positive (answer of another scheme), all sorted by date,
-    ``SchemeAnswer`` text, last ``n_test`` rows = test."""
+    ``SchemeAnswer`` text, last ``n_test`` rows (below 1: that share of all rows) = test."""
     from ..functions import text as T
     from ..operators import sampling
     keys, order_by = list(keys), list(order_by)
@@ -158,7 +158,8 @@ def sentence_scoring_pipeline(answers: DataFrame, comments: DataFrame, superuser
     u = sorting.sort_by_date(u, "LastUpdateDate", ["src"] + key_cols + ["labels"])
     # pos is 1..n already: the last n_test positions are the test set
     n = u.agg(F.count(F.lit(1)).alias("n")).scalar()
-    return u.withColumn("split", F.when(F.col("pos") > n - n_test, "test").otherwise("train_val"))
+    held = F.bround(n * F.lit(float(n_test))) if n_test < 1 else F.lit(n_test)
+    return u.withColumn("split", F.when(F.col("pos") > n - held, "test").otherwise("train_val"))
 
 
 def classify_evaluate_pipeline(features: DataFrame, labels: DataFrame, row_id: str = "row_id",
@@ -169,23 +170,43 @@ def classify_evaluate_pipeline(features: DataFrame, labels: DataFrame, row_id: s
 
     Output: one long metric table ``(section, split, x, value, n)``."""
     from ..functions.constants import CLASSIFIER_THRESHOLDS
-    from ..operators import evaluate as E, models as M, split as SP
+    from ..operators import models as M, split as SP
     data = features.join(labels, row_id)
     data = SP.time_split3(data, [row_id], rate_pct=rate_pct).persist()
     fit = fit or (lambda df: M.fit_logreg(df, "features", "label", C=1.0, max_iter=50))
     model = fit(data.filter(F.col("split") == "train"))
     p = M.predict(model, data, "features").withColumnRenamed("label", "y_true")
-    acc = E.accuracy_by_split(p, "y_true", "y_pred").select(
+    return _report(p, ["test"], thresholds or CLASSIFIER_THRESHOLDS, kmax)
+
+
+def _report(p: DataFrame, sections, thresholds, kmax: int) -> DataFrame:
+    """Accuracy of every split (E4), and the confidence sweep (E6) and top-k accuracy (E7) of ``sections``."""
+    from ..operators import evaluate as E
+    out = E.accuracy_by_split(p, "y_true", "y_pred").select(
         F.lit("accuracy").alias("section"), "split", F.lit(None).cast("double").alias("x"),
         F.col("acc").alias("value"), "n")
-    test = p.filter(F.col("split") == "test")
-    sw = E.confidence_sweep(test, thresholds or CLASSIFIER_THRESHOLDS, "y_true", "y_pred", "prob_max").select(
-        F.lit("confidence").alias("section"), F.lit("test").alias("split"), F.col("threshold").alias("x"),
-        F.col("accuracy").alias("value"), F.col("n_samples").alias("n"))
-    tk = E.topk_accuracy(test, kmax, "probs", "y_true").select(
-        F.lit("topk").alias("section"), F.lit("test").alias("split"), F.col("k").cast("double").alias("x"),
-        F.col("accuracy").alias("value"), F.lit(None).cast("long").alias("n"))
-    return acc.unionByName(sw).unionByName(tk)
+    for name in sections:
+        rows = p.filter(F.col("split") == name)
+        sw = E.confidence_sweep(rows, thresholds, "y_true", "y_pred", "prob_max").select(
+            F.lit("confidence").alias("section"), F.lit(name).alias("split"), F.col("threshold").alias("x"),
+            F.col("accuracy").alias("value"), F.col("n_samples").alias("n"))
+        tk = E.topk_accuracy(rows, kmax, "probs", "y_true").select(
+            F.lit("topk").alias("section"), F.lit(name).alias("split"), F.col("k").cast("double").alias("x"),
+            F.col("accuracy").alias("value"), F.lit(None).cast("long").alias("n"))
+        out = out.unionByName(sw).unionByName(tk)
+    return out
+
+
+def validate_pipeline(model, features: DataFrame, labels: DataFrame, row_id: str = "row_id", rate_pct: float = 10,
+                      thresholds=None, kmax: int = 5) -> DataFrame:
+    """PL5, validate-only: a fitted (loaded) model on the time split of the data; train, validation
+    and test rows each get accuracy, confidence sweep and top-k accuracy.  Nothing is fitted.
+    Output as :func:`classify_evaluate_pipeline`."""
+    from ..functions.constants import CLASSIFIER_THRESHOLDS
+    from ..operators import models as M, split as SP
+    data = SP.time_split3(staged(features.join(labels, row_id)), [row_id], rate_pct=rate_pct)
+    p = staged(M.predict(model, data, "features").withColumnRenamed("label", "y_true"))
+    return _report(p, ["train", "val", "test"], thresholds or CLASSIFIER_THRESHOLDS, kmax)
 
 
 def scorer_evaluation_pipeline(pairs: DataFrame, id_cols, split_col: str = "split", k: int = 3,

@@ -198,8 +198,9 @@ register("new_class_metrics", with_views(
 def _series(spark, d):
     lg = _pred(fx.logits10(spark, d))
     ranked = global_rank(lg.withColumn("_h", draw(9, "row_id")), ["_h", "row_id"], "_r")
-    sizes = F.array(*[F.lit(s).cast("long") for s in (100, 200, 500)])
-    pts = ranked.withColumn("n_points", F.explode(sizes)).filter(F.col("_r") <= F.col("n_points"))
+    n = lg.agg(F.count(F.lit(1)).alias("n")).scalar()          # the last point is all rows
+    sizes = F.array(*[F.lit(s).cast("long") for s in (100, 200, 500)], n)
+    pts = ranked.withColumn("n_points", F.explode(F.array_distinct(sizes))).filter(F.col("_r") <= F.col("n_points"))
     return _round(E.metric_series(E.macro_metrics(pts, group=["n_points"]), "n_points"), _METRIC_COLS)
 
 
@@ -207,4 +208,4 @@ register("metric_series", with_views(
     f"SELECT n_points, acc, f1, precision, recall FROM ({_macro_sql('pts', 'n_points')}) q", "logits10", extra=[_P10, (
         "pts", f"""SELECT CAST(s.n_points AS BIGINT) AS n_points, r.y_true, r.y_pred FROM
                (SELECT *, row_number() OVER (ORDER BY {S.draw(9, 'row_id')}, row_id) AS rk FROM p10) r
-               JOIN (VALUES (100), (200), (500)) s(n_points) ON r.rk <= s.n_points""")]))(_series)
+               JOIN (SELECT * FROM (VALUES (100), (200), (500)) v(n_points) UNION SELECT count(*) FROM p10) s ON r.rk <= s.n_points""")]))(_series)

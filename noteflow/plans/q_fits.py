@@ -10,6 +10,7 @@ from ..operators import search
 from ..session import staged
 from ..sources import files as SRC
 from . import fixtures as fx
+from . import pipelines
 from . import sqlsnip as S
 from .q_eval import _macro_sql
 from .registry import register
@@ -245,6 +246,29 @@ def _refit(spark, d):
 
 register("refit_ridge", _linear_sql(_PREDICTED, "(0, 'ridge', 2.0, false)", _TRAIN, _TEST))(_refit)
 
+# ---------------------------------------------------------------- PL5, validate-only: a saved model on every split
+
+def _validate(spark, d):
+    rows = _pairs(spark, d)
+    path = SRC.scratch_path(spark, "model-lda")
+    M.fit_lda(rows.where("NOT val")).save(spark, path)
+    out = pipelines.validate_pipeline(M.LinearModel.load(spark, path), rows.select("row_id", "features"), rows.select("row_id", "label"), kmax=3)
+    return out.select("section", "split", "x", F.round("value", 6).alias("value"), "n")
+
+
+register("validate_pipeline", _linear_sql(
+    """SELECT 'accuracy' AS section, split, CAST(NULL AS DOUBLE) AS x, round(avg(CAST(y_pred = label AS INTEGER)), 6) AS value, count(*) AS n FROM judged GROUP BY split
+       UNION ALL SELECT 'confidence', split, CAST(v.t AS DOUBLE), round(avg(CAST(y_pred = label AS INTEGER)) FILTER (WHERE top > v.t), 6), count(*) FILTER (WHERE top > v.t)
+       FROM judged, (VALUES (0.0), (0.1), (0.2), (0.3), (0.4), (0.5), (0.6), (0.7), (0.8), (0.9)) v(t) GROUP BY split, v.t
+       UNION ALL SELECT 'topk', split, CAST(k.k AS DOUBLE), round(100 * avg(CAST(place <= k.k AS INTEGER)), 6), NULL FROM judged, range(1, 4) k(k) GROUP BY split, k.k""",
+    "(0, 'lsqr', 0.0, false)", _TRAIN, "SELECT 0 AS grp, * FROM t") .replace("\nSELECT 'accuracy'", """,
+probs AS (SELECT x.row_id, x.label, f.k, exp(f.w0 + f.wa * x.a + f.wb * x.b) / sum(exp(f.w0 + f.wa * x.a + f.wb * x.b)) OVER (PARTITION BY x.row_id) AS p FROM t x, fits f),
+places AS (SELECT *, row_number() OVER (PARTITION BY row_id ORDER BY p DESC, k DESC) AS place, max(p) OVER (PARTITION BY row_id) AS top FROM probs),
+judged AS (SELECT l.row_id, l.label, l.place, l.top, s.y_pred, CASE WHEN back <= m THEN 'test' WHEN back <= 2 * m THEN 'val' ELSE 'train' END AS split
+  FROM places l JOIN scored s USING (row_id) JOIN (SELECT row_id, row_number() OVER (ORDER BY row_id DESC) AS back, CAST(floor(count(*) OVER () * 10 / 100) AS BIGINT) AS m FROM t) b USING (row_id)
+  WHERE l.k = l.label)
+SELECT 'accuracy'""", 1))(_validate)
+
 # ---------------------------------------------------------------- M11: the curve from prefix sums of moments
 
 CURVE = list(range(0, 100, 5))

@@ -302,7 +302,7 @@ register("classify_evaluate_pipeline")(_pl5)
 
 def _pl6(spark, d):
     pairs = pipelines.sentence_scoring_pipeline(fx.form_answers(spark, d), fx.form_comments(spark, d),
-                                                fx.superusers(spark, d), min_tokens=5, seed=100, n_test=100)
+                                                fx.superusers(spark, d), min_tokens=5, seed=100, n_test=0.1)
     return pipelines.scorer_evaluation_pipeline(pairs, ["src", "myUnqualifiedId", "unqualifiedversionid__", "turn",
                                                         "c_turn", "spos"]).select(
         "section", "x", F.round("value", 6).alias("value"), "n")

@@ -143,3 +143,49 @@ register("row_range", with_views("""
 SELECT obs_id, pos FROM (SELECT obs_id, row_number() OVER (ORDER BY obs_id) AS pos FROM observations) t
 WHERE pos > 100 AND pos <= 300""", "observations"))(
     lambda spark, d: sorting.row_range(fx.observations(spark, d).select("obs_id"), 100, 300, ["obs_id"]))
+
+# ---------------------------------------------------------------- T6 with learned borders
+
+from ..operators import borders as B  # noqa: E402
+
+#: A frequent word of each language of the texts, put before a period as an abbreviation.
+_PLANT = r" (the|und|les|que) "
+
+
+def _shortened(spark, d):
+    return fx.table(spark, d, "documents").select("doc_id", F.regexp_replace("text", _PLANT, " bl.a. ").alias("text"))
+
+
+_BORDER_CTES = [
+    ("short", f"SELECT doc_id, regexp_replace(text, '{_PLANT}', ' bl.a. ', 'g') AS text FROM documents"),
+    ("cores", r"""SELECT regexp_replace(regexp_replace(t, '^[("''\[]+', ''), '[,;:!?)"''\]]+$', '') AS t FROM (
+                  SELECT unnest(regexp_split_to_array(lower(text), '\s+')) AS t FROM short)"""),
+    ("counts", r"""SELECT word, count(*) AS c, CAST(sum(p) AS BIGINT) AS c_period FROM (
+                   SELECT regexp_replace(t, '\.+$', '') AS word, CASE WHEN t LIKE '%.' THEN 1 ELSE 0 END AS p FROM cores)
+                   WHERE regexp_matches(word, '^[\p{L}.\-]*\p{L}[\p{L}.\-]*$') GROUP BY word"""),
+    ("scored", f"""SELECT word, c, c_period, -2 * (c_period * ln(rate) + (c - c_period) * ln(1 - rate) - c_period * ln({B.ALWAYS}) - (c - c_period) * ln(1 - {B.ALWAYS}))
+                   * exp(-len) * (length(word) - len + 1) * pow(len, -CAST(c - c_period AS DOUBLE)) AS score
+                 FROM (SELECT *, CAST(length(replace(word, '.', '')) AS DOUBLE) AS len, (SELECT sum(c_period) / sum(c) FROM counts) AS rate FROM counts)
+                 WHERE c_period >= {B.LEAST_COUNT}"""),
+    ("abbr", f"SELECT * FROM scored WHERE score >= {B.LEAST_SCORE}"),
+]
+
+register("learn_abbreviations", with_views("SELECT word, c, c_period, round(score, 4) AS score FROM abbr", extra=_BORDER_CTES))(
+    lambda spark, d: B.learn_abbreviations(_shortened(spark, d), "text").withColumn("score", F.round("score", 4)))
+
+
+def _learned_split(spark, d):
+    texts = _shortened(spark, d)
+    known = [r["word"] for r in B.learn_abbreviations(texts, "text").select("word").collect()]
+    s = texts.select("doc_id", B.split_sentences_learned(F.col("text"), known).alias("s"))
+    return s.select("doc_id", F.size("s").alias("n_sentences"), F.md5(F.array_join("s", "\n")).alias("sentences_md5"))
+
+
+register("split_sentences_learned", with_views(r"""
+SELECT doc_id, CAST(len(s) AS INTEGER) AS n_sentences, md5(array_to_string(s, chr(10))) AS sentences_md5 FROM (
+  SELECT doc_id, list_filter(list_transform(regexp_split_to_array(array_to_string(list_transform(string_split(
+      regexp_replace(text, '([.!?]+["'')\]]*\s+)(["''(\[]*[\p{Lu}\p{N}])', '\1' || chr(57344) || '\2', 'g'), chr(57344)),
+    lambda p: p || CASE WHEN list_contains(known, lower(regexp_replace(regexp_extract(p, '(\S+)\.\s+$', 1), '^[("''\[]+', '')))
+                     OR regexp_matches(lower(regexp_replace(regexp_extract(p, '(\S+)\.\s+$', 1), '^[("''\[]+', '')), '^\p{L}$') THEN '' ELSE chr(57344) END), ''),
+    '[\n' || chr(57344) || ']+'), lambda x: trim(x)), lambda x: x <> '') AS s
+  FROM short, (SELECT coalesce(list(word), []) AS known FROM abbr))""", extra=_BORDER_CTES))(_learned_split)

@@ -115,3 +115,9 @@ def test_ridge_grid_cv_matches_per_fold_fits(spark):
             p = M.predict(model, data.filter(F.col("fold") == f))
             hits += p.filter(F.col("y_pred") == F.col("label")).count()
         assert table[a] == pytest.approx(hits / 240)
+
+
+def test_null_predictions_have_an_outcome(spark):
+    rows = spark.createDataFrame([(1, 1), (1, None), (0, None), (0, 0), (0, 1), (1, 0), (None, None), (None, 1)], "y_true int, y_pred int")
+    got = [r[0] for r in rows.select(E.outcome()).collect()]
+    assert got == ["TP", "FN", "FP", "TN", "FP", "FN", "FP", "FP"]
