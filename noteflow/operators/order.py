@@ -7,8 +7,8 @@ frequent to be split; rows that agree in every column interchange.
 
 * :class:`KeyOrder` - the key columns alone, range partitioned, sorted and staged;
   gives the key at a position and marks the rows before or after it.
-* :class:`RowOrder` - the rows themselves, range partitioned, sorted and staged once;
-  gives every row its exact position without a join back by key.
+* :class:`RowOrder` - the rows staged once with a row number, ranked by their keys alone;
+  gives every row its exact position, joined back by the number.
 * :func:`global_rank` - exact 1-based position in ``order_by`` order (no
   ``Window.orderBy`` without ``partitionBy``, which would plan ``Exchange
   SinglePartition``).
@@ -87,23 +87,6 @@ def _with_position(df: DataFrame, offsets, rank_col: str, first: int = 1) -> Dat
               .withColumn(rank_col, F.col("_nf_off") + local + first).drop("_nf_pid", "_nf_off", "_nf_mid"))
 
 
-class RowOrder:
-    """The rows of ``df`` in ``order_by`` order, staged as Parquet: one range shuffle of the
-    rows, one count per partition to the driver, and every column is read only if used."""
-
-    def __init__(self, df: DataFrame, order_by, descending: bool = False, num_partitions: int | None = None):
-        sort = [c.desc() if descending else c.asc() for c in _cols(order_by)] + [row_hash(df).asc()]
-        ranged = df.repartitionByRange(num_partitions, *sort) if num_partitions else df.repartitionByRange(*sort)
-        self.staged = staged(ranged.sortWithinPartitions(*sort).withColumn("_nf_mid", F.monotonically_increasing_id()))
-        self.offsets, self.total = _starts(self.staged)
-        self.columns = df.columns
-
-    def ranked(self, rank_col: str, first: int = 1) -> DataFrame:
-        """The rows with their position, counted from ``first``."""
-        out = _with_position(self.staged, self.offsets, rank_col, first)
-        return out.select(*[F.col(f"`{c}`") for c in self.columns if c != rank_col], rank_col)
-
-
 class KeyOrder:
     """The rows of ``df`` in ``order_by`` order, as keys.
 
@@ -151,6 +134,28 @@ class KeyOrder:
         return clear.unionByName(tied.withColumn(name, inside).drop("_nf_tie"))
 
 
+class RowOrder:
+    """The rows of ``df`` in ``order_by`` order: staged once as Parquet with a row number and a hash,
+    then ranked by their keys alone (a :class:`KeyOrder` over keys, hash and row number, which
+    no two rows share).  Positions join back by the row number."""
+
+    def __init__(self, df: DataFrame, order_by, descending: bool = False, num_partitions: int | None = None):
+        self.columns = df.columns
+        self.rows = staged(df.withColumn("_nf_ro_hash", row_hash(df)).withColumn("_nf_ro_row", F.monotonically_increasing_id()))
+        self.keys = KeyOrder(self.rows, [*order_by, "_nf_ro_hash", "_nf_ro_row"], descending, num_partitions)
+        self.total, self.row = self.keys.total, self.keys.names[-1]
+
+    def positions(self, rank_col: str, first: int = 1) -> DataFrame:
+        """Keys (``_nf_k0 ..``), row number (``self.row``) and position, counted from ``first``."""
+        return _with_position(self.keys.staged, self.keys.offsets, rank_col, first)
+
+    def ranked(self, rank_col: str, first: int = 1) -> DataFrame:
+        """The rows with their position."""
+        own = self.positions(rank_col, first).select(F.col(self.row).alias("_nf_ro_own"), F.col(rank_col).alias("_nf_ro_rank"))
+        return self.rows.join(own, F.col("_nf_ro_row") == F.col("_nf_ro_own")).select(
+            *[F.col(f"`{c}`") for c in self.columns if c != rank_col], F.col("_nf_ro_rank").alias(rank_col))
+
+
 def join_keys(df: DataFrame, ranks: DataFrame, order_by, names) -> DataFrame:
     """``df`` with what ``ranks`` says about its key (nulls match nulls); ``ranks`` holds a key once."""
     mine = [f"{n}_own" for n in names]

@@ -19,8 +19,7 @@ def negative_samples(df: DataFrame, change_cols, scheme_col: str = "ObservationS
     """For every row, take ``change_cols`` from a uniformly drawn row of a
     *different* scheme (and, with ``within``, the same value of that column, e.g.
     answers draw from answers and comments from comments); label 0.  O(n): the rows
-    are ranked and staged once, then joined with one row per scheme and, by row
-    number, with their donors.
+    are staged and ranked by key once, and all joins are by row number.
 
     Rows in (within, scheme, key) order occupy a contiguous block
     ``[lo_s, lo_s+m_s)`` per scheme inside the part ``[p_lo, p_lo+p_n)``.  A row
@@ -34,24 +33,27 @@ def negative_samples(df: DataFrame, change_cols, scheme_col: str = "ObservationS
     group = [*([within] if within else []), scheme_col]
     change = list(change_cols) + ([len_col] if len_col and len_col in df.columns else [])
     order = RowOrder(df, [*group, *keys])
-    rows = order.ranked("_nf_idx", first=0)
-    names = [f"_nf_g{i}" for i in range(len(group))]
-    blocks = rows.groupBy(*[F.col(g).alias(n) for g, n in zip(group, names)]).agg(F.min("_nf_idx").alias("_nf_lo"), F.count(F.lit(1)).alias("_nf_m"))
+    names, drawn_by = order.keys.names[:len(group)], order.keys.names[len(group):len(group) + len(keys)]
+    ranks = order.positions("_nf_idx", first=0)
+    blocks = ranks.groupBy(*names).agg(F.min("_nf_idx").alias("_nf_lo"), F.count(F.lit(1)).alias("_nf_m"))
     if within:
         span = blocks.groupBy(F.col(names[0]).alias("_nf_part")).agg(F.min("_nf_lo").alias("_nf_plo"), F.sum("_nf_m").alias("_nf_pn"))
         side = blocks.join(span, F.col(names[0]).eqNullSafe(F.col("_nf_part"))).drop("_nf_part")
     else:
         side = blocks.withColumns({"_nf_plo": F.lit(0).cast("long"), "_nf_pn": F.lit(order.total).cast("long")})
-    side = staged(side)
+    side = staged(side.select(*[F.col(n).alias(f"{n}_b") for n in names], "_nf_lo", "_nf_m", "_nf_plo", "_nf_pn"))
     alone = side.where(F.col("_nf_m") == F.col("_nf_pn")).first()
     if alone:
-        raise ValueError("negative sampling needs at least two schemes" + (f" in {within}={alone[names[0]]}" if within else ""))
+        raise ValueError("negative sampling needs at least two schemes" + (f" in {within}={alone[0]}" if within else ""))
     r = F.col("_nf_draw") % (F.col("_nf_pn") - F.col("_nf_m"))
     target = F.col("_nf_plo") + F.when(r < F.col("_nf_lo") - F.col("_nf_plo"), r).otherwise(r + F.col("_nf_m"))
-    drawn = (rows.join(side, [F.col(g).eqNullSafe(F.col(n)) for g, n in zip(group, names)])
-                 .withColumn("_nf_draw", F.coalesce(draw(seed, *keys), draw(seed, "_nf_idx"))).withColumn("_nf_t", target))
-    donors = rows.select(F.col("_nf_idx").alias("_nf_d"), *[F.col(c).alias("_nf_d_" + c) for c in change])
-    joined = drawn.join(donors, F.col("_nf_t") == F.col("_nf_d"))
+    drawn = (ranks.join(side, [F.col(n).eqNullSafe(F.col(f"{n}_b")) for n in names])
+                  .withColumn("_nf_draw", F.coalesce(draw(seed, *drawn_by), draw(seed, "_nf_idx")))
+                  .select(F.col(order.row).alias("_nf_to"), target.alias("_nf_t")))
+    # row numbers only: who receives from whom
+    pairs = drawn.join(ranks.select(F.col("_nf_idx").alias("_nf_t"), F.col(order.row).alias("_nf_from")), "_nf_t").drop("_nf_t")
+    donors = order.rows.select(F.col("_nf_ro_row").alias("_nf_donor"), *[F.col(c).alias("_nf_d_" + c) for c in change])
+    joined = (order.rows.join(pairs, F.col("_nf_ro_row") == F.col("_nf_to")).join(donors, F.col("_nf_from") == F.col("_nf_donor")))
     values = {c: F.col("_nf_d_" + c) for c in change} | {label_col: F.lit(0)}
     return joined.select(*[values[c].alias(c) if c in values else F.col(c) for c in df.columns],
                          *([F.lit(0).alias(label_col)] if label_col not in df.columns else []))

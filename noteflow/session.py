@@ -51,6 +51,19 @@ def ship_package(spark: SparkSession) -> None:
         spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([root, *known])
 
 
+#: Estimated bytes of an input that is dealt to all cores before work on its rows.
+SPREAD_BYTES = (4 << 20, 256 << 20)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Deal an input of a few MB, which may come as one Parquet row group and so as one task, to all
+    cores.  Smaller inputs gain nothing, larger ones have splits enough: both stay as they are.
+    Filters and column pruning pass the exchange."""
+    least, most = SPREAD_BYTES
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism) if least <= size <= most else df
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint folder of the session.
 
