@@ -119,9 +119,10 @@ def repeated_runs(docs: DataFrame, min_words: int = 30, id_col: str = "doc_id",
 
 
 def dedup_lines(docs: DataFrame, min_words: int = 30, id_col: str = "doc_id", text_col: str = "text",
-                counts: bool = False) -> DataFrame:
+                counts: bool | str = False) -> DataFrame:
     """``docs`` with the later copies cut out of ``text_col``; with ``counts`` also _n_lines
-    (all lines), _n_removed (lines) and _n_runs."""
+    (all lines), _n_removed (lines) and _n_runs, or as fields of one struct column of the name
+    that ``counts`` gives (for tables that have columns of those names)."""
     runs = repeated_runs(docs, min_words, id_col, text_col)
     cuts = runs.groupBy("_ord", "_h").agg(F.array_sort(F.collect_list(F.struct("_first", "_last"))).alias("_cuts")) \
                .select(F.col("_ord").alias("_ord2"), F.col("_h").alias("_h2"), "_cuts")
@@ -139,8 +140,9 @@ def dedup_lines(docs: DataFrame, min_words: int = 30, id_col: str = "doc_id", te
     if counts:
         removed = F.aggregate("_cuts", F.lit(0), lambda s, c: s + c["_last"] - c["_first"] + 1)
         n_lines = F.when(text.isNull(), 0).otherwise(F.size(lines))
-        out += [n_lines.cast("long").alias("_n_lines"), F.coalesce(removed, F.lit(0)).cast("long").alias("_n_removed"),
-                F.when(F.col("_cuts").isNull(), 0).otherwise(F.size("_cuts")).cast("long").alias("_n_runs")]
+        found = [n_lines.cast("long").alias("_n_lines"), F.coalesce(removed, F.lit(0)).cast("long").alias("_n_removed"),
+                 F.when(F.col("_cuts").isNull(), 0).otherwise(F.size("_cuts")).cast("long").alias("_n_runs")]
+        out += [F.struct(*found).alias(counts)] if isinstance(counts, str) else found
     return joined.select(*out)
 
 

@@ -13,8 +13,8 @@ SF = "/root/testdata/sf0.01"
 
 def test_queries_are_registered():
     names = [k.split("_")[0] for k in queries.queries()]
-    assert names == [f"op{n}" for n in range(1, 11)]
-    assert {*queries.queries(), "pipeline"} <= set(E.queries()) and "op9_line_suffix_array" in E.oracle_sql()
+    assert names == [f"op{n}" for n in range(1, 14)]
+    assert {*queries.queries(), "pipeline"} <= set(E.queries()) and {"op9_line_suffix_array", "op11_parentheses_trie", "op12_curriculum_mix", "op13_bidirectional_repair"} <= set(E.oracle_sql())
 
 
 def planted(spark):
@@ -63,3 +63,13 @@ def test_stages_on_an_empty_table(spark):
     for _, stage in C.STAGES:
         out = stage(spark, docs, SF)
         assert out.count() == 0
+
+
+def test_line_stage_keeps_clashing_columns_and_null_ids(spark):
+    run = "\n".join(" ".join(f"w{i}x{j}" for j in range(20)) for i in range(3))
+    rows = [(1, run, 5, 7, "a"), (2, f"own\n{run}", 6, 8, "b"), (None, None, 0, 9, "c"), (None, run, 0, 10, "d")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n_chars int, _n_removed int, _counts string")
+    got = {r["_counts"]: r for r in C.drop_repeated_lines(spark, docs, SF).collect()}
+    assert set(got) == {"a", "b", "c"}                                # the last row has no words left
+    assert got["a"]["text"] == run and got["b"]["text"] == "own" and got["b"]["n_chars"] == 3 and got["b"]["_n_removed"] == 8
+    assert got["c"]["text"] is None
