@@ -29,8 +29,11 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     """Documents without the later copies of repeated line runs; ``n_chars`` follows the text,
     and a document that loses all its words goes."""
     prepare(spark)
-    cut = lines.dedup_lines(docs, counts=True).where((F.col("_n_removed") == 0) | F.col("text").rlike(WORD))
-    n_chars = F.when(F.col("_n_removed") > 0, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)
+    counts = max(docs.columns, key=len) + "_counts"        # longer than any column, so none of them
+    cut = lines.dedup_lines(docs, counts=counts)
+    removed = F.col(counts)["_n_removed"]
+    cut = cut.where((removed == 0) | F.col("text").rlike(WORD))
+    n_chars = F.when(removed > 0, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)
     return cut.withColumn("n_chars", n_chars).select(*docs.columns)
 
 
