@@ -115,10 +115,15 @@ def tfidf_weights(df: DataFrame, model: TfidfModel, id_col: str, tokens_col: str
     col = tokens_col or model.tokens_col
     if not model.bounded:
         return _weights_by_join(_numbered(df, id_col, col), model).withColumnRenamed("_nf_id", id_col).drop("_nf_row")
-    v = F.unwrap_udt(F.col("_nf_v"))
-    parts = F.transform(v["indices"], lambda t, i: F.struct(t.alias("term_id"), v["values"][i].alias("weight")))
     vec = tfidf_transform(df.select(id_col, F.col(col).alias("_nf_toks")), model, "_nf_toks", "_nf_v")
-    long = vec.select(id_col, F.explode_outer(parts).alias("x")).filter(F.col("x").isNotNull()).select(id_col, "x.*")
+    return vector_weights(vec, model, id_col, "_nf_v")
+
+
+def vector_weights(df: DataFrame, model: TfidfModel, id_col: str, vec_col: str) -> DataFrame:
+    """Sparse vectors of :func:`tfidf_transform` in long form ``(id, term, term_id, weight)``."""
+    v = F.unwrap_udt(F.col(vec_col))
+    parts = F.transform(v["indices"], lambda t, i: F.struct(t.alias("term_id"), v["values"][i].alias("weight")))
+    long = df.select(id_col, F.explode_outer(parts).alias("x")).filter(F.col("x").isNotNull()).select(id_col, "x.*")
     return long.join(model.vocab.select("term", "term_id"), "term_id").select(id_col, "term", "term_id", "weight")
 
 

@@ -226,15 +226,16 @@ def scorer_evaluation_pipeline(pairs: DataFrame, id_cols, split_col: str = "spli
     # ids are structs of the key columns: nulls and separators inside them can't merge rows
     df = staged(pairs.withColumn("_nf_id", F.struct(*ids)).withColumn("toks", FT.analyzer_tokens("ObservationAnswer"))
                      .withColumn("_nf_pid", F.struct(*ids, "labels", F.col("ObservationScheme").alias("_nf_scheme"))))
-    train = df.filter(F.col(split_col).isin("train_val", "train", "val"))
-    test = df.filter(F.col(split_col) == "test")
-    train_pos = train.filter(F.col("labels") == 1).dropDuplicates(["_nf_id"])
-    model = FT.tfidf_fit(train_pos, "toks", max_features=max_features)
-    cents = FT.class_centroids(FT.tfidf_weights(train_pos, model, "_nf_id"), train_pos, "_nf_id",
-                               "ObservationScheme")
+    positives = df.filter((F.col(split_col) != "test") & (F.col("labels") == 1)).dropDuplicates(["_nf_id"])
+    model = FT.tfidf_fit(positives, "toks", max_features=max_features)
+    # the vectors once: centroids, own-scheme scores and the ranking read them
+    vecs = staged(FT.tfidf_transform(df, model, "toks", "_nf_vec").drop("toks"))
+    weights = lambda rows, by: FT.vector_weights(rows, model, by, "_nf_vec")
+    train_pos = vecs.filter((F.col(split_col) != "test") & (F.col("labels") == 1)).dropDuplicates(["_nf_id"])
+    cents = FT.class_centroids(weights(train_pos, "_nf_id"), train_pos, "_nf_id", "ObservationScheme")
     # every pair against the centroid of its own scheme only
-    sc = FT.own_class_scores(FT.tfidf_weights(df, model, "_nf_pid"), cents, "_nf_pid", "_nf_pid._nf_scheme", "ObservationScheme")
-    own = staged(df.drop("toks").join(sc.withColumnRenamed("_nf_pid", "_nf_sid"), F.col("_nf_pid") == F.col("_nf_sid"), "left")
+    sc = FT.own_class_scores(weights(vecs, "_nf_pid"), cents, "_nf_pid", "_nf_pid._nf_scheme", "ObservationScheme")
+    own = staged(vecs.drop("_nf_vec").join(sc.withColumnRenamed("_nf_pid", "_nf_sid"), F.col("_nf_pid") == F.col("_nf_sid"), "left")
                    .withColumn("features", F.array(F.coalesce(F.col("score"), F.lit(0.0)))).drop("_nf_sid"))
     lr = M.fit_logreg(own.filter(F.col(split_col) != "test"), "features", "labels", C=1.0, max_iter=50)
     p = M.predict(lr, own.filter(F.col(split_col) == "test"), "features")
@@ -246,8 +247,8 @@ def scorer_evaluation_pipeline(pairs: DataFrame, id_cols, split_col: str = "spli
     b = E.binary_metrics(p, "y_true", "y_pred")
     bin_rows = b.selectExpr("stack(4, 'acc', acc, 'f1', f1, 'precision', precision, 'recall', recall) as (section, value)",
                             "n").select("section", F.lit(None).cast("double").alias("x"), "value", "n")
-    test_pos = test.filter(F.col("labels") == 1).dropDuplicates(["_nf_id"])
-    tsc = FT.centroid_scores(FT.tfidf_weights(test_pos, model, "_nf_id"), cents, "_nf_id", "ObservationScheme")
+    test_pos = vecs.filter((F.col(split_col) == "test") & (F.col("labels") == 1)).dropDuplicates(["_nf_id"])
+    tsc = FT.centroid_scores(weights(test_pos, "_nf_id"), cents, "_nf_id", "ObservationScheme")
     pk = E.precision_at_k(test_pos, train_pos.select("ObservationScheme").distinct(), tsc, "_nf_id",
                           "ObservationScheme", k).select(
         F.lit("precision_at_k").alias("section"), F.col("k").cast("double").alias("x"),
