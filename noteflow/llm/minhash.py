@@ -6,13 +6,14 @@
 2. Documents that share a band key are candidates.  A key held by thousands is never
    expanded into all pairs: each of its documents is compared with one leader per key
    (drawn anew for every key), and only documents of different components found that way
-   are then compared with each other, so no link is lost.
+   are then compared with each other, each pair at the least key it shares, so no link is lost.
 3. A pair is dropped if a parity sketch of its sets proves too many different shingles (each
    differing bit is one at least), or if its similarity estimated from the packed bits,
    corrected for chance agreement (``(e - 1/2^b) / (1 - 1/2^b)`` of the agreeing share e),
-   lies ``SLACK`` (six standard errors) below the threshold; the rest is confirmed on the
-   full sets, each built once for documents with a candidate.  Documents that only share a
-   common passage end here, before any text is fetched for them.
+   lies ``SLACK`` (six standard errors) below the threshold.  Both tests are conditions of the
+   join, so such a pair is never made.  The rest is confirmed on the full sets, which are
+   built for the documents of surviving pairs alone: documents that only share a common
+   passage end before any text is read for them.
 4. Connected components by contraction (:func:`noteflow.llm.util.components`).
 
 A link of exactly the threshold is missed with probability about 1e-7.  Texts without
@@ -30,12 +31,14 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .util import components, durable, table
+from .util import components, durable, release, table
 
 ROWS, BANDS, B_BITS = 5, 40, 4
 #: Longs of a parity sketch.
 SKETCH = 4
 N_MIN = ROWS * BANDS
+#: Longs of a bit plane (one bit a minimum).
+PLANE = -(-N_MIN // 64)
 #: Share under the threshold at which an estimate is still confirmed.
 SLACK = 0.18
 #: Bytes of text hashed at a time (longer texts alone).
@@ -128,6 +131,13 @@ def minima(s: np.ndarray) -> np.ndarray:
     return best
 
 
+def packed(m: np.ndarray) -> np.ndarray:
+    """The lowest ``B_BITS`` bits of the minima, a bit plane each."""
+    planes = np.zeros((B_BITS, PLANE * 64), bool)
+    planes[:, :N_MIN] = m[None, :] >> np.arange(B_BITS, dtype=np.uint32)[:, None] & 1
+    return np.packbits(planes, axis=1).reshape(-1).view(np.int64)
+
+
 def parity(s: np.ndarray) -> np.ndarray:
     """Sketch of a set: per bit, whether an odd number of its members hash there."""
     odd = np.bincount((s >> _U(3)).astype(np.int64) & (64 * SKETCH - 1), minlength=64 * SKETCH) & 1
@@ -146,34 +156,35 @@ def possible(na, nb, a, b, percent: int) -> Column:
         ((100 + percent) * differing(a, b) <= (100 - percent) * (na + nb))
 
 
+def similar(a, b, percent: int) -> Column:
+    """The similarity estimated from packed bit planes, corrected for chance agreement, is at
+    most ``SLACK`` below ``percent``: so many minima may differ in one of their low bits."""
+    chance = 1 / (1 << B_BITS)
+    most = N_MIN * (1 - chance) * (1 - (percent / 100 - SLACK))
+    planes = [[a[p * PLANE + w].bitwiseXOR(b[p * PLANE + w]) for p in range(B_BITS)] for w in range(PLANE)]
+    differ = reduce(lambda x, y: x + y, [F.bit_count(reduce(lambda x, y: x.bitwiseOR(y), word)) for word in planes])
+    return differ <= F.lit(most)
+
+
 def signatures(batches, size: int):
     """(_id, _text) to _id, _n, _sig (digest of the set), _bands, _bits, _parity."""
     for batch in batches:
         rows = []
         for i, s in zip(batch.column(0).to_pylist(), shingle_sets(batch.column(1).to_pylist(), size)):
             if not len(s):
-                rows.append((i, 0, None, [], None, []))
+                rows.append((i, 0, None, [], [], []))
                 continue
             m = minima(s)
             bands = np.full(BANDS, 0, np.uint64) + np.arange(BANDS, dtype=np.uint64)
             for r in range(ROWS):
                 bands = mix(bands * _U(0xC2B2AE3D27D4EB4F) + m.reshape(BANDS, ROWS)[:, r])
-            planes = np.packbits((m[None, :] >> np.arange(B_BITS, dtype=np.uint32)[:, None] & 1).astype(bool), axis=1)
-            rows.append((i, len(s), xxhash.xxh3_128_digest(s.tobytes()), bands.astype(np.int64), planes.tobytes(), parity(s)))
+            rows.append((i, len(s), xxhash.xxh3_128_digest(s.tobytes()), bands.astype(np.int64), packed(m), parity(s)))
         yield pa.RecordBatch.from_arrays(
             [pa.array([r[k] for r in rows], t) for k, t in enumerate(
-                (pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.binary(), pa.list_(pa.int64())))],
+                (pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.int64())))],
             names=["_id", "_n", "_sig", "_bands", "_bits", "_parity"])
 
 
-def estimates(a: list[bytes], b: list[bytes]) -> np.ndarray:
-    """Collision-corrected similarity from packed bit planes."""
-    x, y = (np.frombuffer(b"".join(v), np.uint8).reshape(len(v), B_BITS, -1) for v in (a, b))
-    differ = np.bitwise_count(np.bitwise_or.reduce(x ^ y, axis=1)).sum(1)
-    chance = 1 / (1 << B_BITS)
-    return (1 - differ / N_MIN - chance) / (1 - chance)
-
-
 class Corpus:
     """The documents' signatures and what pair tests need."""
 
@@ -182,7 +193,7 @@ class Corpus:
         self.texts = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).cast("string").cast("binary").alias("_text"))
         self.size = size
         self.signed = durable(self.texts.mapInArrow(lambda it: signatures(it, size),
-                                                    "_id long, _n long, _sig binary, _bands array<long>, _bits binary, _parity array<long>"))
+                                                    "_id long, _n long, _sig binary, _bands array<long>, _bits array<long>, _parity array<long>"))
         sets = self.signed.where("_id IS NOT NULL AND _n > 0").groupBy("_id") \
                    .agg(F.max(F.struct("_n", "_sig")).alias("_s")).select("_id", F.col("_s._sig").alias("_sig"))
         sets = durable(sets)
@@ -196,39 +207,33 @@ class Corpus:
         cand = self.buckets.select("_id").distinct()
         self.bits = durable(self.reps.join(cand, "_id").select("_id", "_n", "_bits", "_parity"))
 
-        def sets_of(batches):
+    def sets(self, pairs: DataFrame) -> DataFrame:
+        """(_id, _set) of the documents of ``pairs``; of rows that share an id the largest set."""
+        size = self.size
+
+        def run(batches):
             for batch in batches:
                 own = [s.astype("<u8").tobytes() for s in shingle_sets(batch.column(1).to_pylist(), size)]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), pa.array([xxhash.xxh3_128_digest(s) for s in own], pa.binary()), pa.array(own, pa.binary())],
-                    names=["_id", "_sig", "_set"])
+                    [batch.column(0), pa.array([len(s) for s in own], pa.int64()), pa.array([xxhash.xxh3_128_digest(s) for s in own], pa.binary()),
+                     pa.array(own, pa.binary())], names=["_id", "_n", "_sig", "_set"])
 
-        chosen = reps.join(cand, "_id")
-        self.sets = durable(self.texts.join(cand, "_id").mapInArrow(sets_of, "_id long, _sig binary, _set binary")
-                                .join(chosen, ["_id", "_sig"]).dropDuplicates(["_id"]).select("_id", "_set"))
+        ids = pairs.select(F.explode(F.array("_u", "_v")).alias("_id")).distinct()
+        return self.texts.join(ids, "_id").mapInArrow(run, "_id long, _n long, _sig binary, _set binary") \
+                   .groupBy("_id").agg(F.max(F.struct("_n", "_sig", "_set")).alias("_s")).select("_id", F.col("_s._set").alias("_set"))
 
     def candidates(self, pairs: DataFrame) -> DataFrame:
-        """Pairs (_u, _v) whose sizes and estimate allow a link."""
-        p = self.percent
-
-        def near(batches):
-            for b in batches:
-                if b.num_rows:
-                    keep = estimates(b.column(2).to_pylist(), b.column(3).to_pylist()) >= p / 100 - SLACK
-                    b = b.filter(pa.array(keep))
-                yield b.select([0, 1])
-
-        one, two = (self.sketches().select(F.col("_id").alias(f"_{x}"), F.col("_n").alias(f"_n{x}"), F.col("_parity").alias(f"_p{x}")) for x in "uv")
-        ok = possible(F.col("_nu"), F.col("_nv"), F.col("_pu"), F.col("_pv"), p)
-        left = pairs.join(one, "_u").join(two, "_v").where(ok).select("_u", "_v")
-        one, two = (self.bits.select(F.col("_id").alias(f"_{x}"), F.col("_bits").alias(f"_b{x}")) for x in "uv")
-        return left.join(one, "_u").join(two, "_v").select("_u", "_v", "_bu", "_bv").mapInArrow(near, "_u long, _v long")
+        """Pairs (_u, _v) whose sizes, parities and estimate allow a link."""
+        one, two = (self.bits.select(*[F.col(c).alias(f"{c}{x}") for c in ("_id", "_n", "_parity", "_bits")]) for x in "uv")
+        return pairs.join(one, F.col("_u") == F.col("_idu")).join(two, (F.col("_v") == F.col("_idv")) & self.near("u", "v")).select("_u", "_v")
 
-    def sketches(self) -> DataFrame:
-        return self.bits.select("_id", "_n", "_parity")
+    def near(self, x: str, y: str) -> Column:
+        """A link is possible between the rows whose columns end in ``x`` and in ``y``."""
+        return possible(F.col(f"_n{x}"), F.col(f"_n{y}"), F.col(f"_parity{x}"), F.col(f"_parity{y}"), self.percent) & \
+            similar(F.col(f"_bits{x}"), F.col(f"_bits{y}"), self.percent)
 
     def links(self, pairs: DataFrame) -> DataFrame:
-        """Confirmed links among ``pairs``."""
+        """Confirmed links among ``pairs``, which have passed :meth:`near`."""
         p = self.percent
 
         def confirm(batches):
@@ -241,8 +246,9 @@ class Corpus:
                     keep.append(100 * common >= p * (len(x) + len(y) - common))
                 yield b.filter(pa.array(keep, pa.bool_())).select([0, 1])
 
-        one, two = (self.sets.select(F.col("_id").alias(u), F.col("_set").alias(s)) for u, s in (("_u", "_su"), ("_v", "_sv")))
-        return self.candidates(pairs).join(one, "_u").join(two, "_v").select("_u", "_v", "_su", "_sv").mapInArrow(confirm, "_u long, _v long")
+        sets = durable(self.sets(pairs))
+        one, two = (sets.select(F.col("_id").alias(u), F.col("_set").alias(s)) for u, s in (("_u", "_su"), ("_v", "_sv")))
+        return durable(pairs.join(one, "_u").join(two, "_v").select("_u", "_v", "_su", "_sv").mapInArrow(confirm, "_u long, _v long"))
 
 
 def ordered(a: str, b: str):
@@ -255,18 +261,23 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80,
     c = Corpus(docs, shingle_words, percent, id_col, text_col)
     leads = durable(c.buckets.groupBy("_key").agg(F.min_by("_id", F.xxhash64("_id", "_key")).alias("_lead")))
     tried = durable(c.buckets.join(leads, "_key").where("_id <> _lead").select(*ordered("_id", "_lead")).distinct())
-    stars = durable(c.links(tried))
+    stars = c.links(durable(c.candidates(tried)))
     first = components(stars, "_u", "_v")
     # documents of one key that are not in one component yet
     own = durable(c.buckets.join(first.withColumnRenamed("id", "_id"), "_id", "left")
                    .select("_key", "_id", F.coalesce("component_id", "_id").alias("_c")))
     open_keys = own.groupBy("_key").agg(F.min("_c").alias("_lo"), F.max("_c").alias("_hi")).where("_lo < _hi").select("_key")
-    rest = own.join(durable(open_keys), "_key").join(c.sketches(), "_id")
-    other = rest.select("_key", F.col("_id").alias("_id2"), F.col("_c").alias("_c2"), F.col("_n").alias("_n2"), F.col("_parity").alias("_parity2"))
-    ok = possible(F.col("_n"), F.col("_n2"), F.col("_parity"), F.col("_parity2"), percent)
-    more = rest.join(other, (rest["_key"] == other["_key"]) & (F.col("_c") < F.col("_c2")) & ok).select(*ordered("_id", "_id2")).distinct() \
-               .join(tried, ["_u", "_v"], "left_anti")
-    found = components(stars.unionByName(c.links(more)), "_u", "_v")
+    opened = durable(own.join(open_keys, "_key"))
+    mine = opened.groupBy("_id").agg(F.collect_list("_key").alias("_keys"))
+    rest = opened.join(mine.join(c.bits, "_id"), "_id")
+    one, two = (rest.select(F.col("_key").alias(f"_key{x}"), *[F.col(k).alias(f"{k}{x}") for k in ("_id", "_c", "_n", "_parity", "_bits", "_keys")])
+                for x in "uv")
+    # a pair is made at the least of its common keys only
+    least = F.array_min(F.array_intersect("_keysu", "_keysv")) == F.col("_keyu")
+    more = one.join(two, (F.col("_keyu") == F.col("_keyv")) & (F.col("_cu") < F.col("_cv")) & c.near("u", "v") & least) \
+              .select(*ordered("_idu", "_idv")).join(tried, ["_u", "_v"], "left_anti")
+    release(docs.sparkSession)
+    found = components(stars.unionByName(c.links(durable(more))), "_u", "_v")
     comp = c.classes.join(found.withColumnRenamed("id", "_rep"), "_rep", "left") \
                     .select(F.col("_id").alias("_node"), F.coalesce("component_id", "_rep").alias("_comp"))
     out = c.signed.select("_id", "_n").join(comp, F.col("_id") == F.col("_node"), "left")

@@ -7,6 +7,7 @@ unless the operator's docstring says otherwise.
 
 from __future__ import annotations
 
+import gc
 import math
 import os
 from pathlib import Path
@@ -45,6 +46,13 @@ def durable(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def release(spark: SparkSession) -> None:
+    """Let the driver's cleaner drop shuffles and checkpoints that nothing refers to any more,
+    now rather than at its next full collection."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def ascii_lower(c: Column) -> Column:
     """Lower-case A-Z only."""
     return F.translate(c, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

@@ -125,16 +125,33 @@ def test_near_duplicates_null_and_repeated_ids(spark):
     assert got == sorted([(2, 1, False), (1, 1, True), (1, 1, True), (None, None, True), (4, 4, True), (5, 5, True)], key=str)
 
 
-def test_estimate_is_corrected_for_chance():
+def test_estimate_is_corrected_for_chance(spark):
+    from pyspark.sql import functions as F
     rng = np.random.default_rng(0)
     a = np.unique(rng.integers(0, 1 << 63, 4000, dtype=np.uint64))
+    rows = []
     for share in (0.0, 0.5, 0.8, 0.95):
         k = int(len(a) * 2 * share / (1 + share))
         b = np.unique(np.concatenate([a[:k], rng.integers(0, 1 << 63, len(a) - k, dtype=np.uint64)]))
-        bits = [np.packbits((minhash.minima(x)[None, :] >> np.arange(minhash.B_BITS, dtype=np.uint32)[:, None] & 1).astype(bool), axis=1).tobytes()
-                for x in (a, b)]
         true = len(np.intersect1d(a, b)) / len(np.union1d(a, b))
-        assert abs(minhash.estimates([bits[0]], [bits[1]])[0] - true) < 0.15
+        rows.append((true, *(minhash.packed(minhash.minima(x)).tolist() for x in (a, b))))
+    frame = spark.createDataFrame(rows, "true double, a array<long>, b array<long>")
+    # the largest threshold that lets a pair through is its estimate plus the slack
+    passes = frame.select("true", *[minhash.similar(F.col("a"), F.col("b"), p).alias(f"p{p}") for p in range(20, 119)]).collect()
+    for r in passes:
+        most = max((p for p in range(20, 119) if r[f"p{p}"]), default=0) / 100
+        assert abs(most - minhash.SLACK - r["true"]) < 0.15 or (r["true"] == 0 and most < 0.35)
+
+
+def test_one_passage_in_many_documents_loses_no_link(spark):
+    """2,000 short documents share a passage without being near-duplicates; some pairs among them are."""
+    rng = np.random.default_rng(3)
+    passage = " ".join(f"p{i}" for i in range(30))
+    rows = [(i, passage + " " + " ".join(f"u{i}x{j}" for j in range(40))) for i in range(2000)]
+    rows += [(2000 + k, rows[int(i)][1] + f" tail{k}") for k, i in enumerate(rng.choice(2000, 60, replace=False))]
+    got = {r["doc_id"]: r["component_id"] for r in minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 2).collect()}
+    twin = {2000 + k: int(i) for k, i in enumerate(np.random.default_rng(3).choice(2000, 60, replace=False))}
+    assert got == {i: twin.get(i, i) for i, _ in rows}
 
 
 def test_components_of_a_long_chain(spark):
