@@ -131,7 +131,7 @@ SELECT row_id, CASE WHEN y_pred = y_true THEN (CASE WHEN y_pred = 1 THEN 'TP' EL
 def pairs(spark, d):
     """Positives and negatives of the observations with ``SchemeAnswer`` text (v1) and a
     prediction column from a fixed seeded noise rule (75 % agreement with the label)."""
-    pn = N.pos_neg(_positives(spark, d), ["ObservationAnswer"], "ObservationScheme", "obs_id", 100)
+    pn = N.pos_neg(_positives(spark, d), ["ObservationAnswer"], "ObservationScheme", "obs_id", 100, reread=True)
     flip = (draw(11, "obs_id", "labels") % 4) == 0
     return pn.select("obs_id", F.col("labels").alias("y_true"),
                      T.combine_fields("ObservationScheme", "ObservationAnswer", version=1).alias("text"),

@@ -258,3 +258,33 @@ def test_sampling_with_repeated_keys_keeps_every_row(spark):
     assert {r["sample_size"]: r["count"] for r in sizes} == {10: 10, 0: 40}
     picked = sampling.examples_per_outcome(df.withColumn("outcome", F.col("ObservationScheme")), 5, "obs_id").groupBy("outcome").count().collect()
     assert {r["outcome"]: r["count"] for r in picked} == {"hot": 5, "a": 5, "b": 5}
+
+
+@pytest.mark.parametrize("case", ["own keys", "repeated keys", "equal rows"])
+def test_pos_neg_reread_equals_staged(spark, case):
+    ids = {"own keys": range(60), "repeated keys": [i // 2 for i in range(60)], "equal rows": [i // 2 for i in range(60)]}[case]
+    rows = [(k, "ab"[k % 2], f"text {k if case == 'equal rows' else i}", "2024/01/%02d" % (1 + k % 9)) for i, k in enumerate(ids)]
+    df = spark.createDataFrame(rows, "obs_id long, ObservationScheme string, ObservationAnswer string, LastUpdateDate string")
+    cols = ["obs_id", "labels", "ObservationScheme", "LastUpdateDate", "year", "month", "day", "pos"]
+    out = [sampling.pos_neg(df, ["ObservationAnswer"], reread=r).select(*cols, "ObservationAnswer").collect() for r in (False, True)]
+    for got in out:
+        assert sorted(r["pos"] for r in got) == list(range(1, 121)) and sum(r["labels"] for r in got) == 60
+        assert [(r["LastUpdateDate"], r["obs_id"], r["labels"]) for r in sorted(got, key=lambda r: r["pos"])] == \
+            sorted((r["LastUpdateDate"], r["obs_id"], r["labels"]) for r in got)
+        text = {}
+        for r in rows:
+            text.setdefault(r[2], r[1])
+        assert all((text[r["ObservationAnswer"]] == r["ObservationScheme"]) == bool(r["labels"]) for r in got)
+    if case != "repeated keys":   # rows of one key that differ interchange
+        assert sorted(out[0]) == sorted(out[1])
+
+
+def test_reread_rows_stay_where_they_are(spark):
+    """Wide columns that are not selected are neither staged nor shuffled."""
+    df = spark.range(200).selectExpr("id AS obs_id", "concat('s', id % 3) AS ObservationScheme", "concat('text ', id) AS ObservationAnswer",
+                                     "'2024/01/01' AS LastUpdateDate")
+    narrow = sampling.pos_neg(df, ["ObservationAnswer"], reread=True).select("obs_id", "labels", "ObservationScheme", "pos")
+    assert "text" not in narrow._jdf.queryExecution().optimizedPlan().toString()
+    unplaced = sampling.pos_neg(df, ["ObservationAnswer"], reread=True).select("obs_id", "labels", "ObservationAnswer")
+    plan = unplaced._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftOuter" not in plan and unplaced.count() == 400
