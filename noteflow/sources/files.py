@@ -47,40 +47,46 @@ def read_csv_ordered(spark: SparkSession, path: str, schema: StructType | str, o
       inside a quoted field when the quotes before it, from the start of the file, are odd in
       number; each split counts its quotes, and a prefix sum over the file's splits gives the
       parity at each split's start.  A line that begins at even parity begins a record.
+    * The files are read twice: counts per split first, then the lines, which are shuffled once.
     * Records are numbered by prefix sums of the record starts per split; the lines of a record
       are joined inside their split, and only the records at split borders are joined across.
     * ``from_csv`` parses the finished records.  Blank lines between records count for nothing.
 
     ``_source_file`` holds the row's file; its first record, the header, is dropped."""
     raw = spark.read.option("lineSep", "\n").text(path)
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    at = ["f", "s", "b"]
     lines = raw.select(F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_block_start").alias("s"),
-                       F.monotonically_increasing_id().alias("i"), F.col("value").alias("t"))
-    quotes = F.length("t") - F.length(F.replace("t", F.lit('"'), F.lit("")))
-    split = Window.partitionBy("f", "s").orderBy("i")
+                       F.col("_metadata.file_block_length").alias("b"), F.monotonically_increasing_id().alias("i"),
+                       quotes.alias("n"), (~F.col("value").rlike(r"[^\s]")).alias("blank"), F.col("value").alias("t"))
+    split = Window.partitionBy(*at).orderBy("i")
     before = split.rowsBetween(Window.unboundedPreceding, -1)
-    seen = staged(lines.withColumn("n", quotes).withColumn("q", F.coalesce(F.sum("n").over(before), F.lit(0)) % 2)
-                       .withColumn("blank", ~F.col("t").rlike(r"[^\s]")))
+    parity = F.coalesce(F.sum("n").over(before), F.lit(0)) % 2
+    # first pass: counts only, no line is moved
+    seen = lines.drop("t").withColumn("q", parity)
     odd = F.col("q") == 1
-    splits = seen.groupBy("f", "s").agg((F.sum("n") % 2).alias("parity"), F.count_if(~odd & ~F.col("blank")).alias("even"),
+    splits = seen.groupBy(*at).agg((F.sum("n") % 2).alias("parity"), F.count_if(~odd & ~F.col("blank")).alias("even"),
                                         F.count_if(odd & ~F.col("blank")).alias("uneven"))
     file = Window.partitionBy("f").orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
     known = splits.withColumn("p0", F.coalesce(F.sum("parity").over(file), F.lit(0)) % 2) \
                   .withColumn("starts", F.when(F.col("p0") == 0, F.col("even")).otherwise(F.col("uneven"))) \
                   .withColumn("r0", F.coalesce(F.sum("starts").over(file), F.lit(0)))
-    known = staged(known.select("f", "s", "p0", "r0", "starts"))
+    known = staged(known.select(*at, "p0", "r0", "starts"))
     total, offsets = 0, []
     for r in sorted(known.groupBy("f").agg(F.sum("starts").alias("n")).collect(), key=lambda r: r["f"]):
         offsets.append((r["f"], total))
         total += max(0, r["n"] - 1)
     first = values_df(spark, offsets, "f string, rows_before long")
+    # second pass: the lines, moved once; splits cut otherwise than in the first pass are an error
+    p0 = F.coalesce("p0", F.raise_error(F.lit("the files were split differently in the second pass")).cast("long"))
     inside = (F.col("q") + F.col("p0")) % 2 == 1
-    numbered = seen.join(known, ["f", "s"]).where(inside | ~F.col("blank")) \
-                   .withColumn("r", F.col("r0") + F.sum(F.when(inside, 0).otherwise(1)).over(split)) \
-                   .withColumn("edge", (F.col("r") == F.col("r0")) | (F.col("r") == F.col("r0") + F.col("starts")))
+    numbered = lines.withColumn("q", parity).join(F.broadcast(known), at, "left").withColumn("p0", p0).where(inside | ~F.col("blank")) \
+                    .withColumn("r", F.col("r0") + F.sum(F.when(inside, 0).otherwise(1)).over(split)) \
+                    .withColumn("edge", (F.col("r") == F.col("r0")) | (F.col("r") == F.col("r0") + F.col("starts")))
 
     def text(order: str, piece: str):
         return F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(order, piece))), lambda x: x[piece]), "\n").alias("t")
-    pieces = numbered.groupBy("f", "s", "r").agg(text("i", "t"), F.first("edge").alias("edge"))
+    pieces = numbered.groupBy(*at, "r").agg(text("i", "t"), F.first("edge").alias("edge"))
     whole = pieces.where("NOT edge").select("f", "r", "t").unionByName(
         pieces.where("edge").groupBy("f", "r").agg(text("s", "t")))
     fields = StructType.fromDDL(schema) if isinstance(schema, str) else schema
@@ -98,9 +104,10 @@ def csv_to_parquet(spark: SparkSession, csv_path: str, schema: StructType | str,
     return spark.read.parquet(out_path)
 
 
-def write_csv_sink(df: DataFrame, path: str, sep: str = ",") -> None:
-    """Write with a header (no index column)."""
-    (df.write.mode("overwrite").option("header", True).option("sep", sep).option("escape", '"')
+def write_csv_sink(df: DataFrame, path: str, sep: str = ",", file_rows: int = 0) -> None:
+    """Write with a header (no index column).  ``file_rows`` bounds the rows of a file: a reader
+    of texts with line breaks takes each file in one task."""
+    (df.write.option("maxRecordsPerFile", file_rows).mode("overwrite").option("header", True).option("sep", sep).option("escape", '"')
        .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
 
 
