@@ -109,3 +109,55 @@ def test_sparse_vectors_stay_sparse_on_disk(spark, tmp_path):
     back = {r["id"]: r["features"] for r in SRC.read_vectors(spark, path).collect()}
     assert back[1] == Vectors.sparse(1 << 20, [3, 70_000], [0.5, 2.0]) and isinstance(back[1], SparseVector)
     assert back[2] == Vectors.dense([1.0, 0.25]) and back[3] is None
+
+
+def test_csv_sink_bounds_its_files(spark):
+    import glob
+    path = SRC.scratch_path(spark, "bounded").removeprefix("file:")
+    SRC.write_csv_sink(spark.range(95).selectExpr("id", "concat('a\n', id) AS t").coalesce(1), path, file_rows=10)
+    assert len(glob.glob(f"{path}/*.csv")) == 10
+    got = SRC.read_csv_source(spark, path, "id long, t string", order_col="n").orderBy("n").collect()
+    assert [(r["id"], r["t"], r["n"]) for r in got] == [(i, f"a\n{i}", i) for i in range(95)]
+
+
+def test_ordered_csv_is_not_staged(spark, monkeypatch):
+    """Lines are counted in one pass and moved in the other: nothing but counts is staged."""
+    from noteflow.sources import files
+    kept = []
+    monkeypatch.setattr(files, "staged", lambda df: kept.append(df.columns) or df.localCheckpoint())
+    path = SRC.scratch_path(spark, "twice").removeprefix("file:")
+    SRC.write_csv_sink(spark.range(20).selectExpr("id", "concat('say \"x\n', id, '\"') AS t").coalesce(1), path)
+    got = SRC.read_csv_source(spark, path, "id long, t string", order_col="n").orderBy("n").collect()
+    assert [r["t"] for r in got] == [f'say "x\n{i}"' for i in range(20)]
+    assert kept and all("t" not in c for c in kept)
+
+
+def test_encoder_hashes_each_word_once(monkeypatch):
+    import hashlib
+    import numpy as np
+    import pandas as pd
+    from noteflow.operators import features as FT
+    calls, md5 = [], hashlib.md5
+    monkeypatch.setattr(hashlib, "md5", lambda b: calls.append(b) or md5(b))
+    for most in (200_000, 2):     # a full table is started anew, with the same vectors
+        monkeypatch.setattr(FT, "KNOWN_WORDS", most)
+        calls.clear()
+        got = FT.hashing_encoder(8)()(pd.Series(["a b a c", None, "b b", ""]))
+        want = np.zeros((4, 8))
+        for i, t in ((0, "abac"), (2, "bb")):
+            for w in t:
+                h = int(md5(f"0:{w}".encode()).hexdigest()[:15], 16)
+                want[i, h % 8] += -1.0 if (h >> 59) & 1 else 1.0
+        norm = np.sqrt((want * want).sum(1, keepdims=True))
+        assert np.array_equal(got, (want / np.where(norm == 0, 1, norm)).astype(np.float32))
+        if most > 2:
+            assert len(calls) == 3
+
+
+def test_model_rows_hold_no_texts(spark):
+    from conftest import SF_SMALL
+    from noteflow.plans import q_models
+    for embed in (False, True):
+        x = q_models._model_data(spark, SF_SMALL, embed=embed)
+        assert not {"text", "toks"} & set(x.columns) and x.count() == 200
+        x.unpersist()
