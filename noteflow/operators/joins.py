@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import clean_text
 from ..session import staged
-from .order import bounded_broadcast
+from .order import bounded_broadcast, lookup_side
 
 
 def _null_safe(left: DataFrame, right: DataFrame, keys: list[str], rprefix: str):
@@ -43,7 +43,7 @@ def decode_names(df: DataFrame, converter: DataFrame, col: str = "type",
 def semi_filter(df: DataFrame, keys_df: DataFrame, col: str, key_col: str | None = None) -> DataFrame:
     """Keep rows whose ``col`` appears in ``keys_df``."""
     k = keys_df.select(F.col(key_col or keys_df.columns[0]).alias(col)).distinct()
-    return df.join(k, col, "left_semi")
+    return df.join(lookup_side(k), col, "left_semi")
 
 
 def _clean_goals(goals: DataFrame, goal_col: str) -> DataFrame:
@@ -70,6 +70,7 @@ def keep_relevant(df: DataFrame, goals: DataFrame, scheme_col: str = "Observatio
                         .agg(F.min_by(F.col(scheme_col), order).alias("_nf_raw"))
                         .join(g.withColumnRenamed("type", "_nf_clean"), "_nf_clean", "left_semi")
                         .select("_nf_raw"))
+        first = lookup_side(first)     # a few spellings: the rows and their texts are not moved by scheme
         kept = cleaned.join(first, cleaned[scheme_col] == first["_nf_raw"], "left_semi")
     cols = [F.col("_nf_clean").alias("type") if c == scheme_col else F.col(c) for c in df.columns]
     return kept.select(*cols)

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from noteflow.operators import labels, models, split
+from noteflow.operators import joins, labels, models, split
 
 
 @pytest.fixture(scope="module")
@@ -61,3 +61,18 @@ def test_folds_join_group_starts_by_broadcast(spark, rows, small):
     for r in out.groupBy("lang", "fold").count().collect():
         sizes.setdefault(r["lang"], []).append(r["count"])
     assert len(sizes) == 4 and all(max(s) - min(s) <= 1 and len(s) == 3 for s in sizes.values())
+
+
+def test_relevant_schemes_and_users(spark, rows, small):
+    goals = spark.createDataFrame([("A",), ("c ",), ("none",)], "type string")
+    raw = rows.withColumn("lang", F.when(F.col("row_id") % 2 == 0, F.upper("lang")).otherwise(F.col("lang")))
+    out = joins.keep_relevant(raw, goals, "lang", ["row_id"])
+    assert not moved(out)
+    first = {}
+    for r in raw.select("lang", "row_id").where("lang IS NOT NULL").collect():
+        first[r["lang"].lower()] = min(first.get(r["lang"].lower(), (1 << 40, "")), (r["row_id"], r["lang"]))
+    want = raw.where(F.col("lang").isin(first["a"][1], first["c"][1])).count()
+    assert out.count() == want and {r["type"] for r in out.select("type").distinct().collect()} == {"a", "c"}
+    some = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).where("n < 1000")
+    kept = joins.semi_filter(rows, some, "lang")
+    assert not moved(kept) and kept.count() == rows.where("lang IN ('a', 'b')").count()
