@@ -27,8 +27,13 @@ def _docs(spark, d, table="documents", id_col="doc_id"):
 _DOCS = ("docs", f"SELECT doc_id, lang, {S.analyzer_tokens('text')} AS toks FROM documents")
 
 
+def _counted_docs(spark, d):
+    """Documents with their counted terms, made once for a fit and its weights."""
+    return FT.counted_rows(_docs(spark, d), "doc_id", "toks")
+
+
 def _weights_q(spark, d, **kw):
-    docs = _docs(spark, d)
+    docs = _docs(spark, d) if "max_features" in kw else _counted_docs(spark, d)
     model = FT.tfidf_fit(docs, "toks", **kw)
     return FT.tfidf_weights(docs, model, "doc_id").select("doc_id", "term", F.round("weight", 6).alias("weight"))
 
@@ -61,7 +66,7 @@ FROM docs d LEFT JOIN (SELECT doc_id, count(*) AS nnz, sum(weight) AS sum_w FROM
 
 def _sparse(spark, d):
     """The whole vocabulary, stored as sparse structs and read back as vectors."""
-    docs = _docs(spark, d)
+    docs = _counted_docs(spark, d)
     path = SRC.scratch_path(spark, "sparse")
     FT.tfidf_sparse(docs, FT.tfidf_fit(docs, "toks", min_df=2), "doc_id").write.parquet(path)
     v = F.unwrap_udt(F.col("features"))
