@@ -176,12 +176,12 @@ def send_anchors(rows: pa.Table, side: pa.Table, length: int, buckets: int) -> p
 def shared_anchors(rows: pa.Table) -> pa.Table:
     """Of a bucket: the anchors sent twice or more go back to their cells; kind 2: hot ones."""
     blobs = [np.frombuffer(x, "<u4") for x in rows["_blob"].to_pylist()]
-    value, times = np.unique(np.concatenate(blobs), return_counts=True)
-    hot = value[times > HOT_CELLS]
-    value = value[(times > 1) & (times <= HOT_CELLS)]
+    # one sort of the whole bucket counts every anchor where it stands; no cell searches the bucket's values again
+    _, place, times = np.unique(np.concatenate(blobs), return_inverse=True, return_counts=True)
+    times = np.split(times[place], np.cumsum([len(x) for x in blobs])[:-1])
     bucket, out = rows["_bucket"][0].as_py(), []
-    for cell, x in zip(rows["_cell"].to_pylist(), blobs):
-        mine, burning = np.unique(x[np.isin(x, value)]), np.unique(x[np.isin(x, hot)])
+    for cell, x, n in zip(rows["_cell"].to_pylist(), blobs, times):
+        mine, burning = np.unique(x[(n > 1) & (n <= HOT_CELLS)]), np.unique(x[n > HOT_CELLS])
         if len(mine) or len(burning):
             out.append((cell, 1, bucket, mine.tobytes(), burning.tobytes()))
     return records(out, SIDE)

@@ -51,6 +51,21 @@ def test_substrings_match_brute_force(spark, documents, frame):
     assert sorted(map(tuple, got)) == cut_by_force(rows)
 
 
+def test_shared_anchors_sort_a_bucket_once(monkeypatch):
+    rng = np.random.default_rng(3)
+    sent = [rng.integers(0, 4000, 50).astype("<u4") for _ in range(300)] + [np.array([5, 5, 9], "<u4"), np.empty(0, "<u4")]
+    rows = substrings.records([(7, c, x.tobytes()) for c, x in enumerate(sent)], substrings.SENT)
+    times = dict(zip(*np.unique(np.concatenate(sent), return_counts=True)))
+    monkeypatch.setattr(substrings, "HOT_CELLS", 4)
+    want = [(c, 1, 7, np.unique([v for v in x if 1 < times[v] <= 4]).astype("<u4").tobytes(), np.unique([v for v in x if times[v] > 4]).astype("<u4").tobytes())
+            for c, x in enumerate(sent)]
+    calls, isin = [], np.isin
+    monkeypatch.setattr(substrings.np, "isin", lambda *a, **k: calls.append(1) or isin(*a, **k))
+    got = substrings.shared_anchors(rows)
+    assert [tuple(r.values()) for r in got.to_pylist()] == [w for w in want if w[3] or w[4]]
+    assert len(calls) <= 2          # not once or twice a cell over all values of the bucket
+
+
 def test_substrings_small_cases(spark):
     p = "".join(f"{k:03d}-" for k in range(20))           # 80 bytes, no repeats
     docs = [(5, p), (3, "x" + p[:50]), (9, p[10:70] + "#" + p[:55]), (9, p), (None, p), (11, "A" * 200), (12, "A" * 51), (13, p[:49])]
