@@ -169,6 +169,39 @@ def test_one_passage_in_many_documents_loses_no_link(spark):
     assert got == {i: twin.get(i, i) for i, _ in rows}
 
 
+def random_edges():
+    rng = np.random.default_rng(8)
+    return [(int(a), int(b)) for a, b in rng.integers(-50, 250, (240, 2))] + [(k, k + 1) for k in range(1000, 1040)] + [(7, 7), (2000, 2001), (2001, 2000)]
+
+
+@pytest.mark.parametrize("limit", [0, util.SMALL_EDGES])
+def test_components_of_few_and_of_many_edges_agree(spark, monkeypatch, limit):
+    monkeypatch.setattr(util, "SMALL_EDGES", limit)
+    edges = random_edges()
+    got = {r["id"]: r["component_id"] for r in util.components(spark.createDataFrame(edges, "u long, v long")).collect()}
+    linked = {(a, b) for a, b in edges if a != b}
+    assert got == smallest({x for e in linked for x in e}, linked)
+
+
+def test_components_of_few_edges_run_few_tasks(spark):
+    """The driver's work must not follow rounds times shuffle partitions."""
+    sc, key = spark.sparkContext, "spark.sql.shuffle.partitions"
+    edges = util.durable(spark.createDataFrame(random_edges(), "u long, v long").coalesce(1))
+    was, adaptive = spark.conf.get(key), spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set(key, "40")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        sc.setJobGroup("few-edges", "components")
+        util.components(edges)
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+        spark.conf.set(key, was)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", adaptive)
+    status = sc.statusTracker()
+    stages = {s for j in status.getJobIdsForGroup("few-edges") for s in status.getJobInfo(j).stageIds}
+    assert 0 < sum(i.numCompletedTasks for s in stages if (i := status.getStageInfo(s))) <= 160      # 1,900 with a shuffle each round
+
+
 def test_components_of_a_long_chain(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(100, 160)] + [(7, 3), (3, 9), (5, 5)], "u long, v long")
     got = {r["id"]: r["component_id"] for r in util.components(edges).collect()}
