@@ -233,22 +233,23 @@ class Corpus:
             similar(F.col(f"_bits{x}"), F.col(f"_bits{y}"), self.percent)
 
     def links(self, pairs: DataFrame) -> DataFrame:
-        """Confirmed links among ``pairs``, which have passed :meth:`near`."""
-        p = self.percent
+        """Confirmed links among ``pairs`` (all their columns, longs), which have passed :meth:`near`."""
+        p, columns = self.percent, pairs.columns
 
         def confirm(batches):
             for b in batches:
                 keep = []
-                for x, y in zip(b.column(2).to_pylist(), b.column(3).to_pylist()):
+                for x, y in zip(b.column("_su").to_pylist(), b.column("_sv").to_pylist()):
                     x, y = np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8")
                     both = np.sort(np.concatenate([x, y]), kind="stable")
                     common = int((both[1:] == both[:-1]).sum())
                     keep.append(100 * common >= p * (len(x) + len(y) - common))
-                yield b.filter(pa.array(keep, pa.bool_())).select([0, 1])
+                yield b.filter(pa.array(keep, pa.bool_())).select(columns)
 
         sets = durable(self.sets(pairs))
         one, two = (sets.select(F.col("_id").alias(u), F.col("_set").alias(s)) for u, s in (("_u", "_su"), ("_v", "_sv")))
-        return durable(pairs.join(one, "_u").join(two, "_v").select("_u", "_v", "_su", "_sv").mapInArrow(confirm, "_u long, _v long"))
+        return durable(pairs.join(one, "_u").join(two, "_v").select(*columns, "_su", "_sv")
+                       .mapInArrow(confirm, ", ".join(f"{c} long" for c in columns)))
 
 
 def ordered(a: str, b: str):
@@ -263,6 +264,7 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80,
     tried = durable(c.buckets.join(leads, "_key").where("_id <> _lead").select(*ordered("_id", "_lead")).distinct())
     stars = c.links(durable(c.candidates(tried)))
     first = components(stars, "_u", "_v")
+    release(docs.sparkSession)
     # documents of one key that are not in one component yet
     own = durable(c.buckets.join(first.withColumnRenamed("id", "_id"), "_id", "left")
                    .select("_key", "_id", F.coalesce("component_id", "_id").alias("_c")))
@@ -275,11 +277,14 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80,
     # a pair is made at the least of its common keys only
     least = F.array_min(F.array_intersect("_keysu", "_keysv")) == F.col("_keyu")
     more = one.join(two, (F.col("_keyu") == F.col("_keyv")) & (F.col("_cu") < F.col("_cv")) & c.near("u", "v") & least) \
-              .select(*ordered("_idu", "_idv")).join(tried, ["_u", "_v"], "left_anti")
+              .select(*ordered("_idu", "_idv"), "_cu", "_cv").join(tried, ["_u", "_v"], "left_anti")
+    release(docs.sparkSession)
+    # these links join whole components: the links found before need not be walked again
+    joined = components(c.links(durable(more)), "_cu", "_cv").select(F.col("id").alias("_c"), F.col("component_id").alias("_to"))
     release(docs.sparkSession)
-    found = components(stars.unionByName(c.links(durable(more))), "_u", "_v")
-    comp = c.classes.join(found.withColumnRenamed("id", "_rep"), "_rep", "left") \
-                    .select(F.col("_id").alias("_node"), F.coalesce("component_id", "_rep").alias("_comp"))
+    comp = c.classes.join(first.withColumnRenamed("id", "_rep"), "_rep", "left") \
+                    .select(F.col("_id").alias("_node"), F.coalesce("component_id", "_rep").alias("_c")).join(joined, "_c", "left") \
+                    .select("_node", F.coalesce("_to", "_c").alias("_comp"))
     out = c.signed.select("_id", "_n").join(comp, F.col("_id") == F.col("_node"), "left")
     component = F.coalesce("_comp", "_id")
     return out.select(F.col("_id").alias("doc_id"), F.col("_n").alias("n_shingles"), component.alias("component_id"),

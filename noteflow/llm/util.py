@@ -12,6 +12,7 @@ import math
 import os
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -80,11 +81,27 @@ def crc32_sql(text: str) -> str:
     return f"xor(4294967295, list_reduce({bits}, lambda a, b: {step}, CAST(4294967295 AS BIGINT)))"
 
 
-#: Edges up to which the rounds of components need no shuffle (one task, pointers of 16 bytes a node broadcast): a
-#: shuffle of so few rows costs the driver more (tasks, their events and metrics) than the work itself.
+#: Edges up to which components ends in one task (1 MB of pairs): rounds of jobs for so few rows cost the driver
+#: more (plans, broadcasts, tasks, their events and metrics) than the work itself.
 SMALL_EDGES = 50_000
 
 
+def smallest_reached(batches):
+    """Edges (_u, _v) to (_n, _m): every node and the smallest node that edges lead to from it."""
+    to: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while (y := to.setdefault(x, x)) != x:
+            to[x] = x = to[y]
+        return x
+
+    for batch in batches:
+        for u, v in zip(*(c.to_pylist() for c in batch.columns)):
+            u, v = root(u), root(v)
+            to[max(u, v)] = min(u, v)
+    yield pa.RecordBatch.from_arrays([pa.array(list(to), pa.int64()), pa.array([root(x) for x in list(to)], pa.int64())], names=["_n", "_m"])
+
+
 def components(edges: DataFrame, u: str = "u", v: str = "v") -> DataFrame:
     """Connected components: (id, component_id) for every node that has an edge;
     ``component_id`` is the smallest id of the component.
@@ -93,39 +110,36 @@ def components(edges: DataFrame, u: str = "u", v: str = "v") -> DataFrame:
     doubled until they reach roots, edges are rewritten to the roots and loops and repeats
     dropped, until none is left; labels follow the pointers.  Only minima per node are aggregated (map-side combined), so a
     hub with very many neighbours is reduced before it is shuffled, and each round is a
-    reliable checkpoint.  Rounds grow with the logarithm of the longest chain.  Up to
-    ``SMALL_EDGES`` edges (counted) every round is one task and a bounded broadcast; any more are shuffled.
+    reliable checkpoint.  Rounds grow with the logarithm of the longest chain.  As soon as no more than
+    ``SMALL_EDGES`` edges are left (counted each round) one task finds their roots; any more are shuffled.
     """
-    e = durable(edges.select(F.col(u).alias("_u"), F.col(v).alias("_v")).where("_u <> _v")
+    e = durable(edges.select(F.col(u).cast("long").alias("_u"), F.col(v).cast("long").alias("_v")).where("_u <> _v")
                 .select(F.least("_u", "_v").alias("_u"), F.greatest("_u", "_v").alias("_v")).distinct())
-    small = e.count() <= SMALL_EDGES
-
-    def near(df: DataFrame) -> DataFrame:
-        return df.coalesce(1) if small else df
-
-    def beside(df: DataFrame) -> DataFrame:     # two nodes an edge at most
-        return F.broadcast(df.coalesce(1)) if small else df
-
     labels = None
-    while True:
-        both = e.unionByName(e.select(F.col("_v").alias("_u"), F.col("_u").alias("_v")))
-        to = durable(near(both).groupBy(F.col("_u").alias("_n")).agg(F.min("_v").alias("_m"))
-                     .select("_n", F.least("_n", "_m").alias("_m")))
-        while True:   # pointers form a forest; doubling brings each node to its root
-            step = durable(near(to).join(beside(to.select(F.col("_n").alias("_m"), F.col("_m").alias("_mm"))), "_m").select("_n", "_m", "_mm"))
-            if step.where("_mm <> _m").isEmpty():
-                break
-            to = step.select("_n", F.col("_mm").alias("_m"))
+    while left := e.count():
+        if small := left <= SMALL_EDGES:
+            to = durable(e.coalesce(1).mapInArrow(smallest_reached, "_n long, _m long"))
+        else:
+            both = e.unionByName(e.select(F.col("_v").alias("_u"), F.col("_u").alias("_v")))
+            to = durable(both.groupBy(F.col("_u").alias("_n")).agg(F.min("_v").alias("_m"))
+                         .select("_n", F.least("_n", "_m").alias("_m")))
+            while True:   # pointers form a forest; doubling brings each node to its root
+                step = durable(to.join(to.select(F.col("_n").alias("_m"), F.col("_m").alias("_mm")), "_m").select("_n", "_m", "_mm"))
+                if step.where("_mm <> _m").isEmpty():
+                    break
+                to = step.select("_n", F.col("_mm").alias("_m"))
         if labels is None:
             labels = to.select(F.col("_n").alias("_id"), F.col("_m").alias("_c"))
         else:
-            labels = (near(labels).join(beside(to.select(F.col("_n").alias("_c"), F.col("_m").alias("_to"))), "_c", "left")
-                                  .select("_id", F.coalesce("_to", "_c").alias("_c")))
-        labels = durable(labels)
-        e = (near(e).join(beside(to.select(F.col("_n").alias("_u"), F.col("_m").alias("_a"))), "_u")
-                    .join(beside(to.select(F.col("_n").alias("_v"), F.col("_m").alias("_b"))), "_v")
-                    .where("_a <> _b")
-                    .select(F.least("_a", "_b").alias("_u"), F.greatest("_a", "_b").alias("_v")).distinct())
-        e = durable(e)
-        if e.isEmpty():
-            return labels.select(F.col("_id").alias("id"), F.col("_c").alias("component_id"))
+            labels = (labels.join(to.select(F.col("_n").alias("_c"), F.col("_m").alias("_to")), "_c", "left")
+                            .select("_id", F.coalesce("_to", "_c").alias("_c")))
+            labels = durable(labels)
+        if small:
+            break
+        e = durable(e.join(to.select(F.col("_n").alias("_u"), F.col("_m").alias("_a")), "_u")
+                     .join(to.select(F.col("_n").alias("_v"), F.col("_m").alias("_b")), "_v")
+                     .where("_a <> _b")
+                     .select(F.least("_a", "_b").alias("_u"), F.greatest("_a", "_b").alias("_v")).distinct())
+    if labels is None:
+        labels = e.select(F.col("_u").alias("_id"), F.col("_v").alias("_c"))
+    return labels.select(F.col("_id").alias("id"), F.col("_c").alias("component_id"))

@@ -174,7 +174,7 @@ def random_edges():
     return [(int(a), int(b)) for a, b in rng.integers(-50, 250, (240, 2))] + [(k, k + 1) for k in range(1000, 1040)] + [(7, 7), (2000, 2001), (2001, 2000)]
 
 
-@pytest.mark.parametrize("limit", [0, util.SMALL_EDGES])
+@pytest.mark.parametrize("limit", [0, 60, util.SMALL_EDGES])
 def test_components_of_few_and_of_many_edges_agree(spark, monkeypatch, limit):
     monkeypatch.setattr(util, "SMALL_EDGES", limit)
     edges = random_edges()
@@ -202,6 +202,51 @@ def test_components_of_few_edges_run_few_tasks(spark):
     assert 0 < sum(i.numCompletedTasks for s in stages if (i := status.getStageInfo(s))) <= 160      # 1,900 with a shuffle each round
 
 
+def tasks_of(spark, group, run):
+    """Tasks that ``run`` takes with 40 shuffle partitions."""
+    sc, key = spark.sparkContext, "spark.sql.shuffle.partitions"
+    was, adaptive = spark.conf.get(key), spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set(key, "40")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        sc.setJobGroup(group, group)
+        run()
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+        spark.conf.set(key, was)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", adaptive)
+    status = sc.statusTracker()
+    stages = {s for j in status.getJobIdsForGroup(group) for s in status.getJobInfo(j).stageIds}
+    return sum(i.numCompletedTasks for s in stages if (i := status.getStageInfo(s)))
+
+
+def test_components_end_in_one_task_once_few_edges_are_left(spark, monkeypatch):
+    """A graph that only its first round finds large."""
+    edges = util.durable(spark.createDataFrame(random_edges(), "u long, v long").coalesce(1))
+    most = edges.where("u <> v").select(*minhash.ordered("u", "v")).distinct().count()
+    monkeypatch.setattr(util, "SMALL_EDGES", 0)
+    every = tasks_of(spark, "every-round", lambda: util.components(edges))
+    monkeypatch.setattr(util, "SMALL_EDGES", most - 1)
+    assert 0 < tasks_of(spark, "one-round", lambda: util.components(edges)) < 0.7 * every
+
+
+def test_links_of_the_first_pass_are_walked_once(spark, monkeypatch):
+    """The second components gets links between components alone, not all links again."""
+    rng = np.random.default_rng(5)
+    rows = []
+    for g in range(6):
+        base = [f"g{g}w{i}" for i in range(120)]
+        for k in range(30):
+            w = list(base)
+            w[int(rng.integers(0, 120))] = f"edit{g}x{k}"
+            rows.append((100 * g + k, " ".join(w)))
+    walked = []
+    monkeypatch.setattr(minhash, "components", lambda e, u, v: walked.append(e.count()) or util.components(e, u, v))
+    got = {r["doc_id"]: r["component_id"] for r in minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 2).collect()}
+    assert got == {i: i // 100 * 100 for i, _ in rows}
+    assert len(walked) == 2 and walked[0] >= 6 * 29 and walked[1] < walked[0] / 4
+
+
 def test_components_of_a_long_chain(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(100, 160)] + [(7, 3), (3, 9), (5, 5)], "u long, v long")
     got = {r["id"]: r["component_id"] for r in util.components(edges).collect()}
