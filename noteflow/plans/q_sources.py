@@ -32,14 +32,23 @@ register("csv_roundtrip", with_views(
 
 
 def _csv_order(spark, d):
-    """Three files of unequal size, texts with quotes and line breaks, read in order and in splits."""
+    """Folders of unequal size, texts with quotes and line breaks, read in order, by as many tasks as there are splits.
+    Folders are written one after the other, the largest part in three, each in files that follow the order, so that
+    about a quarter of the rows is being sorted at a time; files are compressed."""
     path = SRC.scratch_path(spark, "csv-order")
     o = fx.observations_null(spark, d).select("obs_id", "ObservationScheme", "ObservationAnswer", "LastUpdateDate")
     part = F.when(F.col("obs_id") % 100 < 5, 0).when(F.col("obs_id") % 100 < 75, 1).otherwise(2)
     quoted = F.when(F.col("obs_id") % 4 == 0, F.concat(F.lit('say "x;y",\n'), "ObservationAnswer")).otherwise(F.col("ObservationAnswer"))
-    files = o.withColumn("ObservationAnswer", quoted).withColumn("p", part).repartitionByRange(3, "p").sortWithinPartitions("p", F.desc("obs_id")).drop("p")
-    SRC.write_csv_sink(files, path, sep=";")
-    got = SRC.read_csv_source(spark, path, _OBS_SCHEMA, sep=";", order_col="row_order")
+    cuts = o.where(part == 1).approxQuantile("obs_id", [2 / 3, 1 / 3], 0.01)
+    inner = [None, *cuts, None]
+    folders = [(0, None, None), *[(1, high, low) for high, low in zip(inner, inner[1:])], (2, None, None)]
+    for k, (p, high, low) in enumerate(folders):
+        rows = o.where(part == p)
+        rows = rows if high is None else rows.where(F.col("obs_id") <= high)
+        rows = rows if low is None else rows.where(F.col("obs_id") > low)
+        files = rows.withColumn("ObservationAnswer", quoted).repartitionByRange(F.desc("obs_id")).sortWithinPartitions(F.desc("obs_id"))
+        SRC.write_csv_sink(files, f"{path}/{k}", sep=";", compression="gzip")
+    got = SRC.read_csv_source(spark, f"{path}/*", _OBS_SCHEMA, sep=";", order_col="row_order")
     return got.select("obs_id", "row_order", F.md5("ObservationAnswer").alias("answer_md5"))
 
 

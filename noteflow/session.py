@@ -7,6 +7,8 @@ import math
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -112,6 +114,22 @@ def reliable_checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+@contextmanager
+def shuffles_released(spark: SparkSession) -> Iterator[None]:
+    """What is written inside deletes its shuffle files when its write ends.  Else they stay on the disks until
+    the driver's garbage collector finds the plan, beside those of all later steps."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 _STAGED: list[tuple[SparkSession, str]] = []
 
 
@@ -135,7 +153,8 @@ def staged(df: DataFrame) -> DataFrame:
     the default codec leaves).  Removed at exit."""
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark)}/staged-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    with shuffles_released(spark):
+        df.write.option("compression", "zstd").parquet(path)
     _STAGED.append((spark, path))
     return spark.read.parquet(path)
 

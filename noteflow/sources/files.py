@@ -7,14 +7,18 @@ Intermediate tables go under the session's shared checkpoint folder
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from itertools import groupby
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
-from ..session import checkpoint_dir, staged, values_df
+from ..session import checkpoint_dir, shuffles_released, ship_package, staged, values_df
 
 
 def scratch_path(spark: SparkSession, name: str, unique: bool = True) -> str:
@@ -43,52 +47,51 @@ def read_csv_source(spark: SparkSession, path: str, schema: StructType | str, se
 def read_csv_ordered(spark: SparkSession, path: str, schema: StructType | str, options: dict, order_col: str) -> DataFrame:
     """Delimited files with a header each, read in splits, rows numbered in file and line order.
 
-    * Lines come from the splittable text scan with their file and split.  A line break is
-      inside a quoted field when the quotes before it, from the start of the file, are odd in
-      number; each split counts its quotes, and a prefix sum over the file's splits gives the
-      parity at each split's start.  A line that begins at even parity begins a record.
-    * The files are read twice: counts per split first, then the lines, which are shuffled once.
+    * Lines come from the splittable text scan with their file and split (a compressed file is one
+      split).  A line break is inside a quoted field when the quotes before it, from the start of the
+      file, are odd in number; each split counts its quotes, and a prefix sum over the file's splits
+      gives the parity at each split's start.  A line that begins at even parity begins a record.
+    * The files are read twice: counts per split first, then the lines.  Both times a task walks
+      the lines of its splits in their order, so no line is shuffled.
     * Records are numbered by prefix sums of the record starts per split; the lines of a record
-      are joined inside their split, and only the records at split borders are joined across.
+      are joined inside their split.  Only records that run over the end of a split are joined
+      across: if there are any, the splits they touch are read once more.
     * ``from_csv`` parses the finished records.  Blank lines between records count for nothing.
 
     ``_source_file`` holds the row's file; its first record, the header, is dropped."""
+    ship_package(spark)
     raw = spark.read.option("lineSep", "\n").text(path)
     quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
     at = ["f", "s", "b"]
     lines = raw.select(F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_block_start").alias("s"),
-                       F.col("_metadata.file_block_length").alias("b"), F.monotonically_increasing_id().alias("i"),
-                       quotes.alias("n"), (~F.col("value").rlike(r"[^\s]")).alias("blank"), F.col("value").alias("t"))
-    split = Window.partitionBy(*at).orderBy("i")
-    before = split.rowsBetween(Window.unboundedPreceding, -1)
-    parity = F.coalesce(F.sum("n").over(before), F.lit(0)) % 2
-    # first pass: counts only, no line is moved
-    seen = lines.drop("t").withColumn("q", parity)
-    odd = F.col("q") == 1
-    splits = seen.groupBy(*at).agg((F.sum("n") % 2).alias("parity"), F.count_if(~odd & ~F.col("blank")).alias("even"),
-                                        F.count_if(odd & ~F.col("blank")).alias("uneven"))
-    file = Window.partitionBy("f").orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
+                       F.col("_metadata.file_block_length").alias("b"), quotes.alias("n"),
+                       (~F.col("value").rlike(r"[^\s]")).alias("blank"), F.col("value").alias("t"))
+    # first pass: counts only
+    splits = lines.drop("t").mapInArrow(_count_starts, "f string, s long, b long, parity long, even long, uneven long")
+    ordered = Window.partitionBy("f").orderBy("s")
+    file = ordered.rowsBetween(Window.unboundedPreceding, -1)
     known = splits.withColumn("p0", F.coalesce(F.sum("parity").over(file), F.lit(0)) % 2) \
                   .withColumn("starts", F.when(F.col("p0") == 0, F.col("even")).otherwise(F.col("uneven"))) \
-                  .withColumn("r0", F.coalesce(F.sum("starts").over(file), F.lit(0)))
-    known = staged(known.select(*at, "p0", "r0", "starts"))
-    total, offsets = 0, []
-    for r in sorted(known.groupBy("f").agg(F.sum("starts").alias("n")).collect(), key=lambda r: r["f"]):
+                  .withColumn("r0", F.coalesce(F.sum("starts").over(file), F.lit(0))) \
+                  .withColumn("ends_inside", F.coalesce(F.lead("p0").over(ordered) == 1, F.lit(False)))
+    known = staged(known.select(*at, "p0", "r0", "starts", "ends_inside"))
+    total, offsets, crossing = 0, [], 0
+    per_file = known.groupBy("f").agg(F.sum("starts").alias("n"), F.count_if("ends_inside").alias("crossing")).collect()
+    for r in sorted(per_file, key=lambda r: r["f"]):
         offsets.append((r["f"], total))
         total += max(0, r["n"] - 1)
+        crossing += r["crossing"]
     first = values_df(spark, offsets, "f string, rows_before long")
-    # second pass: the lines, moved once; splits cut otherwise than in the first pass are an error
-    p0 = F.coalesce("p0", F.raise_error(F.lit("the files were split differently in the second pass")).cast("long"))
-    inside = (F.col("q") + F.col("p0")) % 2 == 1
-    numbered = lines.withColumn("q", parity).join(F.broadcast(known), at, "left").withColumn("p0", p0).where(inside | ~F.col("blank")) \
-                    .withColumn("r", F.col("r0") + F.sum(F.when(inside, 0).otherwise(1)).over(split)) \
-                    .withColumn("edge", (F.col("r") == F.col("r0")) | (F.col("r") == F.col("r0") + F.col("starts")))
-
-    def text(order: str, piece: str):
-        return F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(order, piece))), lambda x: x[piece]), "\n").alias("t")
-    pieces = numbered.groupBy(*at, "r").agg(text("i", "t"), F.first("edge").alias("edge"))
-    whole = pieces.where("NOT edge").select("f", "r", "t").unionByName(
-        pieces.where("edge").groupBy("f", "r").agg(text("s", "t")))
+
+    def records(of: DataFrame, how: str) -> DataFrame:
+        p0 = F.coalesce("p0", F.raise_error(F.lit("the files were split differently in the second pass")).cast("long"))
+        return lines.join(F.broadcast(of), at, how).withColumn("p0", p0).mapInArrow(_join_lines, "f string, s long, r long, t string, whole boolean")
+    # second pass: the lines; splits cut otherwise than in the first pass are an error
+    whole = records(known, "left").where("whole").select("f", "r", "t")
+    if crossing:
+        parts = records(known.where("p0 = 1 OR ends_inside"), "inner").where("NOT whole")
+        in_order = F.transform(F.array_sort(F.collect_list(F.struct("s", "t"))), lambda x: x["t"])
+        whole = whole.unionByName(parts.groupBy("f", "r").agg(F.array_join(in_order, "\n").alias("t")))
     fields = StructType.fromDDL(schema) if isinstance(schema, str) else schema
     parsed = F.from_csv(F.rtrim("t", F.lit("\r")), ", ".join(f"`{x.name}` {x.dataType.simpleString()}" for x in fields), options)
     return (whole.where("r > 1").join(F.broadcast(first), "f")
@@ -96,6 +99,72 @@ def read_csv_ordered(spark: SparkSession, path: str, schema: StructType | str, o
                  .select("x.*", "_source_file", order_col))
 
 
+def _by_split(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, pa.RecordBatch]]:
+    """(file, start) of a split and lines of it, in the order of the scan; a split's lines may come in several pieces."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        f, s = batch.column("f"), batch.column("s")
+        new = pc.or_(pc.not_equal(f[1:], f[:-1]), pc.not_equal(s[1:], s[:-1])).to_numpy(zero_copy_only=False)
+        cuts = [0, *(np.flatnonzero(new) + 1).tolist(), batch.num_rows]
+        for a, z in zip(cuts, cuts[1:]):
+            yield (f[a].as_py(), s[a].as_py()), batch.slice(a, z - a)
+
+
+def _inside(lines: pa.RecordBatch, parity: int) -> tuple[np.ndarray, int]:
+    """Which lines begin inside a quoted field, and the parity after them."""
+    n = lines.column("n").to_numpy(zero_copy_only=False).astype(np.int64)
+    ends = parity + np.cumsum(n)
+    return (ends - n) % 2 == 1, int(ends[-1] % 2)
+
+
+def _count_starts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per split: the parity of its quotes, and its record starts if it begins outside (``even``) or inside (``uneven``) a field."""
+    for _, pieces in groupby(_by_split(batches), key=lambda x: x[0]):
+        parity = even = uneven = 0
+        for (f, s), lines in pieces:
+            b = lines.column("b")[0].as_py()
+            odd, parity = _inside(lines, parity)
+            filled = ~lines.column("blank").to_numpy(zero_copy_only=False)
+            even, uneven = even + int((filled & ~odd).sum()), uneven + int((filled & odd).sum())
+        yield pa.RecordBatch.from_pydict({"f": [f], "s": [s], "b": [b], "parity": [parity], "even": [even], "uneven": [uneven]})
+
+
+def _join_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The records of each split, their lines joined; ``whole`` is false for one that began before the split or goes on after it."""
+    for (f, s), pieces in groupby(_by_split(batches), key=lambda x: x[0]):
+        parity = last = r0 = r = ends_inside = None
+        held: list[pa.Array] = []     # lines so far of the record r
+
+        def out(first: int, texts: pa.Array) -> pa.RecordBatch:
+            number = np.arange(first, first + len(texts))
+            whole = ((number != r0) & ~((number == last) & ends_inside))
+            return pa.RecordBatch.from_arrays([pa.array([f] * len(texts), pa.string()), pa.array([s] * len(texts), pa.int64()), pa.array(number), texts.cast(pa.string()), pa.array(whole)], ["f", "s", "r", "t", "whole"])
+
+        for _, lines in pieces:
+            if parity is None:
+                parity, r0, n, ends_inside = (lines.column(c)[0].as_py() for c in ("p0", "r0", "starts", "ends_inside"))
+                r, last = r0, r0 + n
+            inside, parity = _inside(lines, parity)
+            kept = inside | ~lines.column("blank").to_numpy(zero_copy_only=False)
+            t, starts = lines.column("t").filter(pa.array(kept)), np.flatnonzero(~inside[kept])
+            held += [t[:starts[0]] if len(starts) else t]
+            if len(starts):
+                if sum(map(len, held)):
+                    yield out(r, _joined(pa.concat_arrays(held)))
+                if len(starts) > 1:
+                    yield out(r + 1, _joined(t, starts))
+                held, r = [t[starts[-1]:]], r + len(starts)
+        if sum(map(len, held)):
+            yield out(r, _joined(pa.concat_arrays(held)))
+
+
+def _joined(lines: pa.Array, starts=None) -> pa.Array:
+    """The lines from each start to the next joined (all of them without ``starts``)."""
+    lists = pa.ListArray.from_arrays(pa.array([0, len(lines)] if starts is None else starts, pa.int32()), lines)
+    return pc.binary_join(lists, "\n")
+
+
 def csv_to_parquet(spark: SparkSession, csv_path: str, schema: StructType | str, out_path: str, sep: str = ",",
                    order_col: str | None = "row_order", **kw) -> DataFrame:
     """S1 helper: read a CSV once, keep its row order in ``order_col`` and store it as Parquet;
@@ -104,11 +173,13 @@ def csv_to_parquet(spark: SparkSession, csv_path: str, schema: StructType | str,
     return spark.read.parquet(out_path)
 
 
-def write_csv_sink(df: DataFrame, path: str, sep: str = ",", file_rows: int = 0) -> None:
+def write_csv_sink(df: DataFrame, path: str, sep: str = ",", file_rows: int = 0, compression: str = "none") -> None:
     """Write with a header (no index column).  ``file_rows`` bounds the rows of a file: a reader
-    of texts with line breaks takes each file in one task."""
-    (df.write.option("maxRecordsPerFile", file_rows).mode("overwrite").option("header", True).option("sep", sep).option("escape", '"')
-       .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
+    of texts with line breaks takes each file in one task, as any reader does a file of most ``compression`` codecs."""
+    out = (df.write.option("maxRecordsPerFile", file_rows).mode("overwrite").option("header", True).option("sep", sep).option("escape", '"')
+           .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).option("compression", compression))
+    with shuffles_released(df.sparkSession):
+        out.csv(path)
 
 
 def write_splits(df: DataFrame, path: str, split_col: str = "split") -> None:

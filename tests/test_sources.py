@@ -132,6 +132,59 @@ def test_ordered_csv_is_not_staged(spark, monkeypatch):
     assert kept and all("t" not in c for c in kept)
 
 
+def _shuffle_files(spark):
+    files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {files.apply(i).getName() for i in range(files.size()) if files.apply(i).getName().startswith("shuffle_")}
+
+
+def test_written_tables_leave_no_shuffle_files(spark):
+    """What a stage or a CSV sink shuffled is gone when its files are there."""
+    import time
+    from noteflow.session import staged
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    was = spark.conf.get(key, None)
+    kept = _shuffle_files(spark)
+    rows = spark.range(1000).repartition(5, "id").sortWithinPartitions("id")
+    assert staged(rows).count() == 1000
+    SRC.write_csv_sink(rows, SRC.scratch_path(spark, "released"))
+    left = lambda: {f for f in _shuffle_files(spark) - kept if not f.endswith(".checksum")}
+    for _ in range(20):     # count() above is no write: its one shuffle of a row stays
+        if sum(f.endswith(".data") for f in left()) <= 1:
+            break
+        time.sleep(0.2)
+    assert sum(f.endswith(".data") for f in left()) <= 1
+    assert spark.conf.get(key, None) == was
+
+
+def test_ordered_csv_moves_no_line(spark, tmp_path):
+    """Compressed files with line breaks in their texts: numbered in order, and no line is shuffled."""
+    rows = [(i, f'say "x;y",\n{i}\n\n' + "z" * (i % 7)) for i in range(3000)]
+    for name, part in (("b", rows[:100]), ("a", rows[100:2900]), ("c", rows[2900:])):
+        SRC.write_csv_sink(spark.createDataFrame(part, "id long, t string").coalesce(2).sortWithinPartitions("id"), str(tmp_path / name),
+                           file_rows=700, compression="gzip")
+    assert not list(tmp_path.glob("*/*.csv")) and len(list(tmp_path.glob("a/*.csv.gz"))) >= 4
+    got = SRC.read_csv_source(spark, f"{tmp_path}/*", "id long, t string", order_col="n")
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "hashpartitioning" not in plan and "Window" not in plan
+    assert [(r["id"], r["t"], r["n"]) for r in got.orderBy("n").collect()] == [(*r, i) for i, r in enumerate(rows[100:2900] + rows[:100] + rows[2900:])]
+
+
+def test_records_longer_than_batches_and_splits(spark, tmp_path):
+    """One record of many lines, read in batches of a few lines and splits of a few bytes."""
+    rows = [(0, "a"), (1, "\n".join(f'l"{i}' for i in range(200)) + "\n"), (2, "\n \n")]
+    (tmp_path / "a.csv").write_text(_csv_text(rows), newline="")
+    keys = {"spark.sql.files.maxPartitionBytes": "100", "spark.sql.files.openCostInBytes": "0", "spark.sql.execution.arrow.maxRecordsPerBatch": "3"}
+    old = {k: spark.conf.get(k) for k in keys}
+    try:
+        for k, v in keys.items():
+            spark.conf.set(k, v)
+        got = SRC.read_csv_source(spark, str(tmp_path), "k long, text string", sep=";", order_col="n").orderBy("n").collect()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert [(r["k"], r["text"], r["n"]) for r in got] == [(*r, i) for i, r in enumerate(rows)]
+
+
 def test_encoder_hashes_each_word_once(monkeypatch):
     import hashlib
     import numpy as np
