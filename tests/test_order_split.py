@@ -288,3 +288,24 @@ def test_reread_rows_stay_where_they_are(spark):
     unplaced = sampling.pos_neg(df, ["ObservationAnswer"], reread=True).select("obs_id", "labels", "ObservationAnswer")
     plan = unplaced._jdf.queryExecution().optimizedPlan().toString()
     assert "LeftOuter" not in plan and unplaced.count() == 400
+
+
+def test_undrawn_donors_are_left_out_before_wide_columns_are_joined(spark):
+    """The rows nobody drew are filtered on their keys: below the join that brings the texts, not above it."""
+    from noteflow.operators import sampling
+    from noteflow.session import staged
+    keys = staged(spark.range(60).selectExpr("id AS obs_id", "concat('s', id % 3) AS ObservationScheme", "id % 20 AS t"))
+    texts = staged(spark.range(20).selectExpr("id AS k", "concat('answer ', id) AS ObservationAnswer"))
+    df = keys.join(texts, keys.t == texts.k).select("obs_id", "ObservationScheme", "ObservationAnswer",
+                                                   F.length("ObservationAnswer").alias("ObservationAnswer_len"))
+    out = sampling.negative_samples(df, ["ObservationAnswer"], key="obs_id", reread=True)
+    plan = out._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    at = next(i for i, line in enumerate(plan) if "LeftSemi" in line)
+    depth = plan[at].index("Join LeftSemi")
+    below = [x for x in plan[at + 1:at + 1 + next((j for j, x in enumerate(plan[at + 1:]) if len(x) - len(x.lstrip(" :+-")) <= depth), len(plan))]]
+    assert below and not any("Join Inner" in x for x in below)
+    own = {r["obs_id"]: r["ObservationScheme"] for r in keys.collect()}
+    rows = out.collect()
+    assert sorted(r["obs_id"] for r in rows) == list(range(60)) and all(r["ObservationScheme"] == own[r["obs_id"]] for r in rows)
+    plain = sampling.negative_samples(df, ["ObservationAnswer"], key="obs_id").collect()
+    assert sorted(map(tuple, rows)) == sorted(map(tuple, plain))
