@@ -23,7 +23,7 @@ _OBS_SCHEMA = "obs_id long, ObservationScheme string, ObservationAnswer string,
 def _csv(spark, d):
     path = SRC.scratch_path(spark, "csv")
     SRC.write_csv_sink(fx.observations_null(spark, d).select("obs_id", "ObservationScheme", "ObservationAnswer",
-                                                             "LastUpdateDate"), path, sep=";", file_rows=20_000)
+                                                             "LastUpdateDate"), path, sep=";", file_rows=20_000, compression="gzip")
     return SRC.read_csv_source(spark, path, _OBS_SCHEMA, sep=";")
 
 
